@@ -10,6 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` (a lambda
+    binding): without it, a scalar used inside ``transform`` would be
+    recomputed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def as_double(arr: Column) -> Column:
     return F.transform(arr, lambda x: x.cast("double"))
 
@@ -37,15 +44,15 @@ def scale(a: Column, s: Column | float) -> Column:
 
 
 def log_sum_exp(logits: Column) -> Column:
-    m = F.array_max(logits)
-    return m + F.log(array_sum(F.transform(logits, lambda x: F.exp(x - m))))
+    return let(F.array_max(logits),
+               lambda m: m + F.log(array_sum(F.transform(logits, lambda x: F.exp(x - m)))))
 
 
 def softmax(logits: Column) -> Column:
-    m = F.array_max(logits)
-    ex = F.transform(logits, lambda x: F.exp(x - m))
-    total = array_sum(ex)
-    return F.transform(ex, lambda x: x / total)
+    def with_max(m):
+        ex = F.transform(logits, lambda x: F.exp(x - m))
+        return let(array_sum(ex), lambda total: F.transform(ex, lambda x: x / total))
+    return let(F.array_max(logits), with_max)
 
 
 def nll(logits: Column, target: Column) -> Column:
@@ -55,13 +62,14 @@ def nll(logits: Column, target: Column) -> Column:
 
 def argmax(values: Column) -> Column:
     """0-based index of the largest value; ties go to the lowest index."""
-    return F.array_position(values, F.array_max(values)) - F.lit(1)
+    return (F.array_position(values, F.array_max(values)) - F.lit(1)).cast("int")
 
 
 def top_k_mask(logits: Column, k: int) -> Column:
     """Keep values >= the k-th largest (ties kept), the rest become -inf."""
     kth = F.element_at(F.sort_array(logits, asc=False), F.least(F.lit(k), F.size(logits)))
-    return F.transform(logits, lambda x: F.when(x >= kth, x).otherwise(F.lit(float("-inf"))))
+    return let(kth, lambda t: F.transform(
+        logits, lambda x: F.when(x >= t, x).otherwise(F.lit(float("-inf")))))
 
 
 def temperature(logits: Column, t: float) -> Column:
@@ -71,10 +79,12 @@ def temperature(logits: Column, t: float) -> Column:
 def standardize(vec: Column, eps: float = 1e-5, scale_: float = 1.0, shift: float = 0.0) -> Column:
     """(x - mean) / sqrt(var_pop + eps) * scale + shift."""
     n = F.size(vec).cast("double")
-    mean = array_sum(vec) / n
-    var = array_sum(F.transform(vec, lambda x: (x - mean) * (x - mean))) / n
-    denom = F.sqrt(var + F.lit(eps))
-    return F.transform(vec, lambda x: (x - mean) / denom * F.lit(scale_) + F.lit(shift))
+
+    def with_mean(mean):
+        var = array_sum(F.transform(vec, lambda x: (x - mean) * (x - mean))) / n
+        return let(F.sqrt(var + F.lit(eps)), lambda denom: F.transform(
+            vec, lambda x: (x - mean) / denom * F.lit(scale_) + F.lit(shift)))
+    return let(array_sum(vec) / n, with_mean)
 
 
 def heads(vec: Column, h: int) -> Column:

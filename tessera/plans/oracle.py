@@ -192,3 +192,110 @@ SELECT doc_id, toxic FROM r WHERE rk < (SELECT m FROM m)"""
 
 SQL["char_split"] = """WITH k AS (SELECT doc_id, text, floor(length(text)::DOUBLE * 0.9::DOUBLE)::BIGINT AS k FROM documents)
 SELECT doc_id, substring(text, 1, k) AS train_text, substring(text, k + 1) AS val_text FROM k"""
+
+# ---------------------------------------------------------------- vectors / head / metrics
+_EMB = f"""{shuffled('esh', 'embeddings', 'vec_id')},
+e AS (SELECT m.vec_id, m.label, m.embedding::DOUBLE[] AS v, {split_of()} AS split
+      FROM embeddings m JOIN esh s ON s.vec_id = m.vec_id),
+cd AS (SELECT label, i, avg(v[i]) AS m
+       FROM (SELECT label, v, unnest(generate_series(1, len(v))) AS i FROM e WHERE split = 'train')
+       GROUP BY label, i),
+cw AS (SELECT label::BIGINT AS class, list(m ORDER BY i) AS w FROM cd GROUP BY label),
+cb AS (SELECT class, w, -0.5 * list_sum(list_transform(w, lambda x: x * x)) AS b FROM cw),
+lg AS (SELECT e.vec_id, e.label, e.split, c.class, list_dot_product(e.v, c.w) + c.b AS logit FROM e, cb c),
+pv AS (SELECT vec_id, max(label) AS label, max(split) AS split,
+              first(class ORDER BY logit DESC, class) AS predicted,
+              max(logit) AS mx FROM lg GROUP BY vec_id),
+ls AS (SELECT l.vec_id, p.mx + ln(sum(exp(l.logit - p.mx))) AS lse FROM lg l JOIN pv p USING (vec_id)
+       GROUP BY l.vec_id, p.mx),
+pr AS (SELECT p.vec_id, p.label::BIGINT AS label, p.split, p.predicted,
+              s.lse - (SELECT logit FROM lg WHERE lg.vec_id = p.vec_id AND lg.class = p.label) AS nll
+       FROM pv p JOIN ls s USING (vec_id)),
+bt AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY
+                    CASE WHEN split = 'train' THEN md5('{C.SEED}:' || vec_id::VARCHAR) ELSE '' END, vec_id) - 1)
+                 // {C.BATCH} AS batch_id,
+              count(*) OVER (PARTITION BY split) AS n_split FROM pr),
+kb AS (SELECT * FROM bt WHERE split <> 'train' OR batch_id < n_split // {C.BATCH})"""
+
+SQL["centroid_logits"] = f"""WITH {_EMB}
+SELECT vec_id, class, round(logit, 6) AS value FROM lg"""
+
+SQL["softmax"] = f"""WITH {_EMB}
+SELECT l.vec_id, l.class, round(exp(l.logit - s.lse), 6) AS value FROM lg l JOIN ls s USING (vec_id)"""
+
+SQL["argmax_class"] = f"""WITH {_EMB}
+SELECT vec_id, predicted FROM pv"""
+
+SQL["top_k_logits"] = f"""WITH {_EMB},
+kth AS (SELECT vec_id, list_sort(list(logit), 'DESC')[{C.TOP_K}] AS t FROM lg GROUP BY vec_id)
+SELECT l.vec_id, l.class,
+       CASE WHEN l.logit >= k.t THEN round(l.logit, 6) ELSE '-inf'::DOUBLE END AS value
+FROM lg l JOIN kth k USING (vec_id)"""
+
+_ACC = "SELECT split, count(*)::BIGINT AS n, avg(CASE WHEN predicted = label THEN 1.0 ELSE 0.0 END) AS accuracy FROM kb GROUP BY split"
+_LOSS = """SELECT split, count(*)::BIGINT AS n_batches, avg(b) AS loss
+FROM (SELECT split, batch_id, avg(nll) AS b FROM kb GROUP BY split, batch_id) GROUP BY split"""
+
+SQL["accuracy"] = f"""WITH {_EMB}, a AS ({_ACC}) SELECT split, n, round(accuracy, 6) AS accuracy FROM a"""
+SQL["cross_entropy"] = f"""WITH {_EMB}, l AS ({_LOSS}) SELECT split, n_batches, round(loss, 6) AS loss FROM l"""
+SQL["split_report"] = f"""WITH {_EMB}, a AS ({_ACC}), l AS ({_LOSS})
+SELECT a.split, a.n, round(a.accuracy, 6) AS accuracy, round(l.loss, 6) AS loss FROM a JOIN l USING (split)"""
+
+SQL["examples_seen"] = f"""WITH {_EMB},
+per AS (SELECT batch_id::BIGINT AS batch_id, count(*)::BIGINT AS n FROM kb WHERE split = 'train' GROUP BY batch_id)
+SELECT batch_id, n, sum(n) OVER (ORDER BY batch_id)::BIGINT AS examples_seen FROM per"""
+
+SQL["eval_steps"] = f"""WITH {_EMB},
+per AS (SELECT batch_id::BIGINT AS batch_id FROM kb WHERE split = 'train' GROUP BY batch_id),
+nb AS (SELECT count(*) AS nb FROM per),
+st AS (SELECT ep AS epoch, ep * (SELECT nb FROM nb) + batch_id AS step FROM per, range(0, {C.EPOCHS}) r(ep))
+SELECT epoch::BIGINT AS epoch, step::BIGINT AS step, ((step + 1) * {C.BATCH})::BIGINT AS examples_seen
+FROM st WHERE step % {C.EVAL_FREQ} = 0"""
+
+SQL["standardize_vectors"] = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+s AS (SELECT vec_id, v, list_avg(v) AS mu FROM v),
+s2 AS (SELECT vec_id, v, mu, list_avg(list_transform(v, lambda x: (x - mu) * (x - mu))) AS var FROM s),
+d AS (SELECT vec_id, mu, var, unnest(generate_series(0, len(v) - 1)) AS dim, unnest(v) AS x FROM s2)
+SELECT vec_id, dim::BIGINT AS dim, round((x - mu) / sqrt(var + 1e-5) * 1.0 + 0.0, 6) AS value FROM d"""
+
+_RK = """r AS (SELECT label, vec_id, embedding::DOUBLE[] AS v,
+              row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS r FROM embeddings)"""
+
+SQL["scaled_dot"] = f"""WITH {_RK}
+SELECT a.vec_id, b.vec_id AS next_vec_id, round(list_dot_product(a.v, b.v) / sqrt(len(a.v)), 6) AS value
+FROM r a JOIN r b ON a.label = b.label AND b.r = a.r + 1"""
+
+
+def _soft(window: int, heads: int) -> str:
+    return f"""WITH {_RK},
+hw AS (SELECT (SELECT max(len(v)) FROM r) // {heads} AS w),
+p AS (SELECT a.vec_id, h, b.v[h * (SELECT w FROM hw) + 1 : (h + 1) * (SELECT w FROM hw)] AS kv,
+             list_dot_product(a.v[h * (SELECT w FROM hw) + 1 : (h + 1) * (SELECT w FROM hw)],
+                              b.v[h * (SELECT w FROM hw) + 1 : (h + 1) * (SELECT w FROM hw)])
+               / sqrt((SELECT w FROM hw)) AS s
+      FROM r a JOIN r b ON a.label = b.label AND b.r <= a.r AND b.r > a.r - {window}, range(0, {heads}) t(h)),
+e AS (SELECT vec_id, h, kv, exp(s - max(s) OVER (PARTITION BY vec_id, h)) AS e FROM p),
+w AS (SELECT vec_id, h, kv, e / sum(e) OVER (PARTITION BY vec_id, h) AS w FROM e),
+d AS (SELECT vec_id, h, w, unnest(generate_series(0, len(kv) - 1)) AS i, unnest(kv) AS x FROM w)
+SELECT vec_id, (h * (SELECT w FROM hw) + i)::BIGINT AS dim, round(sum(w * x), 6) AS value
+FROM d GROUP BY vec_id, h, i"""
+
+
+SQL["soft_history"] = _soft(16, 1)
+SQL["soft_history_heads"] = _soft(16, 4)
+
+SQL["embed_tokens"] = f"""WITH {tok('dt', 'documents', 'doc_id')}, {vocab('dv', 'dt')},
+tk AS (SELECT t.id, t.pos, v.token_id FROM dt t JOIN dv v ON v.token = t.token),
+nv AS (SELECT count(*) AS n FROM embeddings),
+u AS (SELECT id, token_id % (SELECT n FROM nv) AS vid FROM tk
+      UNION ALL SELECT id, pos % (SELECT n FROM nv) FROM tk),
+c AS (SELECT id, vid, count(*) AS c FROM u GROUP BY id, vid),
+x AS (SELECT c.id, c.c, m.embedding::DOUBLE[] AS v FROM c JOIN embeddings m ON m.vec_id = c.vid),
+d AS (SELECT id, c, unnest(generate_series(0, len(v) - 1)) AS dim, unnest(v) AS x FROM x)
+SELECT id AS doc_id, dim::BIGINT AS dim, round(sum(c * x) * (2.0 / sum(c)), 6) AS value FROM d GROUP BY id, dim"""
+
+SQL["conversation_until_exit"] = f"""WITH st AS (
+  SELECT conv_id, min(turn) AS stop FROM conversations
+  WHERE lower(text) IN ({", ".join("'" + w + "'" for w in C.EXIT_WORDS)}) AND role = 'user' GROUP BY conv_id)
+SELECT c.conv_id, c.turn, c.text FROM conversations c LEFT JOIN st USING (conv_id)
+WHERE st.stop IS NULL OR c.turn < st.stop"""
