@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.session import shuffle_partitions
 
 
-def salted_lookup(stream: DataFrame, table: DataFrame, key: str, salt_cols: list[str],
+def salted_lookup(stream: DataFrame, table: DataFrame, key: str | list[str], salt_cols: list[str],
                   weight: str = "freq", how: str = "left", heavy: int = 256,
                   buckets: int | None = None) -> DataFrame:
     """``stream ⋈ table`` on ``key`` (left or inner) with hot keys salted.
@@ -29,15 +29,16 @@ def salted_lookup(stream: DataFrame, table: DataFrame, key: str, salt_cols: list
     key frequency column of ``table`` (dropped from the result)."""
     spark = stream.sparkSession
     s = buckets or shuffle_partitions(spark)
-    hot = (table.select(key, weight).orderBy(F.desc(weight), F.asc(key)).limit(heavy)
-                .select(key, F.lit(True).alias("_hot")))
-    left = (stream.join(F.broadcast(hot), key, "left")
+    keys = [key] if isinstance(key, str) else list(key)
+    hot = (table.select(*keys, weight).orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
+                .select(*keys, F.lit(True).alias("_hot")))
+    left = (stream.join(F.broadcast(hot), keys, "left")
                   .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_cols), F.lit(s)))
                                         .otherwise(F.lit(0).cast("bigint")))
                   .drop("_hot"))
-    right = (table.drop(weight).join(F.broadcast(hot), key, "left")
+    right = (table.drop(weight).join(F.broadcast(hot), keys, "left")
                   .withColumn("_salt", F.explode(
                       F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(s - 1).cast("bigint")))
                        .otherwise(F.array(F.lit(0).cast("bigint")))))
                   .drop("_hot"))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -299,3 +299,115 @@ SQL["conversation_until_exit"] = f"""WITH st AS (
   WHERE lower(text) IN ({", ".join("'" + w + "'" for w in C.EXIT_WORDS)}) AND role = 'user' GROUP BY conv_id)
 SELECT c.conv_id, c.turn, c.text FROM conversations c LEFT JOIN st USING (conv_id)
 WHERE st.stop IS NULL OR c.turn < st.stop"""
+
+# ---------------------------------------------------------------- naive Bayes
+_NB = f"""ld AS (SELECT d.doc_id, d.text, l.toxic AS class FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+{tok('lt', 'ld', 'doc_id')},
+tc AS (SELECT d.class, t.token, count(*) AS n FROM lt t JOIN ld d ON d.doc_id = t.id GROUP BY d.class, t.token),
+nc AS (SELECT class, sum(n) AS nn FROM tc GROUP BY class),
+nv AS (SELECT count(DISTINCT token) AS v FROM tc),
+cls AS (SELECT class, count(*) AS nd FROM ld GROUP BY class)"""
+
+SQL["nb_train"] = f"""WITH {_NB}
+SELECT tc.class::BIGINT AS class, tc.token, round(ln((tc.n + 1) / (nc.nn + (SELECT v FROM nv))), 6) AS log_p
+FROM tc JOIN nc ON nc.class = tc.class"""
+
+SQL["nb_classify"] = f"""WITH {_NB},
+{tok('allt', 'documents', 'doc_id')},
+ac AS (SELECT id, token, count(*) AS c FROM allt WHERE token IN (SELECT token FROM tc) GROUP BY id, token),
+lp AS (SELECT cls.class, v.token,
+              ln((coalesce(tc.n, 0) + 1) / (coalesce(nc.nn, 0) + (SELECT v FROM nv))) AS lp
+       FROM cls CROSS JOIN (SELECT DISTINCT token FROM tc) v
+       LEFT JOIN tc ON tc.class = cls.class AND tc.token = v.token LEFT JOIN nc ON nc.class = cls.class),
+sc AS (SELECT d.doc_id, cls.class,
+              ln(cls.nd / (SELECT sum(nd) FROM cls)) + coalesce(sum(ac.c * lp.lp), 0) AS s
+       FROM documents d CROSS JOIN cls LEFT JOIN ac ON ac.id = d.doc_id
+       LEFT JOIN lp ON lp.class = cls.class AND lp.token = ac.token
+       GROUP BY d.doc_id, cls.class, cls.nd)
+SELECT doc_id, first(class ORDER BY s DESC, class)::BIGINT AS predicted FROM sc GROUP BY doc_id"""
+
+# ---------------------------------------------------------------- bigram LM and generation
+_LM = f"""k AS (SELECT doc_id, text, floor(length(text)::DOUBLE * 0.9::DOUBLE)::BIGINT AS k FROM documents),
+sp AS (SELECT doc_id, substring(text, 1, k) AS tr, substring(text, k + 1) AS va FROM k),
+{tok('trt', 'sp', 'doc_id', 'tr')},
+{tok('vat', 'sp', 'doc_id', 'va')},
+cnt AS (SELECT a.token AS context, b.token AS next, count(*) AS n
+        FROM trt a JOIN trt b ON a.id = b.id AND b.pos = a.pos + 1 GROUP BY a.token, b.token)"""
+
+SQL["ngram_counts"] = f"""WITH {_LM} SELECT context, next, n::BIGINT AS n FROM cnt"""
+
+_LOSS_DOC = f"""{_LM},
+vs AS (SELECT count(DISTINCT token) + 1 AS v FROM trt),
+ctx AS (SELECT context, sum(n) AS nc FROM cnt GROUP BY context),
+vp AS (SELECT a.id, a.token AS context, b.token AS next FROM vat a JOIN vat b ON a.id = b.id AND b.pos = a.pos + 1),
+nl AS (SELECT vp.id, -ln((coalesce(c.n, 0) + 1) / (coalesce(x.nc, 0) + (SELECT v FROM vs))) AS nll
+       FROM vp LEFT JOIN cnt c ON c.context = vp.context AND c.next = vp.next LEFT JOIN ctx x ON x.context = vp.context),
+pd AS (SELECT id, count(*) AS n_targets, avg(nll) AS loss FROM nl GROUP BY id)"""
+
+SQL["doc_perplexity"] = f"""WITH {_LOSS_DOC}
+SELECT id AS doc_id, n_targets::BIGINT AS n_targets, round(loss, 6) AS loss, round(exp(loss), 6) AS perplexity FROM pd"""
+
+SQL["lm_loss"] = f"""WITH {_LOSS_DOC}
+SELECT count(*)::BIGINT AS n_docs, sum(n_targets)::BIGINT AS n_targets, round(avg(loss), 6) AS loss,
+       round(exp(avg(loss)), 6) AS perplexity FROM pd"""
+
+_GEN = f"""{_LM},
+{tok('bt', 'benchmark', 'item_id')},
+fb AS (SELECT min(token) AS t FROM trt),
+best AS (SELECT context, first(next ORDER BY n DESC, next) AS best FROM cnt GROUP BY context)"""
+
+
+def _decode_sql(expr: str) -> str:
+    return f"regexp_replace(array_to_string({expr}, ' '), '{SPACE}+({GLUE})', '\\1', 'g')"
+
+
+def _greedy(steps: int) -> str:
+    ctes = ["g0 AS (SELECT b.item_id, s.toks[len(s.toks)] AS c, []::VARCHAR[] AS gen "
+            "FROM benchmark b LEFT JOIN bt_s s ON s.id = b.item_id)"]
+    for i in range(1, steps + 1):
+        ctes.append(f"""g{i} AS (SELECT g.item_id, coalesce(b.best, (SELECT t FROM fb)) AS c,
+       list_append(g.gen, coalesce(b.best, (SELECT t FROM fb))) AS gen
+FROM g{i - 1} g LEFT JOIN best b ON b.context = g.c)""")
+    return f"""WITH {_GEN}, {", ".join(ctes)}
+SELECT item_id, {_decode_sql('gen')} AS text FROM g{steps}"""
+
+
+SQL["generate_greedy"] = _greedy(5)
+
+_LEVELS = """hist AS (SELECT context, n, count(*) AS m FROM cnt GROUP BY context, n),
+h2 AS (SELECT *, sum(m) OVER (PARTITION BY context ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS al
+       FROM hist),
+thr AS (SELECT context, coalesce(max(CASE WHEN al >= {k} THEN n END), min(n)) AS t FROM h2 GROUP BY context),
+lv AS (SELECT h.context, h.n, h.m, exp(ln(h.n::DOUBLE) / {temp}) AS w FROM hist h JOIN thr ON thr.context = h.context
+       WHERE h.n >= thr.t),
+lv2 AS (SELECT *, sum(m * w) OVER (PARTITION BY context ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e
+        FROM lv),
+lvl AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY context ORDER BY n DESC), 0) AS bf,
+               max(e) OVER (PARTITION BY context) AS tot FROM lv2),
+rk AS (SELECT context, n, next, row_number() OVER (PARTITION BY context, n ORDER BY next) - 1 AS j FROM cnt)"""
+
+
+def _sampled(steps: int, k: int, temp: float, stop: str, out: str) -> str:
+    ctes = ["s0 AS (SELECT b.item_id, s.toks[len(s.toks)] AS c, []::VARCHAR[] AS gen, false AS done "
+            "FROM benchmark b LEFT JOIN bt_s s ON s.id = b.item_id)"]
+    for i in range(1, steps + 1):
+        st = i - 1
+        ctes.append(f"""u{i} AS (SELECT *, ('0x' || substr(md5('{C.SEED}:' || item_id::VARCHAR || ':{st}'), 1, 13))::BIGINT
+                        / 4503599627370496.0 AS u FROM s{st}),
+ch{i} AS (SELECT x.item_id, first(l.n ORDER BY l.bf) AS n, first(l.context ORDER BY l.bf) AS context,
+                 first(least(greatest(ceil((x.u * l.tot - l.bf) / l.w) - 1, 0), l.m - 1) ORDER BY l.bf)::BIGINT AS j
+          FROM u{i} x JOIN lvl l ON l.context = x.c WHERE l.e >= x.u * l.tot GROUP BY x.item_id),
+d{i} AS (SELECT x.item_id, x.c, x.gen, x.done, coalesce(r.next, (SELECT t FROM fb)) AS drawn
+         FROM u{i} x LEFT JOIN ch{i} h ON h.item_id = x.item_id
+         LEFT JOIN rk r ON r.context = h.context AND r.n = h.n AND r.j = h.j),
+s{i} AS (SELECT item_id,
+                CASE WHEN done OR drawn = '{stop}' THEN c ELSE drawn END AS c,
+                CASE WHEN done OR drawn = '{stop}' THEN gen ELSE list_append(gen, drawn) END AS gen,
+                done OR drawn = '{stop}' AS done FROM d{i})""")
+    sel = f"{_decode_sql('gen')} AS text" if out == "text" else "gen[1] AS next_token"
+    return f"""WITH {_GEN}, {_LEVELS.format(k=k, temp=temp)}, {", ".join(ctes)}
+SELECT item_id, {sel} FROM s{steps}"""
+
+
+SQL["sample_next"] = _sampled(1, 25, 1.4, T.END_OF_TEXT, "next")
+SQL["generate_sampled"] = _sampled(5, 25, 1.4, T.END_OF_TEXT, "text")
