@@ -411,3 +411,16 @@ SELECT item_id, {sel} FROM s{steps}"""
 
 SQL["sample_next"] = _sampled(1, 25, 1.4, T.END_OF_TEXT, "next")
 SQL["generate_sampled"] = _sampled(5, 25, 1.4, T.END_OF_TEXT, "text")
+
+# ---------------------------------------------------------------- sources / sinks (round trips)
+SQL["src_labelled_csv"] = """SELECT l.toxic::BIGINT AS label, d.text AS text
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id"""
+
+SQL["src_text"] = "SELECT doc_id, text FROM documents"
+
+SQL["src_label_tsv"] = """SELECT CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label, l.toxic::BIGINT AS label_id,
+       regexp_replace(d.text, '[\\t\\n\\r]', ' ', 'g') AS text
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id"""
+
+SQL["sink_splits"] = f"""WITH {shuffled('sh', '(SELECT l.doc_id, l.toxic FROM labels l JOIN documents d ON d.doc_id = l.doc_id)', 'doc_id', ', toxic')}
+SELECT {split_of()} AS split, count(*)::BIGINT AS n, sum(toxic)::BIGINT AS n_positive FROM sh GROUP BY 1"""
