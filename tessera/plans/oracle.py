@@ -424,3 +424,6 @@ FROM documents d JOIN labels l ON l.doc_id = d.doc_id"""
 
 SQL["sink_splits"] = f"""WITH {shuffled('sh', '(SELECT l.doc_id, l.toxic FROM labels l JOIN documents d ON d.doc_id = l.doc_id)', 'doc_id', ', toxic')}
 SELECT {split_of()} AS split, count(*)::BIGINT AS n, sum(toxic)::BIGINT AS n_positive FROM sh GROUP BY 1"""
+
+# ---------------------------------------------------------------- streaming (same answer as the batch form)
+SQL["stream_until_exit"] = SQL["conversation_until_exit"]
