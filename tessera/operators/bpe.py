@@ -48,7 +48,8 @@ def pretokens(text: F.Column) -> F.Column:
 
 def build_ranks(spark: SparkSession, docs: DataFrame, text_col: str = "text", pieces: int = 2048,
                 max_piece_bytes: int = 16) -> BpeModel:
-    counted = (docs.select(F.explode(pretokens(F.col(text_col))).alias("piece"))
+    counted = (docs.select(F.explode_outer(pretokens(F.col(text_col))).alias("piece"))
+               .where(F.col("piece").isNotNull())
                .groupBy("piece").agg(F.count(F.lit(1)).alias("n")))
     nbytes = F.octet_length("piece")
     top = (counted.where((nbytes >= 2) & (nbytes <= max_piece_bytes))
@@ -108,8 +109,11 @@ def piece_rows(docs: DataFrame, id_col: str, text_col: str, special: str = "allo
         segs = F.split(text, F.lit(r"\Q" + T.END_OF_TEXT + r"\E"), -1)
     else:
         segs = F.array(text)
-    seg_rows = docs.select(id_col, F.posexplode(segs).alias("seg", "s"))
-    body = seg_rows.select(id_col, "seg", F.posexplode(pretokens(F.col("s"))).alias("pos", "piece"))
+    # outer generators + filters on their outputs (see tokens.word_tokens)
+    seg_rows = (docs.select(id_col, F.posexplode_outer(segs).alias("seg", "s"))
+                .where(F.col("seg").isNotNull()))
+    body = (seg_rows.select(id_col, "seg", F.posexplode_outer(pretokens(F.col("s"))).alias("pos", "piece"))
+            .where(F.col("pos").isNotNull()))
     if special != "allow":
         return body
     marks = (seg_rows.where(F.col("seg") > 0)

@@ -24,11 +24,13 @@ from tessera.operators.ranking import rank_within_groups
 
 def bigrams(token_arrays: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
     """(id, pos, context, next) for consecutive tokens inside one document."""
-    n = F.size(tokens_col)
-    pairs = F.arrays_zip(F.slice(tokens_col, F.lit(1), n - 1).alias("context"),
-                         F.slice(tokens_col, F.lit(2), n - 1).alias("next"))
-    return (token_arrays.where(n > 1)
-            .select(id_col, F.posexplode(pairs).alias("pos", "p"))
+    m = F.greatest(F.size(tokens_col) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(tokens_col, F.lit(1), m).alias("context"),
+                         F.slice(tokens_col, F.lit(2), m).alias("next"))
+    # outer generator + filter on its output: no inferred filter is pushed
+    # below the input spreading (see tokens.word_tokens)
+    return (token_arrays.select(id_col, F.posexplode_outer(pairs).alias("pos", "p"))
+            .where(F.col("pos").isNotNull())
             .select(id_col, F.col("pos").cast("bigint").alias("pos"),
                     F.col("p.context").alias("context"), F.col("p.next").alias("next")))
 

@@ -21,9 +21,15 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def word_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, pos BIGINT, token): one row per token, positions from 0."""
+    """(id, pos BIGINT, token): one row per token, positions from 0.
+
+    ``posexplode_outer`` + a filter on the generated position: a plain
+    ``posexplode`` makes the optimizer infer ``size(tokens) > 0`` and push it
+    (the whole regex) below any repartition, i.e. evaluate it twice, the first
+    time before the input is spread over the cores."""
     return (tokenize(docs, id_col, text_col)
-            .select(id_col, F.posexplode("tokens").alias("pos", "token"))
+            .select(id_col, F.posexplode_outer("tokens").alias("pos", "token"))
+            .where(F.col("pos").isNotNull())
             .withColumn("pos", F.col("pos").cast("bigint")))
 
 

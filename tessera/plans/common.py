@@ -24,7 +24,7 @@ EXIT_WORDS = ("exit", "quit")
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return load_table(spark, d, "documents").select("doc_id", "text")
+    return load_table(spark, d, "documents", spread=True).select("doc_id", "text")
 
 
 def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -42,7 +42,7 @@ def encoded_docs(spark: SparkSession, d: str, vocab: DataFrame | None = None) ->
 
 
 def en_vocab_special(spark: SparkSession, d: str) -> DataFrame:
-    en = load_table(spark, d, "documents").where(F.col("lang") == "en").select("doc_id", "text")
+    en = load_table(spark, d, "documents", spread=True).where(F.col("lang") == "en").select("doc_id", "text")
     return TK.with_specials(TK.vocabulary(TK.word_tokens(en)))
 
 

@@ -71,5 +71,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_input(df) if spread else df
+
+
+def spread_input(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Make sure heavy per-row work (regex tokenization, byte-pair pieces)
+    runs on every core.  A large scan already has many splits and is left
+    alone; a scan with fewer splits than the cluster's cores (e.g. one
+    oversized row group) is redistributed round-robin (deterministic on
+    recomputation: Spark sorts before a round-robin repartition)."""
+    target = df.sparkSession.sparkContext.defaultParallelism * per_core
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(target)
