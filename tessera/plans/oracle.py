@@ -430,3 +430,27 @@ SQL["stream_until_exit"] = SQL["conversation_until_exit"]
 
 # ---------------------------------------------------------------- byte pairs: the round trip is lossless
 SQL["bpe_decode"] = "SELECT doc_id, text FROM documents"
+
+
+def _positive_zero(sql: str) -> str:
+    """DuckDB's round keeps the sign of a tiny negative (-0.0) where Spark's
+    decimal rounding gives 0.0: add 0.0 after every round(...)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("round")
+        while True:
+            c = sql[k]
+            depth += c == "("
+            depth -= c == ")"
+            k += 1
+            if depth == 0:
+                break
+        out.append(sql[i:j] + "(round" + _positive_zero(sql[j + 5:k]) + " + 0.0)")
+        i = k
+
+
+SQL.update({k: _positive_zero(v) for k, v in SQL.items()})
