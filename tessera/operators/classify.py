@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators.lookup import salted_lookup
+from tessera.session import materialize
 
 MAX_CLASSES = 100_000
 
@@ -38,8 +39,8 @@ def train_naive_bayes(labelled_tokens: DataFrame, labelled_docs: DataFrame, clas
                       alpha: float = 1.0) -> NaiveBayes:
     """``labelled_tokens`` (doc_id, token, class_col), ``labelled_docs``
     (doc_id, class_col).  log p(t|c) = ln((n_ct + a) / (N_c + a|V|))."""
-    counts = labelled_tokens.groupBy(F.col(class_col).alias("class"), "token").agg(
-        F.count(F.lit(1)).alias("n_ct"))
+    counts = materialize(labelled_tokens.groupBy(F.col(class_col).alias("class"), "token").agg(
+        F.count(F.lit(1)).alias("n_ct")))
     stats = counts.agg(F.countDistinct("token").alias("v")).first()
     v = stats["v"] or 0
     per_class = {r["class"]: r["N"] for r in counts.groupBy("class").agg(F.sum("n_ct").alias("N")).collect()}

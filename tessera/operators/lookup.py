@@ -3,7 +3,7 @@
 A token stream is heavily skewed: punctuation and stop words can be a third of
 all rows.  A plain sort-merge join sends every row of such a key to one task.
 Here the dictionary carries a frequency column; its ``heavy`` most frequent keys
-(a table of at most ``heavy`` rows: a proven bound, so it is broadcast) are
+(at most ``heavy`` key hashes: a proven bound, read once to the driver) are
 salted: stream rows of a hot key spread over ``buckets`` salts, and the
 dictionary rows of hot keys are replicated once per salt (at most
 heavy * buckets extra rows).  Any key outside the top ``heavy`` holds at most
@@ -20,25 +20,35 @@ from pyspark.sql import functions as F
 from tessera.session import shuffle_partitions
 
 
+def hot_key_hashes(table: DataFrame, keys: list[str], weight: str, heavy: int) -> list[int]:
+    """64-bit hashes of the ``heavy`` most frequent keys: at most ``heavy``
+    numbers (a proven bound), read once on the driver."""
+    top = (table.select(*keys, weight).orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
+                .select(F.xxhash64(*keys).alias("h")))
+    return [r["h"] for r in top.collect()]
+
+
 def salted_lookup(stream: DataFrame, table: DataFrame, key: str | list[str], salt_cols: list[str],
                   weight: str = "freq", how: str = "left", heavy: int = 256,
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, hot: list[int] | None = None) -> DataFrame:
     """``stream ⋈ table`` on ``key`` (left or inner) with hot keys salted.
 
     ``salt_cols`` identify a stream row (e.g. doc_id, pos); ``weight`` is the
-    key frequency column of ``table`` (dropped from the result)."""
+    key frequency column of ``table`` (dropped from the result).  Both sides
+    decide "hot" with the same predicate on the key hash (a hash collision only
+    salts one more key, which is still correct), so the dictionary appears
+    once in the plan."""
     spark = stream.sparkSession
     s = buckets or shuffle_partitions(spark)
     keys = [key] if isinstance(key, str) else list(key)
-    hot = (table.select(*keys, weight).orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
-                .select(*keys, F.lit(True).alias("_hot")))
-    left = (stream.join(F.broadcast(hot), keys, "left")
-                  .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_cols), F.lit(s)))
-                                        .otherwise(F.lit(0).cast("bigint")))
-                  .drop("_hot"))
-    right = (table.drop(weight).join(F.broadcast(hot), keys, "left")
-                  .withColumn("_salt", F.explode(
-                      F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(s - 1).cast("bigint")))
-                       .otherwise(F.array(F.lit(0).cast("bigint")))))
-                  .drop("_hot"))
+    if hot is None:
+        hot = hot_key_hashes(table, keys, weight, heavy)
+    if not hot or s <= 1:
+        return stream.join(table.drop(weight), keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    left = stream.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*salt_cols), F.lit(s)))
+                                       .otherwise(F.lit(0).cast("bigint")))
+    right = table.drop(weight).withColumn("_salt", F.explode(
+        F.when(is_hot, F.sequence(F.lit(0).cast("bigint"), F.lit(s - 1).cast("bigint")))
+         .otherwise(F.array(F.lit(0).cast("bigint")))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.functions import text as T
-from tessera.operators.lookup import salted_lookup
+from tessera.operators.lookup import hot_key_hashes, salted_lookup
 from tessera.operators.ranking import rank_within_groups
+from tessera.session import materialize
 
 
 def bigrams(token_arrays: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
@@ -82,11 +83,12 @@ def generate_greedy(prompts: DataFrame, counts: DataFrame, fallback: str, steps:
                     id_col: str = "item_id", tokens_col: str = "tokens") -> DataFrame:
     """(id, new_tokens ARRAY<STRING>): ``steps`` greedy steps from the last
     prompt token.  Each step is one salted lookup of (id, last token)."""
-    table = greedy_table(counts)
+    table = materialize(greedy_table(counts))
+    hot = hot_key_hashes(table, ["context"], "freq", 256)
     state = prompts.select(id_col, F.try_element_at(F.col(tokens_col), F.lit(-1)).alias("context"),
                            F.array().cast("array<string>").alias("new_tokens"))
     for _ in range(steps):
-        looked = salted_lookup(state, table, "context", [id_col], how="left")
+        looked = salted_lookup(state, table, "context", [id_col], how="left", hot=hot)
         nxt = F.coalesce(F.col("best"), F.lit(fallback))
         state = looked.select(id_col, nxt.alias("context"),
                               F.concat(F.col("new_tokens"), F.array(nxt)).alias("new_tokens"))
@@ -130,21 +132,23 @@ def ranked_continuations(counts: DataFrame) -> DataFrame:
 
 
 def draw(state: DataFrame, levels: DataFrame, ranked: DataFrame, fallback: str, seed: int,
-         step: int, id_col: str) -> DataFrame:
+         step: int, id_col: str, hot_levels: list[int] | None = None,
+         hot_ranked: list[int] | None = None) -> DataFrame:
     """One inverse-CDF draw per row of ``state`` (id, context, ...): adds
     ``drawn``.  u = seeded uniform of (seed, id, step); the chosen level is the
     first whose cumulative weight reaches u * total; inside the level the
     continuation index is ceil((u*total - before) / w) - 1."""
     u = A.uniform_from_key(F.lit(seed), F.col(id_col), F.lit(step))
     s = state.withColumn("_u", u)
-    cand = salted_lookup(s.select(id_col, "context", "_u"), levels, "context", [id_col], how="inner")
+    cand = salted_lookup(s.select(id_col, "context", "_u"), levels, "context", [id_col], how="inner",
+                         hot=hot_levels)
     target = F.col("_u") * F.col("_total")
     chosen = (cand.where(F.col("_end") >= target)
               .groupBy(id_col).agg(F.min(F.struct("_before", "n", "w", "m", "context", "_u", "_total")).alias("c")))
     j = F.least(F.greatest(F.ceil((F.col("c._u") * F.col("c._total") - F.col("c._before")) / F.col("c.w")) - 1,
                            F.lit(0)), F.col("c.m") - 1).cast("bigint")
     pick = chosen.select(id_col, F.col("c.context").alias("context"), F.col("c.n").alias("n"), j.alias("j"))
-    got = (salted_lookup(pick, ranked, ["context", "n", "j"], [id_col], how="inner")
+    got = (salted_lookup(pick, ranked, ["context", "n", "j"], [id_col], how="inner", hot=hot_ranked)
            .select(id_col, F.col("next").alias("drawn")))
     return (s.drop("_u").join(got, id_col, "left")
             .withColumn("drawn", F.coalesce(F.col("drawn"), F.lit(fallback))))
@@ -156,12 +160,14 @@ def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps
     """(id, new_tokens): ``steps`` sampled steps; a row stops (without
     appending) when it draws ``stop_token``."""
     # reused by every step: materialise once in the reliable checkpoint folder
-    levels = sampling_levels(counts, top_k, temperature).checkpoint(eager=True)
-    ranked = ranked_continuations(counts)
+    levels = materialize(sampling_levels(counts, top_k, temperature))
+    ranked = materialize(ranked_continuations(counts))
+    hot_levels = hot_key_hashes(levels, ["context"], "freq", 256)
+    hot_ranked = hot_key_hashes(ranked, ["context", "n", "j"], "freq", 256)
     state = prompts.select(id_col, F.try_element_at(F.col(tokens_col), F.lit(-1)).alias("context"),
                            F.array().cast("array<string>").alias("new_tokens"), F.lit(False).alias("done"))
     for step in range(steps):
-        d = draw(state, levels, ranked, fallback, seed, step, id_col)
+        d = draw(state, levels, ranked, fallback, seed, step, id_col, hot_levels, hot_ranked)
         stop = F.col("done") | (F.lit(stop_token).isNotNull() & (F.col("drawn") == F.lit(stop_token)))
         state = d.select(id_col,
                          F.when(stop, F.col("context")).otherwise(F.col("drawn")).alias("context"),
@@ -170,7 +176,7 @@ def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps
                          stop.alias("done"))
         # each step reads the previous state twice: cut the lineage so the
         # plan does not double per step (reliable checkpoint, survives loss)
-        state = state.checkpoint(eager=True)
+        state = materialize(state)
     return state.select(id_col, "new_tokens")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays as A
 from tessera.operators.lookup import salted_lookup
 from tessera.operators.ranking import rank_within_groups
+from tessera.session import materialize
 
 
 def standardize(df: DataFrame, vec_col: str, eps: float = 1e-5, scale: float = 1.0,
@@ -80,7 +81,7 @@ def pooled_token_embeddings(tokens: DataFrame, vectors: DataFrame, id_col: str =
     uses = tokens.select(
         id_col, F.explode(F.array(F.pmod(F.col("token_id"), F.lit(n_vec)),
                                   F.pmod(F.col("pos"), F.lit(n_vec)))).alias(vec_id_col))
-    counted = uses.groupBy(id_col, vec_id_col).agg(F.count(F.lit(1)).alias("_c"))
+    counted = materialize(uses.groupBy(id_col, vec_id_col).agg(F.count(F.lit(1)).alias("_c")))
     weight = counted.groupBy(vec_id_col).agg(F.count(F.lit(1)).alias("freq"))
     table = vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v")).join(weight, vec_id_col, "left")
     table = table.fillna(0, ["freq"])

@@ -11,7 +11,7 @@ from tessera.operators import tokens as TK
 from tessera.operators.sampling import char_split, three_way_split
 from tessera.plans import common as C
 from tessera.plans.registry import query
-from tessera.session import load_table, scratch_path
+from tessera.session import load_table, materialize, scratch_path
 
 GEN_STEPS, GEN_TOP_K, GEN_TEMPERATURE = 5, 25, 1.4
 
@@ -83,16 +83,19 @@ def training_trace(spark, d):
 
 # ---------------------------------------------------------------- bigram LM
 def lm_parts(spark, d):
-    """Training / held-out token arrays from the 90/10 character split."""
+    """Training / held-out token arrays from the 90/10 character split,
+    tokenized in one pass and materialised (several jobs read them)."""
     sp = char_split(C.docs(spark, d), "text", 0.9)
-    train = TK.tokenize(sp.select("doc_id", F.col("train_text").alias("text")))
-    held = TK.tokenize(sp.select("doc_id", F.col("val_text").alias("text")))
-    return train, held
+    both = materialize(sp.select("doc_id", T.word_tokens("train_text").alias("train"),
+                                 T.word_tokens("val_text").alias("held")))
+    return (both.select("doc_id", F.col("train").alias("tokens")),
+            both.select("doc_id", F.col("held").alias("tokens")))
 
 
-def lm_counts(spark, d):
-    train, _ = lm_parts(spark, d)
-    return NG.bigram_counts(NG.bigrams(train, "doc_id")), train
+def lm_counts(spark, d, parts=None):
+    train, held = parts or lm_parts(spark, d)
+    # read by several lookups and aggregates: materialise once
+    return materialize(NG.bigram_counts(NG.bigrams(train, "doc_id"))), train
 
 
 @query("ngram_counts")
@@ -102,9 +105,10 @@ def ngram_counts(spark, d):
 
 
 def _doc_losses(spark, d):
-    counts, train = lm_counts(spark, d)
+    parts = lm_parts(spark, d)
+    counts, train = lm_counts(spark, d, parts)
     vocab_size = train.select(F.explode("tokens").alias("t")).distinct().count() + 1  # + <|unk|>
-    _, held = lm_parts(spark, d)
+    held = parts[1]
     nll = NG.nll_per_target(NG.bigrams(held, "doc_id"), counts, vocab_size, "doc_id")
     return NG.per_document_loss(nll, "doc_id")
 

@@ -67,6 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the reliable checkpoint folder and read it from
+    there: for tables several branches of a plan consume (Spark does not share
+    their computation otherwise), and to cut lineage.  Survives executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
