@@ -123,4 +123,10 @@ def prepare_for_scoring(spark, d):
     return SQ.prepare_for_scoring(enc, C.SCORE_LENGTH, C.SCORE_CONTEXT).select("doc_id", C.ids_str())
 
 
-__all__ = ["T"]
+
+@query("corpus_preview")
+def corpus_preview(spark, d):
+    """First-N preview per document: 99 characters and the first 30 word tokens."""
+    docs = C.docs(spark, d)
+    return docs.select("doc_id", F.substring("text", 1, 99).alias("head_text"),
+                       F.array_join(F.slice(T.word_tokens("text"), 1, 30), " ").alias("head_tokens"))

@@ -432,6 +432,17 @@ SQL["stream_until_exit"] = SQL["conversation_until_exit"]
 SQL["bpe_decode"] = "SELECT doc_id, text FROM documents"
 
 
+SQL["corpus_preview"] = f"""WITH {tok('t', 'documents', 'doc_id')}
+SELECT d.doc_id, substring(d.text, 1, 99) AS head_text, array_to_string(s.toks[1:30], ' ') AS head_tokens
+FROM documents d JOIN t_s s ON s.id = d.doc_id"""
+
+SQL["eval_first_batches"] = f"""WITH {_EMB},
+a AS (SELECT split, avg(CASE WHEN predicted = label THEN 1.0 ELSE 0.0 END) AS accuracy FROM kb
+      WHERE batch_id < 10 GROUP BY split),
+l AS (SELECT split, avg(b) AS loss FROM (SELECT split, batch_id, avg(nll) AS b FROM kb WHERE batch_id < 5
+      GROUP BY split, batch_id) GROUP BY split)
+SELECT a.split, round(a.accuracy, 6) AS accuracy, round(l.loss, 6) AS loss FROM a JOIN l USING (split)"""
+
 def _positive_zero(sql: str) -> str:
     """DuckDB's round keeps the sign of a tiny negative (-0.0) where Spark's
     decimal rounding gives 0.0: add 0.0 after every round(...)."""

@@ -90,6 +90,17 @@ def split_report(spark, d):
                                            _r6(F.col("loss")).alias("loss"))
 
 
+@query("eval_first_batches")
+def eval_first_batches(spark, d):
+    """The quick evaluation: accuracy over the first 10 batches and loss over
+    the first 5 batches of each split (fewer if a split has fewer)."""
+    b, _ = loader_batches(spark, d)
+    acc = M.accuracy_by(b, ["split"], num_batches=10).select("split", "accuracy")
+    loss = M.loss_by(b, ["split"], num_batches=5).select("split", "loss")
+    return acc.join(loss, "split").select("split", _r6(F.col("accuracy")).alias("accuracy"),
+                                          _r6(F.col("loss")).alias("loss"))
+
+
 @query("examples_seen")
 def examples_seen(spark, d):
     b, _ = loader_batches(spark, d)
