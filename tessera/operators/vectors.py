@@ -4,6 +4,8 @@ learned projections)."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,9 +88,9 @@ def pooled_token_embeddings(tokens: DataFrame, vectors: DataFrame, id_col: str =
     table = vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v")).join(weight, vec_id_col, "left")
     table = table.fillna(0, ["freq"])
     looked = salted_lookup(counted, table, vec_id_col, [id_col, vec_id_col], how="inner")
-    scaled = looked.select(id_col, "_c", A.scale(F.col("_v"), F.col("_c").cast("double")).alias("_sv"))
-    per_doc = scaled.groupBy(id_col).agg(F.collect_list("_sv").alias("_l"), F.sum("_c").alias("_n"))
-    zero = F.transform(F.element_at(F.col("_l"), 1), lambda x: F.lit(0.0).cast("double"))
-    total = F.aggregate("_l", zero, lambda acc, v: A.add(acc, v))
-    # each token contributes two vectors (token + position); divide by tokens
-    return per_doc.select(id_col, A.scale(total, F.lit(2.0) / F.col("_n").cast("double")).alias("vec"))
+    # weighted mean with a mutable JVM buffer (no per-row array allocation)
+    per_doc = (looked.select(id_col, array_to_vector("_v").alias("_vv"), F.col("_c").cast("double").alias("_w"))
+               .groupBy(id_col).agg(Summarizer.mean(F.col("_vv"), F.col("_w")).alias("_m")))
+    # each token contributes two vectors (token + position): mean over tokens
+    # = 2 x mean over uses
+    return per_doc.select(id_col, A.scale(vector_to_array("_m"), 2.0).alias("vec"))
