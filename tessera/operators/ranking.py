@@ -62,3 +62,32 @@ def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
     return (ranked.join(starts, group_cols)
                   .withColumn(rank_col, F.col("_g") - F.col("_start"))
                   .drop("_g", "_start"))
+
+
+def running_total(df: DataFrame, group_cols: list[str], order_cols: list, value_col: str,
+                  out_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Exclusive running sum of ``value_col`` inside each group, in the order
+    of ``order_cols`` (which must identify rows within a group).
+
+    Same shape as :func:`global_rank`: range-partition on (group, order) and fix
+    the partitions in the checkpoint folder; a group may span many partitions,
+    so a few (or one hot) group never becomes one task.  Per (partition, group)
+    totals form a table of at most partitions + groups rows; their running sum
+    per group gives each piece's base, and the in-piece running sum is a
+    window over one range partition's piece (balanced by the range sampler)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or shuffle_partitions(spark)
+    keys = [*group_cols, *order_cols]
+    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    tagged = fixed.withColumn("_part", F.spark_partition_id())
+    totals = tagged.groupBy("_part", *group_cols).agg(F.sum(value_col).alias("_t"))
+    before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("_part", *group_cols,
+                          F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"))
+    inner = (Window.partitionBy("_part", *group_cols).orderBy(*order_cols)
+             .rowsBetween(Window.unboundedPreceding, -1))
+    within = tagged.withColumn("_in", F.coalesce(F.sum(value_col).over(inner), F.lit(0)))
+    return (within.join(bases, ["_part", *group_cols])
+            .withColumn(out_col, F.col("_base") + F.col("_in"))
+            .drop("_part", "_base", "_in"))

@@ -6,10 +6,11 @@ except ``pack_documents``, which needs a running offset inside a shard.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.operators.ranking import running_total
 from tessera.operators.tokens import gather
 
 
@@ -72,15 +73,15 @@ def pack_documents(encoded: DataFrame, length: int, separator_id: int, shards: i
                    shard_expr=None) -> DataFrame:
     """Concatenate documents (each followed by ``separator_id``) inside a shard
     in id order and cut the stream into blocks of ``length`` ids; the last block
-    of a shard may be short.  Blocks never cross shards, so the running offset
-    is a window per shard over (doc_id, size) rows only, never over tokens.
+    of a shard may be short.  Blocks never cross shards.  The running offset is
+    a distributed running total over (doc_id, size) rows only — never over
+    tokens, and never one task per shard.
     Output (shard, block, ids ARRAY<BIGINT>); gather groups hold <= length ids."""
     shard = shard_expr if shard_expr is not None else F.pmod(F.xxhash64(id_col), F.lit(shards))
     seq = encoded.select(id_col, shard.cast("bigint").alias("shard"),
                          F.concat(F.col(ids_col), F.array(F.lit(separator_id).cast("bigint"))).alias("_seq"))
     sizes = seq.select(id_col, "shard", F.size("_seq").cast("bigint").alias("_n"))
-    w = Window.partitionBy("shard").orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(id_col, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = running_total(sizes, ["shard"], [id_col], "_n", "_off").select(id_col, "_off")
     flat = (seq.join(offsets, id_col)
             .select("shard", "_off", F.posexplode("_seq").alias("pos", "token_id"))
             .withColumn("_g", F.col("_off") + F.col("pos"))

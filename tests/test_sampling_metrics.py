@@ -103,3 +103,15 @@ def test_standardize(spark):
     out = df.select(A.standardize(F.col("v"))).first()[0]
     mean, var = 2.5, 1.25
     assert all(abs(o - (x - mean) / math.sqrt(var + 1e-5)) < 1e-12 for o, x in zip(out, [1, 2, 3, 4]))
+
+
+def test_running_total_across_partitions(spark):
+    from tessera.operators.ranking import running_total
+    rows = [(i, 0 if i % 7 else 1, (i * 13) % 5) for i in range(400)]  # group 0 is hot
+    df = spark.createDataFrame(rows, "row_id BIGINT, g INT, v BIGINT")
+    got = {r.row_id: r.off for r in running_total(df, ["g"], ["row_id"], "v", "off", num_partitions=5).collect()}
+    acc, expect = {0: 0, 1: 0}, {}
+    for rid, g, v in rows:
+        expect[rid] = acc[g]
+        acc[g] += v
+    assert got == expect
