@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     system); it is used as given.  Only when nothing is configured (local runs,
     tests) do we create a private scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (a remote session: the server owns the folder)
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -90,7 +93,11 @@ def spread_input(df: DataFrame, per_core: int = 2) -> DataFrame:
     alone; a scan with fewer splits than the cluster's cores (e.g. one
     oversized row group) is redistributed round-robin (deterministic on
     recomputation: Spark sorts before a round-robin repartition)."""
-    target = df.sparkSession.sparkContext.defaultParallelism * per_core
-    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001  (a remote session: leave the scan as is)
         return df
-    return df.repartition(target)
+    if splits >= cores:
+        return df
+    return df.repartition(cores * per_core)
