@@ -46,14 +46,20 @@ def pretokens(text: F.Column) -> F.Column:
     return F.regexp_extract_all(text, F.lit(PRETOKEN_PATTERN), 0)
 
 
-def build_ranks(spark: SparkSession, docs: DataFrame, text_col: str = "text", pieces: int = 2048,
-                max_piece_bytes: int = 16) -> BpeModel:
-    counted = (docs.select(F.explode_outer(pretokens(F.col(text_col))).alias("piece"))
-               .where(F.col("piece").isNotNull())
-               .groupBy("piece").agg(F.count(F.lit(1)).alias("n")))
+def piece_counts(docs: DataFrame, text_col: str = "text", special: str = "allow") -> DataFrame:
+    """(piece, freq) over a corpus: partial/final aggregation of the pre-token
+    pieces.  Building a rank table and counting ids both start from it."""
+    rows = piece_rows(docs.select(F.lit(0).alias("_rid"), text_col), "_rid", text_col, special)
+    return rows.groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
+
+
+def build_ranks(spark: SparkSession, docs: DataFrame | None = None, text_col: str = "text",
+                pieces: int = 2048, max_piece_bytes: int = 16,
+                counts: DataFrame | None = None) -> BpeModel:
+    counted = counts if counts is not None else piece_counts(docs, text_col, "text")
     nbytes = F.octet_length("piece")
-    top = (counted.where((nbytes >= 2) & (nbytes <= max_piece_bytes))
-           .orderBy(F.desc("n"), F.asc("piece")).limit(pieces))
+    top = (counted.where((nbytes >= 2) & (nbytes <= max_piece_bytes) & (F.col("piece") != T.END_OF_TEXT))
+           .orderBy(F.desc("freq"), F.asc("piece")).limit(pieces))
     hexed = top.select(F.hex(F.encode("piece", "UTF-8")).alias("h"))
     prefixes = (hexed.select(F.explode(F.transform(F.sequence(F.lit(2), (F.length("h") / 2).cast("int")),
                                                     lambda i: F.substring(F.col("h"), F.lit(1), i * 2))).alias("p"))
@@ -121,17 +127,18 @@ def piece_rows(docs: DataFrame, id_col: str, text_col: str, special: str = "allo
     return body.unionByName(marks)
 
 
-def encode_distinct(pieces: DataFrame, model: BpeModel) -> DataFrame:
+def encode_distinct(pieces: DataFrame, model: BpeModel, counted: DataFrame | None = None) -> DataFrame:
     """(piece, ids, freq) — one Python call per distinct piece."""
-    distinct = pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
+    distinct = counted if counted is not None else pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
     return distinct.select("piece", _piece_encoder(model)(F.col("piece")).alias("ids"), "freq")
 
 
 def encode(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: str = "text",
-           special: str = "allow") -> DataFrame:
-    """(id, ids ARRAY<INT>) in text order."""
+           special: str = "allow", counts: DataFrame | None = None) -> DataFrame:
+    """(id, ids ARRAY<INT>) in text order.  ``counts`` = precomputed
+    ``piece_counts`` of the same documents and mode (saves a regex pass)."""
     rows = piece_rows(docs, id_col, text_col, special)
-    coded = encode_distinct(rows, model)
+    coded = encode_distinct(rows, model, counts)
     looked = salted_lookup(rows, coded, "piece", [id_col, "seg", "pos"], how="left")
     flat = looked.select(id_col, "seg", "pos", F.posexplode("ids").alias("sub", "token_id"))
     g = (flat.groupBy(id_col)
@@ -141,12 +148,12 @@ def encode(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: s
             .withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<int>"))))
 
 
-def token_counts(docs: DataFrame, model: BpeModel, text_col: str = "text",
-                 special: str = "allow") -> DataFrame:
+def token_counts(docs: DataFrame | None, model: BpeModel, text_col: str = "text",
+                 special: str = "allow", counts: DataFrame | None = None) -> DataFrame:
     """(token_id, n) over a whole corpus without building per-document arrays:
     piece counts x piece ids, summed per id (partial/final aggregation)."""
-    rows = piece_rows(docs.withColumn("_rid", F.lit(0)), "_rid", text_col, special)
-    coded = encode_distinct(rows, model)
+    counted = counts if counts is not None else piece_counts(docs, text_col, special)
+    coded = encode_distinct(None, model, counted)
     return (coded.select(F.explode("ids").alias("token_id"), "freq")
             .groupBy("token_id").agg(F.sum("freq").alias("n")))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tessera.operators import bpe as B
 from tessera.plans import common as C
 from tessera.plans.registry import query
+from tessera.session import materialize
 
 
 def corpus_model(spark, d):
@@ -13,10 +14,13 @@ def corpus_model(spark, d):
 
 @query("bpe_token_counts")
 def bpe_token_counts(spark, d):
-    return B.token_counts(C.docs(spark, d), corpus_model(spark, d))
+    # one pass of the pre-token split feeds both the rank table and the counts
+    counts = materialize(B.piece_counts(C.docs(spark, d)))
+    return B.token_counts(None, B.build_ranks(spark, counts=counts), counts=counts)
 
 
 @query("bpe_decode")
 def bpe_decode(spark, d):
-    model = corpus_model(spark, d)
-    return B.decode(B.encode(C.docs(spark, d), model), model)
+    counts = materialize(B.piece_counts(C.docs(spark, d)))
+    model = B.build_ranks(spark, counts=counts)
+    return B.decode(B.encode(C.docs(spark, d), model, counts=counts), model)
