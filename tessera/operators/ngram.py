@@ -134,24 +134,27 @@ def ranked_continuations(counts: DataFrame) -> DataFrame:
 def draw(state: DataFrame, levels: DataFrame, ranked: DataFrame, fallback: str, seed: int,
          step: int, id_col: str, hot_levels: list[int] | None = None,
          hot_ranked: list[int] | None = None) -> DataFrame:
-    """One inverse-CDF draw per row of ``state`` (id, context, ...): adds
-    ``drawn``.  u = seeded uniform of (seed, id, step); the chosen level is the
-    first whose cumulative weight reaches u * total; inside the level the
-    continuation index is ceil((u*total - before) / w) - 1."""
+    """One inverse-CDF draw per row of ``state`` (id, context, new_tokens,
+    done): adds ``drawn``.  u = seeded uniform of (seed, id, step); the chosen
+    level is the first whose cumulative weight reaches u * total; inside the
+    level the continuation index is ceil((u*total - before) / w) - 1.
+
+    The state is read once (left joins carry it forward), so chaining steps
+    grows the plan linearly; a context without levels draws ``fallback``."""
     u = A.uniform_from_key(F.lit(seed), F.col(id_col), F.lit(step))
     s = state.withColumn("_u", u)
-    cand = salted_lookup(s.select(id_col, "context", "_u"), levels, "context", [id_col], how="inner",
-                         hot=hot_levels)
-    target = F.col("_u") * F.col("_total")
-    chosen = (cand.where(F.col("_end") >= target)
-              .groupBy(id_col).agg(F.min(F.struct("_before", "n", "w", "m", "context", "_u", "_total")).alias("c")))
+    cand = salted_lookup(s, levels, "context", [id_col], how="left", hot=hot_levels)
+    reached = F.col("_end") >= F.col("_u") * F.col("_total")
+    level = F.struct("_before", "n", "w", "m", "_u", "_total")
+    chosen = cand.groupBy(id_col).agg(
+        F.first("context").alias("context"), F.first("new_tokens").alias("new_tokens"),
+        F.first("done").alias("done"), F.min(F.when(reached, level)).alias("c"))
     j = F.least(F.greatest(F.ceil((F.col("c._u") * F.col("c._total") - F.col("c._before")) / F.col("c.w")) - 1,
                            F.lit(0)), F.col("c.m") - 1).cast("bigint")
-    pick = chosen.select(id_col, F.col("c.context").alias("context"), F.col("c.n").alias("n"), j.alias("j"))
-    got = (salted_lookup(pick, ranked, ["context", "n", "j"], [id_col], how="inner", hot=hot_ranked)
-           .select(id_col, F.col("next").alias("drawn")))
-    return (s.drop("_u").join(got, id_col, "left")
-            .withColumn("drawn", F.coalesce(F.col("drawn"), F.lit(fallback))))
+    pick = chosen.select(id_col, "context", "new_tokens", "done", F.col("c.n").alias("n"), j.alias("j"))
+    got = salted_lookup(pick, ranked, ["context", "n", "j"], [id_col], how="left", hot=hot_ranked)
+    return got.select(id_col, "context", "new_tokens", "done",
+                      F.coalesce(F.col("next"), F.lit(fallback)).alias("drawn"))
 
 
 def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps: int, top_k: int,
@@ -174,9 +177,6 @@ def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps
                          F.when(stop, F.col("new_tokens"))
                           .otherwise(F.concat(F.col("new_tokens"), F.array(F.col("drawn")))).alias("new_tokens"),
                          stop.alias("done"))
-        # each step reads the previous state twice: cut the lineage so the
-        # plan does not double per step (reliable checkpoint, survives loss)
-        state = materialize(state)
     return state.select(id_col, "new_tokens")
 
 
