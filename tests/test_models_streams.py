@@ -115,3 +115,54 @@ def test_label_tsv_reader(spark, tmp_path):
 def test_class_name_rule(spark):
     df = spark.createDataFrame([(1,), (0,), (2,)], "predicted INT")
     assert [r[0] for r in df.select(CL.class_name()).collect()] == ["spam", "not spam", "not spam"]
+
+
+def _lr_fixture(spark):
+    rows = [(i, f"cheap pills offer {i}" if i % 2 else f"see you at lunch {i}", i % 2) for i in range(40)]
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, label INT")
+
+
+def test_model_roundtrip_and_trace(spark):
+    data = _lr_fixture(spark)
+    model = CL.fit_linear_head(data, max_iter=15, num_features=1 << 10)
+    path = scratch_path(spark, "lr")
+    CL.save_model(model, path)
+    a = {r.doc_id: r.predicted for r in CL.score_linear_head(model, data).collect()}
+    b = {r.doc_id: r.predicted for r in CL.score_linear_head(CL.load_model(path), data).collect()}
+    assert a == b and set(a.values()) == {0, 1}
+    assert sum(a[i] == i % 2 for i in a) >= 38  # separable fixture
+    trace = CL.objective_trace(model)
+    assert 1 <= len(trace) <= 16 and trace[-1] <= trace[0]
+
+
+def test_stream_score_equals_batch(spark):
+    data = _lr_fixture(spark)
+    model = CL.fit_linear_head(data, max_iter=15, num_features=1 << 10)
+    path = scratch_path(spark, "lr-stream")
+    CL.save_model(model, path)
+    msgs = spark.createDataFrame([(1, t, "user", x) for t, x in enumerate(
+        ["cheap pills", "lunch at noon?", "exit", "offer offer", "Quit", "see you"])], SS.CONVERSATION_SCHEMA)
+    src = scratch_path(spark, "msgs")
+    msgs.write.parquet(src)
+    stream = SS.read_message_stream(spark, src, SS.CONVERSATION_SCHEMA)
+    scored = SS.score_messages(stream, CL.load_model(path), ("exit", "quit"), ["conv_id", "turn"])
+    sink = scratch_path(spark, "scored")
+    SS.run_to_parquet(scored, sink, scratch_path(spark, "scored-ck"))
+    got = {r.turn: (r.predicted, r.verdict) for r in spark.read.parquet(sink).collect()}
+    batch = CL.score_linear_head(model, msgs.where(~F.lower("text").isin("exit", "quit"))
+                                 .withColumnRenamed("turn", "doc_id"))
+    want = {r.doc_id: (r.predicted, "spam" if r.predicted == 1 else "not spam") for r in batch.collect()}
+    assert got == want and 2 not in got and 4 not in got  # exit words are not scored
+
+
+def test_bpe_counts_equal_brute_force(spark):
+    import tiktoken
+    texts = ["the cat and the hat", "the end. <|endoftext|> the start", "ünïcödé the"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
+    model = B.build_ranks(spark, df, pieces=16)
+    lib = tiktoken.Encoding(name="t2", pat_str=B.TIKTOKEN_PATTERN, mergeable_ranks=dict(model.broadcast.value),
+                            special_tokens={"<|endoftext|>": model.special_id})
+    from collections import Counter
+    want = Counter(i for t in texts for i in lib.encode(t, allowed_special={"<|endoftext|>"}))
+    got = {r.token_id: r.n for r in B.token_counts(df, model).collect()}
+    assert got == dict(want)
