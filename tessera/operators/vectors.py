@@ -70,20 +70,28 @@ def soft_history(df: DataFrame, group_col: str, order_col: str, vec_col: str, wi
     return grouped.select(F.col("_qid").alias(order_col), out.alias("vec"))
 
 
-def pooled_token_embeddings(tokens: DataFrame, vectors: DataFrame, id_col: str = "doc_id",
+def pooled_token_embeddings(token_counts: DataFrame, lengths: DataFrame, vectors: DataFrame,
+                            id_col: str = "doc_id",
                             vec_id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Mean over a document's tokens of token vector + position vector, where
     the token vector is row ``token_id mod n`` and the position vector row
     ``pos mod n`` of the vector table (n rows, ids 0..n-1).
 
-    Rows are first pre-aggregated to (doc, vector row, count) — a document
-    repeats its hot tokens and its position cycle — so the lookup sees each
-    pair once; the lookup is salted on vector rows used by many documents."""
+    Input: (doc, token_id, c) — occurrences of each token id in a document,
+    already pre-aggregated — and (doc, _len) token counts per document.  The position part depends only on the document
+    length L: position row v (< min(L, n)) is used floor((L - 1 - v) / n) + 1
+    times, generated per document without exploding positions.  Rows become
+    (doc, vector row, count) before the lookup, which is salted on vector rows
+    used by many documents."""
     n_vec = vectors.count()  # scalar
-    uses = tokens.select(
-        id_col, F.explode(F.array(F.pmod(F.col("token_id"), F.lit(n_vec)),
-                                  F.pmod(F.col("pos"), F.lit(n_vec)))).alias(vec_id_col))
-    counted = materialize(uses.groupBy(id_col, vec_id_col).agg(F.count(F.lit(1)).alias("_c")))
+    tok_uses = token_counts.select(id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias(vec_id_col),
+                                   F.col("c").alias("_c"))
+    pos_uses = (lengths.select(id_col, "_len", F.explode(F.sequence(
+                    F.lit(0).cast("bigint"), F.least(F.col("_len"), F.lit(n_vec)) - 1)).alias(vec_id_col))
+                .select(id_col, vec_id_col,
+                        (F.floor((F.col("_len") - 1 - F.col(vec_id_col)) / F.lit(n_vec)) + 1).alias("_c")))
+    counted = materialize(tok_uses.unionByName(pos_uses)
+                          .groupBy(id_col, vec_id_col).agg(F.sum("_c").alias("_c")))
     weight = counted.groupBy(vec_id_col).agg(F.count(F.lit(1)).alias("freq"))
     table = vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v")).join(weight, vec_id_col, "left")
     table = table.fillna(0, ["freq"])

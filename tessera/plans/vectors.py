@@ -10,6 +10,7 @@ from tessera.operators import vectors as V
 from tessera.operators.conversations import until_exit
 from tessera.operators.ranking import rank_within_groups
 from tessera.operators.sampling import shuffle_key, three_way_split
+from tessera.operators import tokens as TK
 from tessera.operators.tokens import encode_long
 from tessera.plans import common as C
 from tessera.plans.registry import query
@@ -158,8 +159,13 @@ def soft_history_heads(spark, d):
 @query("embed_tokens")
 def embed_tokens(spark, d):
     vocab = C.doc_vocab(spark, d)
-    toks = encode_long(C.doc_tokens(spark, d), vocab)
-    pooled = V.pooled_token_embeddings(toks, load_table(spark, d, "embeddings"))
+    arrays = TK.tokenize(C.docs(spark, d))
+    lengths = arrays.select("doc_id", F.size("tokens").cast("bigint").alias("_len")).where(F.col("_len") > 0)
+    # occurrences per (doc, token) first, so the vocabulary lookup sees each pair once
+    pairs = (TK.word_tokens(C.docs(spark, d)).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("c"))
+             .withColumn("pos", F.lit(0).cast("bigint")))
+    ids = encode_long(pairs, vocab).select("doc_id", "token_id", "c")
+    pooled = V.pooled_token_embeddings(ids, lengths, load_table(spark, d, "embeddings"))
     return _vec_rows(pooled, "doc_id")
 
 
