@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.operators.lookup import salted_lookup
-from tessera.operators.ranking import rank_within_groups
+from tessera.operators.ranking import rank_within_groups, running_total
 from tessera.session import materialize
 
 
@@ -77,28 +77,43 @@ def pooled_token_embeddings(token_counts: DataFrame, lengths: DataFrame, vectors
     the token vector is row ``token_id mod n`` and the position vector row
     ``pos mod n`` of the vector table (n rows, ids 0..n-1).
 
-    Input: (doc, token_id, c) — occurrences of each token id in a document,
-    already pre-aggregated — and (doc, _len) token counts per document.  The position part depends only on the document
-    length L: position row v (< min(L, n)) is used floor((L - 1 - v) / n) + 1
-    times, generated per document without exploding positions.  Rows become
-    (doc, vector row, count) before the lookup, which is salted on vector rows
-    used by many documents."""
+    Inputs: (doc, token_id, c) — occurrences of each token id in a document,
+    pre-aggregated — and (doc, _len) tokens per document.
+
+    * token part: (doc, vector row, count) rows, looked up (salted on vector
+      rows used by many documents), weighted mean per document with a mutable
+      JVM buffer (``Summarizer``);
+    * position part: depends only on L.  With q = L div n and r = L mod n,
+      sum over p < L of row (p mod n) = q * (sum of all rows) + prefix(r), where
+      prefix(r) = sum of rows with id < r: one lookup per document into a table
+      of n prefix vectors (a distributed running total per dimension)."""
     n_vec = vectors.count()  # scalar
-    tok_uses = token_counts.select(id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias(vec_id_col),
-                                   F.col("c").alias("_c"))
-    pos_uses = (lengths.select(id_col, "_len", F.explode(F.sequence(
-                    F.lit(0).cast("bigint"), F.least(F.col("_len"), F.lit(n_vec)) - 1)).alias(vec_id_col))
-                .select(id_col, vec_id_col,
-                        (F.floor((F.col("_len") - 1 - F.col(vec_id_col)) / F.lit(n_vec)) + 1).alias("_c")))
-    counted = materialize(tok_uses.unionByName(pos_uses)
-                          .groupBy(id_col, vec_id_col).agg(F.sum("_c").alias("_c")))
-    weight = counted.groupBy(vec_id_col).agg(F.count(F.lit(1)).alias("freq"))
-    table = vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v")).join(weight, vec_id_col, "left")
-    table = table.fillna(0, ["freq"])
-    looked = salted_lookup(counted, table, vec_id_col, [id_col, vec_id_col], how="inner")
-    # weighted mean with a mutable JVM buffer (no per-row array allocation)
-    per_doc = (looked.select(id_col, array_to_vector("_v").alias("_vv"), F.col("_c").cast("double").alias("_w"))
-               .groupBy(id_col).agg(Summarizer.mean(F.col("_vv"), F.col("_w")).alias("_m")))
-    # each token contributes two vectors (token + position): mean over tokens
-    # = 2 x mean over uses
-    return per_doc.select(id_col, A.scale(vector_to_array("_m"), 2.0).alias("vec"))
+    vecs = vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v"))
+    # token part
+    tok = (token_counts.select(id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias(vec_id_col),
+                               F.col("c").alias("_c"))
+           .groupBy(id_col, vec_id_col).agg(F.sum("_c").alias("_c")))
+    tok = materialize(tok)
+    weight = tok.groupBy(vec_id_col).agg(F.count(F.lit(1)).alias("freq"))
+    table = vecs.join(weight, vec_id_col, "left").fillna(0, ["freq"])
+    looked = salted_lookup(tok, table, vec_id_col, [id_col, vec_id_col], how="inner")
+    tok_mean = (looked.select(id_col, array_to_vector("_v").alias("_vv"), F.col("_c").cast("double").alias("_w"))
+                .groupBy(id_col).agg(Summarizer.mean(F.col("_vv"), F.col("_w")).alias("_m"),
+                                     F.sum("_w").alias("_tw")))
+    # position part: per-dimension exclusive running sums over vector ids
+    dims = vecs.select(vec_id_col, F.posexplode("_v").alias("_d", "_x"))
+    pref = running_total(dims, ["_d"], [vec_id_col], "_x", "_p")
+    prefix = (pref.groupBy(vec_id_col).agg(F.sort_array(F.collect_list(F.struct("_d", "_p"))).alias("_s"))
+              .select(F.col(vec_id_col).alias("_r"), F.transform("_s", lambda x: x["_p"].cast("double")).alias("_pv")))
+    total = [float(x) for x in  # one vector of the table's width (a model-sized value)
+             dims.groupBy("_d").agg(F.sum("_x").alias("t")).orderBy("_d").select("t").toPandas()["t"]]
+    docs = lengths.select(id_col, "_len", F.floor(F.col("_len") / F.lit(n_vec)).alias("_q"),
+                          F.pmod(F.col("_len"), F.lit(n_vec)).alias("_r"))
+    r_weight = docs.groupBy("_r").agg(F.count(F.lit(1)).alias("freq"))
+    prefix = prefix.join(r_weight, "_r", "left").fillna(0, ["freq"])
+    pos = salted_lookup(docs, prefix, "_r", [id_col], how="inner")
+    pos_sum = F.zip_with(F.col("_pv"), F.lit(total), lambda p, t: p + F.col("_q").cast("double") * t)
+    both = pos.select(id_col, "_len", pos_sum.alias("_ps")).join(tok_mean, id_col)
+    tok_sum = A.scale(vector_to_array("_m"), F.col("_tw"))
+    mean = F.zip_with(tok_sum, F.col("_ps"), lambda a, b: (a + b) / F.col("_len").cast("double"))
+    return both.select(id_col, mean.alias("vec"))
