@@ -88,7 +88,7 @@ def class_name(pred_col: str = "predicted") -> F.Column:
     return F.when(F.col(pred_col) == 1, "spam").otherwise("not spam")
 
 
-def linear_head_pipeline(num_features: int = 1 << 18, max_iter: int = 50, reg: float = 0.01,
+def linear_head_estimator(num_features: int = 1 << 18, max_iter: int = 50, reg: float = 0.01,
                          label_col: str = "label") -> Pipeline:
     """Frozen features (hashed term frequencies of word tokens, IDF) + a trained
     linear head (logistic regression, distributed tree aggregation)."""
@@ -105,7 +105,7 @@ def with_tokens(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def fit_linear_head(train: DataFrame, label_col: str = "label", **kw) -> PipelineModel:
     data = with_tokens(train).withColumn(label_col, F.col(label_col).cast("double"))
-    return linear_head_pipeline(label_col=label_col, **kw).fit(data)
+    return linear_head_estimator(label_col=label_col, **kw).fit(data)
 
 
 def score_linear_head(model: PipelineModel, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
