@@ -1,5 +1,7 @@
 """Driver contract, oracle agreement on the smallest tables, plan shape."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -112,3 +114,22 @@ def test_salted_lookup_equals_plain_join(spark):
     assert sorted(map(tuple, got.select("row_id", "key", "val").collect())) == \
         sorted(map(tuple, plain.select("row_id", "key", "val").collect()))
     assert got.where(F.col("key") == "hot").count() == 2000
+
+
+AUDITED = ["word_tokens", "vocab", "token_windows", "pack_documents", "balanced_sample", "three_way_split",
+           "soft_history", "nb_classify", "lm_loss", "corpus_stats", "generate_greedy", "embed_tokens"]
+
+
+@pytest.mark.parametrize("name", AUDITED)
+def test_single_partition_exchanges_only_over_aggregates(spark, name):
+    """No data-sized input is funnelled into one task: a single-partition
+    exchange may only sit on an aggregate (per-partition counts, partial
+    aggregates of a global result)."""
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = next(ln for ln in lines[i + 1:] if "+-" in ln).split("+-", 1)[1].strip()
+            child = re.sub(r"^\*\(\d+\)\s*", "", child)  # whole-stage codegen marker
+            assert child.startswith(("HashAggregate", "ObjectHashAggregate", "SortAggregate")), (name, child)
