@@ -96,3 +96,15 @@ def test_java_space_class_equals_python_isspace(spark):
     df = spark.createDataFrame([(c, chr(c)) for c in points], "cp INT, ch STRING")
     got = {r.cp for r in df.where(F.col("ch").rlike(T.JAVA_SPACE)).select("cp").collect()}
     assert got == {c for c in points if chr(c).isspace()}
+
+
+def test_null_and_empty_texts(spark):
+    from tessera.operators import sequences as SQ
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b, c"), (4, "   ")], "doc_id BIGINT, text STRING")
+    stats = TK.corpus_stats(df).first()
+    assert (stats.n_docs, stats.n_chars, stats.n_tokens, stats.vocab_size) == (4, 9, 4, 4)
+    vocab = TK.vocabulary(TK.word_tokens(df))
+    enc = {r.doc_id: list(r.ids) for r in TK.encode(df, vocab, unknown="keep").collect()}
+    assert enc[1] == [] and enc[2] == [] and enc[4] == [] and len(enc[3]) == 4
+    wins = SQ.token_windows(TK.encode(df, vocab, unknown="keep"), 2, 1).collect()
+    assert sorted((r.doc_id, r.win) for r in wins) == [(3, 0), (3, 1)]
