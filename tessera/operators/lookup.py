@@ -39,7 +39,9 @@ def salted_lookup(stream: DataFrame, table: DataFrame, key: str | list[str], sal
     salts one more key, which is still correct), so the dictionary appears
     once in the plan."""
     spark = stream.sparkSession
-    s = buckets or shuffle_partitions(spark)
+    # (key, salt) pairs hash onto reduce partitions with collisions: S salts over
+    # P partitions reach about P(1 - e^(-S/P)) of them, so use S = 2P (~86 %)
+    s = buckets or 2 * shuffle_partitions(spark)
     keys = [key] if isinstance(key, str) else list(key)
     if hot is None:
         hot = hot_key_hashes(table, keys, weight, heavy)

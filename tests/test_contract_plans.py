@@ -133,3 +133,31 @@ def test_single_partition_exchanges_only_over_aggregates(spark, name):
             child = next(ln for ln in lines[i + 1:] if "+-" in ln).split("+-", 1)[1].strip()
             child = re.sub(r"^\*\(\d+\)\s*", "", child)  # whole-stage codegen marker
             assert child.startswith(("HashAggregate", "ObjectHashAggregate", "SortAggregate")), (name, child)
+
+
+def test_hot_key_is_spread_over_partitions(spark):
+    """One key holds a third of the rows: the salted join spreads it over many
+    reduce partitions; a plain join puts it in exactly one."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators.lookup import salted_lookup
+    keys = ["hot" if i % 3 == 0 else f"k{i % 997}" for i in range(30000)]
+    stream = spark.createDataFrame(list(enumerate(keys)), "row_id BIGINT, key STRING")
+    table = spark.createDataFrame([("hot", 0, 10000)] + [(f"k{i}", i, 30) for i in range(997)],
+                                  "key STRING, val INT, freq BIGINT")
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        salted = salted_lookup(stream, table, "key", ["row_id"], how="inner")  # 2 x 8 salts
+        plain = stream.join(table.drop("freq"), "key")
+
+        def parts(df):
+            return df.where(F.col("key") == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts(plain) == 1
+        assert parts(salted) >= 6  # ~86 % of the 8 partitions expected
+        assert salted.count() == plain.count() == 30000
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
