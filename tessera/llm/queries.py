@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import decontaminate as DC
 from tessera.llm import exact_dedup as ED
 from tessera.llm import jaccard_join as JJ
 from tessera.llm.common import table
@@ -56,3 +57,28 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS compo
        (SELECT count(*) FROM l WHERE l.u = d.doc_id) AS n_links
 FROM documents d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 """
+
+
+@register
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DC.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op3_decontaminate"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+t AS MATERIALIZED (SELECT DISTINCT item_id, len(g) AS k, array_to_string(g, ' ') AS g FROM (
+  SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i:i + least(len(w), 10) - 1])) AS g
+  FROM b WHERE len(w) > 0)),
+k AS MATERIALIZED (SELECT DISTINCT k FROM t),
+p AS (SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM d, k WHERE len(w) >= k),
+m AS MATERIALIZED (SELECT doc_id, i, t.k, item_id FROM p JOIN t ON p.k = t.k AND t.g = array_to_string(w[i:i + p.k - 1], ' ')),
+h AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS x FROM m) GROUP BY 1),
+s AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(s.n, 0) AS n_items,
+       sha256(coalesce(s.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
