@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import byte_bpe as BP
 from tessera.llm import decontaminate as DC
 from tessera.llm import exact_dedup as ED
 from tessera.llm import jaccard_join as JJ
@@ -82,3 +83,12 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(s.n, 0
        sha256(coalesce(s.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
 """
+
+
+@register
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL form; tested against the tiktoken library."""
+    import public_tokenizers
+
+    ranks = BP.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return BP.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
