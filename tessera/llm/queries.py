@@ -10,6 +10,7 @@ from tessera.llm import byte_bpe as BP
 from tessera.llm import decontaminate as DC
 from tessera.llm import exact_dedup as ED
 from tessera.llm import jaccard_join as JJ
+from tessera.llm import toxicity as TX
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = BP.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return BP.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@register
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL form (a fitted model); tested by accuracy on the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return TX.score(docs, TX.fit(docs, table(spark, sf_dir, "labels")))
