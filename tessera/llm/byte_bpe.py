@@ -263,17 +263,21 @@ def _stretches(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def _encode(raw, pattern: str) -> Callable:
+def _encode(raw, pattern: str, check: bool = False) -> Callable:
     def run(batches):
-        encoder = TextEncoder(load_ranks(raw.value), pattern)
+        ranks = load_ranks(raw.value)
+        encoder = TextEncoder(ranks, pattern)
         for b in batches:
             ids, texts = b.column(0), b.column(1).to_pylist()
             for lo, hi in _stretches(texts):
                 parts = encoder(texts[lo:hi])
                 at = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(parts), "<u4").astype(np.int32))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at), flat)],
-                                                 names=["doc_id", "ids"])
+                cols = [ids.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at), flat)]
+                if check:
+                    cols.append(pa.array([ranks.decode(np.frombuffer(p, "<u4")) == t.encode()
+                                          for p, t in zip(parts, texts[lo:hi], strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "round_trip"][:len(cols)])
     return run
 
 
@@ -330,6 +334,13 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     return encoded.select("doc_id", ids).mapInArrow(_decode(raw), "doc_id long, ids_sha256 string, data binary")
 
 
+def encode_checked(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """``encode`` with ``round_trip``: whether the decoded ids are the text's bytes."""
+    raw = docs.sparkSession.sparkContext.broadcast(ranks)
+    return spread(id_text(docs)).mapInArrow(_encode(raw, pattern, True),
+                                            "doc_id long, ids array<int>, round_trip boolean")
+
+
 def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Encode and decode: ``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``."""
     raw = docs.sparkSession.sparkContext.broadcast(ranks)
