@@ -10,6 +10,7 @@ from tessera.llm import byte_bpe as BP
 from tessera.llm import decontaminate as DC
 from tessera.llm import exact_dedup as ED
 from tessera.llm import jaccard_join as JJ
+from tessera.llm import language_id as LI
 from tessera.llm import toxicity as TX
 from tessera.llm.common import table
 
@@ -100,3 +101,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL form (a fitted model); tested by accuracy on the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     return TX.score(docs, TX.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL form (a fitted model); tested by accuracy on the held-out fold and
+    against a direct computation of the code lengths."""
+    docs = table(spark, sf_dir, "documents")
+    return LI.identify(docs, LI.fit(docs))
