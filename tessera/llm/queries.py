@@ -13,6 +13,7 @@ from tessera.llm import exact_dedup as ED
 from tessera.llm import html_extract as HX
 from tessera.llm import jaccard_join as JJ
 from tessera.llm import language_id as LI
+from tessera.llm import line_dedup as LD
 from tessera.llm import toxicity as TX
 from tessera.llm.common import table
 
@@ -164,3 +165,9 @@ b AS (SELECT page_id, url, list_transform(regexp_split_to_array(a, '</?(?:p|h1)>
 c AS (SELECT page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) AS text FROM b)
 SELECT page_id, url, text, length(text) AS n_chars FROM c
 """
+
+
+@register
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL form (all pairs of lines are too slow there); tested against brute force."""
+    return LD.line_dedup(table(spark, sf_dir, "documents"))
