@@ -13,6 +13,7 @@ from tessera.llm import exact_dedup as ED
 from tessera.llm import html_extract as HX
 from tessera.llm import jaccard_join as JJ
 from tessera.llm import language_id as LI
+from tessera.llm import license_scan as LS
 from tessera.llm import line_dedup as LD
 from tessera.llm import toxicity as TX
 from tessera.llm.common import table
@@ -171,3 +172,35 @@ SELECT page_id, url, text, length(text) AS n_chars FROM c
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL form (all pairs of lines are too slow there); tested against brute force."""
     return LD.line_dedup(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LS.scan(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    """Exact containment over all windows of all documents."""
+    pieces = ", ".join(f"('{name}', {k}, '{text.replace(chr(39), chr(39) * 2)}')" for k, (name, text) in
+                       enumerate((n, " ".join(t.split()[i:i + LS.PIECE])) for n, t in LS.NOTICES
+                                 for i in range(0, len(t.split()), LS.PIECE)))
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
+    runs = "list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])"
+    cls = " ".join(f"WHEN len(w) <= {c} THEN {c}" for c in LS.CLASSES)
+    cuts = " UNION ALL ".join(
+        f"SELECT doc_id, {c} AS cls, h, unnest(list_distinct(list_append(range(0, greatest(len(h) - {z}, 0) + 1, {st}), "
+        f"greatest(len(h) - {z}, 0)))) AS p, {z} AS z FROM d" for c, (z, st) in ((c, LS._window(c)) for c in LS.CLASSES))
+    return f"""
+WITH n(license, k, text) AS (VALUES {pieces}),
+t AS MATERIALIZED (SELECT license, k, CASE {cls} ELSE {LS.PIECE} END AS cls, list_distinct({runs}) AS s
+  FROM (SELECT license, k, {words} AS w FROM n) WHERE len(w) >= 3),
+a AS (SELECT doc_id, {runs} AS h FROM (SELECT doc_id, {words} AS w FROM documents) WHERE len(w) >= 3),
+d AS MATERIALIZED (SELECT doc_id, h FROM a WHERE list_has_any(h, (SELECT flatten(list(s)) FROM t))),
+v AS (SELECT doc_id, cls, h[p + 1:p + z] AS s FROM ({cuts})),
+m AS (SELECT doc_id, license, k, len(list_intersect(v.s, t.s)) / len(t.s) AS share FROM v JOIN t USING (cls))
+SELECT doc_id, license, max(share) AS containment, count(DISTINCT k) AS n_pieces
+FROM m WHERE share >= {LS.CONTAINED} GROUP BY doc_id, license
+"""
+
+
+SQL["op6_license_scan"] = _license_sql()
