@@ -4,7 +4,7 @@
   escapes, fields may span lines;
 * whole-file UTF-8 text (one row per file);
 * headerless tab-separated ``ham``/``spam`` file, no quoting;
-* split sink (train / validation / test), partitioned by split.
+* split sink (train / validation / test): Parquet partitioned by split, or three labelled CSVs.
 
 Explicit schemas everywhere (no inference pass over the data).
 """
@@ -20,19 +20,26 @@ RAW_LABEL_SCHEMA = "Label STRING, Text STRING"
 RAW_LABEL_IDS = {"ham": 0, "spam": 1}
 
 
-def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_labelled_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """``escape='"'`` is required: with Spark's default backslash escape,
-    doubled quotes inside a quoted field are mis-read."""
-    return (spark.read.schema(LABELLED_SCHEMA)
-            .option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("mode", "FAILFAST")
-            .csv(path))
+    doubled quotes inside a quoted field are mis-read.  ``multi_line`` reads
+    fields with line breaks, a file per task; turn it off for large files
+    without them, which then split."""
+    reader = (spark.read.schema(LABELLED_SCHEMA)
+              .option("header", True).option("multiLine", multi_line).option("mode", "FAILFAST"))
+    return _lossless(reader).csv(path)
 
 
 def write_labelled_csv(df: DataFrame, path: str) -> None:
-    (df.select(F.col("Label").cast("int"), F.col("Text").cast("string"))
-     .write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
-     .csv(path))
+    out = df.select(F.col("Label").cast("int"), F.col("Text").cast("string"))
+    _lossless(out.write.mode("overwrite").option("header", True)).csv(path)
+
+
+def _lossless(io):
+    """Options under which a text comes back as written: no trimming, an empty
+    text as ``""`` and a null as nothing, quotes doubled."""
+    return (io.option("quote", '"').option("escape", '"').option("nullValue", "")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
@@ -54,11 +61,14 @@ def strip_written_newline(text_col: str = "text") -> F.Column:
 
 
 def read_label_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless ``label<TAB>text`` lines; quoting disabled (``\\u0000``)."""
+    """Headerless ``label<TAB>text`` lines; quoting disabled (``\\u0000``).  The
+    format has no null: a missing text is the empty one."""
     return (spark.read.schema(RAW_LABEL_SCHEMA)
             .option("sep", "\t").option("header", False).option("quote", "\u0000")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("mode", "FAILFAST")
-            .csv(path))
+            .csv(path)
+            .withColumn("Text", F.coalesce("Text", F.lit(""))))
 
 
 def tsv_safe(text_col: str) -> F.Column:
@@ -69,6 +79,8 @@ def tsv_safe(text_col: str) -> F.Column:
 def write_label_tsv(df: DataFrame, path: str) -> None:
     (df.select("Label", tsv_safe("Text").alias("Text"))
      .write.mode("overwrite").option("sep", "\t").option("header", False).option("quote", "\u0000")
+     .option("emptyValue", "").option("nullValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
@@ -83,3 +95,20 @@ def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+SPLIT_NAMES = ("train", "validation", "test")
+
+
+def write_csv_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
+    """The three labelled CSVs of a split, one folder each (``path/<split>``)."""
+    for name in SPLIT_NAMES:
+        write_labelled_csv(df.where(F.col(split_col) == name), f"{path}/{name}")
+
+
+def read_csv_splits(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    out = None
+    for name in SPLIT_NAMES:
+        part = read_labelled_csv(spark, f"{path}/{name}", multi_line).withColumn("split", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
