@@ -3,16 +3,15 @@
 * ``score_messages``: every arriving message is classified by a saved model and
   emitted with its verdict; exit words are not scored.  Stateless: the model
   is a fitted ``PipelineModel`` whose stages all transform streams.
-* ``until_exit_stream``: a conversation ends at its first exit word; later
-  turns are dropped.  Keyed state per conversation = one boolean, with a
-  processing-time timeout so state of idle conversations is evicted (TTL).
-  Turns of a key are assumed to arrive in order across micro-batches; inside
-  a micro-batch they are sorted by turn.
+* ``until_exit_stream``: a conversation ends at its first exit word; turns from
+  there on are dropped, whenever they arrive.  Keyed state per conversation =
+  the turn it stops at (one number, kept for good: an ended conversation never
+  reopens).  A turn that was emitted before an earlier exit arrived late
+  stays emitted: a stream cannot take it back.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ def read_message_stream(spark: SparkSession, path: str, schema: str,
 
 def score_messages(stream: DataFrame, model: PipelineModel, words, id_cols: list[str],
                    text_col: str = "text") -> DataFrame:
-    msgs = stream.where(~exit_predicate(text_col, words))
+    msgs = stream.where(~F.coalesce(exit_predicate(text_col, words), F.lit(False)))  # null texts are scored
     scored = model.transform(with_tokens(msgs, text_col))
     return scored.select(*id_cols, text_col, F.col("prediction").cast("bigint").alias("predicted"),
                          class_name("prediction").alias("verdict"))
@@ -47,35 +46,27 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
-def until_exit_stream(stream: DataFrame, words, ttl_ms: int = 3_600_000, id_col: str = "conv_id",
+def until_exit_stream(stream: DataFrame, words, id_col: str = "conv_id",
                       order_col: str = "turn", text_col: str = "text", role_col: str = "role",
                       speaker: str = "user") -> DataFrame:
     lowered = {w.lower() for w in words}
     fields = stream.schema.fieldNames()
 
     def step(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        ended = state.get[0] if state.exists else False
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True).sort_values(order_col, kind="stable")
-        if ended:
-            state.update((True,))
-            state.setTimeoutDuration(ttl_ms)
-            return
-        hit = (pdf[role_col] == speaker) & pdf[text_col].str.lower().isin(lowered)
-        if hit.any():
-            stop = pdf.loc[hit, order_col].min()
-            pdf = pdf[pdf[order_col] < stop]
-            ended = True
-        state.update((ended,))
-        state.setTimeoutDuration(ttl_ms)
-        if len(pdf):
-            yield pdf[fields]
+        stop = state.get[0] if state.exists else None
+        frames = []
+        for b in batches:  # the earliest exit of this micro-batch, then its turns
+            hit = (b[role_col] == speaker) & b[text_col].str.lower().isin(lowered)
+            if hit.any():
+                first = int(b.loc[hit, order_col].min())
+                stop = first if stop is None else min(stop, first)
+            frames.append(b)
+        state.update((stop,))
+        for b in frames:
+            kept = b if stop is None else b[b[order_col] < stop]
+            if len(kept):
+                yield kept[fields]
 
     return stream.groupBy(id_col).applyInPandasWithState(
-        step, outputStructType=stream.schema, stateStructType="ended BOOLEAN",
-        outputMode="append", timeoutConf=GroupStateTimeout.ProcessingTimeTimeout)
+        step, outputStructType=stream.schema, stateStructType="stop BIGINT",
+        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
