@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,21 +46,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     On a cluster the folder is named by ``spark.checkpoint.dir`` (a shared file
-    system); it is used as given.  Only when nothing is configured (local runs,
-    tests) do we create a private scratch folder.
+    system); it is used as given, and a job without it is refused.  A private
+    scratch folder is made only where driver and executors are one process
+    (a ``local`` master, as in tests).
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (a remote session: the server owns the folder)
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
