@@ -21,9 +21,9 @@ from tessera.session import shuffle_partitions
 
 
 def hot_key_hashes(table: DataFrame, keys: list[str], weight: str, heavy: int) -> list[int]:
-    """64-bit hashes of the ``heavy`` most frequent keys: at most ``heavy``
-    numbers (a proven bound), read once on the driver."""
-    top = (table.select(*keys, weight).orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
+    """64-bit hashes of the ``heavy`` most frequent distinct keys: at most
+    ``heavy`` numbers (a proven bound), read once on the driver."""
+    top = (table.groupBy(*keys).agg(F.max(weight).alias(weight)).orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
                 .select(F.xxhash64(*keys).alias("h")))
     return [r["h"] for r in top.collect()]
 

@@ -26,8 +26,9 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based BIGINT position in the total order of ``order_cols``.
+                num_partitions: int | None = None, part_col: str | None = None) -> DataFrame:
+    """Add a 0-based BIGINT position in the total order of ``order_cols``
+    (and, under ``part_col``, the number of the row's range partition).
 
     ``order_cols`` must identify rows (include a unique tie-breaker)."""
     spark = df.sparkSession
@@ -46,7 +47,8 @@ def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank",
         F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_part")
-                  .select(*[F.col(c) for c in cols], (F.col("_off") + F.col("_local")).alias(rank_col)))
+                  .select(*[F.col(c) for c in cols], (F.col("_off") + F.col("_local")).alias(rank_col),
+                          *([F.col("_part").alias(part_col)] if part_col else [])))
 
 
 def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
@@ -54,14 +56,18 @@ def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
     """0-based position inside each group, without a per-group window.
 
     A hot group (a third of all rows) is spread over many range partitions by
-    :func:`global_rank`; the group start is a partial/final aggregate (map-side
-    combined) and joins back on the group key (one row per group: AQE broadcasts
-    it when small, splits skewed partitions otherwise)."""
-    ranked = global_rank(df, [*group_cols, *order_cols], "_g")
-    starts = ranked.groupBy(*group_cols).agg(F.min("_g").alias("_start"))
-    return (ranked.join(starts, group_cols)
+    :func:`global_rank`.  Its start is known per (partition, group) piece, at
+    most groups + partitions rows, and joins back on that pair, so no join key
+    holds more rows than one range partition.  Null groups are a group."""
+    ranked = global_rank(df, [*group_cols, *order_cols], "_g", part_col="_part")
+    key = F.struct(*group_cols)
+    pieces = ranked.groupBy("_part", key.alias("_key")).agg(F.min("_g").alias("_first"))
+    # pieces of one group follow one another: its start is their smallest position
+    starts = pieces.groupBy("_key").agg(F.min("_first").alias("_start"))
+    starts = pieces.join(starts, "_key").select("_part", "_key", "_start")
+    return (ranked.withColumn("_key", key).join(starts, ["_part", "_key"])
                   .withColumn(rank_col, F.col("_g") - F.col("_start"))
-                  .drop("_g", "_start"))
+                  .drop("_g", "_start", "_part", "_key"))
 
 
 def running_total(df: DataFrame, group_cols: list[str], order_cols: list, value_col: str,
