@@ -6,10 +6,22 @@ never leave the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def rows_of(df: DataFrame, keep: list, values: Column | str, pos: str = "pos",
+            value: str = "value") -> DataFrame:
+    """One row per array element: ``keep`` columns, ``pos`` (from 0), ``value``.
+
+    The outer generator with a filter on the generated position is on purpose:
+    a plain ``posexplode`` makes the optimizer infer ``size(values) > 0`` and
+    push a second copy of the whole expression below (into the scan or a join
+    condition)."""
+    out = df.select(*keep, F.posexplode_outer(values).alias(pos, value))
+    return out.where(F.col(pos).isNotNull())
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and pass it to ``body`` (a lambda
     binding): without it, a scalar used inside ``transform`` would be
@@ -72,10 +84,6 @@ def top_k_mask(logits: Column, k: int) -> Column:
         logits, lambda x: F.when(x >= t, x).otherwise(F.lit(float("-inf")))))
 
 
-def temperature(logits: Column, t: float) -> Column:
-    return F.transform(logits, lambda x: x / F.lit(float(t)))
-
-
 def standardize(vec: Column, eps: float = 1e-5, scale_: float = 1.0, shift: float = 0.0) -> Column:
     """(x - mean) / sqrt(var_pop + eps) * scale + shift."""
     n = F.size(vec).cast("double")
@@ -88,9 +96,11 @@ def standardize(vec: Column, eps: float = 1e-5, scale_: float = 1.0, shift: floa
 
 
 def heads(vec: Column, h: int) -> Column:
-    """Split a vector into ``h`` equal slices (size must divide by h)."""
+    """Split a vector into ``h`` equal slices; a size that ``h`` does not divide
+    fails the job (no dimension is ever dropped)."""
     d = F.size(vec)
-    width = (d / F.lit(h)).cast("int")
+    width = F.when(d % F.lit(h) == 0, (d / F.lit(h)).cast("int")).otherwise(
+        F.raise_error(F.concat(F.lit(f"{h} heads do not divide a vector of "), d.cast("string"))).cast("int"))
     return F.transform(F.sequence(F.lit(0), F.lit(h - 1)),
                        lambda k: F.slice(vec, k * width + 1, width))
 

@@ -35,7 +35,7 @@ class CentroidHead:
 
 
 def fit_centroids(train: DataFrame, vec_col: str, label_col: str) -> CentroidHead:
-    per_dim = (train.select(label_col, F.posexplode(A.as_double(F.col(vec_col))).alias("dim", "x"))
+    per_dim = (A.rows_of(train, [label_col], A.as_double(F.col(vec_col)), "dim", "x")
                .groupBy(label_col, "dim").agg(F.avg("x").alias("m")))
     model = (per_dim.groupBy(label_col)
              .agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("s"))
@@ -55,16 +55,45 @@ def with_logits(df: DataFrame, head: CentroidHead, vec_col: str) -> DataFrame:
 
 def per_class(df: DataFrame, head: CentroidHead, id_col: str, values) -> DataFrame:
     """Explode an array of per-class values to (id, class, value)."""
-    return (df.select(id_col, F.posexplode(values).alias("_i", "value"))
+    return (A.rows_of(df, [id_col], values, "_i")
             .select(id_col, head.class_of(F.col("_i")).cast("bigint").alias("class"), "value"))
 
 
 def predictions(df: DataFrame, head: CentroidHead) -> DataFrame:
     """Adds ``predicted`` (argmax class, ties -> lowest class) and ``nll`` of the
-    true label (label must be one of the head's classes)."""
-    label_index = F.array_position(F.lit(head.classes), F.col("label")) - 1
+    true label: infinite for a label that the head has no class for."""
+    at = F.array_position(F.lit(head.classes), F.col("label")).cast("int")
     return (df.withColumn("predicted", head.class_of(A.argmax(F.col("logits"))).cast("bigint"))
-              .withColumn("nll", A.nll(F.col("logits"), label_index.cast("int"))))
+              .withColumn("nll", F.when(at > 0, A.nll(F.col("logits"), F.greatest(at, F.lit(1)) - 1))
+                          .otherwise(F.lit(float("inf")))))
+
+
+def batch_table(df: DataFrame) -> DataFrame:
+    """One row per (split, batch): rows, correct predictions, summed loss; every
+    metric below can be read from it."""
+    return df.groupBy("split", "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("predicted") == F.col("label")).alias("correct"),
+        F.sum("nll").alias("nll"))
+
+
+def report(per_batch: DataFrame, splits=("train", "validation", "test"), acc_batches: int | None = None,
+           loss_batches: int | None = None) -> DataFrame:
+    """Rows, batches, accuracy (row-weighted) and two-level loss (mean of the
+    batches' means) of every split in ``splits``, over its first batches where a
+    number is given.  A split without rows has 0 rows, accuracy null and loss NaN."""
+    def first(n: int | None):
+        return F.lit(True) if n is None else F.col("batch_id") < F.lit(n)
+
+    got = per_batch.groupBy("split").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_batches"),
+        (F.sum(F.when(first(acc_batches), F.col("correct"))) / F.sum(F.when(first(acc_batches), F.col("n")))
+         ).alias("accuracy"),
+        F.avg(F.when(first(loss_batches), F.col("nll") / F.col("n"))).alias("loss"))
+    names = per_batch.sparkSession.createDataFrame([(s,) for s in splits], "split STRING")
+    return names.join(got, "split", "left").select(
+        "split", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        F.coalesce("n_batches", F.lit(0)).cast("long").alias("n_batches"), "accuracy",
+        F.coalesce("loss", F.lit(float("nan"))).alias("loss"))
 
 
 def accuracy_by(df: DataFrame, group_cols: list[str], num_batches: int | None = None) -> DataFrame:

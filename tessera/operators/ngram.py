@@ -80,9 +80,11 @@ def greedy_table(counts: DataFrame) -> DataFrame:
 
 
 def generate_greedy(prompts: DataFrame, counts: DataFrame, fallback: str, steps: int,
-                    id_col: str = "item_id", tokens_col: str = "tokens") -> DataFrame:
+                    id_col: str = "item_id", tokens_col: str = "tokens",
+                    stop_token: str | None = None) -> DataFrame:
     """(id, new_tokens ARRAY<STRING>): ``steps`` greedy steps from the last
-    prompt token.  Each step is one salted lookup of (id, last token)."""
+    prompt token, up to (without) ``stop_token``.  Each step is one salted
+    lookup of (id, last token)."""
     table = materialize(greedy_table(counts))
     hot = hot_key_hashes(table, ["context"], "freq", 256)
     state = prompts.select(id_col, F.try_element_at(F.col(tokens_col), F.lit(-1)).alias("context"),
@@ -92,6 +94,10 @@ def generate_greedy(prompts: DataFrame, counts: DataFrame, fallback: str, steps:
         nxt = F.coalesce(F.col("best"), F.lit(fallback))
         state = looked.select(id_col, nxt.alias("context"),
                               F.concat(F.col("new_tokens"), F.array(nxt)).alias("new_tokens"))
+    if stop_token is not None:  # what follows the stop token was never generated
+        at = F.array_position("new_tokens", stop_token)
+        state = state.withColumn("new_tokens", F.when(at > 0, F.slice("new_tokens", F.lit(1), (at - 1).cast("int")))
+                                 .otherwise(F.col("new_tokens")))
     return state.select(id_col, "new_tokens")
 
 
@@ -161,7 +167,12 @@ def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps
                      temperature: float, seed: int, id_col: str = "item_id",
                      tokens_col: str = "tokens", stop_token: str | None = None) -> DataFrame:
     """(id, new_tokens): ``steps`` sampled steps; a row stops (without
-    appending) when it draws ``stop_token``."""
+    appending) when it draws ``stop_token``.  ``temperature`` 0 takes the most
+    frequent continuation instead of a draw."""
+    if temperature < 0:
+        raise ValueError("temperature must not be negative")
+    if temperature == 0:
+        return generate_greedy(prompts, counts, fallback, steps, id_col, tokens_col, stop_token)
     # reused by every step: materialise once in the reliable checkpoint folder
     levels = materialize(sampling_levels(counts, top_k, temperature))
     ranked = materialize(ranked_continuations(counts))

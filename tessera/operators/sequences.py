@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators.ranking import running_total
 from tessera.operators.tokens import gather
@@ -18,8 +19,7 @@ def token_windows(encoded: DataFrame, length: int, stride: int, id_col: str = "d
                   ids_col: str = "ids") -> DataFrame:
     """(id, win, start, input_ids, target_ids): full windows only, the tail is
     dropped; ``n <= length`` gives no window."""
-    return (encoded.select(id_col, F.posexplode(T.sliding_windows(F.col(ids_col), length, stride))
-                           .alias("win", "w"))
+    return (A.rows_of(encoded, [id_col], T.sliding_windows(F.col(ids_col), length, stride), "win", "w")
             .select(id_col, F.col("win").cast("bigint").alias("win"),
                     F.col("w.start").cast("bigint").alias("start"),
                     F.col("w.input_ids").alias("input_ids"), F.col("w.target_ids").alias("target_ids")))
@@ -28,8 +28,7 @@ def token_windows(encoded: DataFrame, length: int, stride: int, id_col: str = "d
 def next_token(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, pos, token_id, next_id): target = input shifted by one (null at the
     end).  Read from the document's own array, so no window shuffle."""
-    return (encoded.select(id_col, F.col(ids_col).alias("_ids"),
-                           F.posexplode(ids_col).alias("pos", "token_id"))
+    return (A.rows_of(encoded, [id_col, F.col(ids_col).alias("_ids")], ids_col, value="token_id")
             .select(id_col, F.col("pos").cast("bigint").alias("pos"), "token_id",
                     F.try_element_at(F.col("_ids"), F.col("pos") + 2).alias("next_id")))
 
@@ -37,7 +36,7 @@ def next_token(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids")
 def context_pairs(encoded: DataFrame, skip: int, context: int, id_col: str = "doc_id",
                   ids_col: str = "ids") -> DataFrame:
     """(id, i, context_ids, target) for i in 1..context after ``skip`` ids."""
-    return (encoded.select(id_col, F.explode(T.growing_contexts(F.col(ids_col), skip, context)).alias("p"))
+    return (A.rows_of(encoded, [id_col], T.growing_contexts(F.col(ids_col), skip, context), value="p")
             .select(id_col, F.col("p.i").cast("bigint").alias("i"),
                     F.col("p.context_ids").alias("context_ids"), F.col("p.target").alias("target")))
 
@@ -82,13 +81,17 @@ def pack_documents(encoded: DataFrame, length: int, separator_id: int, shards: i
                          F.concat(F.col(ids_col), F.array(F.lit(separator_id).cast("bigint"))).alias("_seq"))
     sizes = seq.select(id_col, "shard", F.size("_seq").cast("bigint").alias("_n"))
     offsets = running_total(sizes, ["shard"], [id_col], "_n", "_off").select(id_col, "_off")
-    flat = (seq.join(offsets, id_col)
-            .select("shard", "_off", F.posexplode("_seq").alias("pos", "token_id"))
-            .withColumn("_g", F.col("_off") + F.col("pos"))
-            .withColumn("block", F.floor(F.col("_g") / F.lit(length)).cast("bigint")))
-    packed = (flat.groupBy("shard", "block")
-              .agg(F.sort_array(F.collect_list(F.struct("_g", "token_id"))).alias("_s")))
-    return packed.select("shard", "block", F.transform("_s", lambda x: x["token_id"]).alias("ids"))
+    # a document is cut where blocks end: rows = documents + blocks, not tokens
+    joined = seq.join(offsets, id_col).withColumn("_end", F.col("_off") + F.size("_seq"))
+    blocks = F.sequence(F.floor(F.col("_off") / length), F.floor((F.col("_end") - 1) / length))
+    cut = joined.select("shard", "_off", "_end", "_seq", F.explode_outer(blocks).alias("block"))
+    begin = F.greatest(F.col("block") * length, F.col("_off"))
+    stop = F.least((F.col("block") + 1) * length, F.col("_end"))
+    piece = F.slice("_seq", (begin - F.col("_off") + 1).cast("int"), (stop - begin).cast("int"))
+    packed = (cut.select("shard", F.col("block").cast("bigint").alias("block"), F.struct(
+        begin.alias("at"), piece.alias("ids")).alias("p")).groupBy("shard", "block")
+        .agg(F.sort_array(F.collect_list("p")).alias("_s")))
+    return packed.select("shard", "block", F.flatten(F.transform("_s", lambda x: x["ids"])).alias("ids"))
 
 
 __all__ = ["token_windows", "next_token", "context_pairs", "left_crop", "pad_truncate",

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators.lookup import salted_lookup
 from tessera.operators.ranking import global_rank
@@ -67,15 +68,15 @@ def with_specials(vocab: DataFrame) -> DataFrame:
     return vocab.select("token", "token_id", "freq").unionByName(specials)
 
 
-def encode_long(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id",
+def encode_long(tokens: DataFrame, vocab: DataFrame, row_cols: list[str],
                 unknown: str = "keep") -> DataFrame:
-    """Long-form encode: (id, pos, token, token_id).
+    """Long-form encode: the token rows (identified by ``row_cols``) with token_id.
 
     unknown = "keep"  -> token_id null for tokens missing from the vocabulary
               "unk"   -> id of <|unk|> (vocabulary must hold the specials)
     """
     out = salted_lookup(tokens, vocab.select("token", "token_id", "freq"), "token",
-                        [id_col, "pos"], how="left")
+                        row_cols, how="left")
     if unknown == "unk":
         # one scalar read on the driver (a number, not data)
         unk = vocab.where(F.col("token") == T.UNKNOWN).agg(F.max("token_id")).first()[0]
@@ -110,7 +111,7 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
     """(id, ids ARRAY<BIGINT>).  unknown="strict" fails the job when a token is
     missing (like the strict tokenizer); "unk" maps it to <|unk|>."""
     toks = word_tokens(docs, id_col, text_col)
-    long_ = encode_long(toks, vocab, id_col, "unk" if unknown == "unk" else "keep")
+    long_ = encode_long(toks, vocab, [id_col, "pos"], "unk" if unknown == "unk" else "keep")
     if unknown == "strict":
         long_ = long_.withColumn("token_id", F.coalesce(
             F.col("token_id"),
@@ -120,9 +121,12 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "item_id",
            ids_col: str = "ids") -> DataFrame:
-    """(id, text): ids -> tokens (salted join on token_id) -> ordered join."""
-    long_ = encoded.select(id_col, F.posexplode(ids_col).alias("pos", "token_id"))
-    dic = vocab.select("token_id", "token", "freq")
+    """(id, text): ids -> tokens (salted join on token_id) -> ordered join.  Hot
+    ids are those of the stream itself (the corpus counts of the vocabulary
+    say nothing about its special tokens)."""
+    long_ = A.rows_of(encoded, [id_col], ids_col, value="token_id")
+    seen = long_.groupBy("token_id").agg(F.count(F.lit(1)).alias("freq"))
+    dic = vocab.select("token_id", "token").join(seen, "token_id", "left").fillna(0, ["freq"])
     looked = salted_lookup(long_, dic, "token_id", [id_col, "pos"], how="left")
     toks = gather(looked, id_col, "pos", "token", "_toks", ids=encoded)
     return toks.select(id_col, T.decode_tokens(F.col("_toks")).alias("text"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.operators.lookup import salted_lookup
-from tessera.operators.ranking import rank_within_groups, running_total
+from tessera.operators.ranking import global_rank, rank_within_groups, running_total
 from tessera.session import materialize
 
 
@@ -40,23 +40,29 @@ def soft_history(df: DataFrame, group_col: str, order_col: str, vec_col: str, wi
     ``heads`` > 1 the vector is cut into equal slices handled independently and
     the outputs are concatenated.  Output (order_col, vec ARRAY<DOUBLE>).
 
-    Range self-join bucketed on floor(rank / window): j lies in bucket b_i or
-    b_i - 1, so each join key holds at most ``window`` rows per side and the
-    candidate set per row is bounded by 2*window before the range filter."""
+    Bucketed on floor(rank / window): j lies in bucket b_i or b_i - 1, so a
+    bucket of at most ``window`` vectors is gathered once and joined with the
+    one before it; a row's candidates are bounded by 2*window."""
     ranked = rank_within_groups(df.select(group_col, order_col, A.as_double(F.col(vec_col)).alias("_v")),
                                 [group_col], [order_col], "_r")
     ranked = ranked.withColumn("_b", F.floor(F.col("_r") / F.lit(window)))
-    q = ranked.select(group_col, F.col(order_col).alias("_qid"), F.col("_r").alias("_qr"),
-                      F.col("_v").alias("_q"),
-                      F.explode(F.array(F.col("_b"), F.col("_b") - 1)).alias("_b"))
-    k = ranked.select(group_col, "_b", F.col("_r").alias("_kr"), F.col("_v").alias("_k"))
-    pairs = (q.join(k, [group_col, "_b"])
-             .where((F.col("_kr") <= F.col("_qr")) & (F.col("_kr") > F.col("_qr") - F.lit(window))))
-    # per head: scaled dot of the head slices
-    qh, kh = A.heads(F.col("_q"), heads), A.heads(F.col("_k"), heads)
-    pairs = pairs.select("_qid", F.zip_with(qh, kh, lambda a, b: A.scaled_dot(a, b)).alias("_s"),
-                         kh.alias("_kh"))
-    grouped = pairs.groupBy("_qid").agg(F.collect_list(F.struct("_s", "_kh")).alias("_c"))
+    # the at most ``window`` vectors of a bucket travel together, twice: as the
+    # own bucket and as the one before
+    bucket = (ranked.groupBy(group_col, "_b")
+              .agg(F.sort_array(F.collect_list(F.struct(F.col("_r").alias("r"), F.col(order_col).alias("id"),
+                                                        F.col("_v").alias("v")))).alias("_rows")))
+    before = bucket.select(group_col, (F.col("_b") + 1).alias("_b"), F.col("_rows").alias("_old"))
+    both = bucket.join(before, [group_col, "_b"], "left")
+    none = F.filter("_rows", lambda x: F.lit(False))
+    rows = A.rows_of(both, ["_rows", F.coalesce("_old", none).alias("_old")], "_rows", value="_q")
+    rows = rows.select(F.col("_q.id").alias("_qid"), F.col("_q.r").alias("_qr"), F.col("_q.v").alias("_q"),
+                       F.concat("_old", "_rows").alias("_near"))
+    near = F.filter("_near", lambda c: (c["r"] <= F.col("_qr")) & (c["r"] > F.col("_qr") - window))
+    rows = rows.select("_qid", "_q", near.alias("_near"))
+    qh = A.heads(F.col("_q"), heads)
+    grouped = rows.select("_qid", A.let(qh, lambda q: F.transform("_near", lambda c: A.let(
+        A.heads(c["v"], heads), lambda k: F.struct(
+            F.zip_with(q, k, lambda x, y: A.scaled_dot(x, y)).alias("_s"), k.alias("_kh"))))).alias("_c"))
 
     def head_out(h):
         scores = F.transform("_c", lambda c: F.element_at(c["_s"], h + 1))
@@ -70,45 +76,46 @@ def soft_history(df: DataFrame, group_col: str, order_col: str, vec_col: str, wi
     return grouped.select(F.col("_qid").alias(order_col), out.alias("vec"))
 
 
-def pooled_token_embeddings(token_counts: DataFrame, lengths: DataFrame, vectors: DataFrame,
-                            id_col: str = "doc_id",
+def pooled_token_embeddings(token_counts: DataFrame, vectors: DataFrame, id_col: str = "doc_id",
                             vec_id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Mean over a document's tokens of token vector + position vector, where
     the token vector is row ``token_id mod n`` and the position vector row
-    ``pos mod n`` of the vector table (n rows, ids 0..n-1).
+    ``pos mod n`` of the vector table: n rows, numbered from 0 in the order of
+    their ids (which need not be dense).
 
-    Inputs: (doc, token_id, c) — occurrences of each token id in a document,
-    pre-aggregated — and (doc, _len) tokens per document.
+    Input (doc, token_id, c): occurrences of each token id in a document; the
+    document's length L is their sum.
 
     * token part: (doc, vector row, count) rows, looked up (salted on vector
       rows used by many documents), weighted mean per document with a mutable
       JVM buffer (``Summarizer``);
     * position part: depends only on L.  With q = L div n and r = L mod n,
       sum over p < L of row (p mod n) = q * (sum of all rows) + prefix(r), where
-      prefix(r) = sum of rows with id < r: one lookup per document into a table
+      prefix(r) = sum of rows before r: one lookup per document into a table
       of n prefix vectors (a distributed running total per dimension)."""
-    n_vec = vectors.count()  # scalar
-    vecs = vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v"))
+    vecs = materialize(global_rank(vectors.select(vec_id_col, A.as_double(F.col(vec_col)).alias("_v")),
+                                   [vec_id_col], "_row").select("_row", "_v"))
+    n_vec = vecs.count()  # scalar
     # token part
-    tok = (token_counts.select(id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias(vec_id_col),
-                               F.col("c").alias("_c"))
-           .groupBy(id_col, vec_id_col).agg(F.sum("_c").alias("_c")))
-    tok = materialize(tok)
-    weight = tok.groupBy(vec_id_col).agg(F.count(F.lit(1)).alias("freq"))
-    table = vecs.join(weight, vec_id_col, "left").fillna(0, ["freq"])
-    looked = salted_lookup(tok, table, vec_id_col, [id_col, vec_id_col], how="inner")
+    tok = materialize(token_counts.select(id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias("_row"),
+                                          F.col("c").alias("_c"))
+                      .groupBy(id_col, "_row").agg(F.sum("_c").alias("_c")))
+    weight = tok.groupBy("_row").agg(F.count(F.lit(1)).alias("freq"))
+    looked = salted_lookup(tok, vecs.join(weight, "_row", "left").fillna(0, ["freq"]), "_row", [id_col, "_row"],
+                           how="inner")
     tok_mean = (looked.select(id_col, array_to_vector("_v").alias("_vv"), F.col("_c").cast("double").alias("_w"))
                 .groupBy(id_col).agg(Summarizer.mean(F.col("_vv"), F.col("_w")).alias("_m"),
                                      F.sum("_w").alias("_tw")))
-    # position part: per-dimension exclusive running sums over vector ids
-    dims = vecs.select(vec_id_col, F.posexplode("_v").alias("_d", "_x"))
-    pref = running_total(dims, ["_d"], [vec_id_col], "_x", "_p")
-    prefix = (pref.groupBy(vec_id_col).agg(F.sort_array(F.collect_list(F.struct("_d", "_p"))).alias("_s"))
-              .select(F.col(vec_id_col).alias("_r"), F.transform("_s", lambda x: x["_p"].cast("double")).alias("_pv")))
+    # position part: per-dimension exclusive running sums over vector rows
+    dims = A.rows_of(vecs, ["_row"], "_v", "_d", "_x")
+    pref = running_total(dims, ["_d"], ["_row"], "_x", "_p")
+    prefix = (pref.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_d", "_p"))).alias("_s"))
+              .select(F.col("_row").alias("_r"), F.transform("_s", lambda x: x["_p"].cast("double")).alias("_pv")))
     total = [float(x) for x in  # one vector of the table's width (a model-sized value)
              dims.groupBy("_d").agg(F.sum("_x").alias("t")).orderBy("_d").select("t").toPandas()["t"]]
-    docs = lengths.select(id_col, "_len", F.floor(F.col("_len") / F.lit(n_vec)).alias("_q"),
-                          F.pmod(F.col("_len"), F.lit(n_vec)).alias("_r"))
+    docs = tok.groupBy(id_col).agg(F.sum("_c").alias("_len")).select(
+        id_col, "_len", F.floor(F.col("_len") / F.lit(n_vec)).alias("_q"),
+        F.pmod(F.col("_len"), F.lit(n_vec)).alias("_r"))
     r_weight = docs.groupBy("_r").agg(F.count(F.lit(1)).alias("freq"))
     prefix = prefix.join(r_weight, "_r", "left").fillna(0, ["freq"])
     pos = salted_lookup(docs, prefix, "_r", [id_col], how="inner")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from tessera.functions import text as T
 from tessera.operators import tokens as TK
 from tessera.session import load_table
@@ -41,9 +40,10 @@ def encoded_docs(spark: SparkSession, d: str, vocab: DataFrame | None = None) ->
     return TK.encode(docs(spark, d), vocab, unknown="keep")
 
 
-def en_vocab_special(spark: SparkSession, d: str) -> DataFrame:
-    en = load_table(spark, d, "documents", spread=True).where(F.col("lang") == "en").select("doc_id", "text")
-    return TK.with_specials(TK.vocabulary(TK.word_tokens(en)))
+def vocab_special(spark: SparkSession, d: str) -> DataFrame:
+    """The vocabulary of all documents and the two special tokens; what the
+    benchmark holds beyond it is unknown."""
+    return TK.with_specials(doc_vocab(spark, d))
 
 
 def benchmark(spark: SparkSession, d: str) -> DataFrame:

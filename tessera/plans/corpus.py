@@ -48,19 +48,19 @@ def encode_strict(spark, d):
 
 @query("encode_unk")
 def encode_unk(spark, d):
-    enc = TK.encode(C.benchmark(spark, d), C.en_vocab_special(spark, d), id_col="item_id", unknown="unk")
+    enc = TK.encode(C.benchmark(spark, d), C.vocab_special(spark, d), id_col="item_id", unknown="unk")
     return enc.select("item_id", C.ids_str())
 
 
 @query("unknown_tokens")
 def unknown_tokens(spark, d):
     toks = TK.word_tokens(C.benchmark(spark, d), "item_id")
-    return TK.unknown_tokens(toks, C.en_vocab_special(spark, d))
+    return TK.unknown_tokens(toks, C.vocab_special(spark, d))
 
 
 @query("decode_words")
 def decode_words(spark, d):
-    vocab = C.en_vocab_special(spark, d)
+    vocab = C.vocab_special(spark, d)
     enc = TK.encode(C.benchmark(spark, d), vocab, id_col="item_id", unknown="unk")
     return TK.decode(enc, vocab, id_col="item_id")
 
@@ -99,8 +99,8 @@ def left_crop(spark, d):
 def labelled_split(spark, d):
     """documents ⋈ labels, split 70/10/20 by seeded shuffle of doc_id, encoded."""
     lab = load_table(spark, d, "labels").join(C.docs(spark, d), "doc_id")
-    split = three_way_split(lab.select("doc_id", "text"), "doc_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)
-    enc = TK.encode(split.select("doc_id", "text"), C.doc_vocab(spark, d), unknown="keep")
+    split = three_way_split(lab.select("doc_id"), "doc_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)  # keys only
+    enc = TK.encode(lab.select("doc_id", "text"), C.doc_vocab(spark, d), unknown="keep")
     return enc.join(split.select("doc_id", "split"), "doc_id")
 
 

@@ -48,12 +48,25 @@ def src_label_tsv(spark, d):
                        F.col("Text").alias("text"))
 
 
+def _with_split(lab):
+    split = three_way_split(lab.select("doc_id"), "doc_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)  # keys only
+    return lab.join(split.select("doc_id", "split"), "doc_id")
+
+
+@query("sink_csv_splits")
+def sink_csv_splits(spark, d):
+    """The three labelled CSVs, written and read back whole."""
+    path = scratch_path(spark, "csv-splits")
+    FS.write_csv_splits(_with_split(_labelled(spark, d)), path)
+    back = FS.read_csv_splits(spark, path)
+    return back.select("split", F.col("Label").cast("bigint").alias("label"), F.col("Text").alias("text"))
+
+
 @query("sink_splits")
 def sink_splits(spark, d):
     lab = _labelled(spark, d)
-    split = three_way_split(lab, "doc_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)
     path = scratch_path(spark, "splits")
-    FS.write_splits(split.select("doc_id", "Label", "Text", "split"), path)
+    FS.write_splits(_with_split(lab).select("doc_id", "Label", "Text", "split"), path)
     back = FS.read_splits(spark, path)
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
                                      F.sum("Label").cast("bigint").alias("n_positive"))

@@ -139,6 +139,15 @@ def generate_greedy(spark, d):
     return out.select("item_id", NG.decode_words("new_tokens").alias("text"))
 
 
+@query("generate_t0")
+def generate_t0(spark, d):
+    """The sampler at temperature 0, its default: greedy."""
+    counts, prompts, fallback = _generation_inputs(spark, d)
+    out = NG.generate_sampled(prompts, counts, fallback, GEN_STEPS, GEN_TOP_K, 0.0, C.SEED,
+                              stop_token=T.END_OF_TEXT)
+    return out.select("item_id", NG.decode_words("new_tokens").alias("text"))
+
+
 @query("sample_next")
 def sample_next(spark, d):
     counts, prompts, fallback = _generation_inputs(spark, d)

@@ -97,7 +97,7 @@ SELECT token, token_id FROM vs ORDER BY token_id LIMIT 51"""
 SQL["encode_strict"] = f"""WITH {encoded_docs()}
 SELECT id AS doc_id, {ids_str('ids')} AS ids FROM enc"""
 
-_EN = f"""{tok('et', "(SELECT * FROM documents WHERE lang = 'en')", 'doc_id')},
+_EN = f"""{tok('et', 'documents', 'doc_id')},
 {vocab('ev', 'et')}, {specials('evs', 'ev')},
 {tok('bt', 'benchmark', 'item_id')}"""
 
@@ -331,7 +331,7 @@ _LM = f"""k AS (SELECT doc_id, text, floor(length(text)::DOUBLE * 0.9::DOUBLE)::
 sp AS (SELECT doc_id, substring(text, 1, k) AS tr, substring(text, k + 1) AS va FROM k),
 {tok('trt', 'sp', 'doc_id', 'tr')},
 {tok('vat', 'sp', 'doc_id', 'va')},
-cnt AS (SELECT a.token AS context, b.token AS next, count(*) AS n
+cnt AS MATERIALIZED (SELECT a.token AS context, b.token AS next, count(*) AS n
         FROM trt a JOIN trt b ON a.id = b.id AND b.pos = a.pos + 1 GROUP BY a.token, b.token)"""
 
 SQL["ngram_counts"] = f"""WITH {_LM} SELECT context, next, n::BIGINT AS n FROM cnt"""
@@ -353,8 +353,8 @@ SELECT count(*)::BIGINT AS n_docs, sum(n_targets)::BIGINT AS n_targets, round(av
 
 _GEN = f"""{_LM},
 {tok('bt', 'benchmark', 'item_id')},
-fb AS (SELECT min(token) AS t FROM trt),
-best AS (SELECT context, first(next ORDER BY n DESC, next) AS best FROM cnt GROUP BY context)"""
+fb AS MATERIALIZED (SELECT min(token) AS t FROM trt),
+best AS MATERIALIZED (SELECT context, first(next ORDER BY n DESC, next) AS best FROM cnt GROUP BY context)"""
 
 
 def _decode_sql(expr: str) -> str:
@@ -365,7 +365,7 @@ def _greedy(steps: int) -> str:
     ctes = ["g0 AS (SELECT b.item_id, s.toks[len(s.toks)] AS c, []::VARCHAR[] AS gen "
             "FROM benchmark b LEFT JOIN bt_s s ON s.id = b.item_id)"]
     for i in range(1, steps + 1):
-        ctes.append(f"""g{i} AS (SELECT g.item_id, coalesce(b.best, (SELECT t FROM fb)) AS c,
+        ctes.append(f"""g{i} AS MATERIALIZED (SELECT g.item_id, coalesce(b.best, (SELECT t FROM fb)) AS c,
        list_append(g.gen, coalesce(b.best, (SELECT t FROM fb))) AS gen
 FROM g{i - 1} g LEFT JOIN best b ON b.context = g.c)""")
     return f"""WITH {_GEN}, {", ".join(ctes)}
@@ -373,6 +373,7 @@ SELECT item_id, {_decode_sql('gen')} AS text FROM g{steps}"""
 
 
 SQL["generate_greedy"] = _greedy(5)
+SQL["generate_t0"] = SQL["generate_greedy"]  # <|endoftext|> never occurs in the corpus
 
 _LEVELS = """hist AS (SELECT context, n, count(*) AS m FROM cnt GROUP BY context, n),
 h2 AS (SELECT *, sum(m) OVER (PARTITION BY context ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS al
@@ -425,6 +426,9 @@ FROM documents d JOIN labels l ON l.doc_id = d.doc_id"""
 SQL["sink_splits"] = f"""WITH {shuffled('sh', '(SELECT l.doc_id, l.toxic FROM labels l JOIN documents d ON d.doc_id = l.doc_id)', 'doc_id', ', toxic')}
 SELECT {split_of()} AS split, count(*)::BIGINT AS n, sum(toxic)::BIGINT AS n_positive FROM sh GROUP BY 1"""
 
+SQL["sink_csv_splits"] = f"""WITH {shuffled('sh', '(SELECT l.doc_id, l.toxic, d.text FROM labels l JOIN documents d ON d.doc_id = l.doc_id)', 'doc_id', ', toxic, text')}
+SELECT {split_of()} AS split, toxic::BIGINT AS label, text FROM sh"""
+
 # ---------------------------------------------------------------- streaming (same answer as the batch form)
 SQL["stream_until_exit"] = SQL["conversation_until_exit"]
 

@@ -8,13 +8,13 @@ from tessera.functions import arrays as A
 from tessera.operators import metrics as M
 from tessera.operators import vectors as V
 from tessera.operators.conversations import until_exit
-from tessera.operators.ranking import rank_within_groups
+from tessera.operators.ranking import rank_within_groups, running_total
 from tessera.operators.sampling import shuffle_key, three_way_split
 from tessera.operators import tokens as TK
 from tessera.operators.tokens import encode_long
 from tessera.plans import common as C
 from tessera.plans.registry import query
-from tessera.session import load_table
+from tessera.session import load_table, materialize
 
 SOFT_WINDOW, HEADS = 16, 4
 
@@ -32,17 +32,26 @@ def embedded_splits(spark, d):
     return M.with_logits(e, head, "embedding"), head
 
 
-def loader_batches(spark, d):
-    """Batches per split: train in seeded shuffled order with drop_last, the
-    other splits in id order, short last batch kept."""
-    e, head = embedded_splits(spark, d)
-    e = M.predictions(e, head)
+def loader_keys(spark, d):
+    """(vec_id, split, batch_id): train in seeded shuffled order with drop_last,
+    the other splits in id order, short last batch kept.  Only keys are ranked."""
+    ids = load_table(spark, d, "embeddings").select("vec_id")
+    split = three_way_split(ids, "vec_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC).select("vec_id", "split")
     key = F.when(F.col("split") == "train", shuffle_key(C.SEED, "vec_id")).otherwise(F.lit(""))
-    ranked = rank_within_groups(e.withColumn("_key", key), ["split"], ["_key", "vec_id"], "_r")
-    sizes = {r["split"]: r["count"] for r in e.groupBy("split").count().collect()}  # <= 3 scalars
+    ranked = rank_within_groups(split.withColumn("_key", key), ["split"], ["_key", "vec_id"], "_r")
+    sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}  # <= 3 scalars
     keep_train = sizes.get("train", 0) // C.BATCH
-    b = ranked.withColumn("batch_id", F.floor(F.col("_r") / F.lit(C.BATCH)).cast("bigint"))
-    return b.where((F.col("split") != "train") | (F.col("batch_id") < F.lit(keep_train))), head
+    b = ranked.select("vec_id", "split", F.floor(F.col("_r") / F.lit(C.BATCH)).cast("bigint").alias("batch_id"))
+    return split, b.where((F.col("split") != "train") | (F.col("batch_id") < F.lit(keep_train)))
+
+
+def batch_metrics(spark, d):
+    """Rows, correct predictions and loss per (split, batch) of the centroid head."""
+    split, keys = loader_keys(spark, d)
+    emb = load_table(spark, d, "embeddings")
+    head = M.fit_centroids(emb.join(split.where(F.col("split") == "train"), "vec_id"), "embedding", "label")
+    e = M.predictions(M.with_logits(emb.join(keys, "vec_id"), head, "embedding"), head)
+    return M.batch_table(e)
 
 
 @query("centroid_logits")
@@ -70,55 +79,51 @@ def top_k_logits(spark, d):
             .withColumn("value", _r6(F.col("value"))))
 
 
+def _report(spark, d, **first):
+    r = M.report(batch_metrics(spark, d), **first)
+    return r.withColumn("accuracy", _r6(F.col("accuracy"))).withColumn("loss", _r6(F.col("loss")))
+
+
 @query("accuracy")
 def accuracy(spark, d):
-    b, _ = loader_batches(spark, d)
-    return M.accuracy_by(b, ["split"]).withColumn("accuracy", _r6(F.col("accuracy")))
+    return _report(spark, d).select("split", "n", "accuracy")
 
 
 @query("cross_entropy")
 def cross_entropy(spark, d):
-    b, _ = loader_batches(spark, d)
-    return M.loss_by(b, ["split"]).withColumn("loss", _r6(F.col("loss")))
+    return _report(spark, d).select("split", "n_batches", "loss")
 
 
 @query("split_report")
 def split_report(spark, d):
-    b, _ = loader_batches(spark, d)
-    acc = M.accuracy_by(b, ["split"])
-    loss = M.loss_by(b, ["split"]).drop("n_batches")
-    return acc.join(loss, "split").select("split", "n", _r6(F.col("accuracy")).alias("accuracy"),
-                                           _r6(F.col("loss")).alias("loss"))
+    return _report(spark, d).select("split", "n", "accuracy", "loss")
 
 
 @query("eval_first_batches")
 def eval_first_batches(spark, d):
     """The quick evaluation: accuracy over the first 10 batches and loss over
     the first 5 batches of each split (fewer if a split has fewer)."""
-    b, _ = loader_batches(spark, d)
-    acc = M.accuracy_by(b, ["split"], num_batches=10).select("split", "accuracy")
-    loss = M.loss_by(b, ["split"], num_batches=5).select("split", "loss")
-    return acc.join(loss, "split").select("split", _r6(F.col("accuracy")).alias("accuracy"),
-                                          _r6(F.col("loss")).alias("loss"))
+    return _report(spark, d, acc_batches=10, loss_batches=5).select("split", "accuracy", "loss")
+
+
+def _train_batches(spark, d):
+    _, keys = loader_keys(spark, d)
+    return keys.where(F.col("split") == "train").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("examples_seen")
 def examples_seen(spark, d):
-    b, _ = loader_batches(spark, d)
-    per = b.where(F.col("split") == "train").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
-    total = per.agg(F.sum("n")).first()[0] or 0  # scalar
-    # running count in batch order: full batches before this one + this one
-    return per.select("batch_id", "n",
-                      F.least(F.col("batch_id") * C.BATCH + F.col("n"), F.lit(total)).cast("bigint")
-                      .alias("examples_seen"))
+    """Running count of examples in batch order, whatever the batch sizes."""
+    per = _train_batches(spark, d).withColumn("_all", F.lit(0))
+    before = running_total(per, ["_all"], ["batch_id"], "n", "_before")
+    return before.select("batch_id", "n", (F.col("_before") + F.col("n")).cast("bigint").alias("examples_seen"))
 
 
 @query("eval_steps")
 def eval_steps(spark, d):
     """Evaluation steps over EPOCHS passes of the training loader: the global
     step counts from 0 and an evaluation happens when step % EVAL_FREQ == 0."""
-    b, _ = loader_batches(spark, d)
-    per = b.where(F.col("split") == "train").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    per = _train_batches(spark, d)
     nb = per.count()  # scalar: batches per epoch
     steps = (per.select("batch_id", "n", F.explode(F.sequence(F.lit(0), F.lit(C.EPOCHS - 1))).alias("epoch"))
              .withColumn("step", (F.col("epoch") * F.lit(nb) + F.col("batch_id")).cast("bigint")))
@@ -128,7 +133,7 @@ def eval_steps(spark, d):
 
 
 def _vec_rows(df, id_col="vec_id", vec="vec"):
-    return (df.select(id_col, F.posexplode(vec).alias("dim", "value"))
+    return (A.rows_of(df, [id_col], vec, "dim")
             .select(id_col, F.col("dim").cast("bigint").alias("dim"), _r6(F.col("value")).alias("value")))
 
 
@@ -158,15 +163,13 @@ def soft_history_heads(spark, d):
 
 @query("embed_tokens")
 def embed_tokens(spark, d):
-    vocab = C.doc_vocab(spark, d)
-    arrays = TK.tokenize(C.docs(spark, d))
-    lengths = arrays.select("doc_id", F.size("tokens").cast("bigint").alias("_len")).where(F.col("_len") > 0)
-    # occurrences per (doc, token) first, so the vocabulary lookup sees each pair once
-    pairs = (TK.word_tokens(C.docs(spark, d)).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("c"))
-             .withColumn("pos", F.lit(0).cast("bigint")))
-    ids = encode_long(pairs, vocab).select("doc_id", "token_id", "c")
-    pooled = V.pooled_token_embeddings(ids, lengths, load_table(spark, d, "embeddings"))
-    return _vec_rows(pooled, "doc_id")
+    # one tokenizing pass: occurrences per (doc, token), from which both the
+    # vocabulary and the encoded counts come
+    pairs = materialize(TK.word_tokens(C.docs(spark, d)).groupBy("doc_id", "token")
+                        .agg(F.count(F.lit(1)).alias("c")))
+    vocab = TK.vocabulary(pairs)
+    ids = encode_long(pairs, vocab, ["doc_id", "token"]).select("doc_id", "token_id", "c")
+    return _vec_rows(V.pooled_token_embeddings(ids, load_table(spark, d, "embeddings")), "doc_id")
 
 
 @query("conversation_until_exit")
