@@ -27,18 +27,20 @@ def read_labelled_csv(spark: SparkSession, path: str, multi_line: bool = True) -
     without them, which then split."""
     reader = (spark.read.schema(LABELLED_SCHEMA)
               .option("header", True).option("multiLine", multi_line).option("mode", "FAILFAST"))
-    return _lossless(reader).csv(path)
+    # a field that is not there is null, a quoted empty one is the empty text: the
+    # reader tells them apart only where its null mark is not the empty string
+    return _lossless(reader).option("nullValue", "\0null\0").option("emptyValue", "").csv(path)
 
 
 def write_labelled_csv(df: DataFrame, path: str) -> None:
     out = df.select(F.col("Label").cast("int"), F.col("Text").cast("string"))
-    _lossless(out.write.mode("overwrite").option("header", True)).csv(path)
+    _lossless(out.write.mode("overwrite").option("header", True)).option("nullValue", "").csv(path)
 
 
 def _lossless(io):
     """Options under which a text comes back as written: no trimming, an empty
     text as ``""`` and a null as nothing, quotes doubled."""
-    return (io.option("quote", '"').option("escape", '"').option("nullValue", "")
+    return (io.option("quote", '"').option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
