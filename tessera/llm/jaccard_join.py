@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (arrow_text, attach_by_key, batches_of, connected_components, id_text, spread,
@@ -40,8 +40,11 @@ from tessera.session import shuffle_partitions
 GROUP_SHINGLES = 3_000_000
 #: Sets whose computed overlaps a local join keeps to derive others from.
 PIVOTS = 6
-#: Digests remembered per task to send equal sets once (only saves work).
-_SEEN = 500_000
+#: Candidate rows (about 60 bytes each) that are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Digests remembered per task to send equal sets once, and list entries that a
+#: task combines at a time (both only save work).
+_SEEN, TASK_KEYS = 500_000, 2_000_000
 _A, _B, _C = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xC2B2AE3D27D4EB4F), 0x165667B19E3779F9
 
 
@@ -96,52 +99,91 @@ def doc_sets(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
         yield np.unique(shingles(h[at[i]:at[i + 1]], words))
 
 
-_SIGNED = ("doc_id long, n int, digest binary, cls int, first boolean, keys array<long>")
+def _digests(words: int) -> Callable:
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            yield from batches_of(((i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest()) for i, s in
+                                   zip(b.column(0).to_pylist(), doc_sets(b, words), strict=True)), schema)
+    return run
 
 
-def _sign(words: int, percent: int) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("digest", pa.binary()), ("cls", pa.int32()),
-                        ("first", pa.bool_()), ("keys", pa.list_(pa.int64()))])
+_POSTINGS = "key long, doc_id long, cls int, head long"
+
+
+def _postings(words: int, percent: int) -> Callable:
+    """Entries of the inverted lists, combined within the task: per key the
+    smallest id; the other sets of a key go out as finished (id, head) pairs,
+    so a key that very many sets share leaves a task as one entry."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("cls", pa.int32()), ("head", pa.int64())])
 
     def run(batches):
         seen: set[bytes] = set()
+        keys: list[np.ndarray] = []
+        of: list[tuple[int, int, int]] = []  # (doc_id, class, keys)
+        held = 0
         for b in batches:
-            rows, keys = [], []
             for i, s in zip(b.column(0).to_pylist(), doc_sets(b, words), strict=True):
                 digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                new = digest not in seen
+                if i is None or digest in seen:
+                    continue
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(digest)
-                signed = signatures(s, percent) if new else []
-                # the row of part -1 stands for the document, the others hold its keys
-                rows.append((i, len(s), digest, -1, new and len(s) > 0))
-                keys.append(np.zeros(0, np.int64))
-                for c, k in signed:
-                    rows.append((i, len(s), digest, c, True))
-                    keys.append(k.view(np.int64))
-                if len(rows) >= 4096:
-                    yield _signed_batch(rows, keys, schema)
-                    rows, keys = [], []
-            if rows:
-                yield _signed_batch(rows, keys, schema)
+                for c, k in signatures(s, percent):
+                    keys.append(k)
+                    of.append((i, c, len(k)))
+                    held += len(k)
+                if held >= TASK_KEYS:
+                    yield from combine(keys, of)
+                    keys, of, held = [], [], 0
+        if of:
+            yield from combine(keys, of)
+
+    def combine(keys, of):
+        key = np.concatenate(keys)
+        ids, cls, size = (np.array(x, np.int64) for x in zip(*of))
+        doc, cls = np.repeat(ids, size), np.repeat(cls, size)
+        order = np.argsort(key, kind="stable")
+        key, doc, cls = key[order], doc[order], cls[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        head = np.minimum.reduceat(doc, begin)
+        yield from out(key[begin].view(np.int64), head, cls[begin], None)
+        every = np.repeat(head, np.diff(np.append(begin, len(key))))
+        other = every != doc
+        if other.any():
+            pairs = np.unique(np.stack([cls[other], doc[other], every[other]]), axis=1)
+            own = mix((pairs[1].astype(np.uint64) * _A) ^ (pairs[2].astype(np.uint64) * _B))
+            yield from out(own.view(np.int64), pairs[1], pairs[0], pairs[2])
+
+    def out(key, doc, cls, head):
+        for lo in range(0, len(key), 50_000):
+            cut = slice(lo, lo + 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[cut]), pa.array(doc[cut]), pa.array(cls[cut].astype(np.int32)),
+                 pa.nulls(len(key[cut]), pa.int64()) if head is None else pa.array(head[cut])], schema=schema)
     return run
 
 
-def _signed_batch(rows: list, keys: list, schema: pa.Schema) -> pa.RecordBatch:
-    cols = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), list(schema)[:-1], strict=True)]
-    offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys), type=pa.int64()))
-    return pa.RecordBatch.from_arrays([*cols, lists], schema=schema)
+_MEMBER = "doc_id long, cls int, copies long, chunk long, a long, b long, tokens binary, grp long, n long"
 
 
 def _sets(words: int) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
-
+    """Members of blocks with their text: the text gives way to its shingle set."""
     def run(batches):
         for b in batches:
-            yield from batches_of(((i, len(s), s.tobytes()) for i, s in
-                                   zip(b.column(0).to_pylist(), doc_sets(b, words), strict=True)), schema)
+            plain = b.select(["doc_id", "cls", "copies", "chunk", "a", "b", "grp", "n"])
+            lo, held, size = 0, [], 0
+            for i, s in enumerate(doc_sets(b, words), 1):
+                held.append(s.tobytes())
+                size += len(held[-1])
+                if size > 4 << 20 or i == b.num_rows:
+                    c = plain.slice(lo, i - lo)
+                    yield pa.RecordBatch.from_arrays(
+                        [*c.columns[:6], pa.array(held, pa.binary()), *c.columns[6:]],
+                        names=["doc_id", "cls", "copies", "chunk", "a", "b", "tokens", "grp", "n"])
+                    lo, held, size = i, [], 0
     return run
 
 
@@ -274,7 +316,9 @@ def _join_groups(percent: int) -> Callable:
             key, held = None, []
             for b in batches:
                 for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    # doc_id, cls, copies, chunk, a, b, tokens, group
+                    # doc_id, cls, copies, chunk, a, b, tokens, group, n
+                    if held and r[0] == held[-1][0] and (r[7], r[1], r[4], r[5]) == key:
+                        continue  # a row that repeats an id
                     if (r[7], r[1], r[4], r[5]) != key:
                         if len(held) > 1:
                             yield from join(held)
@@ -323,16 +367,18 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     an empty result."""
     rows = spread(id_text(docs, id_col, text_col))
     n_parts = shuffle_partitions(docs.sparkSession)
-    signed = stored(rows.mapInArrow(_sign(words, percent), _SIGNED), "signed")
-    people = signed.where("cls = -1").select("doc_id", F.col("n").cast("long").alias("n"), "digest", "first")
+    people = stored(rows.mapInArrow(_digests(words), "doc_id long, n long, digest binary"), "sets")
     classes = stored(people.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"),
-                                                                 F.count(F.lit(1)).alias("copies")), "classes")
-
-    postings = signed.where("cls >= 0").select("doc_id", "cls", F.explode("keys").alias("key"))
-    lists = (postings.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("_last"))
-             .where("_last > head").select("key", "head"))
-    meet = postings.join(lists, "key").where("doc_id != head").select("cls", "doc_id", "head").distinct()
-    rep_of = people.where("first").join(classes, "digest").select("doc_id", "rep").distinct()
+                                                                 F.count(F.lit(1)).alias("copies"),
+                                                                 F.max("n").alias("n")), "classes")
+
+    postings = rows.mapInArrow(_postings(words, percent), _POSTINGS)
+    # a list holds at most one entry per task (and bundle of its keys)
+    head = F.coalesce("head", F.min("doc_id").over(Window.partitionBy("key")))
+    meet = stored(postings.withColumn("head", head).where("doc_id != head").select("cls", "doc_id", "head").distinct(),
+                  "meet")
+    met = meet.select("doc_id").union(meet.select("head")).distinct()
+    rep_of = people.join(met, "doc_id", "left_semi").join(classes, "digest").select("doc_id", "rep").distinct()
     edges = (meet.join(rep_of, "doc_id").select("cls", "head", F.col("rep").alias("x"))
              .join(rep_of.withColumnRenamed("doc_id", "head"), "head")
              .where("x != rep")
@@ -342,22 +388,21 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     members = stored(groups.select(F.col("node.cls").alias("cls"), F.col("node.id").alias("doc_id"),
                                    F.xxhash64("component").alias("grp")), "members")
 
-    wanted = members.select("doc_id").distinct()
-    texts = rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(texts.mapInArrow(_sets(words), "doc_id long, n long, tokens binary"), "sets")
-    sized = (members.join(sets.select("doc_id", "n"), "doc_id")
-             .join(classes.select(F.col("rep").alias("doc_id"), "copies"), "doc_id"))
-    blocks = _blocks(sized, percent).join(sets.select("doc_id", "tokens"), "doc_id")
-    links = (blocks.repartition(n_parts, "grp", "cls", "a", "b")
+    sized = members.join(classes.select(F.col("rep").alias("doc_id"), "copies", "n"), "doc_id")
+    blocks = stored(_blocks(sized, percent), "blocks")
+    if blocks.count() <= BROADCAST_ROWS:
+        blocks = F.broadcast(blocks)  # else: a shuffle join on the id
+    links = (rows.join(blocks, "doc_id").select("doc_id", "text", "cls", "copies", "chunk", "a", "b", "grp", "n")
+             .mapInArrow(_sets(words), _MEMBER)
+             .repartition(n_parts, "grp", "cls", "a", "b")
              .sortWithinPartitions("grp", "cls", "a", "b", "n", "doc_id")
-             .select("doc_id", "cls", "copies", "chunk", "a", "b", "tokens", "grp")
              .mapInArrow(_join_groups(percent), _LINKS))
     links = stored(links, "links")
     component = connected_components(links.select("u", "v"))
     degree = links.groupBy(F.col("u").alias("rep")).agg(F.sum("n_links").alias("_links"))
 
     linked = (component.withColumnRenamed("node", "rep").join(degree, "rep", "left"))
-    lookup = (classes.join(linked, "rep", "left")
+    lookup = (classes.drop("n").join(linked, "rep", "left")
               .select("digest", "copies", F.coalesce("component", "rep").alias("_component"),
                       (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("_n_links")))
     out = attach_by_key(people.select("doc_id", "n", "digest"), lookup, ["digest"], "copies", F.col("doc_id"))
