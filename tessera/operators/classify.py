@@ -7,80 +7,104 @@ any table, name the class ("spam" / "not spam"), save and load the model.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators.lookup import salted_lookup
 from tessera.session import materialize
 
-MAX_CLASSES = 100_000
+#: Classes of one row of the class blocks that documents are scored against.
+CLASS_BLOCK = 1024
 
 
 @dataclass
 class NaiveBayes:
-    """Fitted model: per-class prior and unseen-token log-probability on the
-    driver (classes are few; checked), token table distributed."""
-    classes: list[int]
-    log_prior: list[float]
-    log_unseen: list[float]
-    token_table: DataFrame  # (token, log_ps ARRAY<DOUBLE> over classes, freq)
-    pairs: DataFrame        # (class, token, log_p) for observed pairs
+    """Fitted model, all of it tables: ``classes`` (class, log_prior,
+    log_unseen, n_tokens) and the observed ``pairs`` (class, token, log_p,
+    gain, n), where gain = log_p - log_unseen > 0."""
+    classes: DataFrame
+    pairs: DataFrame
+
+    def token_table(self) -> DataFrame:
+        """(token, seen ARRAY<STRUCT<class, gain>>, freq): only observed classes."""
+        return self.pairs.groupBy("token").agg(F.collect_list(F.struct("class", "gain")).alias("seen"),
+                                               F.sum("n").alias("freq"))
+
+    def save(self, path: str) -> None:
+        self.classes.write.mode("overwrite").parquet(f"{path}/classes")
+        self.pairs.write.mode("overwrite").parquet(f"{path}/pairs")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> NaiveBayes:
+        return NaiveBayes(spark.read.parquet(f"{path}/classes"), spark.read.parquet(f"{path}/pairs"))
 
 
 def train_naive_bayes(labelled_tokens: DataFrame, labelled_docs: DataFrame, class_col: str,
                       alpha: float = 1.0) -> NaiveBayes:
     """``labelled_tokens`` (doc_id, token, class_col), ``labelled_docs``
-    (doc_id, class_col).  log p(t|c) = ln((n_ct + a) / (N_c + a|V|))."""
-    counts = materialize(labelled_tokens.groupBy(F.col(class_col).alias("class"), "token").agg(
-        F.count(F.lit(1)).alias("n_ct")))
-    stats = counts.agg(F.countDistinct("token").alias("v")).first()
-    v = stats["v"] or 0
-    per_class = {r["class"]: r["N"] for r in counts.groupBy("class").agg(F.sum("n_ct").alias("N")).collect()}
-    docs_per_class = {r[class_col]: r["count"] for r in labelled_docs.groupBy(class_col).count().collect()}
-    if len(docs_per_class) > MAX_CLASSES:
-        raise ValueError("too many classes for a driver-side prior table")
-    classes = sorted(docs_per_class)
-    total_docs = sum(docs_per_class.values())
-    denom = {c: per_class.get(c, 0) + alpha * v for c in classes}
-    log_prior = [math.log(docs_per_class[c] / total_docs) for c in classes]
-    log_unseen = [math.log(alpha / denom[c]) if denom[c] > 0 else float("-inf") for c in classes]
-    denom_expr = F.element_at(F.lit([float(denom[c]) for c in classes]),
-                              F.array_position(F.lit(classes), F.col("class")).cast("int"))
-    pairs = counts.select("class", "token", "n_ct",
-                          F.log((F.col("n_ct") + F.lit(alpha)) / denom_expr).alias("log_p"))
-    table = (pairs.groupBy("token")
-             .agg(F.map_from_entries(F.collect_list(F.struct("class", "log_p"))).alias("_m"),
-                  F.sum("n_ct").alias("freq"))
-             .select("token", "freq",
-                     F.transform(F.lit(classes), lambda c, i: F.coalesce(
-                         F.element_at(F.col("_m"), c), F.element_at(F.lit(log_unseen), i + 1))).alias("log_ps")))
-    return NaiveBayes(classes, log_prior, log_unseen, table,
-                      pairs.select(F.col("class").cast("bigint").alias("class"), "token", "log_p"))
+    (doc_id, class_col).  log p(t|c) = ln((n_ct + a) / (N_c + a|V|)).  Any
+    number of classes; two scalars (documents, vocabulary size) reach the driver."""
+    counts = materialize(labelled_tokens.groupBy(F.col(class_col).cast("bigint").alias("class"), "token").agg(
+        F.count(F.lit(1)).alias("n")))
+    v = counts.agg(F.countDistinct("token")).first()[0] or 0
+    docs = labelled_docs.groupBy(F.col(class_col).cast("bigint").alias("class")).agg(F.count(F.lit(1)).alias("_d"))
+    total = docs.agg(F.sum("_d")).first()[0] or 0
+    tokens = counts.groupBy("class").agg(F.sum("n").alias("n_tokens"))
+    denom = F.coalesce("n_tokens", F.lit(0)) + F.lit(alpha * v)
+    classes = materialize(docs.join(tokens, "class", "left").select(
+        "class", F.log(F.col("_d") / F.lit(float(total))).alias("log_prior"),
+        F.when(denom > 0, F.log(F.lit(alpha) / denom)).otherwise(F.lit(float("-inf"))).alias("log_unseen"),
+        F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")))
+    per_class = classes.select("class", "log_unseen", "n_tokens", F.col("n_tokens").alias("freq"))
+    pairs = salted_lookup(counts, per_class, "class", ["token"], how="inner")
+    log_p = F.log((F.col("n") + F.lit(alpha)) / (F.col("n_tokens") + F.lit(alpha * v)))
+    return NaiveBayes(classes, pairs.select("class", "token", log_p.alias("log_p"),
+                                            (log_p - F.col("log_unseen")).alias("gain"), "n"))
 
 
 def classify_naive_bayes(model: NaiveBayes, tokens: DataFrame, docs: DataFrame,
                          id_col: str = "doc_id") -> DataFrame:
     """(id, predicted): argmax_c prior_c + sum_t count(t) log p(t|c); tokens
     outside the training vocabulary are ignored; ties -> lowest class.
-    Token counts per document are pre-aggregated, then looked up (salted)."""
+
+    A class that saw none of a document's T known tokens scores
+    prior + T * log_unseen; one that saw some gains on top of it.  So the best
+    of all classes on the first formula, one answer per distinct T, against the
+    classes observed for the document gives the argmax without a row for every
+    (document, class)."""
     counted = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("_c"))
-    looked = salted_lookup(counted, model.token_table, "token", [id_col, "token"], how="inner")
-    scaled = looked.select(id_col, A.scale(F.col("log_ps"), F.col("_c").cast("double")).alias("_s"))
-    per_doc = scaled.groupBy(id_col).agg(F.collect_list("_s").alias("_l"))
-    prior = F.lit(model.log_prior)
-    summed = F.aggregate("_l", prior, lambda acc, x: A.add(acc, x))
-    scores = (docs.select(id_col).join(per_doc, id_col, "left")
-              .select(id_col, F.when(F.col("_l").isNull(), prior).otherwise(summed).alias("scores")))
-    return scores.select(id_col, F.element_at(F.lit(model.classes), A.argmax(F.col("scores")) + 1)
-                         .cast("bigint").alias("predicted"))
+    looked = salted_lookup(counted, model.token_table(), "token", [id_col, "token"], how="inner")
+    # a null class stands for the document itself: its number of known tokens
+    own = F.array(F.struct(F.lit(None).cast("bigint").alias("class"), F.lit(1.0).alias("gain")))
+    sums = (looked.select(id_col, "_c", F.explode_outer(F.concat(own, "seen")).alias("_s"))
+            .groupBy(id_col, F.col("_s.class").alias("class")).agg(F.sum(F.col("_c") * F.col("_s.gain")).alias("_x")))
+    sums = materialize(sums)
+    known = (docs.select(id_col).join(sums.where(F.col("class").isNull()).select(id_col, F.col("_x").alias("_t")),
+                                      id_col, "left").fillna(0.0, ["_t"]))
+
+    def score(extra):
+        return F.struct((F.col("log_prior") + F.col("_t") * F.col("log_unseen") + extra).alias("s"),
+                        (-F.col("class")).alias("c"))
+
+    seen = (sums.where(F.col("class").isNotNull()).join(known, id_col)
+            .join(model.classes, "class").groupBy(id_col).agg(F.max(score(F.col("_x"))).alias("_seen")))
+    n_blocks = max(1, -(-model.classes.count() // CLASS_BLOCK))  # scalar
+    blocks = (model.classes.groupBy(F.pmod(F.xxhash64("class"), F.lit(n_blocks)).alias("_block"))
+              .agg(F.collect_list(F.struct("class", "log_prior", "log_unseen")).alias("_all")))
+    by_length = (known.select("_t").distinct()
+                 .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
+                 .join(blocks, "_block"))
+    plain = by_length.select("_t", F.array_max(F.transform("_all", lambda c: F.struct(
+        (c["log_prior"] + F.col("_t") * c["log_unseen"]).alias("s"), (-c["class"]).alias("c")))).alias("_best"))
+    plain = plain.groupBy("_t").agg(F.max("_best").alias("_plain"))
+    return (known.join(plain, "_t", "left").join(seen, id_col, "left")
+            .select(id_col, (-F.greatest("_seen", "_plain")["c"]).alias("predicted")))
 
 
 def class_name(pred_col: str = "predicted") -> F.Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators import classify as CL
 from tessera.operators import ngram as NG
@@ -28,13 +29,13 @@ def labelled_docs(spark, d):
 
 def nb_model(spark, d):
     ld = labelled_docs(spark, d)
-    toks = TK.word_tokens(ld.select("doc_id", "text")).join(ld.select("doc_id", "class"), "doc_id")
+    toks = A.rows_of(ld, ["doc_id", "class"], T.word_tokens("text"), value="token")
     return CL.train_naive_bayes(toks, ld.select("doc_id", "class"), "class")
 
 
 @query("nb_train")
 def nb_train(spark, d):
-    return nb_model(spark, d).pairs.withColumn("log_p", _r6(F.col("log_p")))
+    return nb_model(spark, d).pairs.select("class", "token", _r6(F.col("log_p")).alias("log_p"))
 
 
 @query("nb_classify")
@@ -62,11 +63,11 @@ def train_linear_head(spark, d):
 
 @query("model_roundtrip")
 def model_roundtrip(spark, d):
-    data = _lr_data(spark, d)
-    model = CL.fit_linear_head(data.where(F.col("split") == "train"), max_iter=20)
-    path = scratch_path(spark, "linear-head")
-    CL.save_model(model, path)
-    return CL.score_linear_head(CL.load_model(path), data)
+    """Save the classifier, load it, score the documents with what was loaded."""
+    path = scratch_path(spark, "naive-bayes")
+    nb_model(spark, d).save(path)
+    docs = C.docs(spark, d)
+    return CL.classify_naive_bayes(CL.NaiveBayes.load(spark, path), TK.word_tokens(docs), docs)
 
 
 @query("training_trace")

@@ -312,19 +312,34 @@ SQL["nb_train"] = f"""WITH {_NB}
 SELECT tc.class::BIGINT AS class, tc.token, round(ln((tc.n + 1) / (nc.nn + (SELECT v FROM nv))), 6) AS log_p
 FROM tc JOIN nc ON nc.class = tc.class"""
 
-SQL["nb_classify"] = f"""WITH {_NB},
-{tok('allt', 'documents', 'doc_id')},
+
+
+def _nb_scores(src: str, id_col: str) -> str:
+    """CTEs: ``best`` (id, predicted) of the texts of ``src``."""
+    return f"""{_NB},
+{tok('allt', src, id_col)},
 ac AS (SELECT id, token, count(*) AS c FROM allt WHERE token IN (SELECT token FROM tc) GROUP BY id, token),
 lp AS (SELECT cls.class, v.token,
               ln((coalesce(tc.n, 0) + 1) / (coalesce(nc.nn, 0) + (SELECT v FROM nv))) AS lp
        FROM cls CROSS JOIN (SELECT DISTINCT token FROM tc) v
        LEFT JOIN tc ON tc.class = cls.class AND tc.token = v.token LEFT JOIN nc ON nc.class = cls.class),
-sc AS (SELECT d.doc_id, cls.class,
+sc AS (SELECT d.{id_col} AS id, cls.class,
               ln(cls.nd / (SELECT sum(nd) FROM cls)) + coalesce(sum(ac.c * lp.lp), 0) AS s
-       FROM documents d CROSS JOIN cls LEFT JOIN ac ON ac.id = d.doc_id
+       FROM {src} d CROSS JOIN cls LEFT JOIN ac ON ac.id = d.{id_col}
        LEFT JOIN lp ON lp.class = cls.class AND lp.token = ac.token
-       GROUP BY d.doc_id, cls.class, cls.nd)
-SELECT doc_id, first(class ORDER BY s DESC, class)::BIGINT AS predicted FROM sc GROUP BY doc_id"""
+       GROUP BY d.{id_col}, cls.class, cls.nd),
+best AS (SELECT id, first(class ORDER BY s DESC, class)::BIGINT AS predicted FROM sc GROUP BY id)"""
+
+
+SQL["nb_classify"] = f"""WITH {_nb_scores('documents', 'doc_id')}
+SELECT id AS doc_id, predicted FROM best"""
+SQL["model_roundtrip"] = SQL["nb_classify"]
+
+SQL["stream_score"] = f"""WITH kept AS ({SQL["conversation_until_exit"].replace("SELECT c.conv_id", "SELECT c.role, c.conv_id")}),
+msgs AS (SELECT conv_id, turn, text, conv_id::VARCHAR || ':' || turn::VARCHAR AS mid FROM kept WHERE role = 'user'),
+{_nb_scores('msgs', 'mid')}
+SELECT conv_id, turn, text, predicted, CASE WHEN predicted = 1 THEN 'spam' ELSE 'not spam' END AS verdict
+FROM msgs JOIN best ON best.id = msgs.mid"""
 
 # ---------------------------------------------------------------- bigram LM and generation
 _LM = f"""k AS (SELECT doc_id, text, floor(length(text)::DOUBLE * 0.9::DOUBLE)::BIGINT AS k FROM documents),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.plans import common as C
-from tessera.plans.models import _lr_data
+from tessera.plans.models import nb_model
 from tessera.plans.registry import query
 from tessera.operators import classify as CL
 from tessera.session import load_table, scratch_path
@@ -34,17 +34,16 @@ def stage_conversations(spark, d) -> str:
 
 @query("stream_score")
 def stream_score(spark, d):
-    data = _lr_data(spark, d)
-    model = CL.fit_linear_head(data.where(F.col("split") == "train"), max_iter=20)
-    model_path = scratch_path(spark, "stream-model")
-    CL.save_model(model, model_path)
+    """A saved classifier scores the user's messages as they arrive; nothing is
+    scored from a conversation's exit word on."""
+    path = scratch_path(spark, "stream-model")
+    nb_model(spark, d).save(path)
     source = stage_conversations(spark, d)
-    stream = SS.read_message_stream(spark, source, SS.CONVERSATION_SCHEMA)
-    user = stream.where(F.col("role") == "user")
-    scored = SS.score_messages(user, CL.load_model(model_path), C.EXIT_WORDS, ["conv_id", "turn"])
+    stream = SS.until_exit_stream(SS.read_message_stream(spark, source, SS.CONVERSATION_SCHEMA), C.EXIT_WORDS)
     sink = scratch_path(spark, "scored")
-    SS.run_to_parquet(scored, sink, scratch_path(spark, "scored-ckpt"))
-    return spark.read.parquet(sink)
+    SS.score_batches(stream.where(F.col("role") == "user"), CL.NaiveBayes.load(spark, path), sink,
+                     scratch_path(spark, "scored-ckpt"))
+    return spark.read.schema(SS.SCORED_SCHEMA).parquet(f"{sink}/*")
 
 
 @query("stream_until_exit")

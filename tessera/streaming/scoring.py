@@ -3,6 +3,7 @@
 * ``score_messages``: every arriving message is classified by a saved model and
   emitted with its verdict; exit words are not scored.  Stateless: the model
   is a fitted ``PipelineModel`` whose stages all transform streams.
+* ``score_batches``: the same with the naive Bayes tables, per micro-batch.
 * ``until_exit_stream``: a conversation ends at its first exit word; turns from
   there on are dropped, whenever they arrive.  Keyed state per conversation =
   the turn it stops at (one number, kept for good: an ended conversation never
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tessera.operators.classify import class_name, with_tokens
+from tessera.operators.classify import NaiveBayes, class_name, classify_naive_bayes, with_tokens
 from tessera.operators.conversations import exit_predicate
+from tessera.operators.tokens import word_tokens
 
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 
@@ -37,6 +39,24 @@ def score_messages(stream: DataFrame, model: PipelineModel, words, id_cols: list
                          class_name("prediction").alias("verdict"))
 
 
+SCORED_SCHEMA = "conv_id BIGINT, turn BIGINT, text STRING, predicted BIGINT, verdict STRING"
+
+
+def score_batches(stream: DataFrame, model: NaiveBayes, sink: str, checkpoint: str) -> None:
+    """Score every micro-batch with the tables of ``model``.  A batch writes
+    its own folder, replacing it when the batch is run again after a failure,
+    so every message is scored exactly once."""
+    def one(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("_id", F.struct("conv_id", "turn")).persist()
+        scored = classify_naive_bayes(model, word_tokens(rows, "_id"), rows, "_id")
+        out = rows.join(scored, "_id").select("conv_id", "turn", "text", "predicted", class_name().alias("verdict"))
+        out.write.mode("overwrite").parquet(f"{sink}/batch-{number}")
+        rows.unpersist()
+
+    (stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def run_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> None:
     """Process everything available, append to parquet, stop (exactly-once
     file sink + checkpoint: a restarted job resumes where it stopped)."""

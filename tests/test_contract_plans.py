@@ -12,7 +12,8 @@ from conftest import SF_SMALL
 
 FAST = ["word_tokens", "vocab", "encode_unk", "decode_words", "token_windows", "pack_documents",
         "three_way_split", "balanced_sample", "split_report", "nb_classify", "lm_loss",
-        "generate_sampled", "soft_history_heads", "embed_tokens", "conversation_until_exit"]
+        "generate_sampled", "soft_history_heads", "embed_tokens", "conversation_until_exit", "generate_t0",
+        "model_roundtrip", "stream_score", "sink_csv_splits", "examples_seen", "nb_train"]
 
 
 def test_entry_runs(spark):
@@ -23,7 +24,7 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(E.queries()) >= 60
+    assert len(E.queries()) >= 60  # those of optional subpackages come on top
 
 
 @pytest.fixture(scope="module")

@@ -122,3 +122,29 @@ def test_rank_within_a_hot_and_a_null_group(spark):
     for r in sorted(got, key=lambda r: r.i):
         assert r.r == seen.get(r.g, 0)
         seen[r.g] = r.r + 1
+
+
+def test_naive_bayes_with_many_classes(spark):
+    import math
+    from collections import Counter
+
+    from tessera.functions import text as T
+    from tessera.operators import classify as CL
+    n = 1500  # more than one block of classes
+    rows = [(i, f"w{i % 40} w{i % 7} common" + (" w3 w3" if i % 5 == 0 else ""), i % n) for i in range(2 * n)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, class BIGINT")
+    toks = A.rows_of(df, ["doc_id", "class"], T.word_tokens("text"), value="token")
+    model = CL.train_naive_bayes(toks, df, "class")
+    probes = [(0, "w3 w3 w3"), (1, "common w5 w39"), (2, "zzz"), (3, ""), (4, "w1 " * 30)]
+    test = spark.createDataFrame(probes, "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.predicted for r in CL.classify_naive_bayes(
+        model, A.rows_of(test, ["doc_id"], T.word_tokens("text"), value="token"), test).collect()}
+    words = {c: Counter() for c in range(n)}
+    for _, t, c in rows:
+        words[c].update(t.split())
+    vocab = set().union(*words.values())
+    for i, t in probes:
+        known = [w for w in t.split() if w in vocab]
+        scores = [math.log(1 / n) + sum(math.log((words[c][w] + 1) / (sum(words[c].values()) + len(vocab))) for w in known)
+                  for c in range(n)]
+        assert scores[got[i]] == pytest.approx(max(scores)), i

@@ -66,7 +66,7 @@ def test_naive_bayes_matches_brute_force(spark):
 
 
 def test_bpe_roundtrip_and_tiktoken_parity(spark):
-    texts = ["Hello, do you like tea? <|endoftext|> In the sunlit terraces of someunknownPlace.",
+    texts = ["Rain again, so we stay in. <|endoftext|> Nobody at theNewHarbour minds.",
              "héllo wörld 123  spaces\n\nnew lines", ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
     model = B.build_ranks(spark, df, pieces=64)

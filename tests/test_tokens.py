@@ -1,6 +1,5 @@
 """Word tokenizer, vocabulary, encode/decode: golden literals and properties."""
 
-import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,11 +8,21 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import tokens as TK
 
-PY_SPLIT = re.compile(r'([,.:;?_?!"()\']|--|\s)')
-
 
 def py_tokens(s):
-    return [i.strip() for i in PY_SPLIT.split(s) if i.strip()]
+    """A scanner by hand: a mark or a double dash is a token, white space ends one."""
+    out, word, i = [], "", 0
+    while i < len(s):
+        width = 2 if s.startswith(T.DOUBLE_DASH, i) else 1
+        cut = width == 2 or s[i] in T.PUNCT_CHARS or s[i].isspace()
+        if cut:
+            out += [word] if word else []
+            out += [] if s[i].isspace() else [s[i:i + width]]
+            word = ""
+        else:
+            word += s[i]
+        i += width
+    return out + ([word] if word else [])
 
 
 def spark_tokens(spark, texts):
@@ -88,7 +97,10 @@ def test_strict_encode_fails_on_unknown(spark):
 def test_decode_rule_is_lossy_like_the_studied_one(spark):
     df = spark.createDataFrame([(["a", ",", "b", ":", "(", "c", ")", "--", "d"],)], "t ARRAY<STRING>")
     out = df.select(T.decode_tokens(F.col("t")).alias("s")).first().s
-    assert out == re.sub(r'\s+([,.?!"()\'])', r"\1", " ".join(["a", ",", "b", ":", "(", "c", ")", "--", "d"]))
+    want = ""
+    for token in ["a", ",", "b", ":", "(", "c", ")", "--", "d"]:
+        want += token if not want or token in T.DECODE_GLUE_CHARS else " " + token
+    assert out == want
 
 
 def test_java_space_class_equals_python_isspace(spark):
