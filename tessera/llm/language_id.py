@@ -125,6 +125,7 @@ def build_model(languages: list[str], lang: np.ndarray, code: np.ndarray, n: np.
                 max_contexts: int = 24_000) -> Model:
     """Context trees from counts of (language, three context bytes, byte)."""
     total = np.bincount((code & 255).astype(np.int64), weights=n, minlength=256)
+    total[0] = total.sum() + 1  # the byte before a text's start always has its own symbol
     own = np.argsort(-total, kind="stable")[:MAX_SYMBOLS - 1]
     own = own[total[own] > 0]
     s = len(own) + 1
