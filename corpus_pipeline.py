@@ -16,14 +16,18 @@ from tessera.llm.common import stored, table
 
 #: Near duplicates: shingles of five words, Jaccard similarity of 0.8 or more.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: Dropped ids (8 bytes each) that are broadcast to the documents; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 #: A benchmark passage: this many consecutive words.
 WINDOW = 10
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not in ``dropped`` (rows of a null id stay)."""
-    return docs.join(dropped.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(
-        *docs.columns)
+    ids = stored(dropped.select("doc_id").where("doc_id is not null").distinct(), "dropped")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)  # else: a shuffle join
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +38,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; a repeated row stays once."""
-    return _without(docs, exact_dedup.exact_dedup(docs, larger=True).where("not kept")).dropDuplicates(["doc_id", "text"])
+    kept = _without(docs, exact_dedup.exact_dedup(docs, larger=True).where("not kept"))
+    again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+                            .select(*docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

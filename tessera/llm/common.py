@@ -3,7 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +129,27 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .select("node", F.coalesce("component", "node").alias("component")))
 
 
+def released(run: Callable) -> Callable:
+    """``run`` for mapInArrow, which gives the Arrow memory that its task no
+    longer uses back to the machine when it ends (workers live on)."""
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return wrapped
+
+
+def text_slices(batch: pa.RecordBatch, name: str = "text", size: int = 4 << 20) -> Iterator[tuple]:
+    """(bytes, offsets, first row, end row) of stretches of about ``size`` bytes
+    of text, so that what is derived from a batch at once stays small; a longer
+    text is a stretch of its own."""
+    buf, offsets = arrow_text(batch, name)
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
+        yield buf, offsets[lo:hi + 1], lo, hi
+        lo = hi
+
+
 def arrow_text(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column of an Arrow batch, nulls as empty."""
     import pyarrow.compute as pc

@@ -5,8 +5,10 @@ and cut into position blocks (equal hash ranges).  Two sets that link differ in
 at most ``d`` shingles, so of more than ``d`` blocks that hold anything one is
 equal in both: an inverted list is kept per (size class, position block, block
 content), and a set skips every list but those of its own blocks.  Lists of one
-set drop out; the rest tie sets into candidate groups (connected components of
-member-to-smallest-member edges, never all pairs of a list).
+set drop out, and so does a set that shares fewer lists than its untouched
+blocks with any linked set would be; the rest tie sets into candidate groups
+(connected components of member-to-smallest-member edges, never all pairs of a
+list).
 
 Inside a group (cut into size-ordered chunks when it is large; only chunk pairs
 of compatible sizes meet) the join is exact.  Index lists hold (set, position),
@@ -30,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (arrow_text, attach_by_key, batches_of, connected_components, id_text, spread,
-                                stored)
+from tessera.llm.common import (attach_by_key, batches_of, connected_components, id_text, released, spread, stored,
+                                text_slices)
 from tessera.llm.textkernel import SPACED, mix, shingles, word_hashes
 from tessera.operators.ranking import running_total
 from tessera.session import shuffle_partitions
@@ -44,7 +46,7 @@ PIVOTS = 6
 BROADCAST_ROWS = 1_000_000
 #: Digests remembered per task to send equal sets once, and list entries that a
 #: task combines at a time (both only save work).
-_SEEN, TASK_KEYS = 500_000, 2_000_000
+_SEEN, TASK_KEYS = 500_000, 1_000_000
 _A, _B, _C = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xC2B2AE3D27D4EB4F), 0x165667B19E3779F9
 
 
@@ -61,9 +63,10 @@ def difference_bound(a: int, b: int, percent: int) -> int:
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def signatures(s: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
-    """(size class, keys of the inverted lists) of a sorted set: its own class
-    and every lower class that holds sets it may link with."""
+def signatures(s: np.ndarray, percent: int) -> list[tuple[int, np.ndarray, int]]:
+    """(size class, keys of the inverted lists, lists shared with any linked set
+    at least) of a sorted set: its own class and every lower class that holds
+    sets it may link with."""
     n = len(s)
     if not n:
         return []
@@ -87,16 +90,16 @@ def signatures(s: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
             # other by the shingles of their prefix.
             prefix = s[:n - -(-n * percent // 100) + 1]
             keys = np.concatenate([keys, mix(prefix + (salt ^ _A))])
-        out.append((c, keys))
+        out.append((c, keys, max(1, len(begin) - mine)))
     return out
 
 
 def doc_sets(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
     """The sorted shingle set of every text of a batch."""
-    buf, offsets = arrow_text(batch)
-    h, at = word_hashes(buf, offsets, SPACED)
-    for i in range(len(at) - 1):
-        yield np.unique(shingles(h[at[i]:at[i + 1]], words))
+    for buf, offsets, _, _ in text_slices(batch):
+        h, at = word_hashes(buf, offsets, SPACED)
+        for i in range(len(at) - 1):
+            yield np.unique(shingles(h[at[i]:at[i + 1]], words))
 
 
 def _digests(words: int) -> Callable:
@@ -109,19 +112,23 @@ def _digests(words: int) -> Callable:
     return run
 
 
-_POSTINGS = "key long, doc_id long, cls int, head long"
+_POSTINGS = "key long, doc_id long, cls int, need int, head long, t int"
 
 
 def _postings(words: int, percent: int) -> Callable:
-    """Entries of the inverted lists, combined within the task: per key the
-    smallest id; the other sets of a key go out as finished (id, head) pairs,
-    so a key that very many sets share leaves a task as one entry."""
-    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("cls", pa.int32()), ("head", pa.int64())])
+    """Entries of the inverted lists, combined within the task: per key one
+    entry with the smallest id (``head`` null; ``t`` 1 if it is the key's only
+    one so far, else 0).  What a task has seen together goes out as finished
+    (doc, head) rows with the number ``t`` of lists they share, so a key of very
+    many sets leaves a task as one entry.  ``need``: shared lists without which
+    the set links with nothing."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("cls", pa.int32()), ("need", pa.int32()),
+                        ("head", pa.int64()), ("t", pa.int32())])
 
     def run(batches):
         seen: set[bytes] = set()
         keys: list[np.ndarray] = []
-        of: list[tuple[int, int, int]] = []  # (doc_id, class, keys)
+        of: list[tuple[int, int, int, int]] = []  # (doc_id, class, need, keys)
         held = 0
         for b in batches:
             for i, s in zip(b.column(0).to_pylist(), doc_sets(b, words), strict=True):
@@ -131,9 +138,9 @@ def _postings(words: int, percent: int) -> Callable:
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(digest)
-                for c, k in signatures(s, percent):
+                for c, k, need in signatures(s, percent):
                     keys.append(k)
-                    of.append((i, c, len(k)))
+                    of.append((i, c, need, len(k)))
                     held += len(k)
                 if held >= TASK_KEYS:
                     yield from combine(keys, of)
@@ -143,26 +150,28 @@ def _postings(words: int, percent: int) -> Callable:
 
     def combine(keys, of):
         key = np.concatenate(keys)
-        ids, cls, size = (np.array(x, np.int64) for x in zip(*of))
-        doc, cls = np.repeat(ids, size), np.repeat(cls, size)
-        order = np.argsort(key, kind="stable")
-        key, doc, cls = key[order], doc[order], cls[order]
+        ids, cls, need, size = (np.array(x, np.int64) for x in zip(*of))
+        row = np.repeat(np.arange(len(ids)), size)
+        order = np.lexsort((ids[row], key))
+        key, row = key[order], row[order]
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        head = np.minimum.reduceat(doc, begin)
-        yield from out(key[begin].view(np.int64), head, cls[begin], None)
-        every = np.repeat(head, np.diff(np.append(begin, len(key))))
-        other = every != doc
-        if other.any():
-            pairs = np.unique(np.stack([cls[other], doc[other], every[other]]), axis=1)
-            own = mix((pairs[1].astype(np.uint64) * _A) ^ (pairs[2].astype(np.uint64) * _B))
-            yield from out(own.view(np.int64), pairs[1], pairs[0], pairs[2])
-
-    def out(key, doc, cls, head):
+        head = row[begin]  # of each key the smallest id
+        width = np.diff(np.append(begin, len(key)))
+        yield from out(key[begin].view(np.int64), head, None, np.where(width > 1, 0, 1), ids, cls, need)
+        shared = np.repeat(width > 1, width)
+        if shared.any():
+            pairs, t = np.unique(np.stack([row[shared], np.repeat(head, width)[shared]]), axis=1, return_counts=True)
+            own = mix((ids[pairs[0]].astype(np.uint64) * _A) ^ (ids[pairs[1]].astype(np.uint64) * _B))
+            yield from out(own.view(np.int64), pairs[0], ids[pairs[1]], t, ids, cls, need)
+
+    def out(key, row, head, t, ids, cls, need):
         for lo in range(0, len(key), 50_000):
             cut = slice(lo, lo + 50_000)
+            r = row[cut]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[cut]), pa.array(doc[cut]), pa.array(cls[cut].astype(np.int32)),
-                 pa.nulls(len(key[cut]), pa.int64()) if head is None else pa.array(head[cut])], schema=schema)
+                [pa.array(key[cut]), pa.array(ids[r]), pa.array(cls[r].astype(np.int32)),
+                 pa.array(need[r].astype(np.int32)), pa.nulls(len(r), pa.int64()) if head is None else
+                 pa.array(head[cut]), pa.array(t[cut].astype(np.int32))], schema=schema)
     return run
 
 
@@ -367,27 +376,38 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     an empty result."""
     rows = spread(id_text(docs, id_col, text_col))
     n_parts = shuffle_partitions(docs.sparkSession)
-    people = stored(rows.mapInArrow(_digests(words), "doc_id long, n long, digest binary"), "sets")
+    people = stored(rows.mapInArrow(released(_digests(words)), "doc_id long, n long, digest binary"), "sets")
     classes = stored(people.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"),
                                                                  F.count(F.lit(1)).alias("copies"),
                                                                  F.max("n").alias("n")), "classes")
 
-    postings = rows.mapInArrow(_postings(words, percent), _POSTINGS)
+    postings = rows.mapInArrow(released(_postings(words, percent)), _POSTINGS)
     # a list holds at most one entry per task (and bundle of its keys)
-    head = F.coalesce("head", F.min("doc_id").over(Window.partitionBy("key")))
-    meet = stored(postings.withColumn("head", head).where("doc_id != head").select("cls", "doc_id", "head").distinct(),
+    w = Window.partitionBy("key")
+    met = (postings.withColumns({"_n": F.count(F.lit(1)).over(w), "_head": F.min("doc_id").over(w)})
+           .where("head is not null or _n > 1")
+           .groupBy("cls", "doc_id", F.coalesce("head", "_head").alias("head"))
+           .agg(F.sum("t").alias("t"), F.max("need").alias("need")))
+    met = stored(met, "met")
+    # a set that shares fewer lists than any link takes is done; it may still tie others together
+    able = (met.groupBy("cls", "doc_id").agg(F.sum("t").alias("t"), F.max("need").alias("need"))
+            .where("t >= need").select("cls", "doc_id"))
+    meet = stored(met.where("doc_id != head").select("cls", "doc_id", "head").join(able, ["cls", "doc_id"], "left_semi"),
                   "meet")
-    met = meet.select("doc_id").union(meet.select("head")).distinct()
-    rep_of = people.join(met, "doc_id", "left_semi").join(classes, "digest").select("doc_id", "rep").distinct()
+    heads = meet.select("cls", F.col("head").alias("doc_id")).join(able, ["cls", "doc_id"], "left_semi")
+    able = stored(meet.select("cls", "doc_id").union(heads).distinct(), "able")
+    ids = meet.select("doc_id").union(meet.select("head")).distinct()
+    rep_of = people.join(ids, "doc_id", "left_semi").join(classes, "digest").select("doc_id", "rep").distinct()
     edges = (meet.join(rep_of, "doc_id").select("cls", "head", F.col("rep").alias("x"))
              .join(rep_of.withColumnRenamed("doc_id", "head"), "head")
              .where("x != rep")
              .select(F.struct("cls", F.col("x").alias("id")).alias("u"),
                      F.struct("cls", F.col("rep").alias("id")).alias("v")))
     groups = connected_components(edges)
+    able = able.join(rep_of, "doc_id").select("cls", F.col("rep").alias("doc_id")).distinct()
     members = stored(groups.select(F.col("node.cls").alias("cls"), F.col("node.id").alias("doc_id"),
-                                   F.xxhash64("component").alias("grp")), "members")
-
+                                   F.xxhash64("component").alias("grp")).join(able, ["cls", "doc_id"], "left_semi"),
+                     "members")
     sized = members.join(classes.select(F.col("rep").alias("doc_id"), "copies", "n"), "doc_id")
     blocks = stored(_blocks(sized, percent), "blocks")
     if blocks.count() <= BROADCAST_ROWS:

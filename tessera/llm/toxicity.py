@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_text, id_text, spread, stored
+from tessera.llm.common import id_text, released, spread, stored, text_slices
 from tessera.llm.textkernel import ALNUM, word_hashes
 
 #: Groups whose terms are swapped for one another (neutral mentions).
@@ -79,16 +79,6 @@ def _features(buf: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None =
     return d[new], f[new]
 
 
-def _slices(batch: pa.RecordBatch, size: int = 4 << 20):
-    """(first row, end row) stretches of about ``size`` bytes of text."""
-    buf, offsets = arrow_text(batch)
-    lo = 0
-    while lo < len(offsets) - 1:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
-        yield buf, offsets[lo:hi + 1], lo, hi
-        lo = hi
-
-
 def _support(toxic_only: bool, wanted: np.ndarray | None) -> Callable:
     """Per task: documents with each feature (of one class)."""
     schema = pa.schema([("feature", pa.int64()), ("n", pa.int64())])
@@ -96,7 +86,7 @@ def _support(toxic_only: bool, wanted: np.ndarray | None) -> Callable:
     def run(batches):
         for b in batches:
             y = b.column(2).to_numpy()
-            for buf, offsets, lo, hi in _slices(b):
+            for buf, offsets, lo, hi in text_slices(b):
                 d, f = _features(buf, offsets, wanted)
                 keep = y[lo:hi][d] == (1 if toxic_only else 0)
                 u, n = np.unique(f[keep], return_counts=True)
@@ -227,7 +217,7 @@ def _score(model: Model) -> Callable:
     def run(batches):
         for b in batches:
             ids = b.column(0)
-            for buf, offsets, lo, hi in _slices(b):
+            for buf, offsets, lo, hi in text_slices(b):
                 d, f = _features(buf, offsets, model.features)
                 z = np.bincount(d, weights=model.weights[f], minlength=hi - lo) + model.bias
                 yield pa.RecordBatch.from_arrays(
@@ -240,6 +230,6 @@ def score(docs: DataFrame, model: Model, held_out_mod: int = 5) -> DataFrame:
     ``predicted`` (score >= 0.5).  Null and empty texts score the model's
     base rate; a null id is not held out; repeated rows are scored each; other
     columns are not read."""
-    rows = spread(id_text(docs)).mapInArrow(_score(model), "doc_id long, score double")
+    rows = spread(id_text(docs)).mapInArrow(released(_score(model)), "doc_id long, score double")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % held_out_mod == 0, F.lit(False))
     return rows.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from llm_fixtures import clashing, docs_of  # noqa: F401  (fixtures)
 from tessera.llm import byte_bpe as BP
 from tessera.llm import chat_format as CF
 from tessera.llm import decontaminate as DC
