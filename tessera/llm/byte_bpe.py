@@ -27,13 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_text, spread
+from tessera.llm.common import id_text, released, spread, text_slices
 
 _NONE = np.int64(1) << np.int64(62)
 #: Pre-tokens up to this many bytes are merged in step with others.
 SHORT = 64
 #: Pre-tokens remembered per task process, and characters handled at once.
-REMEMBERED, TEXT_BLOCK = 250_000, 1 << 21
+REMEMBERED, TEXT_BLOCK = 150_000, 1 << 20
 
 
 class Ranks:
@@ -251,32 +251,21 @@ class TextEncoder:
         return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
 
-def _stretches(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``TEXT_BLOCK`` characters; a longer text is alone."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if i > lo and size + len(t) > TEXT_BLOCK:
-            yield lo, i
-            lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def _encode(raw, pattern: str, check: bool = False) -> Callable:
     def run(batches):
         ranks = load_ranks(raw.value)
         encoder = TextEncoder(ranks, pattern)
         for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            for lo, hi in _stretches(texts):
-                parts = encoder(texts[lo:hi])
+            ids = b.column(0)
+            for _, _, lo, hi in text_slices(b, size=TEXT_BLOCK):
+                texts = b.column(1).slice(lo, hi - lo).to_pylist()
+                parts = encoder(texts)
                 at = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(parts), "<u4").astype(np.int32))
                 cols = [ids.slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at), flat)]
                 if check:
                     cols.append(pa.array([ranks.decode(np.frombuffer(p, "<u4")) == t.encode()
-                                          for p, t in zip(parts, texts[lo:hi], strict=True)], pa.bool_()))
+                                          for p, t in zip(parts, texts, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "round_trip"][:len(cols)])
     return run
 
@@ -337,7 +326,7 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
 def encode_checked(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """``encode`` with ``round_trip``: whether the decoded ids are the text's bytes."""
     raw = docs.sparkSession.sparkContext.broadcast(ranks)
-    return spread(id_text(docs)).mapInArrow(_encode(raw, pattern, True),
+    return spread(id_text(docs)).mapInArrow(released(_encode(raw, pattern, True)),
                                             "doc_id long, ids array<int>, round_trip boolean")
 
 

@@ -28,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_text, id_text, spread, stored
+from tessera.llm.common import id_text, released, spread, stored, text_slices
 from tessera.llm.textkernel import ALNUM, word_hashes
 
 #: Words of benchmark text that one pass over the index looks up.
 BLOCK_WORDS = 1_000_000
 #: Words after which a segment is closed (a document is never cut).
-SEGMENT_WORDS = 1_500_000
+SEGMENT_WORDS = 500_000
 #: Candidate starts that are intersected at once.
-CHUNK = 2_000_000
+CHUNK = 200_000
 
 _INDEX = ("docs binary, starts binary, terms binary, list_starts binary, positions binary")
 _INDEX_ARROW = pa.schema([(c, pa.binary()) for c in ("docs", "starts", "terms", "list_starts", "positions")])
@@ -48,21 +48,22 @@ def _segments(batches) -> Iterator[pa.RecordBatch]:
     sizes: list[int] = []
     held = 0
     for b in batches:
-        buf, offsets = arrow_text(b)
-        docs = b.column(0).to_pylist()
-        h, at = word_hashes(buf, offsets, ALNUM)
-        lo = 0
-        while lo < len(docs):
-            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + max(1, SEGMENT_WORDS - held), side="right")) - 1)
-            hi = min(hi, len(docs))
-            ids += docs[lo:hi]
-            sizes += np.diff(at[lo:hi + 1]).tolist()
-            hashes.append(h[at[lo]:at[hi]])
-            held += int(at[hi] - at[lo])
-            lo = hi
-            if held >= SEGMENT_WORDS or len(ids) >= 200_000:
-                yield _segment(ids, sizes, np.concatenate(hashes))
-                ids, sizes, hashes, held = [], [], [], 0
+        every = b.column(0).to_pylist()
+        for buf, offsets, first, end in text_slices(b):
+            docs = every[first:end]
+            h, at = word_hashes(buf, offsets, ALNUM)
+            lo = 0
+            while lo < len(docs):
+                hi = int(np.searchsorted(at, at[lo] + max(1, SEGMENT_WORDS - held), side="right")) - 1
+                hi = min(max(lo + 1, hi), len(docs))
+                ids += docs[lo:hi]
+                sizes += np.diff(at[lo:hi + 1]).tolist()
+                hashes.append(h[at[lo]:at[hi]])
+                held += int(at[hi] - at[lo])
+                lo = hi
+                if held >= SEGMENT_WORDS or len(ids) >= 200_000:
+                    yield _segment(ids, sizes, np.concatenate(hashes))
+                    ids, sizes, hashes, held = [], [], [], 0
     if ids:
         yield _segment(ids, sizes, np.concatenate(hashes))
 
@@ -82,7 +83,7 @@ def _segment(ids: list[int], sizes: list[int], h: np.ndarray) -> pa.RecordBatch:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored positional index of ``docs`` (null text: a document without words)."""
     rows = spread(id_text(docs, id_col, text_col))
-    return stored(rows.mapInArrow(_segments, _INDEX), "postings")
+    return stored(rows.mapInArrow(released(_segments), _INDEX), "postings")
 
 
 class Windows:
@@ -299,7 +300,7 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = 10, slop:
         counts = {t & (1 << 64) - 1: n for t, n in
                   index.select("terms", "list_starts").mapInArrow(_count_terms(windows.terms), "term long, n long")
                   .groupBy("term").agg(F.sum("n")).collect()}  # at most a block's words
-        parts.append(index.mapInArrow(_look_up(windows, windows.plan(counts), slop, not parts), _HITS))
+        parts.append(index.mapInArrow(released(_look_up(windows, windows.plan(counts), slop, not parts)), _HITS))
     if not parts:
         return index.mapInArrow(_look_up(Windows([], window), [], slop, True), _HITS)
     if len(parts) == 1:
