@@ -20,10 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import attach_by_key, connected_components, id_text, spread, stored
+from tessera.session import shuffle_partitions
 
 #: (least length, edits allowed from it on), longest first.
 THRESHOLDS = ((40, 2), (20, 1))
 MAX_EDITS = THRESHOLDS[0][1]
+#: Hashes of candidate lines (8 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST_LINES = 2_000_000
+#: Letters whose counts are compared before the edit distance (any choice gives the same links).
+COUNTED = "etaoinrs"
 
 
 def allowed_edits(length: Column) -> Column:
@@ -130,34 +135,68 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.when(m == 0, n <= edits).otherwise(end["dist"] <= edits)
 
 
+def letters_apart(a: Column, b: Column) -> Column:
+    """Sum over some letters of how far their counts differ: an edit changes it
+    by two at most, so pairs beyond twice the threshold need no closer look."""
+    def count(text, letter):
+        return F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+    total = F.lit(0)
+    for letter in COUNTED:
+        total = total + F.abs(count(a, letter) - count(b, letter))
+    return total
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of the lines that hold more than white space."""
-    return (docs.select("doc_id", F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """(doc_id, line_no, line, length) of the lines that hold more than white space."""
+    each = F.transform(F.split("text", "\n", -1),
+                       lambda x: F.struct(x.alias("line"), F.char_length(x).alias("length")))
+    return (docs.select("doc_id", F.posexplode_outer(each).alias("line_no", "l"))
+            .select("doc_id", "line_no", F.col("l.line").alias("line"), F.col("l.length").alias("length"))
             .where(F.trim(F.col("line")) != ""))
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
     """Distinct lines: hashes ``h1``, ``h2``, ``n`` (occurrences), ``first``
-    (smallest (doc_id, line_no)), ``line`` and its ``length``."""
-    return (_lines(docs).groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"),
-                 F.first("line").alias("line"))
-            .withColumn("length", F.char_length("line")))
-
-
-def near_lines(classes: DataFrame) -> DataFrame:
-    """Verified pairs of distinct lines (stored ``line_classes``): ``u``, ``v``
-    (their first occurrences)."""
-    long = classes.where(F.col("length") >= THRESHOLDS[-1][0])
-    index = long.select("h1", "length", F.explode(index_keys(F.col("line"), F.col("length"))).alias("key"))
-    probe = long.select(F.col("h1").alias("p1"), F.col("length").alias("p_length"),
-                        F.explode(probe_keys(F.col("line"), F.col("length"))).alias("key"))
-    meet = (index.join(probe, "key")
-            .where((F.col("length") < F.col("p_length")) | (F.col("length") == F.col("p_length")) & (F.col("h1") < F.col("p1")))
-            .select("h1", "p1").distinct())
-    shorter = classes.select("h1", F.col("first").alias("u"), F.col("line").alias("b"), F.col("length").alias("m"))
-    longer = classes.select(F.col("h1").alias("p1"), F.col("first").alias("v"), F.col("line").alias("a"))
-    pairs = stored(meet.join(shorter, "h1").join(longer, "p1"), "line-pairs")
+    (smallest (doc_id, line_no)), ``own`` and ``probes`` (keys of the index).
+    The text itself is not shuffled."""
+    line, length = F.col("line"), F.col("length")
+    keyed = _lines(docs).select(*_hashes(), "doc_id", "line_no", index_keys(line, length).alias("own"),
+                                probe_keys(line, length).alias("probes"))
+    return keyed.groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"),
+        F.first("own").alias("own"), F.first("probes").alias("probes"))
+
+
+def _hashes() -> list[Column]:
+    return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
+
+
+def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Verified pairs of distinct lines (``classes``: stored ``line_classes`` of
+    ``docs``): ``u``, ``v`` (their first occurrences)."""
+    index = classes.select("h1", F.explode("own").alias("key"))
+    probe = classes.select(F.col("h1").alias("p1"), F.explode("probes").alias("key"))
+    meet = (index.join(probe, "key").where("h1 != p1")
+            .select(F.least("h1", "p1").alias("x"), F.greatest("h1", "p1").alias("y")).distinct())
+    meet = stored(meet, "line-meet")
+    wanted = stored(meet.select(F.col("x").alias("h1")).union(meet.select("y")).distinct(), "line-wanted")
+    if wanted.count() <= BROADCAST_LINES:
+        wanted = F.broadcast(wanted)  # else: a shuffle join
+    found = classes.join(wanted, "h1", "left_semi").select("h1", "h2", "first")
+    texts = (_lines(docs).select("doc_id", "line_no", *_hashes(), "line", "length").join(wanted, "h1", "left_semi")
+             .join(found.withColumnsRenamed({"h1": "g1", "h2": "g2"}),
+                   (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
+                   & F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))))
+    texts = stored(texts.select("h1", "first", "line", "length").distinct(), "line-texts")
+    one = texts.select(F.col("h1").alias("x"), F.struct("length", "line", "first").alias("one"))
+    two = texts.select(F.col("h1").alias("y"), F.struct("length", "line", "first").alias("two"))
+    both = meet.join(one, "x").join(two, "y").select(F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b"))
+    pairs = both.select(F.col("b.first").alias("u"), F.col("a.first").alias("v"), F.col("a.line").alias("a"),
+                        F.col("b.line").alias("b"), F.col("b.length").alias("m"),
+                        (F.col("a.length") - F.col("b.length")).alias("gap"))
+    pairs = pairs.where((F.col("gap") <= allowed_edits(F.col("m")))
+                        & (letters_apart(F.col("a"), F.col("b")) <= 2 * allowed_edits(F.col("m"))))
+    pairs = stored(pairs.repartition(shuffle_partitions(classes.sparkSession)), "line-pairs")
     linked = F.lit(False)
     a, b = F.split("a", ""), F.split("b", "")
     for _, e in THRESHOLDS:
@@ -177,13 +216,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives an empty result."""
     rows = spread(id_text(docs, id_col, text_col))
     classes = stored(line_classes(rows), "line-classes")
-    links = stored(near_lines(classes), "line-links")
+    links = stored(near_lines(rows, classes), "line-links")
     component = connected_components(links).withColumnsRenamed({"node": "first", "component": "keeper"})
     shared = classes.select("h1", "h2", "n", "first").join(component, "first", "left")
     lookup = shared.where("n > 1 or keeper is not null").select("h1", "h2", "n", "first", F.coalesce(
         "keeper", "first").alias("keeper"))
-    lines = _lines(rows).select("doc_id", "line_no", F.xxhash64("line").alias("h1"),
-                                F.xxhash64(F.lit(1), "line").alias("h2"))
+    lines = _lines(rows).select("doc_id", "line_no", *_hashes())
     here = F.struct("doc_id", "line_no")
     gone = (attach_by_key(lines, lookup, ["h1", "h2"], "n", F.xxhash64("doc_id", "line_no"))
             .where(~here.eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull())
