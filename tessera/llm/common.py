@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -130,11 +131,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def released(run: Callable) -> Callable:
-    """``run`` for mapInArrow, which gives the Arrow memory that its task no
-    longer uses back to the machine when it ends (workers live on)."""
+    """``run`` for mapInArrow, which gives the memory that its task no longer
+    uses back to the machine when it ends (workers live on for other tasks)."""
     def wrapped(batches):
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+            trim(0)
     return wrapped
 
 

@@ -298,7 +298,7 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = 10, slop:
     for block in _test_blocks(benchmark, item_col, text_col, block_words):
         windows = Windows(block, window)
         counts = {t & (1 << 64) - 1: n for t, n in
-                  index.select("terms", "list_starts").mapInArrow(_count_terms(windows.terms), "term long, n long")
+                  index.select("terms", "list_starts").mapInArrow(released(_count_terms(windows.terms)), "term long, n long")
                   .groupBy("term").agg(F.sum("n")).collect()}  # at most a block's words
         parts.append(index.mapInArrow(released(_look_up(windows, windows.plan(counts), slop, not parts)), _HITS))
     if not parts:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import attach_by_key, batches_of, id_text, stored
+from tessera.llm.common import attach_by_key, batches_of, id_text, released, stored
 from tessera.session import shuffle_partitions
 
 #: Bytes that one trie may hold (labels and a charge per node) before it spills.
@@ -202,10 +202,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows = rows.withColumn("text", normalise(F.col("text")))
     raw = rows.select(F.octet_length("text").cast("long").alias("length"), F.xxhash64("text").alias("hash"),
                       F.col("text").cast("binary").alias("body"), F.col("doc_id").alias("keep_id"))
-    parts = raw.mapInArrow(_scan_tries(larger), "length long, hash long, body binary, keep_id long, n long")
+    parts = raw.mapInArrow(released(_scan_tries(larger)), "length long, hash long, body binary, keep_id long, n long")
     n = shuffle_partitions(docs.sparkSession)
     owned = (parts.repartition(n, "length", "hash").sortWithinPartitions("length", "hash")
-             .mapInArrow(_owner_tries(larger), "length long, digest binary, keep_id long, group_size long"))
+             .mapInArrow(released(_owner_tries(larger)), "length long, digest binary, keep_id long, group_size long"))
     owned = stored(owned, "owners")
     keyed = rows.select("doc_id", F.octet_length("text").cast("long").alias("length"),
                         F.unhex(F.sha2("text", 256)).alias("digest"))

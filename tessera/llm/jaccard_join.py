@@ -413,10 +413,10 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     if blocks.count() <= BROADCAST_ROWS:
         blocks = F.broadcast(blocks)  # else: a shuffle join on the id
     links = (rows.join(blocks, "doc_id").select("doc_id", "text", "cls", "copies", "chunk", "a", "b", "grp", "n")
-             .mapInArrow(_sets(words), _MEMBER)
+             .mapInArrow(released(_sets(words)), _MEMBER)
              .repartition(n_parts, "grp", "cls", "a", "b")
              .sortWithinPartitions("grp", "cls", "a", "b", "n", "doc_id")
-             .mapInArrow(_join_groups(percent), _LINKS))
+             .mapInArrow(released(_join_groups(percent)), _LINKS))
     links = stored(links, "links")
     component = connected_components(links.select("u", "v"))
     degree = links.groupBy(F.col("u").alias("rep")).agg(F.sum("n_links").alias("_links"))

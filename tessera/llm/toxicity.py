@@ -179,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 5, max_rows: int
     if not na or not nb:
         return constant
     counts = "feature long, n long"
-    toxic = (sample.mapInArrow(_support(True, None), counts).groupBy("feature").agg(F.sum("n").alias("n"))
+    toxic = (sample.mapInArrow(released(_support(True, None)), counts).groupBy("feature").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= min_support).orderBy(F.desc("n"), "feature").limit(100 * max_features).collect())
     if not toxic:
         return constant
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 5, max_rows: int
     if not len(best):
         return constant
     wanted = seen[best]
-    rows = sample.mapInArrow(_examples(wanted, groups), "y int, on array<int>, swapped array<int>").collect()
+    rows = sample.mapInArrow(released(_examples(wanted, groups)), "y int, on array<int>, swapped array<int>").collect()
     x = np.zeros((len(rows), len(wanted)), np.float32)
     gaps = []
     for i, r in enumerate(rows):
