@@ -86,7 +86,15 @@ def probe_keys(line: Column, length: Column) -> Column:
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether the edit distance of arrays of characters ``a`` and ``b``, where
     ``0 <= |a| - |b| <= edits``, is at most ``edits``: Hyyro's bit-vector
-    recurrence on a diagonal band, one word of ``2 * edits + 2`` bits per column."""
+    recurrence on a diagonal band, one word of ``2 * edits + 2`` bits per column.
+
+    The arrays are bound as a lambda's variable, so that what they come from is
+    worked out once a pair and not at every access."""
+    return F.element_at(F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))),
+                                    lambda p: _within(p["a"], p["b"], edits)), 1)
+
+
+def _within(a: Column, b: Column, edits: int) -> Column:
     w = 2 * edits + 2
     full, diagonal, horizontal = (1 << w) - 1, 1 << (w - 1), 1 << (w - 2)
     start = edits + 1 - w
