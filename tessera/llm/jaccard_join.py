@@ -6,9 +6,9 @@ at most ``d`` shingles, so of more than ``d`` blocks that hold anything one is
 equal in both: an inverted list is kept per (size class, position block, block
 content), and a set skips every list but those of its own blocks.  Lists of one
 set drop out, and so does a set that shares fewer lists than its untouched
-blocks with any linked set would be; the rest tie sets into candidate groups
-(connected components of member-to-smallest-member edges, never all pairs of a
-list).
+blocks with any linked set would be; the lists of the rest tie sets into
+candidate groups (connected components of member-to-smallest-member edges, never
+all pairs of a list; a set that dropped out passes a tie on, but is no member).
 
 Inside a group (cut into size-ordered chunks when it is large; only chunk pairs
 of compatible sizes meet) the join is exact.  Index lists hold (set, position),
@@ -389,13 +389,15 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
            .groupBy("cls", "doc_id", F.coalesce("head", "_head").alias("head"))
            .agg(F.sum("t").alias("t"), F.max("need").alias("need")))
     met = stored(met, "met")
-    # a set that shares fewer lists than any link takes is done; it may still tie others together
-    able = (met.groupBy("cls", "doc_id").agg(F.sum("t").alias("t"), F.max("need").alias("need"))
-            .where("t >= need").select("cls", "doc_id"))
-    meet = stored(met.where("doc_id != head").select("cls", "doc_id", "head").join(able, ["cls", "doc_id"], "left_semi"),
-                  "meet")
-    heads = meet.select("cls", F.col("head").alias("doc_id")).join(able, ["cls", "doc_id"], "left_semi")
-    able = stored(meet.select("cls", "doc_id").union(heads).distinct(), "able")
+    # a set that shares fewer lists than any link takes is done, but as the head of
+    # its task's part of a list it still ties that part to the list's other parts
+    able = stored(met.groupBy("cls", "doc_id").agg(F.sum("t").alias("t"), F.max("need").alias("need"))
+                  .where("t >= need").select("cls", "doc_id"), "able")
+    ties = met.where("doc_id != head").select("cls", "doc_id", "head")
+    kept = stored(ties.join(able, ["cls", "doc_id"], "left_semi"), "kept")
+    unable = (kept.select("cls", F.col("head").alias("doc_id")).distinct()
+              .join(able, ["cls", "doc_id"], "left_anti"))
+    meet = stored(kept.unionByName(ties.join(unable, ["cls", "doc_id"], "left_semi")), "meet")
     ids = meet.select("doc_id").union(meet.select("head")).distinct()
     rep_of = people.join(ids, "doc_id", "left_semi").join(classes, "digest").select("doc_id", "rep").distinct()
     edges = (meet.join(rep_of, "doc_id").select("cls", "head", F.col("rep").alias("x"))

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,38 @@ def test_jaccard_join(docs_of, clashing, monkeypatch, k, percent, bound, cast):
     assert got == brute_jaccard(rows, k, percent)
 
 
+def test_jaccard_join_ties_tasks_through_heads_that_link_with_nothing(spark, monkeypatch):
+    """Two linked sets in two tasks; in each task the smallest id of every list
+    they share is a set that shares this one list and no more."""
+    monkeypatch.setattr(JJ, "spread", lambda df: df)
+    r = random.Random(8)
+
+    def block(word, m=9):  # of sets of 17 to 25 shingles
+        s, = JJ.doc_sets(pa.RecordBatch.from_pydict({"text": [word]}), 1)
+        return (int(s[0]) >> 32) * m >> 32
+    pool = {f"w{i}": block(f"w{i}") for i in range(2000)}
+    pair = r.sample(sorted(pool), 20)
+    other = [*pair[1:], "other"]
+
+    def hubs(first):  # one a block of the pair: the block's words and words of other blocks
+        for b in sorted({pool[w] for w in pair}):
+            own = [w for w in pair if pool[w] == b]
+            yield first + b, " ".join(own + r.sample([w for w in pool if pool[w] != b and w not in pair], 20 - len(own)))
+    one, two = [*hubs(1), (500, " ".join(pair))], [*hubs(100), (501, " ".join(other))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(one + two, 2), "doc_id LONG, text STRING")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in JJ.jaccard_join(docs, 1, 80).collect()}
+    assert got == brute_jaccard(one + two, 1, 80) and got[501] == (20, 500, 1)
+
+
+@pytest.mark.parametrize("keys", [1, 300])
+def test_jaccard_join_small_bundles(docs_of, monkeypatch, keys):
+    monkeypatch.setattr(JJ, "TASK_KEYS", keys)
+    rows = near_rows(11)
+    out = JJ.jaccard_join(docs_of(rows).repartition(9), 3, 80)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in out.collect()}
+    assert got == brute_jaccard(rows, 3, 80)
+
+
 def test_jaccard_join_empty_null_ids_and_repeats(docs_of):
     assert JJ.jaccard_join(docs_of([])).count() == 0
     got = sorted(JJ.jaccard_join(docs_of([(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f")])).collect(), key=str)
