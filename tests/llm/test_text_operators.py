@@ -340,6 +340,32 @@ def test_html_main_text(spark, clashing):
     assert HX.extract_main_text(pages.limit(0)).count() == 0
 
 
+def unmarked(*blocks):
+    return ("<html><head><title>t</title></head><body><div><a href=1>A</a> <a href=2>B</a></div><div>" + "".join(blocks)
+            + "</div><div><a href=3>C</a></div></body></html>")
+
+
+LONG = "A paragraph of plain text that is long enough."
+SKIPPED = ["<div class=ad>Buy this now</div>", "<aside><p>Elsewhere</p></aside>", "<form><p>Mail</p></form>",
+           "<div class='share'>Tell others</div>"]
+
+
+@pytest.mark.parametrize("skipped", SKIPPED)
+def test_html_unmarked_article_goes_on_after_a_skipped_element(skipped):
+    p = f"<p>{LONG}</p>"
+    assert HX.main_text(unmarked(p * 20, skipped, p)) == "\n".join([LONG] * 21)
+    assert HX.main_text(unmarked(p * 20, skipped, "<p>The end.</p>")) == "\n".join([LONG] * 20 + ["The end."])
+    sections = [f"<h2>S{i}</h2><p>{LONG}</p>{skipped}" for i in range(6)]
+    assert HX.main_text(unmarked(p * 30, skipped, *sections)) == "\n".join(
+        [LONG] * 30 + [x for i in range(6) for x in (f"S{i}", LONG)])
+
+
+def test_html_unmarked_article_keeps_link_lines_inside():
+    p = f"<p>{LONG}</p>"
+    links = "".join(f"<p><a href={i}>Source {i}</a></p>" for i in range(5))
+    assert HX.main_text(unmarked(p * 2, links, p)) == "\n".join([LONG] * 2 + [f"Source {i}" for i in range(5)] + [LONG])
+
+
 def test_regions_surge_and_dive():
     lengths = [0, 0, 50, 0, 60, 0, 0, 0, 0, 5, 0, 0, 0, 70]
     assert list(HX.regions(lengths, 40)) == [(2, 5), (13, 14)]
