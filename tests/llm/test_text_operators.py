@@ -366,6 +366,25 @@ def test_html_unmarked_article_keeps_link_lines_inside():
     assert HX.main_text(unmarked(p * 2, links, p)) == "\n".join([LONG] * 2 + [f"Source {i}" for i in range(5)] + [LONG])
 
 
+def test_html_optional_and_missing_end_tags():
+    body = "<article><h1>Title</h1><p>Some text.</p></article>"
+    assert HX.main_text(f"<html><head><title>t</title><meta charset=utf-8><style>p{{}}</style><body>{body}") == "Title\nSome text."
+    for tag in ("nav", "aside", "form", "footer", "div class=ad"):
+        assert HX.main_text(f"<body><{tag}><a href=1>Menu</a>{body}</body>") == "Title\nSome text.", tag
+    assert HX.main_text("<article><p>One.</p><aside><p>Two.</p></article>") == "One.\nTwo."
+    assert HX.main_text(f"<body>{body}<footer>foot") == "Title\nSome text."
+    assert HX.main_text(f"<body><p>{LONG}</p><footer>foot") == LONG
+
+
+def test_html_words_of_ids_and_classes_inside_an_article():
+    keep = ["<section id='discussion'><p>%s</p></section>", "<h2 id='related-work'>%s</h2>", "<p class='notice'>%s</p>",
+            "<div id='share-of-voters'>%s</div>", "<p class='comment'>%s</p>", "<div class='promotion-rules'>%s</div>",
+            "<p id='hidden-costs'>%s</p>"]
+    page = "<article>" + "".join(k % f"Text {i}" for i, k in enumerate(keep)) + "<div class='box ad'>Buy</div></article>"
+    assert HX.main_text(page) == "\n".join(f"Text {i}" for i in range(len(keep)))
+    assert HX.main_text(unmarked("<h2 id='related-work'>Related</h2>", f"<p>{LONG}</p>")) == f"Related\n{LONG}"
+
+
 def test_regions_surge_and_dive():
     lengths = [0, 0, 50, 0, 60, 0, 0, 0, 0, 5, 0, 0, 0, 70]
     assert list(HX.regions(lengths, 40)) == [(2, 5), (13, 14)]
