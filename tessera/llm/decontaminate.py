@@ -81,9 +81,11 @@ def _segment(ids: list[int], sizes: list[int], h: np.ndarray) -> pa.RecordBatch:
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The stored positional index of ``docs`` (null text: a document without words)."""
+    """The stored positional index of ``docs`` (null text: a document without words),
+    each segment with its number."""
     rows = spread(id_text(docs, id_col, text_col))
-    return stored(rows.mapInArrow(released(_segments), _INDEX), "postings")
+    index = rows.mapInArrow(released(_segments), _INDEX)
+    return stored(index.withColumn("segment", F.monotonically_increasing_id()), "postings")
 
 
 class Windows:
@@ -124,7 +126,8 @@ class Windows:
 
 
 class Segment:
-    def __init__(self, docs: bytes, starts: bytes, terms: bytes, list_starts: bytes, positions: bytes):
+    def __init__(self, docs: bytes, starts: bytes, terms: bytes, list_starts: bytes, positions: bytes, number: int):
+        self.number = number
         self.docs = np.frombuffer(docs, np.int64)
         self.starts = np.frombuffer(starts, np.int64)
         self.terms = np.frombuffer(terms, np.uint64)
@@ -220,12 +223,12 @@ def _count_terms(terms: np.ndarray) -> Callable:
     return run
 
 
-_HITS = "doc_id long, n_words long, item_ids array<string>, positions array<int>"
+_HITS = "segment long, place int, doc_id long, n_words long, item_ids array<string>, positions array<int>"
 
 
 def _look_up(windows: Windows, plan: list, slop: int | None, all_docs: bool) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("item_ids", pa.list_(pa.string())),
-                        ("positions", pa.list_(pa.int32()))])
+    schema = pa.schema([("segment", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
+                        ("item_ids", pa.list_(pa.string())), ("positions", pa.list_(pa.int32()))])
 
     def run(batches):
         for b in batches:
@@ -250,9 +253,9 @@ def _look_up(windows: Windows, plan: list, slop: int | None, all_docs: bool) ->
         out = []
         for d in range(n) if all_docs else sorted(items):
             found = covered[cut[d]:cut[d + 1]] - s.starts[d]
-            out.append((None if s.docs[d] == np.iinfo(np.int64).min else int(s.docs[d]),
+            out.append((s.number, d, None if s.docs[d] == np.iinfo(np.int64).min else int(s.docs[d]),
                         int(s.starts[d + 1] - s.starts[d]),
-                        sorted(windows.items[k] for k in items.get(d, ())), found.tolist()))
+                        sorted({windows.items[k] for k in items.get(d, ())}), found.tolist()))
             if len(out) >= 4096:
                 yield _hits(out)
                 out = []
@@ -296,21 +299,25 @@ def find_matches(index: DataFrame, benchmark: DataFrame, window: int = 10, slop:
     benchmark gives empty lists; an empty index an empty result."""
     parts = []
     for block in _test_blocks(benchmark, item_col, text_col, block_words):
+        if parts:  # the pass before is done with: its block leaves the driver
+            parts[-1] = stored(parts[-1], "hits")
         windows = Windows(block, window)
         counts = {t & (1 << 64) - 1: n for t, n in
                   index.select("terms", "list_starts").mapInArrow(released(_count_terms(windows.terms)), "term long, n long")
                   .groupBy("term").agg(F.sum("n")).collect()}  # at most a block's words
         parts.append(index.mapInArrow(released(_look_up(windows, windows.plan(counts), slop, not parts)), _HITS))
     if not parts:
-        return index.mapInArrow(_look_up(Windows([], window), [], slop, True), _HITS)
+        parts = [index.mapInArrow(_look_up(Windows([], window), [], slop, True), _HITS)]
     if len(parts) == 1:
-        return parts[0]
+        return parts[0].drop("segment", "place")
     joined = parts[0]
     for p in parts[1:]:
         joined = joined.unionByName(p)
-    return (joined.groupBy("doc_id", "n_words")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("positions")))
+    return (joined.groupBy("segment", "place")  # one document row, whatever its id
+            .agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("positions"))
+            .drop("segment", "place"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

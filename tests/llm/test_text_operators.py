@@ -80,6 +80,23 @@ def test_decontaminate(spark, docs_of, clashing, monkeypatch, segment, chunk, bl
     assert got == sorted(brute_hits(docs, items, 10), key=repr)
 
 
+@pytest.mark.parametrize("block", [10**6, 1])
+def test_decontaminate_rows_and_items_do_not_depend_on_the_passes(spark, docs_of, monkeypatch, block):
+    """Rows that repeat an id or have none stay apart, an item in two rows counts once."""
+    monkeypatch.setattr(DC, "BLOCK_WORDS", block)
+    monkeypatch.setattr(DC.find_matches, "__defaults__", (*DC.find_matches.__defaults__[:-1], block))
+    items = [("a", "w1 w2"), ("a", "w3 w4"), ("b", "w2 w3"), ("c", "w1 w2")]
+    docs = [(None, "w1 w2 x"), (None, "x y z"), (7, "w3 w4 w1 w2"), (7, "x y z x"), (8, "x w1 w2"), (8, "x w1 w2"), (9, None)]
+    bench = spark.createDataFrame(items, "item_id STRING, text STRING")
+    for frame in (docs_of(docs), docs_of(docs).repartition(3)):
+        got = sorted(((d.doc_id, d.n_words, d.n_hit, d.n_items, d.items_sha256, d.contaminated)
+                      for d in DC.decontaminate(frame, bench).collect()), key=repr)
+        one = [(i, n, h, len(x), hashlib.sha256(",".join(x).encode()).hexdigest(), h > 0) for i, n, h, x in (
+            (None, 3, 2, "ac"), (None, 3, 0, ""), (7, 4, 4, "ac"), (7, 4, 0, ""), (8, 3, 2, "ac"), (8, 3, 2, "ac"),
+            (9, 0, 0, ""))]
+        assert got == sorted(one, key=repr)
+
+
 def test_decontaminate_empty_tables(spark, docs_of):
     bench = spark.createDataFrame([("a", "x y z")], "item_id STRING, text STRING")
     assert DC.decontaminate(docs_of([]), bench).count() == 0
