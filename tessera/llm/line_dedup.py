@@ -160,7 +160,7 @@ def _lines(docs: DataFrame) -> DataFrame:
                        lambda x: F.struct(x.alias("line"), F.char_length(x).alias("length")))
     return (docs.select("doc_id", F.posexplode_outer(each).alias("line_no", "l"))
             .select("doc_id", "line_no", F.col("l.line").alias("line"), F.col("l.length").alias("length"))
-            .where(F.trim(F.col("line")) != ""))
+            .where(F.col("line").rlike(r"\S")))
 
 
 def line_classes(docs: DataFrame) -> DataFrame:

@@ -290,6 +290,12 @@ def test_line_dedup(docs_of, clashing):
         assert kept[i] == (t if not t else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in want[i][3]))
 
 
+def test_line_dedup_keeps_lines_of_any_white_space(docs_of):
+    text = "one\r\n\r\n\t\n \t \n\x0b\n\x0c\n\r\ntwo"
+    got = {r.doc_id: (r.n_lines, r.n_copies, r.n_near, r.dropped) for r in LD.line_dedup(docs_of([(1, text), (2, text)])).collect()}
+    assert got == {1: (8, 0, 0, []), 2: (8, 2, 0, [0, 7])}
+
+
 def test_line_dedup_empty(docs_of):
     assert LD.line_dedup(docs_of([])).count() == 0
 
