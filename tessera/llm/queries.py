@@ -15,6 +15,7 @@ from tessera.llm import jaccard_join as JJ
 from tessera.llm import language_id as LI
 from tessera.llm import license_scan as LS
 from tessera.llm import line_dedup as LD
+from tessera.llm import pii as PI
 from tessera.llm import toxicity as TX
 from tessera.llm.common import table
 
@@ -204,3 +205,9 @@ FROM m WHERE share >= {LS.CONTAINED} GROUP BY doc_id, license
 
 
 SQL["op6_license_scan"] = _license_sql()
+
+
+@register
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No SQL form (spans that context decides); tested against brute force."""
+    return PI.digest(PI.find_personal_data(table(spark, sf_dir, "documents")))
