@@ -13,9 +13,11 @@ from tessera.llm import exact_dedup as ED
 from tessera.llm import html_extract as HX
 from tessera.llm import jaccard_join as JJ
 from tessera.llm import language_id as LI
+from tessera.llm import lexical_search as LX
 from tessera.llm import license_scan as LS
 from tessera.llm import line_dedup as LD
 from tessera.llm import pii as PI
+from tessera.llm import spelling as SV
 from tessera.llm import toxicity as TX
 from tessera.llm.common import table
 
@@ -211,3 +213,61 @@ SQL["op6_license_scan"] = _license_sql()
 def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No SQL form (spans that context decides); tested against brute force."""
     return PI.digest(PI.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+@register
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LX.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = rf"regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op12_lexical_search"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT count(*) AS big_n, sum(len(w))::HUGEINT AS big_l FROM d WHERE len(w) > 0),
+q AS MATERIALIZED (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY 1, 2),
+p AS MATERIALIZED (SELECT doc_id, term, n, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3),
+t AS (SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, c GROUP BY term),
+i AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + ((75 * n * big_n) // big_l)))) AS s
+  FROM p JOIN t USING (term), c),
+r AS (SELECT item_id, doc_id, sum(qtf * s)::BIGINT AS score FROM q JOIN i USING (term) GROUP BY 1, 2)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM r WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@register
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SV.variants(table(spark, sf_dir, "documents"))
+
+
+# crc32 by its definition: the table's entries from the reversed polynomial, then byte by byte
+_CRC = r"""xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode(s))),
+      lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+SQL["op13_spelling_variants"] = rf"""
+WITH RECURSIVE e AS (SELECT i, 0 AS k, i AS c FROM range(256) x(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM e WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(c::BIGINT ORDER BY i) AS t FROM e WHERE k = 8),
+r AS MATERIALIZED (SELECT doc_id, w, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all({_FOLD}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents) GROUP BY 1, 2),
+h AS (SELECT w, n, {_CRC} AS h FROM (SELECT w, n, coalesce(doc_id::VARCHAR, '') || ':' || w AS s FROM r), crc),
+o AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM o GROUP BY 1 HAVING sum(n) >= 3 AND length(word) >= 5),
+x AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT x.word, v.word, v.n FROM x JOIN v ON x.d = v.word
+  UNION SELECT v.word, x.word, x.n FROM x JOIN v ON x.d = v.word),
+b AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS top, max(near_n) AS top_n FROM p GROUP BY 1),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 2 * v.n THEN top END AS form,
+  CASE WHEN top_n >= 2 * v.n THEN top_n END AS form_n FROM v LEFT JOIN b USING (word)),
+w AS (SELECT word, word AS at FROM f UNION ALL SELECT w.word, f.form FROM w JOIN f ON f.word = w.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN w ON w.word = f.word JOIN f z ON z.word = w.at AND z.form IS NULL
+"""

@@ -2,9 +2,13 @@
 
 A word is a maximal run of bytes that a 256-entry table maps to a value above
 0; the table also folds A-Z.  Multi-byte characters are never separators here,
-so a byte rule equals the rule on code points.  A word's 64-bit hash is a sum
-over its bytes of a random value of the byte times a random odd multiplier of
-its place, then mixed: two given words collide with probability about 2^-63.
+so a byte rule equals the rule on code points.
+
+A word is hashed in blocks of eight bytes.  A block's sum takes a random value
+per (place in the block, byte); the sum and the block's number go through a
+nonlinear mix before the blocks of a word are added up, so no arrangement of
+the same bytes over a long word cancels out.  Given words collide by chance
+only, at about 2^-64 a pair.
 """
 
 from __future__ import annotations
@@ -14,8 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 
 _RNG = np.random.default_rng(20240229)
-_VALUE = _RNG.integers(1, 1 << 63, size=257, dtype=np.uint64)
-_STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
+_VALUE = _RNG.integers(1, 1 << 63, size=8 * 257, dtype=np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE = _RNG.integers(1, 1 << 63, size=64, dtype=np.uint64) | np.uint64(1)
 #: Bytes handled at once; a word is never cut.
 BLOCK = 1 << 20
@@ -44,30 +48,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POW
-    if len(_POW) < n:
-        p = np.empty(max(n, 2 * len(_POW)), np.uint64)
-        p[:len(_POW)] = _POW
-        if len(p) > len(_POW):
-            rest = np.full(len(p) - len(_POW), _STEP, np.uint64)
-            p[len(_POW):] = np.multiply.accumulate(rest) * _POW[-1]
-        _POW = p
-    return _POW[:n]
-
-
-_POW = np.ones(1, np.uint64)
-
-
-
-
 def word_hashes(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray,
-                prefixes: tuple[int, ...] = ()) -> tuple:
+                prefixes: tuple[int, ...] = (), spans: bool = False) -> tuple:
     """(hash of every word, words before each text [n+1 offsets]) of the texts
     ``buf[offsets[i]:offsets[i+1]]``; with ``prefixes`` also, per prefix
-    length in bytes, the hash of each word's start (0 where it is no longer)."""
+    length in bytes (8 at most), the hash of each word's start (0 where it is
+    no longer); with ``spans`` also (start of each word in ``buf``, its bytes)."""
+    assert all(k <= 8 for k in prefixes)
     n = len(offsets) - 1
-    hashes, starts_at, pre = [], [], [[] for _ in prefixes]
+    hashes, starts_at, sizes, pre = [], [], [], [[] for _ in prefixes]
     lo, hi = int(offsets[0]), int(offsets[-1])
     edges = offsets[:-1][np.diff(offsets) > 0]
     cut = np.unique(edges)
@@ -84,12 +73,16 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray,
         starts = np.flatnonzero(first)
         wid = np.cumsum(first[at]) - 1
         place = at - starts[wid]
-        value = _VALUE[norm[at]] * _powers(int(place.max()) + 1)[place]
+        value = _VALUE[(place & 7) * 257 + norm[at]]
         begin = np.flatnonzero(first[at])
-        hashes.append(mix(np.add.reduceat(value, begin)))
+        block = np.flatnonzero((place & 7) == 0)
+        number = (place[block] >> 3).astype(np.uint64)
+        mixed = mix(np.add.reduceat(value, block) + number * _STEP)
+        hashes.append(mix(np.add.reduceat(mixed, np.searchsorted(block, begin))))
         starts_at.append(starts + a)
+        length = np.diff(np.append(begin, len(at)))
+        sizes.append(length)
         if prefixes:
-            length = np.diff(np.append(begin, len(at)))
             for k, out in zip(prefixes, pre, strict=True):
                 h = np.zeros(len(begin), np.uint64)
                 long = length > k
@@ -103,6 +96,8 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray,
     where = np.concatenate(starts_at) if starts_at else np.zeros(0, np.int64)
     counts = np.searchsorted(where, offsets)
     assert len(counts) == n + 1
+    if spans:
+        return words, counts, where, np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
     if prefixes:
         return words, counts, [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in pre]
     return words, counts

@@ -60,7 +60,7 @@ def test_long_runs_are_scanned_once():
 
 def test_find_personal_data(spark, docs_of, clashing):  # noqa: F811
     rows = [(1, "é a.b@c.de and 10.0.0.1"), (2, None), (3, ""), (None, "+1 (743) 555-3824"), (1, "é a.b@c.de and 10.0.0.1"),
-            (4, "x" * 300_000 + " 1.2.3.4"), (5, "clean text, 300.1.1.1")]
+            (4, "x" * 20_000 + " 1.2.3.4"), (5, "clean text, 300.1.1.1")]
     found = PI.find_personal_data(clashing(docs_of(rows)), mask=True)
     got = sorted(((r.doc_id, r.masked[-30:], [x.kind for x in r.spans]) for r in found.collect()), key=repr)
     want = sorted([(1, "é <email> and <ip>", ["email", "ip"])] * 2 + [
