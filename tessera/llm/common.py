@@ -36,12 +36,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() * 2 <= want else df
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it from there:
     computed once, column-pruned by later readers, safe from lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

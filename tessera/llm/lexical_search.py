@@ -47,7 +47,7 @@ BLOCK_WORDS, BLOCK_TERMS = 1_000_000, 8192
 #: Pairs of terms within queries a block may hold (the coordinates of summaries).
 BLOCK_PAIRS = 1 << 23
 #: Cells (documents x terms) of a segment, and its documents at most and at least.
-CELLS, MOST_DOCS, LEAST_DOCS = 1 << 23, 2048, 64
+CELLS, MOST_DOCS, LEAST_DOCS = 1 << 22, 2048, 64
 #: Documents of a geometric block.
 BLOCK = 32
 #: Dimensions of the sketch that clusters go by.
@@ -261,7 +261,8 @@ def build_index(vectors: DataFrame, block: Queries, w: np.ndarray, n_docs: int,
         if held:
             yield _segment(held, block, beside, w, project, n_docs, n_words)
 
-    return stored(vectors.mapInArrow(run, ", ".join(f"{c} binary" for c in _PARTS)), "blocks")
+    return stored(vectors.mapInArrow(run, ", ".join(f"{c} binary" for c in _PARTS)), "blocks",
+                  **{"parquet.block.size": str(16 << 20)})
 
 
 class Segment:
