@@ -1,69 +1,86 @@
 """Linear head on vectors and the evaluation metrics around it.
 
-The head is a nearest-centroid linear layer: W[c] = mean of class c's training
-vectors, b[c] = -|W[c]|^2 / 2, so argmax(W.x + b) is the closest centroid.
-Fitting is a partial/final aggregate per (class, dim); the fitted model
-(classes x dim numbers) is a model, like any ``pyspark.ml`` coefficients, and is
-shipped to the executors as one literal after a size check.
+The head is a table, a row per class: ``class``, ``w`` (its weights) and ``b``
+(its bias).  The nearest-centroid head has W[c] = mean of class c's training
+vectors and b[c] = -|W[c]|^2 / 2, so argmax(W.x + b) is the closest centroid; its
+fit is a partial/final aggregate per (class, dim).
+
+Scoring is a blocked product: classes are dealt into blocks of about
+``CLASS_BLOCK``, rows meet the blocks in a join, and a row's pieces are put
+together by its id where there are several.  A head of up to
+``BROADCAST_VALUES`` weights is broadcast (its size is counted first); a larger
+one is shuffled, with the block keys salted so that no block is one task.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
-
-MAX_MODEL_VALUES = 4_000_000
-
-
-@dataclass
-class CentroidHead:
-    classes: list[int]
-    weights: list[list[float]]
-    bias: list[float]
-
-    def logits(self, vec) -> F.Column:
-        w = F.lit(self.weights)
-        b = F.lit(self.bias)
-        return F.transform(w, lambda row, i: A.dot(vec, row) + F.element_at(b, i + 1))
-
-    def class_of(self, index) -> F.Column:
-        return F.element_at(F.lit(self.classes), index + 1)
-
-
-def fit_centroids(train: DataFrame, vec_col: str, label_col: str) -> CentroidHead:
-    per_dim = (A.rows_of(train, [label_col], A.as_double(F.col(vec_col)), "dim", "x")
-               .groupBy(label_col, "dim").agg(F.avg("x").alias("m")))
-    model = (per_dim.groupBy(label_col)
-             .agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("s"))
-             .select(label_col, F.transform("s", lambda x: x["m"]).alias("w")))
-    size = model.agg(F.sum(F.size("w"))).first()[0] or 0
-    if size > MAX_MODEL_VALUES:
-        raise ValueError(f"centroid model has {size} values; too large to ship as a literal")
-    rows = sorted(model.collect(), key=lambda r: r[label_col])
-    weights = [list(r["w"]) for r in rows]
-    bias = [-0.5 * sum(x * x for x in w) for w in weights]
-    return CentroidHead([int(r[label_col]) for r in rows], weights, bias)
-
-
-def with_logits(df: DataFrame, head: CentroidHead, vec_col: str) -> DataFrame:
-    return df.withColumn("logits", head.logits(A.as_double(F.col(vec_col))))
-
-
-def per_class(df: DataFrame, head: CentroidHead, id_col: str, values) -> DataFrame:
+from tessera.session import materialize, shuffle_partitions
+
+CLASS_BLOCK = 256
+BROADCAST_VALUES = 4_000_000
+
+
+def fit_centroids(train: DataFrame, vec_col: str, label_col: str) -> DataFrame:
+    """The nearest-centroid head (class, w, b) of the labelled vectors."""
+    per_dim = (A.rows_of(train, [F.col(label_col).cast("bigint").alias("class")], A.as_double(F.col(vec_col)), "dim", "x")
+               .groupBy("class", "dim").agg(F.avg("x").alias("m")))
+    model = (per_dim.groupBy("class").agg(F.sort_array(F.collect_list(F.struct("dim", "m"))).alias("s"))
+             .select("class", F.transform("s", lambda x: x["m"]).alias("w")))
+    return materialize(model.select("class", "w", (F.lit(-0.5) * A.dot(F.col("w"), F.col("w"))).alias("b")))
+
+
+def head_size(head: DataFrame) -> tuple[int, int]:
+    """(classes, weights): two scalars."""
+    return tuple(head.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("w")), F.lit(0))).first())
+
+
+def with_logits(df: DataFrame, head: DataFrame, vec_col: str, id_col: str = "vec_id",
+                size: tuple[int, int] | None = None) -> DataFrame:
+    """Adds ``classes`` (ascending) and ``logits`` (their W.x + b); both empty
+    where the head has no classes.  ``id_col`` identifies the rows; ``size`` is
+    the head's ``head_size`` where it is known."""
+    size = size or head_size(head)
+    n_blocks = max(1, -(-size[0] // CLASS_BLOCK))
+    blocks = (head.groupBy(F.pmod(F.xxhash64("class"), F.lit(n_blocks)).cast("int").alias("_block"))
+              .agg(F.sort_array(F.collect_list(F.struct("class", "w", "b"))).alias("_rows")))
+    rows = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))) if n_blocks > 1 else \
+        df.withColumn("_block", F.lit(0))
+    if size[1] <= BROADCAST_VALUES:
+        met = rows.join(F.broadcast(blocks), "_block", "left")
+    else:
+        salts = 2 * shuffle_partitions(df.sparkSession)
+        salted = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")).join(
+            salted, ["_block", "_salt"], "left").drop("_salt")
+    score = F.transform("_rows", lambda c: F.struct(c["class"].alias("class"), (
+        A.dot(A.as_double(F.col(vec_col)), c["w"]) + c["b"]).alias("value")))
+    met = met.withColumn("_scores", score).drop("_rows", "_block")
+    if n_blocks > 1:  # a row's pieces together
+        whole = met.groupBy(id_col).agg(F.sort_array(F.flatten(F.collect_list("_scores"))).alias("_scores"))
+        met = df.join(whole, id_col)
+    none = F.array().cast("array<struct<class:bigint,value:double>>")
+    met = met.withColumn("_scores", F.coalesce("_scores", none))
+    return (met.withColumn("classes", F.transform("_scores", lambda x: x["class"]))
+            .withColumn("logits", F.transform("_scores", lambda x: x["value"])).drop("_scores"))
+
+
+def per_class(df: DataFrame, id_col: str, values) -> DataFrame:
     """Explode an array of per-class values to (id, class, value)."""
-    return (A.rows_of(df, [id_col], values, "_i")
-            .select(id_col, head.class_of(F.col("_i")).cast("bigint").alias("class"), "value"))
+    both = F.arrays_zip(F.col("classes").alias("class"), F.col(values).alias("value") if isinstance(values, str)
+                        else values.alias("value"))
+    return A.rows_of(df, [id_col], both, "_i", "_v").select(id_col, "_v.class", "_v.value")
 
 
-def predictions(df: DataFrame, head: CentroidHead) -> DataFrame:
+def predictions(df: DataFrame, label_col: str = "label") -> DataFrame:
     """Adds ``predicted`` (argmax class, ties -> lowest class) and ``nll`` of the
     true label: infinite for a label that the head has no class for."""
-    at = F.array_position(F.lit(head.classes), F.col("label")).cast("int")
-    return (df.withColumn("predicted", head.class_of(A.argmax(F.col("logits"))).cast("bigint"))
+    at = F.array_position("classes", F.col(label_col).cast("bigint")).cast("int")
+    best = A.argmax(F.col("logits")) + 1
+    return (df.withColumn("predicted", F.when(F.size("classes") > 0, F.element_at("classes", F.greatest(best, F.lit(1)))))
               .withColumn("nll", F.when(at > 0, A.nll(F.col("logits"), F.greatest(at, F.lit(1)) - 1))
                           .otherwise(F.lit(float("inf")))))
 

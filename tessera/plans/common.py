@@ -19,6 +19,7 @@ BATCH = 8
 ROW = 7
 TOP_K = 3
 EPOCHS, EVAL_FREQ = 3, 5
+STEPS_PER_EPOCH, EVAL_BATCHES = 6, 5
 EXIT_WORDS = ("exit", "quit")
 
 

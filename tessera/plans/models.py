@@ -9,6 +9,7 @@ from tessera.functions import text as T
 from tessera.operators import classify as CL
 from tessera.operators import ngram as NG
 from tessera.operators import tokens as TK
+from tessera.operators import training as TR
 from tessera.operators.sampling import char_split, three_way_split
 from tessera.plans import common as C
 from tessera.plans.registry import query
@@ -70,16 +71,32 @@ def model_roundtrip(spark, d):
     return CL.classify_naive_bayes(CL.NaiveBayes.load(spark, path), TK.word_tokens(docs), docs)
 
 
+def _trained(spark, d, eval_freq=C.EVAL_FREQ):
+    """The head on the embedding vectors: training table split 70/10/20, batches
+    of a ``STEPS_PER_EPOCH``-th of the training rows."""
+    emb = load_table(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    split = three_way_split(emb.select("vec_id"), "vec_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)
+    rows = materialize(emb.join(split.select("vec_id", "split"), "vec_id"))
+    train = rows.where(F.col("split") == "train")
+    return TR.train_head(train, rows.where(F.col("split") == "validation"), "vec_id", "embedding", "label",
+                         epochs=C.EPOCHS, batch_size=max(1, train.count() // C.STEPS_PER_EPOCH), seed=C.SEED,
+                         eval_freq=eval_freq, eval_batches=C.EVAL_BATCHES)
+
+
 @query("training_trace")
 def training_trace(spark, d):
-    """Objective per solver iteration (the fitted head's own summary), with the
-    evaluation cadence flag step % EVAL_FREQ == 0."""
-    data = _lr_data(spark, d)
-    model = CL.fit_linear_head(data.where(F.col("split") == "train"), max_iter=20)
-    trace = CL.objective_trace(model)
-    rows = [(i, float(v)) for i, v in enumerate(trace)]
-    df = spark.createDataFrame(rows, "step BIGINT, loss DOUBLE")
-    return df.withColumn("evaluated", (F.col("step") % C.EVAL_FREQ) == 0)
+    """Losses at every EVAL_FREQ-th step and accuracies per epoch of the trained head."""
+    trace, _ = _trained(spark, d)
+    return trace.select("event", "epoch", "step", "examples_seen", *[
+        _r6(F.col(c)).alias(c) for c in ("train_loss", "validation_loss", "train_accuracy", "validation_accuracy")])
+
+
+@query("train_head_weights")
+def train_head_weights(spark, d):
+    """Weights of the trained head after the last step (the bias is the last dim)."""
+    _, state = _trained(spark, d, eval_freq=None)
+    return A.rows_of(state, ["class"], "w", "dim").select(
+        "class", F.col("dim").cast("bigint").alias("dim"), _r6(F.col("value")).alias("value"))
 
 
 # ---------------------------------------------------------------- bigram LM

@@ -252,6 +252,95 @@ st AS (SELECT ep AS epoch, ep * (SELECT nb FROM nb) + batch_id AS step FROM per,
 SELECT epoch::BIGINT AS epoch, step::BIGINT AS step, ((step + 1) * {C.BATCH})::BIGINT AS examples_seen
 FROM st WHERE step % {C.EVAL_FREQ} = 0"""
 
+
+
+def mixed(place: str, key: str, src: str, cols: str, a: str = "a", b: str = "b") -> str:
+    """The epoch permutation of ``place`` as ``place`` over ``src``, keeping ``cols``."""
+    def h(i, digit):
+        return f"('0x' || substr(md5({key} || ':{i}:' || ({digit})::VARCHAR), 1, 8))::BIGINT"
+    sql = f"SELECT {cols}, ({place}) // {b} AS hi, ({place}) % {b} AS lo FROM {src}"
+    for i in (1, 2, 3, 4):
+        hi, lo = (f"(hi + {h(i, 'lo')}) % {a}", "lo") if i % 2 else ("hi", f"(lo + {h(i, 'hi')}) % {b}")
+        sql = f"SELECT {cols}, {hi} AS hi, {lo} AS lo FROM ({sql})"
+    return f"SELECT {cols}, hi * {b} + lo AS place FROM ({sql})"
+
+
+def epoch_places(name: str, rows: str, id_col: str, n: str, epochs: str) -> str:
+    """CTEs ending in ``{name}`` = (id, epoch, place): the permutation of each
+    epoch, walked on until a place is below n."""
+    key = f"'{C.SEED}:' || epoch"
+    cols = "id, epoch, a, b, n"
+    walk = mixed("place", key, "{src}", cols)
+    return f"""{name}_b AS (SELECT n, a, ceil(greatest(n, 1) / a)::BIGINT AS b FROM (
+  SELECT n, ceil(sqrt(greatest(n, 1)))::BIGINT AS a FROM (SELECT ({n})::BIGINT AS n))),
+{name}_w AS (
+  {walk.format(src=f"(SELECT {id_col} AS id, r::BIGINT AS place, epoch, a, b, n FROM {rows}, {name}_b, range({epochs}) t(epoch))")}
+  UNION ALL
+  {walk.format(src=f"(SELECT * FROM {name}_w WHERE place >= n)")}),
+{name} AS (SELECT id, epoch, place FROM {name}_w WHERE place < n)"""
+
+
+_TRAIN = f"""WITH RECURSIVE {shuffled('esh', 'embeddings', 'vec_id')},
+e AS (SELECT m.vec_id, m.label::BIGINT AS label, list_append(m.embedding::DOUBLE[], 1.0::DOUBLE) AS x, {split_of()} AS split
+      FROM embeddings m JOIN esh s ON s.vec_id = m.vec_id),
+tr AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS r FROM e WHERE split = 'train'),
+sz AS (SELECT n, bs, n // bs AS per FROM (SELECT count(*) AS n, greatest(1, count(*) // {C.STEPS_PER_EPOCH}) AS bs FROM tr)),
+{epoch_places('pl', 'tr', 'vec_id', 'SELECT count(*) FROM tr', str(C.EPOCHS))},
+ob AS MATERIALIZED (SELECT p.epoch, p.place // bs AS batch, p.epoch * per + p.place // bs AS step, t.vec_id, t.label, t.x
+       FROM pl p JOIN tr t ON t.vec_id = p.id, sz WHERE p.place // bs < per),
+xs AS MATERIALIZED (SELECT step, vec_id, label, unnest(range(1, len(x) + 1)) AS j, unnest(x) AS val FROM ob),
+st AS (
+  SELECT 0 AS t, class, j, 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v
+  FROM (SELECT DISTINCT label AS class FROM tr), (SELECT DISTINCT j FROM xs)
+  UNION ALL
+  SELECT t + 1, class, j, w * (1 - 0.05 * 0.1) - 0.05 * (m / (1 - 0.9 ** (t + 1))) / (sqrt(v / (1 - 0.999 ** (t + 1))) + 1e-8), m, v
+  FROM (SELECT s.t, s.class, s.j, s.w, 0.9 * s.m + (1 - 0.9) * g.g AS m, 0.999 * s.v + (1 - 0.999) * g.g * g.g AS v
+    FROM st s JOIN (
+      SELECT p.class, x.j, sum((p.p - CASE WHEN p.class = p.label THEN 1.0 ELSE 0.0 END) * x.val) / any_value(sz.bs) AS g
+      FROM (SELECT step, vec_id, label, class, exp(l - mx) / sum(exp(l - mx)) OVER (PARTITION BY vec_id) AS p FROM (
+          SELECT *, max(l) OVER (PARTITION BY vec_id) AS mx FROM (
+            SELECT x.step, x.vec_id, x.label, s.class, sum(x.val * s.w) AS l
+            FROM st s JOIN xs x ON x.step = s.t AND x.j = s.j GROUP BY ALL))) p
+      JOIN xs x ON x.step = p.step AND x.vec_id = p.vec_id, sz GROUP BY p.class, x.j) g
+    ON g.class = s.class AND g.j = s.j)),
+ev AS (SELECT 'step' AS event, k // per AS epoch, k AS step FROM sz, range({C.EPOCHS} * per) t(k) WHERE k % {C.EVAL_FREQ} = 0
+       UNION ALL SELECT 'epoch', e, (e + 1) * per - 1 FROM sz, range({C.EPOCHS}) t(e)),
+vb AS (SELECT vec_id, label, x, (row_number() OVER (ORDER BY vec_id) - 1) // bs AS batch FROM e, sz WHERE split = 'validation'),
+rw AS (SELECT ev.*, 'train' AS side, batch, vec_id, label, x FROM ev JOIN ob USING (epoch) WHERE batch < {C.EVAL_BATCHES}
+       UNION ALL SELECT ev.*, 'validation', batch, vec_id, label, x FROM ev, vb WHERE batch < {C.EVAL_BATCHES}),
+hw AS (SELECT t - 1 AS step, class, list(w ORDER BY j) AS w FROM st GROUP BY ALL),
+lo AS (SELECT r.event, r.epoch, r.step, r.side, r.batch, r.vec_id, r.label, h.class, list_dot_product(r.x, h.w) AS l
+       FROM rw r JOIN hw h USING (step)),
+on_ AS (SELECT event, epoch, step, side, batch, vec_id, label, first(class ORDER BY l DESC, class) AS top, max(l) AS mx,
+       list(l) AS ls, max(l) FILTER (class = label) AS own FROM lo GROUP BY ALL),
+bm AS (SELECT event, epoch, step, side, batch, count(*) AS n, count(*) FILTER (top = label) AS ok,
+       avg(mx + ln(list_sum(list_transform(ls, lambda z: exp(z - mx)))) - own) AS loss FROM on_ GROUP BY ALL),
+ms AS (SELECT event, epoch, step, side, avg(loss) AS loss, sum(ok) / sum(n) AS acc FROM bm GROUP BY ALL)"""
+
+
+def _side(event: str, col: str, side: str, empty: str) -> str:
+    return f"""CASE WHEN event = '{event}' THEN coalesce((SELECT round({col}, 6) FROM ms
+  WHERE (ms.event, ms.step, ms.side) = (ev.event, ev.step, '{side}')), {empty}) END AS {side}_{'loss' if col == 'loss' else 'accuracy'}"""
+
+
+SQL["row_ids"] = """SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS row_id, doc_id FROM labels"""
+
+SQL["epoch_batches"] = f"""WITH RECURSIVE o AS (
+  SELECT o_orderkey, row_number() OVER () - 1 AS r FROM orders),
+{epoch_places('pl', 'o', 'o_orderkey', 'SELECT count(*) FROM orders', str(C.EPOCHS))},
+c AS (SELECT count(*) // {C.BATCH} AS per FROM orders)
+SELECT id AS o_orderkey, epoch, place, place // {C.BATCH} AS batch_id, epoch * per + place // {C.BATCH} AS step
+FROM pl, c WHERE place // {C.BATCH} < per"""
+
+SQL["training_trace"] = f"""{_TRAIN}
+SELECT event, epoch::BIGINT AS epoch, step::BIGINT AS step, ((step + 1) * bs)::BIGINT AS examples_seen,
+  {_side('step', 'loss', 'train', "'nan'::DOUBLE")}, {_side('step', 'loss', 'validation', "'nan'::DOUBLE")},
+  {_side('epoch', 'acc', 'train', 'NULL')}, {_side('epoch', 'acc', 'validation', 'NULL')}
+FROM ev, sz"""
+
+SQL["train_head_weights"] = f"""{_TRAIN}
+SELECT class, (j - 1)::BIGINT AS dim, round(w, 6) AS value FROM st WHERE t = (SELECT max(t) FROM st)"""
+
 SQL["standardize_vectors"] = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
 s AS (SELECT vec_id, v, list_avg(v) AS mu FROM v),
 s2 AS (SELECT vec_id, v, mu, list_avg(list_transform(v, lambda x: (x - mu) * (x - mu))) AS var FROM s),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import epochs as EP
+from tessera.operators import positions as PO
 from tessera.operators import sampling as SA
 from tessera.plans import common as C
 from tessera.plans.registry import query
@@ -29,10 +31,27 @@ def label_name(spark, d):
 
 @query("row_fetch")
 def row_fetch(spark, d):
-    # dataset index: stable row ids in doc_id order, then fetch one position
+    """The row at a position, by the table's file index: one file is read."""
+    index = PO.file_index(load_table(spark, d, "labels"))
+    return PO.fetch(spark, index, C.ROW).select("row_id", "doc_id", "quality", "toxic")
+
+
+@query("row_ids")
+def row_ids(spark, d):
+    """Dataset index: stable row ids in the order of the key."""
     lab = load_table(spark, d, "labels").select("doc_id", "quality", "toxic")
-    return SA.row_ids(lab, ["doc_id"]).where(F.col("row_id") == C.ROW).select(
-        "row_id", "doc_id", "quality", "toxic")
+    return SA.row_ids(lab, ["doc_id"]).select("row_id", "doc_id")
+
+
+@query("epoch_batches")
+def epoch_batches(spark, d):
+    """Every epoch's batches of the orders, in an order of its own, by arithmetic
+    on the rows' positions in their files."""
+    orders = load_table(spark, d, "orders")
+    index = PO.file_index(orders)
+    rows = PO.with_row_id(orders.select("o_orderkey"), index)
+    return EP.epoch_batches(rows, "row_id", PO.size(index), C.BATCH, C.SEED, C.EPOCHS).select(
+        "o_orderkey", F.col("epoch").cast("bigint").alias("epoch"), "place", "batch_id", "step")
 
 
 def _orders(spark, d):

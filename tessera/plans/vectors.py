@@ -29,7 +29,7 @@ def embedded_splits(spark, d):
     split = three_way_split(emb.select("vec_id"), "vec_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)
     e = emb.join(split.select("vec_id", "split"), "vec_id")
     head = M.fit_centroids(e.where(F.col("split") == "train"), "embedding", "label")
-    return M.with_logits(e, head, "embedding"), head
+    return M.with_logits(e, head, "embedding")
 
 
 def loader_keys(spark, d):
@@ -50,32 +50,32 @@ def batch_metrics(spark, d):
     split, keys = loader_keys(spark, d)
     emb = load_table(spark, d, "embeddings")
     head = M.fit_centroids(emb.join(split.where(F.col("split") == "train"), "vec_id"), "embedding", "label")
-    e = M.predictions(M.with_logits(emb.join(keys, "vec_id"), head, "embedding"), head)
+    e = M.predictions(M.with_logits(emb.join(keys, "vec_id"), head, "embedding"))
     return M.batch_table(e)
 
 
 @query("centroid_logits")
 def centroid_logits(spark, d):
-    e, head = embedded_splits(spark, d)
-    return M.per_class(e, head, "vec_id", F.col("logits")).withColumn("value", _r6(F.col("value")))
+    e = embedded_splits(spark, d)
+    return M.per_class(e, "vec_id", F.col("logits")).withColumn("value", _r6(F.col("value")))
 
 
 @query("softmax")
 def softmax(spark, d):
-    e, head = embedded_splits(spark, d)
-    return M.per_class(e, head, "vec_id", A.softmax(F.col("logits"))).withColumn("value", _r6(F.col("value")))
+    e = embedded_splits(spark, d)
+    return M.per_class(e, "vec_id", A.softmax(F.col("logits"))).withColumn("value", _r6(F.col("value")))
 
 
 @query("argmax_class")
 def argmax_class(spark, d):
-    e, head = embedded_splits(spark, d)
-    return M.predictions(e, head).select("vec_id", "predicted")
+    e = embedded_splits(spark, d)
+    return M.predictions(e).select("vec_id", "predicted")
 
 
 @query("top_k_logits")
 def top_k_logits(spark, d):
-    e, head = embedded_splits(spark, d)
-    return (M.per_class(e, head, "vec_id", A.top_k_mask(F.col("logits"), C.TOP_K))
+    e = embedded_splits(spark, d)
+    return (M.per_class(e, "vec_id", A.top_k_mask(F.col("logits"), C.TOP_K))
             .withColumn("value", _r6(F.col("value"))))
 
 

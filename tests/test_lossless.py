@@ -96,9 +96,9 @@ def test_report_of_an_empty_split(spark):
 
 
 def test_unknown_label_has_infinite_loss(spark):
-    head = M.CentroidHead([3, 5], [[1.0], [2.0]], [0.0, 0.0])
+    head = spark.createDataFrame([(3, [1.0], 0.0), (5, [2.0], 0.0)], "class bigint, w array<double>, b double")
     df = spark.createDataFrame([(1, [1.0], 5), (2, [1.0], 9)], "vec_id BIGINT, v ARRAY<DOUBLE>, label BIGINT")
-    got = {r.vec_id: r for r in M.predictions(M.with_logits(df, head, "v"), head).collect()}
+    got = {r.vec_id: r for r in M.predictions(M.with_logits(df, head, "v")).collect()}
     assert got[1].predicted == 5 and got[2].nll == float("inf") and got[1].nll < 1
 
 
