@@ -25,49 +25,48 @@ from tessera.session import ensure_checkpoint_dir, shuffle_partitions
 _LOW_BITS = (1 << 33) - 1
 
 
+def _fixed(df: DataFrame, order_cols: list, num_partitions: int | None) -> DataFrame:
+    """The rows range-partitioned and sorted by ``order_cols``, fixed in the
+    checkpoint folder, each with its partition ``_part`` and place there ``_local``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    n = num_partitions or shuffle_partitions(df.sparkSession)
+    fixed = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
+    tagged = fixed.withColumn("_mid", F.monotonically_increasing_id())
+    return (tagged.withColumn("_part", F.shiftright(F.col("_mid"), 33))
+                  .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).drop("_mid"))
+
+
 def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank",
-                num_partitions: int | None = None, part_col: str | None = None) -> DataFrame:
-    """Add a 0-based BIGINT position in the total order of ``order_cols``
-    (and, under ``part_col``, the number of the row's range partition).
+                num_partitions: int | None = None) -> DataFrame:
+    """Add a 0-based BIGINT position in the total order of ``order_cols``.
 
     ``order_cols`` must identify rows (include a unique tie-breaker)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
-    cols = df.columns
-    fixed = (df.repartitionByRange(n, *order_cols)
-               .sortWithinPartitions(*order_cols)
-               .checkpoint(eager=True))
-    tagged = fixed.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = (tagged.withColumn("_part", F.shiftright(F.col("_mid"), 33))
-                    .withColumn("_local", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
+    tagged = _fixed(df, order_cols, num_partitions)
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
         F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_part")
-                  .select(*[F.col(c) for c in cols], (F.col("_off") + F.col("_local")).alias(rank_col),
-                          *([F.col("_part").alias(part_col)] if part_col else [])))
+                  .select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_local")).alias(rank_col)))
 
 
 def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list,
-                       rank_col: str = "rank") -> DataFrame:
+                       rank_col: str = "rank", num_partitions: int | None = None) -> DataFrame:
     """0-based position inside each group, without a per-group window.
 
-    A hot group (a third of all rows) is spread over many range partitions by
-    :func:`global_rank`.  Its start is known per (partition, group) piece, at
-    most groups + partitions rows, and joins back on that pair, so no join key
-    holds more rows than one range partition.  Null groups are a group."""
-    ranked = global_rank(df, [*group_cols, *order_cols], "_g", part_col="_part")
-    key = F.struct(*group_cols)
-    pieces = ranked.groupBy("_part", key.alias("_key")).agg(F.min("_g").alias("_first"))
-    # pieces of one group follow one another: its start is their smallest position
-    starts = pieces.groupBy("_key").agg(F.min("_first").alias("_start"))
-    starts = pieces.join(starts, "_key").select("_part", "_key", "_start")
-    return (ranked.withColumn("_key", key).join(starts, ["_part", "_key"])
-                  .withColumn(rank_col, F.col("_g") - F.col("_start"))
-                  .drop("_g", "_start", "_part", "_key"))
+    Range partitions by (group, order) spread a hot group over many of them.  A
+    group's piece of a partition stands together, so a row's position is its
+    place there less the piece's first place, plus the rows of the group's
+    pieces before it: one count per (partition, group), at most groups +
+    partitions rows, joined back on that pair, so no join key holds more rows
+    than one range partition.  Null groups are a group."""
+    tagged = _fixed(df, [*group_cols, *order_cols], num_partitions).withColumn("_key", F.struct(*group_cols))
+    pieces = tagged.groupBy("_part", "_key").agg(F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = pieces.select("_part", "_key", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_base"))
+    return (tagged.join(bases, ["_part", "_key"])
+                  .select(*[F.col(c) for c in df.columns], (F.col("_base") + F.col("_local")).alias(rank_col)))
 
 
 def running_total(df: DataFrame, group_cols: list[str], order_cols: list, value_col: str,

@@ -33,47 +33,94 @@ def consecutive_scaled_dot(df: DataFrame, group_col: str, order_col: str, vec_co
                     A.scaled_dot(A.as_double(F.col(vec_col)), A.as_double(F.col("_v2"))).alias("value")))
 
 
+#: Rows of a block of soft history: at least so many, and a window spans at most so many blocks.
+HISTORY_BLOCK, HISTORY_SPAN = 64, 16
+
+
 def soft_history(df: DataFrame, group_col: str, order_col: str, vec_col: str, window: int,
-                 heads: int = 1) -> DataFrame:
+                 heads: int = 1, block: int | None = None) -> DataFrame:
     """For each row i: softmax over the last ``window`` rows j <= i of its group
-    (by ``order_col``) of q_i.k_j/sqrt(d_head), times v_j, summed; with
-    ``heads`` > 1 the vector is cut into equal slices handled independently and
-    the outputs are concatenated.  Output (order_col, vec ARRAY<DOUBLE>).
-
-    Bucketed on floor(rank / window): j lies in bucket b_i or b_i - 1, so a
-    bucket of at most ``window`` vectors is gathered once and joined with the
-    one before it; a row's candidates are bounded by 2*window."""
-    ranked = rank_within_groups(df.select(group_col, order_col, A.as_double(F.col(vec_col)).alias("_v")),
-                                [group_col], [order_col], "_r")
-    ranked = ranked.withColumn("_b", F.floor(F.col("_r") / F.lit(window)))
-    # the at most ``window`` vectors of a bucket travel together, twice: as the
-    # own bucket and as the one before
-    bucket = (ranked.groupBy(group_col, "_b")
+    (by ``order_col``, which identifies a group's rows) of q_i.k_j/sqrt(d_head),
+    times v_j, summed; with ``heads`` > 1 the vector is cut into equal slices
+    handled independently and the outputs are concatenated.  Output (order_col,
+    vec ARRAY<DOUBLE>).  Null groups are a group; rows without a vector are left out.
+
+    Rows are dealt into blocks of consecutive ranks.  A block of rows meets each
+    block of the rows it may look back on, one pair at a time, and leaves per row and pair
+    an accumulator (largest score, sum of weights, weighted sum of vectors);
+    accumulators of a row merge exactly, so no window is ever gathered.  The
+    work of a pair is bounded by the block, a row has at most
+    ``HISTORY_SPAN`` + 2 accumulators, and a hot group is spread over its blocks."""
+    size = block or max(HISTORY_BLOCK, -(-window // HISTORY_SPAN))
+    some = df.where(F.col(vec_col).isNotNull()).select(group_col, order_col, A.as_double(F.col(vec_col)).alias("_v"))
+    ranked = rank_within_groups(some, [group_col], [order_col], "_r")
+    blocks = (ranked.groupBy(F.struct(group_col).alias("_key"), F.floor(F.col("_r") / F.lit(size)).alias("_b"))
               .agg(F.sort_array(F.collect_list(F.struct(F.col("_r").alias("r"), F.col(order_col).alias("id"),
                                                         F.col("_v").alias("v")))).alias("_rows")))
-    before = bucket.select(group_col, (F.col("_b") + 1).alias("_b"), F.col("_rows").alias("_old"))
-    both = bucket.join(before, [group_col, "_b"], "left")
-    none = F.filter("_rows", lambda x: F.lit(False))
-    rows = A.rows_of(both, ["_rows", F.coalesce("_old", none).alias("_old")], "_rows", value="_q")
-    rows = rows.select(F.col("_q.id").alias("_qid"), F.col("_q.r").alias("_qr"), F.col("_q.v").alias("_q"),
-                       F.concat("_old", "_rows").alias("_near"))
-    near = F.filter("_near", lambda c: (c["r"] <= F.col("_qr")) & (c["r"] > F.col("_qr") - window))
-    rows = rows.select("_qid", "_q", near.alias("_near"))
-    qh = A.heads(F.col("_q"), heads)
-    grouped = rows.select("_qid", A.let(qh, lambda q: F.transform("_near", lambda c: A.let(
-        A.heads(c["v"], heads), lambda k: F.struct(
-            F.zip_with(q, k, lambda x, y: A.scaled_dot(x, y)).alias("_s"), k.alias("_kh"))))).alias("_c"))
-
-    def head_out(h):
-        scores = F.transform("_c", lambda c: F.element_at(c["_s"], h + 1))
-        w = A.softmax(scores)
-        vals = F.transform("_c", lambda c: F.element_at(c["_kh"], h + 1))
-        weighted = F.zip_with(w, vals, lambda wi, v: A.scale(v, wi))
-        first = F.transform(F.element_at(vals, 1), lambda x: F.lit(0.0).cast("double"))
-        return F.aggregate(weighted, first, lambda acc, v: A.add(acc, v))
-
-    out = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(heads - 1)), head_out))
-    return grouped.select(F.col("_qid").alias(order_col), out.alias("vec"))
+    blocks = materialize(blocks.select("_key", "_b", F.monotonically_increasing_id().alias("_n"),
+                                       F.transform("_rows", lambda x: x["id"]).alias("_ids"),
+                                       F.flatten(F.transform("_rows", lambda x: x["v"])).alias("_vs")))
+    back = -(-(window - 1) // size)
+    asking = blocks.withColumn("_at", F.explode(F.sequence(F.greatest(F.col("_b") - back, F.lit(0)), F.col("_b"))))
+    asked = blocks.select("_key", F.col("_b").alias("_at"), F.size("_ids").alias("_kn"), F.col("_vs").alias("_ks"))
+    pairs = asking.join(asked, ["_key", "_at"]).select(
+        "_n", "_ids", "_vs", "_kn", "_ks", ((F.col("_b") - F.col("_at")) * size).alias("_gap"))
+    id_type = df.schema[order_col].dataType.simpleString()
+    parts = pairs.mapInArrow(_history_parts(window, heads), f"_n bigint, _p int, _id {id_type}, "
+                             "m array<double>, s array<double>, a array<double>")
+    merged = parts.groupBy("_n", "_p").agg(F.first("_id").alias(order_col),
+                                           F.collect_list(F.struct("m", "s", "a")).alias("_parts"))
+    top = F.transform(F.sequence(F.lit(1), F.lit(heads)), lambda h: F.array_max(
+        F.transform("_parts", lambda x: F.element_at(x["m"], h))))
+    merged = merged.withColumn("_top", top).withColumn("_parts", F.transform("_parts", lambda x: F.struct(
+        F.zip_with(x["m"], "_top", lambda m, t: F.exp(m - t)).alias("f"), x["s"].alias("s"), x["a"].alias("a"))))
+
+    def total(values):
+        """Sum over the parts of ``values(part)``, each times its factor."""
+        first = F.transform(values(F.element_at("_parts", 1)), lambda x: F.lit(0.0))
+        return F.aggregate("_parts", first, lambda acc, x: A.add(acc, values(x)))
+
+    weight = total(lambda x: F.zip_with(x["s"], x["f"], lambda s, f: s * f))
+    slices = total(lambda x: F.flatten(F.zip_with(A.heads(x["a"], heads), x["f"], lambda part, f: A.scale(part, f))))
+    merged = merged.select(order_col, weight.alias("_w"), slices.alias("_a"))
+    return merged.select(order_col, F.flatten(F.zip_with(A.heads(F.col("_a"), heads), "_w", lambda part, w: F.transform(
+        part, lambda x: x / w))).alias("vec"))
+
+
+def _history_parts(window: int, heads: int):
+    """Accumulators of one pair of blocks a row: matrix products of bounded blocks."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                n, ids, vs, kn, ks, gap = (b.column(j)[i] for j in range(6))
+                count, others, gap = len(ids.values), kn.as_py(), gap.as_py()
+                q = np.asarray(vs.values, np.float64).reshape(count, -1)
+                k = np.asarray(ks.values, np.float64).reshape(others, -1)
+                if q.shape[1] % heads or q.shape[1] != k.shape[1]:
+                    raise ValueError(f"{heads} heads do not divide a vector of {q.shape[1]}")
+                width = q.shape[1] // heads
+                ago = np.arange(count)[:, None] + gap - np.arange(others)[None, :]  # rows between them
+                seen = (ago >= 0) & (ago < window)
+                rows = np.flatnonzero(seen.any(axis=1))
+                if not len(rows):
+                    continue
+                m, s, a = (np.empty((len(rows), w)) for w in (heads, heads, q.shape[1]))
+                for h in range(heads):
+                    at = slice(h * width, (h + 1) * width)
+                    score = np.where(seen[rows], q[rows, at] @ k[:, at].T / np.sqrt(width), -np.inf)
+                    m[:, h] = score.max(axis=1)
+                    weight = np.exp(score - m[:, h:h + 1])
+                    s[:, h] = weight.sum(axis=1)
+                    a[:, at] = weight @ k[:, at]
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * x.shape[1]),
+                                                  pa.array(x.ravel())) for x in (m, s, a)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(rows), n.as_py())), pa.array(rows.astype(np.int32)),
+                     ids.values.take(pa.array(rows)), *lists], names=["_n", "_p", "_id", "m", "s", "a"])
+    return run
 
 
 def pooled_token_embeddings(token_counts: DataFrame, vectors: DataFrame, id_col: str = "doc_id",

@@ -372,6 +372,7 @@ FROM d GROUP BY vec_id, h, i"""
 
 SQL["soft_history"] = _soft(16, 1)
 SQL["soft_history_heads"] = _soft(16, 4)
+SQL["soft_context"] = _soft(1024, 4)
 
 SQL["embed_tokens"] = f"""WITH {tok('dt', 'documents', 'doc_id')}, {vocab('dv', 'dt')},
 tk AS (SELECT t.id, t.pos, v.token_id FROM dt t JOIN dv v ON v.token = t.token),

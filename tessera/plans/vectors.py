@@ -16,7 +16,7 @@ from tessera.plans import common as C
 from tessera.plans.registry import query
 from tessera.session import load_table, materialize
 
-SOFT_WINDOW, HEADS = 16, 4
+SOFT_WINDOW, CONTEXT_WINDOW, HEADS = 16, 1024, 4
 
 
 def _r6(c):
@@ -161,6 +161,13 @@ def soft_history_heads(spark, d):
     return _vec_rows(V.soft_history(emb, "label", "vec_id", "embedding", SOFT_WINDOW, heads=HEADS))
 
 
+@query("soft_context")
+def soft_context(spark, d):
+    """Soft history over the whole context length, several heads."""
+    emb = load_table(spark, d, "embeddings")
+    return _vec_rows(V.soft_history(emb, "label", "vec_id", "embedding", CONTEXT_WINDOW, heads=HEADS, block=32))
+
+
 @query("embed_tokens")
 def embed_tokens(spark, d):
     # one tokenizing pass: occurrences per (doc, token), from which both the
