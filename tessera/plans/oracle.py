@@ -535,6 +535,7 @@ SQL["sink_csv_splits"] = f"""WITH {shuffled('sh', '(SELECT l.doc_id, l.toxic, d.
 SELECT {split_of()} AS split, toxic::BIGINT AS label, text FROM sh"""
 
 # ---------------------------------------------------------------- streaming (same answer as the batch form)
+SQL["message_log"] = "SELECT conv_id, turn, role, text FROM conversations"
 SQL["stream_until_exit"] = SQL["conversation_until_exit"]
 
 # ---------------------------------------------------------------- byte pairs: the round trip is lossless

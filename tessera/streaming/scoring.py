@@ -4,11 +4,8 @@
   emitted with its verdict; exit words are not scored.  Stateless: the model
   is a fitted ``PipelineModel`` whose stages all transform streams.
 * ``score_batches``: the same with the naive Bayes tables, per micro-batch.
-* ``until_exit_stream``: a conversation ends at its first exit word; turns from
-  there on are dropped, whenever they arrive.  Keyed state per conversation =
-  the turn it stops at (one number, kept for good: an ended conversation never
-  reopens).  A turn that was emitted before an earlier exit arrived late
-  stays emitted: a stream cannot take it back.
+
+Sessions that end are in ``sessions``, the message log in ``messages``.
 """
 
 from __future__ import annotations
@@ -16,11 +13,12 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter
 
 from tessera.operators.classify import NaiveBayes, class_name, classify_naive_bayes, with_tokens
 from tessera.operators.conversations import exit_predicate
 from tessera.operators.tokens import word_tokens
+from tessera.session import materialize
 
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 
@@ -43,50 +41,31 @@ SCORED_SCHEMA = "conv_id BIGINT, turn BIGINT, text STRING, predicted BIGINT, ver
 
 
 def score_batches(stream: DataFrame, model: NaiveBayes, sink: str, checkpoint: str) -> None:
-    """Score every micro-batch with the tables of ``model``.  A batch writes
+    """Score every message of a micro-batch with the tables of ``model``,
+    repeated (conversation, turn) rows each by itself.  A batch writes
     its own folder, replacing it when the batch is run again after a failure,
     so every message is scored exactly once."""
     def one(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("_id", F.struct("conv_id", "turn")).persist()
+        rows = materialize(batch.withColumn("_id", F.monotonically_increasing_id()))  # fixed before it is read twice
         scored = classify_naive_bayes(model, word_tokens(rows, "_id"), rows, "_id")
         out = rows.join(scored, "_id").select("conv_id", "turn", "text", "predicted", class_name().alias("verdict"))
         out.write.mode("overwrite").parquet(f"{sink}/batch-{number}")
-        rows.unpersist()
 
-    (stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    drain(stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint))
+
+
+def drain(writer: DataStreamWriter) -> None:
+    """Run a stream over everything there is, with the batches that only move
+    the watermark, then stop it; its checkpoint lets it go on later."""
+    q = writer.start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
 
 
 def run_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> None:
     """Process everything available, append to parquet, stop (exactly-once
     file sink + checkpoint: a restarted job resumes where it stopped)."""
-    q = (df.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def until_exit_stream(stream: DataFrame, words, id_col: str = "conv_id",
-                      order_col: str = "turn", text_col: str = "text", role_col: str = "role",
-                      speaker: str = "user") -> DataFrame:
-    lowered = {w.lower() for w in words}
-    fields = stream.schema.fieldNames()
-
-    def step(key, batches, state):
-        stop = state.get[0] if state.exists else None
-        frames = []
-        for b in batches:  # the earliest exit of this micro-batch, then its turns
-            hit = (b[role_col] == speaker) & b[text_col].str.lower().isin(lowered)
-            if hit.any():
-                first = int(b.loc[hit, order_col].min())
-                stop = first if stop is None else min(stop, first)
-            frames.append(b)
-        state.update((stop,))
-        for b in frames:
-            kept = b if stop is None else b[b[order_col] < stop]
-            if len(kept):
-                yield kept[fields]
-
-    return stream.groupBy(id_col).applyInPandasWithState(
-        step, outputStructType=stream.schema, stateStructType="stop BIGINT",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    drain(df.writeStream.format("parquet").option("path", sink)
+          .option("checkpointLocation", checkpoint).outputMode("append"))

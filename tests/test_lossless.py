@@ -67,25 +67,6 @@ def test_embedding_ids_need_not_be_dense(spark):
     assert got[1] == pytest.approx(want([0, 0, 1])) and got[2] == pytest.approx(want([5]))
 
 
-def _stream(spark, batches, name):
-    src = scratch_path(spark, f"{name}-src")
-    for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, SS.CONVERSATION_SCHEMA).coalesce(1).write.mode("append").parquet(src)
-        import time
-        time.sleep(1.1)  # the file source orders by modification time
-    kept = SS.until_exit_stream(SS.read_message_stream(spark, src, SS.CONVERSATION_SCHEMA), ("exit", "quit"))
-    sink = scratch_path(spark, f"{name}-sink")
-    SS.run_to_parquet(kept, sink, scratch_path(spark, f"{name}-ck"))
-    return sorted((r.conv_id, r.turn) for r in spark.read.parquet(sink).collect())
-
-
-def test_stream_end_is_kept_and_compared_per_row(spark):
-    got = _stream(spark, [[(1, 0, "user", "hi"), (1, 5, "user", "EXIT"), (2, 0, "user", None)],
-                          [(1, 1, "user", "late but before the end"), (1, 6, "user", "after the end")],
-                          [(1, 7, "user", "still after"), (2, 1, "user", "ok")]], "ends")
-    assert got == [(1, 0), (1, 1), (2, 0), (2, 1)]
-
-
 def test_report_of_an_empty_split(spark):
     rows = spark.createDataFrame([("train", 0, 1, 1, 0.5), ("train", 0, 1, 0, 1.5), ("train", 1, 1, 1, 4.0)],
                                  "split STRING, batch_id BIGINT, predicted BIGINT, label BIGINT, nll DOUBLE")

@@ -25,20 +25,6 @@ def test_exit_words_batch(spark):
     assert kept == [(1, 0), (1, 1), (2, 0), (3, 0), (3, 1)]
 
 
-def test_exit_words_stream_equals_batch(spark):
-    src = scratch_path(spark, "conv-src")
-    df = spark.createDataFrame(CONV, SS.CONVERSATION_SCHEMA)
-    for band in range(4):
-        df.where(F.col("turn") == band).write.mode("append").parquet(src)
-    session = spark.newSession()
-    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    stream = SS.read_message_stream(session, src, SS.CONVERSATION_SCHEMA)
-    sink = scratch_path(spark, "conv-sink")
-    SS.run_to_parquet(SS.until_exit_stream(stream, ("exit", "quit")), sink, scratch_path(spark, "ck"))
-    got = sorted((r.conv_id, r.turn) for r in spark.read.parquet(sink).collect())
-    assert got == [(1, 0), (1, 1), (2, 0), (3, 0), (3, 1)]
-
-
 def test_naive_bayes_matches_brute_force(spark):
     docs = [(0, "buy cheap pills now", 1), (1, "cheap cheap offer", 1), (2, "see you at lunch", 0),
             (3, "lunch at noon", 0), (4, "are you free", 0)]
