@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators import classify as CL
+from tessera.operators import kneser_ney as KN
 from tessera.operators import ngram as NG
 from tessera.operators import tokens as TK
 from tessera.operators import training as TR
@@ -143,6 +144,26 @@ def lm_loss(spark, d):
         "n_docs", "n_targets", _r6(F.col("loss")).alias("loss"), _r6(F.col("perplexity")).alias("perplexity"))
 
 
+def _kneser_ney(spark, d, order: int):
+    train, held = lm_parts(spark, d)
+    model, vocab_size = KN.fit(train, "doc_id", order)
+    nll = KN.nll_per_target(KN.grams(held, "doc_id", order), model, vocab_size, "doc_id", order)
+    return NG.corpus_loss(NG.per_document_loss(nll, "doc_id")).select(
+        "n_docs", "n_targets", _r6(F.col("loss")).alias("loss"), _r6(F.col("perplexity")).alias("perplexity"))
+
+
+@query("lm_loss_order3")
+def lm_loss_order3(spark, d):
+    """Held-out loss of the interpolated Kneser-Ney model of order 3."""
+    return _kneser_ney(spark, d, 3)
+
+
+@query("lm_loss_order5")
+def lm_loss_order5(spark, d):
+    """Held-out loss of the interpolated Kneser-Ney model of order 5."""
+    return _kneser_ney(spark, d, 5)
+
+
 def _generation_inputs(spark, d):
     counts, train = lm_counts(spark, d)
     fallback = train.select(F.explode("tokens").alias("t")).agg(F.min("t")).first()[0]  # id 0

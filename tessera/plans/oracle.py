@@ -456,6 +456,35 @@ SQL["lm_loss"] = f"""WITH {_LOSS_DOC}
 SELECT count(*)::BIGINT AS n_docs, sum(n_targets)::BIGINT AS n_targets, round(avg(loss), 6) AS loss,
        round(exp(avg(loss)), 6) AS perplexity FROM pd"""
 
+
+def _kneser_ney(order: int, d: float = 0.75) -> str:
+    lags = ", ".join(f"coalesce(lag(token, {j}) OVER (PARTITION BY id ORDER BY pos), '')" for j in range(order - 1, 0, -1))
+
+    def grams(src):
+        return f"SELECT id, pos, c, w FROM (SELECT id, pos, token AS w, [{lags}]::VARCHAR[] AS c FROM {src}) WHERE pos >= 1"
+    ctes = ["vs AS (SELECT count(DISTINCT token) + 1 AS v FROM trt)", f"hg AS MATERIALIZED ({grams('vat')})",
+            f"c{order} AS MATERIALIZED (SELECT c, w, count(*) AS n FROM ({grams('trt')}) GROUP BY c, w)"]
+    ctes += [f"c{k} AS MATERIALIZED (SELECT c[2:] AS c, w, count(*) AS n FROM c{k + 1} GROUP BY ALL)" for k in range(order - 1, 0, -1)]
+    for k in range(1, order + 1):
+        ctes.append(f"t{k} AS MATERIALIZED (SELECT c, sum(n) AS total, {d} * count(*) / sum(n) AS b FROM c{k} GROUP BY c)")
+        below = "(SELECT 1.0 / v FROM vs)" if k == 1 else "q.p"
+        join = "" if k == 1 else f"JOIN p{k - 1} q ON q.c = a.c[2:] AND q.w = a.w"
+        ctes.append(f"p{k} AS MATERIALIZED (SELECT a.c, a.w, greatest(a.n - {d}, 0) / t.total + t.b * {below} AS p "
+                    f"FROM c{k} a JOIN t{k} t ON t.c = a.c {join})")
+    value, joins = "(SELECT 1.0 / v FROM vs)", ""
+    for k in range(1, order + 1):
+        value = f"coalesce(p{k}.p, coalesce(t{k}.b, 1.0) * {value})"
+        tail = f"h.c[{order - k + 1}:]"
+        joins += f" LEFT JOIN p{k} ON p{k}.c = {tail} AND p{k}.w = h.w LEFT JOIN t{k} ON t{k}.c = {tail}"
+    return f"""WITH {_LM}, {", ".join(ctes)},
+pd AS (SELECT id, count(*) AS n_targets, avg(-ln({value})) AS loss FROM hg h{joins} GROUP BY id)
+SELECT count(*)::BIGINT AS n_docs, sum(n_targets)::BIGINT AS n_targets, round(avg(loss), 6) AS loss,
+       round(exp(avg(loss)), 6) AS perplexity FROM pd"""
+
+
+SQL["lm_loss_order3"] = _kneser_ney(3)
+SQL["lm_loss_order5"] = _kneser_ney(5)
+
 _GEN = f"""{_LM},
 {tok('bt', 'benchmark', 'item_id')},
 fb AS MATERIALIZED (SELECT min(token) AS t FROM trt),
