@@ -34,6 +34,8 @@ _NONE = np.int64(1) << np.int64(62)
 SHORT = 64
 #: Pre-tokens remembered per task process, and characters handled at once.
 REMEMBERED, TEXT_BLOCK = 150_000, 1 << 20
+#: Byte positions of the pieces that are merged side by side.
+STEP_CELLS = 1 << 18
 
 
 class Ranks:
@@ -97,8 +99,9 @@ class Ranks:
             else:
                 by_width.setdefault(max(4, 1 << (len(p) - 1).bit_length()), []).append(i)
         for width, at in by_width.items():
-            for lo in range(0, len(at), 1 << 15):
-                some = at[lo:lo + (1 << 15)]
+            rows = max(64, STEP_CELLS // width)
+            for lo in range(0, len(at), rows):
+                some = at[lo:lo + rows]
                 for i, ids in zip(some, self._in_step([pieces[i] for i in some], width), strict=True):
                     out[i] = ids
         return out

@@ -22,7 +22,7 @@ _VALUE = _RNG.integers(1, 1 << 63, size=8 * 257, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE = _RNG.integers(1, 1 << 63, size=64, dtype=np.uint64) | np.uint64(1)
 #: Bytes handled at once; a word is never cut.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def word_table(is_word) -> np.ndarray:
