@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators.lookup import salted_lookup
 from tessera.operators.ranking import global_rank
+from tessera.session import materialize
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -80,7 +80,8 @@ def encode_long(tokens: DataFrame, vocab: DataFrame, row_cols: list[str],
     if unknown == "unk":
         # one scalar read on the driver (a number, not data)
         unk = vocab.where(F.col("token") == T.UNKNOWN).agg(F.max("token_id")).first()[0]
-        out = out.withColumn("token_id", F.coalesce("token_id", F.lit(unk).cast("bigint")))
+        out = out.withColumn("token_id", F.when(F.col("token").isNotNull(),
+                                                F.coalesce("token_id", F.lit(unk).cast("bigint"))))
     return out
 
 
@@ -107,26 +108,35 @@ def gather(long_df: DataFrame, id_col: str, pos_col: str, value_col: str,
 
 
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           unknown: str = "unk") -> DataFrame:
-    """(id, ids ARRAY<BIGINT>).  unknown="strict" fails the job when a token is
-    missing (like the strict tokenizer); "unk" maps it to <|unk|>."""
-    toks = word_tokens(docs, id_col, text_col)
-    long_ = encode_long(toks, vocab, [id_col, "pos"], "unk" if unknown == "unk" else "keep")
+           unknown: str = "unk", tokens_col: str | None = None) -> DataFrame:
+    """(id, ids ARRAY<BIGINT>), a row per id.  unknown="strict" fails the job when a token is
+    missing (like the strict tokenizer); "unk" maps it to <|unk|>; "keep" gives
+    null.  ``tokens_col`` names token arrays that are already there.  A document
+    without tokens goes through as one row without a token."""
+    tokens = docs if tokens_col else tokenize(docs, id_col, text_col)
+    rows = tokens.select(id_col, F.posexplode_outer(tokens_col or "tokens").alias("pos", "token"))
+    long_ = encode_long(rows, vocab, [id_col, "pos"], "unk" if unknown == "unk" else "keep")
     if unknown == "strict":
-        long_ = long_.withColumn("token_id", F.coalesce(
+        long_ = long_.withColumn("token_id", F.when(F.col("token").isNotNull(), F.coalesce(
             F.col("token_id"),
-            F.raise_error(F.concat(F.lit("unknown token: "), F.col("token"))).cast("bigint")))
-    return gather(long_, id_col, "pos", "token_id", "ids", ids=docs)
+            F.raise_error(F.concat(F.lit("unknown token: "), F.col("token"))).cast("bigint"))))
+    here = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token_id").alias("v")))
+    return (long_.groupBy(id_col).agg(F.sort_array(F.collect_list(here)).alias("_s"))
+            .select(id_col, F.transform("_s", lambda x: x["v"]).alias("ids")))
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "item_id",
-           ids_col: str = "ids") -> DataFrame:
-    """(id, text): ids -> tokens (salted join on token_id) -> ordered join.  Hot
+           ids_col: str = "ids", one_line: bool = False) -> DataFrame:
+    """(id, text): ids -> tokens (salted join on token_id) -> ordered join;
+    ``one_line`` turns line breaks of the decoded text into spaces.  Hot
     ids are those of the stream itself (the corpus counts of the vocabulary
     say nothing about its special tokens)."""
-    long_ = A.rows_of(encoded, [id_col], ids_col, value="token_id")
-    seen = long_.groupBy("token_id").agg(F.count(F.lit(1)).alias("freq"))
-    dic = vocab.select("token_id", "token").join(seen, "token_id", "left").fillna(0, ["freq"])
+    long_ = materialize(encoded.select(id_col, F.posexplode_outer(ids_col).alias("pos", "token_id")))
+    seen = long_.where("token_id is not null").groupBy("token_id").agg(F.count(F.lit(1)).alias("freq"))
+    dic = materialize(seen.join(vocab.select("token_id", "token"), "token_id"))  # the stream's own part of it
     looked = salted_lookup(long_, dic, "token_id", [id_col, "pos"], how="left")
-    toks = gather(looked, id_col, "pos", "token", "_toks", ids=encoded)
-    return toks.select(id_col, T.decode_tokens(F.col("_toks")).alias("text"))
+    here = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token").alias("v")))
+    toks = (looked.groupBy(id_col).agg(F.sort_array(F.collect_list(here)).alias("_s"))
+            .select(id_col, F.transform("_s", lambda x: x["v"]).alias("_toks")))
+    text = T.decode_tokens(F.col("_toks"))
+    return toks.select(id_col, (F.replace(text, F.lit("\n"), F.lit(" ")) if one_line else text).alias("text"))

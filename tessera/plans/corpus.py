@@ -10,7 +10,7 @@ from tessera.operators import tokens as TK
 from tessera.operators.sampling import three_way_split
 from tessera.plans import common as C
 from tessera.plans.registry import query
-from tessera.session import load_table
+from tessera.session import load_table, materialize
 
 
 @query("word_tokens")
@@ -42,7 +42,8 @@ def vocab_head(spark, d):
 
 @query("encode_strict")
 def encode_strict(spark, d):
-    enc = TK.encode(C.docs(spark, d), C.doc_vocab(spark, d), unknown="strict")
+    tokens = C.doc_token_arrays(spark, d)
+    enc = TK.encode(tokens, C.vocab_of(tokens), unknown="strict", tokens_col="tokens")
     return enc.select("doc_id", C.ids_str())
 
 
@@ -62,7 +63,7 @@ def unknown_tokens(spark, d):
 def decode_words(spark, d):
     vocab = C.vocab_special(spark, d)
     enc = TK.encode(C.benchmark(spark, d), vocab, id_col="item_id", unknown="unk")
-    return TK.decode(enc, vocab, id_col="item_id")
+    return TK.decode(enc, vocab, id_col="item_id", one_line=True)
 
 
 @query("token_windows")
@@ -84,9 +85,10 @@ def context_pairs(spark, d):
 
 @query("pack_documents")
 def pack_documents(spark, d):
-    vocab = C.doc_vocab(spark, d)
+    tokens = C.doc_token_arrays(spark, d)
+    vocab = C.vocab_of(tokens)
     eot = vocab.count()  # id of end-of-text = |V| (a scalar)
-    packed = SQ.pack_documents(C.encoded_docs(spark, d, vocab), C.PACK_LENGTH, eot, C.PACK_SHARDS,
+    packed = SQ.pack_documents(materialize(C.encoded_docs(spark, d, tokens, vocab)), C.PACK_LENGTH, eot, C.PACK_SHARDS,
                                shard_expr=F.pmod(F.col("doc_id"), F.lit(C.PACK_SHARDS)))
     return packed.select("shard", "block", C.ids_str())
 

@@ -115,7 +115,7 @@ SQL["decode_words"] = f"""WITH {_EN},
 named AS (
   SELECT t.id, t.pos, coalesce(v.token, '{T.UNKNOWN}') AS token FROM bt t LEFT JOIN evs v ON v.token = t.token)
 SELECT b.item_id,
-       regexp_replace(coalesce(string_agg(n.token, ' ' ORDER BY n.pos), ''), '{SPACE}+({GLUE})', '\\1', 'g') AS text
+       replace(regexp_replace(coalesce(string_agg(n.token, ' ' ORDER BY n.pos), ''), '{SPACE}+({GLUE})', '\\1', 'g'), chr(10), ' ') AS text
 FROM benchmark b LEFT JOIN named n ON n.id = b.item_id GROUP BY b.item_id"""
 
 L, S = C.WINDOW_LENGTH, C.WINDOW_STRIDE
