@@ -22,6 +22,17 @@ BROADCAST_IDS = 2_000_000
 WINDOW = 10
 
 
+#: Rows and bytes of the batches that tasks pass to their Python workers: what
+#: is held on both sides of that is bounded by these, not by Spark's larger defaults.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not in ``dropped`` (rows of a null id stay)."""
     ids = stored(dropped.select("doc_id").where("doc_id is not null").distinct(), "dropped")
@@ -32,12 +43,14 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    _small_batches(spark)
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return _without(docs, scored.where("predicted = 1"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; a repeated row stays once."""
+    _small_batches(spark)
     kept = _without(docs, exact_dedup.exact_dedup(docs, larger=True).where("not kept"))
     again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
@@ -49,18 +62,21 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
+    _small_batches(spark)
     groups = jaccard_join.jaccard_join(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     return _without(docs, groups.where("component_id != doc_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
+    _small_batches(spark)
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=WINDOW)
     return _without(docs, found.where("contaminated"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left, checked by decoding them."""
+    _small_batches(spark)
     import public_tokenizers
 
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
