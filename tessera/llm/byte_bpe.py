@@ -33,7 +33,7 @@ _NONE = np.int64(1) << np.int64(62)
 #: Pre-tokens up to this many bytes are merged in step with others.
 SHORT = 64
 #: Pre-tokens remembered per task process, and characters handled at once.
-REMEMBERED, TEXT_BLOCK = 150_000, 1 << 20
+REMEMBERED, TEXT_BLOCK = 60_000, 1 << 20
 #: Byte positions of the pieces that are merged side by side.
 STEP_CELLS = 1 << 18
 
