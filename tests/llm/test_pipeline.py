@@ -91,5 +91,5 @@ def test_stages_take_an_empty_table(spark):
 
 def test_queries_cover_every_operator():
     import __spark_entry__ as E
-    assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(n) for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
