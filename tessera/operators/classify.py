@@ -15,7 +15,7 @@ from pyspark.ml.feature import HashingTF, IDF
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import text as T
+from tessera.functions.tokenizers import WORDS, Tokenizer
 from tessera.operators.lookup import salted_lookup
 from tessera.session import materialize
 
@@ -123,17 +123,18 @@ def linear_head_estimator(num_features: int = 1 << 18, max_iter: int = 50, reg:
     ])
 
 
-def with_tokens(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return df.withColumn("tokens", T.word_tokens(text_col))
+def with_tokens(df: DataFrame, text_col: str = "text", tokenizer: Tokenizer = WORDS) -> DataFrame:
+    return df.withColumn("tokens", tokenizer.tokens(text_col))
 
 
-def fit_linear_head(train: DataFrame, label_col: str = "label", **kw) -> PipelineModel:
-    data = with_tokens(train).withColumn(label_col, F.col(label_col).cast("double"))
+def fit_linear_head(train: DataFrame, label_col: str = "label", tokenizer: Tokenizer = WORDS, **kw) -> PipelineModel:
+    data = with_tokens(train, tokenizer=tokenizer).withColumn(label_col, F.col(label_col).cast("double"))
     return linear_head_estimator(label_col=label_col, **kw).fit(data)
 
 
-def score_linear_head(model: PipelineModel, df: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    out = model.transform(with_tokens(df))
+def score_linear_head(model: PipelineModel, df: DataFrame, id_col: str = "doc_id",
+                      tokenizer: Tokenizer = WORDS) -> DataFrame:
+    out = model.transform(with_tokens(df, tokenizer=tokenizer))
     return out.select(id_col, F.col("prediction").cast("bigint").alias("predicted"))
 
 

@@ -10,36 +10,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.tokenizers import WORDS, Tokenizer
 from tessera.operators.lookup import salted_lookup
 from tessera.operators.ranking import global_rank
 from tessera.session import materialize
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             tokens_col: str = "tokens") -> DataFrame:
+             tokens_col: str = "tokens", tokenizer: Tokenizer = WORDS) -> DataFrame:
     """(id, tokens ARRAY<STRING>) — map-only, no shuffle."""
-    return docs.select(id_col, T.word_tokens(text_col).alias(tokens_col))
+    return docs.select(id_col, tokenizer.tokens(text_col).alias(tokens_col))
 
 
-def word_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def word_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                tokenizer: Tokenizer = WORDS) -> DataFrame:
     """(id, pos BIGINT, token): one row per token, positions from 0.
 
     ``posexplode_outer`` + a filter on the generated position: a plain
     ``posexplode`` makes the optimizer infer ``size(tokens) > 0`` and push it
     (the whole regex) below any repartition, i.e. evaluate it twice, the first
     time before the input is spread over the cores."""
-    return (tokenize(docs, id_col, text_col)
+    return (tokenize(docs, id_col, text_col, tokenizer=tokenizer)
             .select(id_col, F.posexplode_outer("tokens").alias("pos", "token"))
             .where(F.col("pos").isNotNull())
             .withColumn("pos", F.col("pos").cast("bigint")))
 
 
-def corpus_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def corpus_stats(docs: DataFrame, text_col: str = "text", tokenizer: Tokenizer = WORDS) -> DataFrame:
     """n_docs, n_chars, n_tokens, vocab_size (exact distinct count) in one
     aggregate: per-document values are counted on the document's first token
     row (``posexplode_outer`` keeps documents without tokens)."""
     rows = docs.select(F.length(text_col).cast("bigint").alias("c"),
-                       F.posexplode_outer(T.word_tokens(text_col)).alias("pos", "token"))
+                       F.posexplode_outer(tokenizer.tokens(text_col)).alias("pos", "token"))
     first = F.col("pos").isNull() | (F.col("pos") == 0)
     return rows.agg(
         F.count(F.when(first, 1)).cast("bigint").alias("n_docs"),
@@ -108,12 +110,12 @@ def gather(long_df: DataFrame, id_col: str, pos_col: str, value_col: str,
 
 
 def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           unknown: str = "unk", tokens_col: str | None = None) -> DataFrame:
+           unknown: str = "unk", tokens_col: str | None = None, tokenizer: Tokenizer = WORDS) -> DataFrame:
     """(id, ids ARRAY<BIGINT>), a row per id.  unknown="strict" fails the job when a token is
     missing (like the strict tokenizer); "unk" maps it to <|unk|>; "keep" gives
     null.  ``tokens_col`` names token arrays that are already there.  A document
     without tokens goes through as one row without a token."""
-    tokens = docs if tokens_col else tokenize(docs, id_col, text_col)
+    tokens = docs if tokens_col else tokenize(docs, id_col, text_col, tokenizer=tokenizer)
     rows = tokens.select(id_col, F.posexplode_outer(tokens_col or "tokens").alias("pos", "token"))
     long_ = encode_long(rows, vocab, [id_col, "pos"], "unk" if unknown == "unk" else "keep")
     if unknown == "strict":
@@ -126,7 +128,7 @@ def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "item_id",
-           ids_col: str = "ids", one_line: bool = False) -> DataFrame:
+           ids_col: str = "ids", one_line: bool = False, tokenizer: Tokenizer = WORDS) -> DataFrame:
     """(id, text): ids -> tokens (salted join on token_id) -> ordered join;
     ``one_line`` turns line breaks of the decoded text into spaces.  Hot
     ids are those of the stream itself (the corpus counts of the vocabulary
@@ -138,5 +140,5 @@ def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "item_id",
     here = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token").alias("v")))
     toks = (looked.groupBy(id_col).agg(F.sort_array(F.collect_list(here)).alias("_s"))
             .select(id_col, F.transform("_s", lambda x: x["v"]).alias("_toks")))
-    text = T.decode_tokens(F.col("_toks"))
+    text = tokenizer.text("_toks")
     return toks.select(id_col, (F.replace(text, F.lit("\n"), F.lit(" ")) if one_line else text).alias("text"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.tokenizers import CHARACTERS, SPACED, register_sql
 from tessera.operators import sequences as SQ
+from tessera.operators import sketches as SK
 from tessera.operators import tokens as TK
 from tessera.operators.sampling import three_way_split
 from tessera.plans import common as C
 from tessera.plans.registry import query
-from tessera.session import load_table, materialize
+from tessera.session import load_table, materialize, scratch_path
 
 
 @query("word_tokens")
@@ -66,6 +68,51 @@ def decode_words(spark, d):
     return TK.decode(enc, vocab, id_col="item_id", one_line=True)
 
 
+@query("encode_spaced")
+def encode_spaced(spark, d):
+    """The encode job with another tokenizer: runs of anything but white space."""
+    vocab = TK.with_specials(TK.vocabulary(TK.word_tokens(C.docs(spark, d), tokenizer=SPACED)))
+    enc = TK.encode(C.benchmark(spark, d), vocab, id_col="item_id", unknown="unk", tokenizer=SPACED)
+    return enc.select("item_id", C.ids_str())
+
+
+@query("decode_characters")
+def decode_characters(spark, d):
+    """Encode and decode by code points: what the documents never hold comes back as <|unk|>."""
+    vocab = TK.with_specials(TK.vocabulary(TK.word_tokens(C.docs(spark, d), tokenizer=CHARACTERS)))
+    enc = TK.encode(C.benchmark(spark, d), vocab, id_col="item_id", unknown="unk", tokenizer=CHARACTERS)
+    return TK.decode(enc, vocab, id_col="item_id", tokenizer=CHARACTERS)
+
+
+@query("sql_tokens")
+def sql_tokens(spark, d):
+    """Word, run and character counts of each document by the tokenizers' SQL functions."""
+    register_sql(spark)
+    return spark.sql("""
+        SELECT doc_id, size(tokens_words(text)) :: BIGINT AS n_words, size(tokens_spaced(text)) :: BIGINT AS n_spaced,
+               size(tokens_characters(text)) :: BIGINT AS n_characters
+        FROM {docs}""", docs=C.docs(spark, d))
+
+
+@query("corpus_sketch")
+def corpus_sketch(spark, d):
+    """Sketches of a corpus that grows by files: those of the second refresh are added to the
+    first's.  The estimates are reported as within three standard errors of the exact values."""
+    corpus, docs = scratch_path(spark, "corpus"), C.docs(spark, d)
+    store = SK.SketchStore(spark, scratch_path(spark, "sketches"))
+    for part in (0, 1):
+        docs.where(F.pmod(F.hash("doc_id"), F.lit(2)) == part).write.mode("append").parquet(corpus)
+        store.refresh(corpus)
+    exact = TK.corpus_stats(docs).select(F.col("vocab_size").alias("_v"))
+    rank = docs.crossJoin(F.broadcast(store.statistics())).agg(  # one row
+        F.avg((F.length("text") < F.col("length_quantiles")[0]).cast("int")).alias("_below"),
+        F.avg((F.length("text") <= F.col("length_quantiles")[0]).cast("int")).alias("_upto"))
+    return store.statistics().crossJoin(exact).crossJoin(rank).select(
+        "n_docs", "n_chars", "n_tokens",
+        (F.abs(F.col("vocab_size") / F.col("_v") - 1) <= 3 * SK.VOCAB_ERROR).alias("vocab_size_holds"),
+        ((F.col("_below") <= 0.5 + SK.RANK_ERROR) & (F.col("_upto") >= 0.5 - SK.RANK_ERROR)).alias("median_holds"))
+
+
 @query("token_windows")
 def token_windows(spark, d):
     w = SQ.token_windows(C.encoded_docs(spark, d), C.WINDOW_LENGTH, C.WINDOW_STRIDE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
@@ -9,6 +10,7 @@ from tessera.functions import text as T
 from tessera.operators import classify as CL
 from tessera.operators import kneser_ney as KN
 from tessera.operators import ngram as NG
+from tessera.operators import text_classifier as TC
 from tessera.operators import tokens as TK
 from tessera.operators import training as TR
 from tessera.operators.sampling import char_split, three_way_split
@@ -72,6 +74,16 @@ def model_roundtrip(spark, d):
     return CL.classify_naive_bayes(CL.NaiveBayes.load(spark, path), TK.word_tokens(docs), docs)
 
 
+@query("nb_pipeline_spaced")
+def nb_pipeline_spaced(spark, d):
+    """Naive Bayes over runs of non-space as a stage of a Pipeline, saved and loaded."""
+    path = scratch_path(spark, "pipeline")
+    stage = TC.TextClassifier(labelCol="class", predictionCol="p", tokenizer="spaced")
+    Pipeline(stages=[stage]).fit(labelled_docs(spark, d)).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(C.docs(spark, d)).select(
+        "doc_id", F.col("p").cast("bigint").alias("predicted"))
+
+
 def _trained(spark, d, eval_freq=C.EVAL_FREQ):
     """The head on the embedding vectors: training table split 70/10/20, batches
     of a ``STEPS_PER_EPOCH``-th of the training rows."""
