@@ -2,13 +2,15 @@
 
 A page becomes lines, one per block of text, with the markup stripped and each
 line's text length known.  Elements that never hold article text (scripts,
-menus, forms, notices, adverts, reader comments ...) have no lines.  Where the
-page marks its article, the markup decides: all its lines are kept and no
-others.  Elsewhere lengths outside links are summed over sliding windows of
-lines: the text starts at the first surge that is not mostly links and ends
+menus, forms, notices, adverts, reader comments ...) have no lines, unless they
+stand around the article.  Lengths outside links are summed over sliding windows
+of lines: the text starts at the first surge that is not mostly links and ends
 where the sum dives to nothing after the last one, and every line between the
 two is kept.  A skipped element leaves a run of empty lines, which keeps
-what stands before the text apart from it but does not end the text.
+what stands before the text apart from it but does not end the text.  An article
+that the page marks (the heaviest, where it marks several) is a prior: the windows
+run over its lines alone, with a surge of one character, unless one stretch of
+text outside it is many times longer.
 """
 
 from __future__ import annotations
@@ -28,14 +30,19 @@ LINES = 3
 #: Without a marked article: a region starts where a window holds this many
 #: characters outside links, and counts if this share of its characters are.
 SURGE, SHARE = 40, 0.5
+#: A marked article stands against one stretch of text outside it of up to this many times its length.
+PRIOR = 8
+_RIGHTS = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b)|\ball rights reserved\b", re.IGNORECASE)
 
+# attributes as HTML reads them: a quote opens a value only right behind the equals sign
+_ATTRS = r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+|[^>=]++)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|button|canvas|audio|video|title)\b"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    + _ATTRS + r">.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>" + _ATTRS + r")>"
     r"|<[!?/][^>]*>", re.DOTALL | re.IGNORECASE)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTR = re.compile(r"""([^\s=>"'/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"'][^\s>]*))?""")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr "
                     "output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +64,9 @@ _MARKS_INSIDE = frozenset("ad ads adv advert adverts advertisement adsense ad-co
                           "comments comment-list commentlist disqus pagination skip-link".split())
 _ARTICLE_MARKS = frozenset("article-body article-content post-content post-body entry-content main-content "
                            "story-body".split())
+#: Elements that hold reader comments when a word of their class or id says so.
+_CONTAINERS = frozenset("div section ol ul li article aside details dl dd table td main".split())
+_COMMENTS = frozenset("comment comments commentlist commenting disqus".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
@@ -64,19 +74,29 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): (v[1:-1] if v[:1] in "\"'" else v) for k, v in _ATTR.findall(raw)}
 
 
+def _words(attrs: dict[str, str], with_id: bool = True) -> set[str]:
+    return set(_SPLIT.split(f"{attrs.get('class', '')} {attrs.get('id', '') if with_id else ''}".lower()))
+
+
+def _comments(name: str, attrs: dict[str, str]) -> bool:
+    return name in _CONTAINERS and bool(attrs) and any(
+        w in _COMMENTS or w.endswith("comments") for w in _words(attrs))
+
+
 def _boilerplate(name: str, attrs: dict[str, str], in_article: bool) -> bool:
     if name in _SKIP or (name == "header" and not in_article):
         return True
-    if not attrs or name in ("html", "body", "article", "main") and "comment" not in attrs.get("class", ""):
+    if not attrs or name in ("html", "body"):
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in _ROLES:
         return True
-    if "display:none" in attrs.get("style", "").replace(" ", "").lower():
+    if "display:none" in attrs.get("style", "").replace(" ", "").lower() or _comments(name, attrs):
         return True
+    if name in ("article", "main"):
+        return False
     if in_article:
         return not _MARKS_INSIDE.isdisjoint(attrs.get("class", "").lower().split())
-    own_id = "" if name in _HEADINGS else attrs.get("id", "")  # a heading's id repeats its text
-    words = set(_SPLIT.split(f"{attrs.get('class', '')} {own_id}".lower()))
+    words = _words(attrs, name not in _HEADINGS)  # a heading's id repeats its text
     return not words.isdisjoint(_MARKS) or "header" in words
 
 
@@ -86,22 +106,76 @@ def _is_article(name: str, attrs: dict[str, str]) -> bool:
     return not _ARTICLE_MARKS.isdisjoint(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split())
 
 
-def _unclosed(tokens: list[re.Match]) -> set[int]:
-    """Places of the start tags that no end tag of their name closes.  A footer
-    counts as closed by the end of the page unless an article or main follows."""
-    opened: dict[str, list[int]] = {}
-    article = -1
-    for m in tokens:
-        name = (m.group("name") or "").lower()
-        if not name:
-            continue
-        if not m.group("close"):
-            opened.setdefault(name, []).append(m.start())
+class Outline:
+    """What a first look at the tags tells: extents and the text each element holds outside links.
+
+    ``article`` is the marked article of the page, the heaviest one that is no reader comment and, of
+    two with the same text, the outer one (None without any).  ``kept`` are the elements that are
+    not skipped whatever their name or class: those around the article, and on a page without
+    one those that hold most of its text."""
+
+    def __init__(self, page: str, tokens: list[re.Match]):
+        self.unclosed: set[int] = set()
+        opened: dict[str, list[tuple[int, int, dict[str, str]]]] = {}
+        found: list[tuple[int, int, int, str, dict[str, str]]] = []  # (start, end, weight, name, attributes)
+        weight = at = links = 0
+        last_article = -1
+        headings = []
+        for m in tokens:
+            if not links:
+                weight += len(page[at:m.start()].strip())
+            at = m.end()
+            name = (m.group("name") or "").lower()
+            if name == "a":
+                links = 0 if m.group("close") else 1
+            if not name or name in _VOID or name in _INLINE and not m.group("attrs"):
+                continue
+            if m.group("close"):
+                if opened.get(name):
+                    start, before, attrs = opened[name].pop()
+                    found.append((start, m.start(), weight - before, name, attrs))
+                continue
+            if m.group("attrs").rstrip().endswith("/"):
+                continue
+            attrs = _attributes(m.group("attrs")) if m.group("attrs").strip() else {}
+            opened.setdefault(name, []).append((m.start(), weight, attrs))
+            if name == "h1":
+                headings.append(m.start())
             if name in ("article", "main"):
-                article = m.start()
-        elif opened.get(name):
-            opened[name].pop()
-    return {at for name, places in opened.items() for at in places if name != "footer" or at < article}
+                last_article = m.start()
+            links = 0 if name not in _INLINE else links
+        if not links:
+            weight += len(page[at:].strip())
+        for name, rest in opened.items():
+            for start, before, attrs in rest:
+                found.append((start, len(page), weight - before, name, attrs))
+                # a footer counts as closed by the end of the page unless an article or main follows
+                if name != "footer" or start < last_article:
+                    self.unclosed.add(start)
+        found.sort(key=lambda e: (e[0], -e[1]))
+        closed_at, marked = -1, []  # where the reader comments last met end
+        for start, end, own, name, attrs in found:
+            if start < closed_at:
+                continue
+            if _comments(name, attrs) and not any(start < h < end for h in headings):
+                closed_at = end
+            elif _is_article(name, attrs):
+                marked.append((own, start, end, name, attrs))
+        self.article = max(marked, key=lambda e: (e[0], -e[1]))[1] if marked else None
+        #: of several articles in one main element, all but the heaviest
+        self.others: set[int] = set()
+        if marked:
+            _, start, end, name, _ = next(e for e in marked if e[1] == self.article)
+            if name == "main":
+                inner = [e for e in marked if start < e[1] < end and e[3] == "article"]
+                heaviest = max(inner, key=lambda e: (e[0], -e[1]), default=None)
+                self.others = {e[1] for e in inner if not heaviest[1] <= e[1] < heaviest[2]}
+        if self.article is not None:
+            self.kept = {start for start, end, _, _, _ in found if start <= self.article < end}
+        else:
+            self.kept = {start for start, _, own, name, attrs in found
+                         if 2 * own > weight and name not in ("nav", "footer", "aside", "menu", "dialog")
+                         and not _comments(name, attrs)}
 
 
 def lines_of(page: str) -> Iterator[tuple[str, int, bool]]:
@@ -123,7 +197,7 @@ def lines_of(page: str) -> Iterator[tuple[str, int, bool]]:
 
     gap = ("", 0, False)
     tokens = list(_TOKEN.finditer(page))
-    unclosed = _unclosed(tokens)
+    outline = Outline(page, tokens)
     for m in tokens:
         if m.start() > at and not skip:
             text.append(page[at:m.start()])
@@ -167,8 +241,9 @@ def lines_of(page: str) -> Iterator[tuple[str, int, bool]]:
             continue
         attrs = _attributes(m.group("attrs")) if m.group("attrs").strip() else {}
         # one that nothing closes would skip the rest of the page
-        skips = _boilerplate(name, attrs, article > 0) and m.start() not in unclosed
-        marks = not skip and not skips and _is_article(name, attrs)
+        skips = m.start() in outline.others or (
+            _boilerplate(name, attrs, article > 0) and m.start() not in outline.unclosed and m.start() not in outline.kept)
+        marks = not skip and m.start() == outline.article
         if not skip and (name not in _INLINE or skips):
             yield from line()
         if name == "p" and stack and stack[-1][0] == "p" and not stack[-1][1]:
@@ -210,8 +285,13 @@ def main_text(page: str) -> str:
     if len(page) == 0:
         return ""
     lines = list(lines_of(page))
-    if any(marked and text for text, _, marked in lines):
-        return "\n".join(text for text, _, marked in lines if marked and text)
+    # a marked article is where the text is looked for, unless a longer one stands outside it
+    inside = sum(len(text) for text, _, marked in lines if marked)
+    if inside and PRIOR * inside >= max((sum(plain for _, plain, _ in lines[a:b]) for a, b in regions(
+            [0 if marked else plain for _, plain, marked in lines], SURGE)), default=0):
+        rest = [line for line in lines if line[2] and line[0]]
+        found = list(regions([len(text) for text, _, _ in rest], 1))
+        return "\n".join(text for text, _, _ in rest[found[0][0]:found[-1][1]])
     lengths = [plain for _, plain, _ in lines]
     surge = SURGE if any(regions(lengths, SURGE)) else 1
 
@@ -223,6 +303,8 @@ def main_text(page: str) -> str:
     rest = [line for line in lines[start:] if line[0]]  # without the gaps of skipped elements
     found = list(regions([plain for _, plain, _ in rest], surge))
     end = max((b for a, b in found if dense(rest[a:b])), default=found[-1][1] if found else 0)
+    while end > 1 and _RIGHTS.search(rest[end - 1][0]):  # the owner's line at the foot
+        end -= 1
     return "\n".join(text for text, _, _ in rest[:end])
 
 

@@ -402,6 +402,48 @@ def test_html_words_of_ids_and_classes_inside_an_article():
     assert HX.main_text(unmarked("<h2 id='related-work'>Related</h2>", f"<p>{LONG}</p>")) == f"Related\n{LONG}"
 
 
+@pytest.mark.parametrize("wrapper", ["div class='page widget'", "div id=content class=has-sidebar", "div class='two-side wrapper'",
+                                     "div class=has-comments", "form id=aspnetForm", "div class=overflow-hidden"])
+def test_html_wrappers_never_empty_a_page(wrapper):
+    name = wrapper.split()[0]
+    article = "<article><h1>Title</h1><p>Some text.</p></article>"
+    page = f"<body><{wrapper}><nav><a href=1>Menu</a></nav>{article}<aside><p>Side</p></aside></{name}></body>"
+    assert HX.main_text(page) == "Title\nSome text."
+    if "comments" not in wrapper:  # without a marked article: what holds most of the text
+        assert HX.main_text(f"<body><nav><a>Menu</a></nav><{wrapper}><p>{LONG}</p><p>{LONG}</p></{name}></body>") == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize("comments", ["<section class='comment-section'>%s</section>", "<div class='user-comments'>%s</div>",
+                                      "<div id='comments'>%s</div>", "<ol class=commentlist><li>%s</li></ol>",
+                                      "<div id=disqus_thread>%s</div>", "<section id=comments><article>%s</article></section>"])
+def test_html_reader_comments_go_wherever_they_stand(comments):
+    said = comments % (f"<p>{LONG}</p>" * 30)
+    assert HX.main_text(f"<article><h1>Title</h1><p>Some text.</p>{said}</article>") == "Title\nSome text."
+    assert HX.main_text(f"<body><article><h1>Title</h1><p>Some text.</p></article>{said}</body>") == "Title\nSome text."
+    assert HX.main_text(unmarked(f"<p>{LONG}</p>" * 2, said)) == f"{LONG}\n{LONG}"
+
+
+def test_html_attributes_without_or_with_quotes():
+    assert HX.main_text("<p title=it's>one</p><p>and</p><p title=it's>two</p>") == "one\nand\ntwo"
+    assert HX.main_text("<article><p title=\"a > b\" class='x>y'>one</p><p a = 'b' c>two</p></article>") == "one\ntwo"
+    assert HX.main_text('<article><p title="never closed>one</p></article>') == "one"
+    assert HX.main_text("<article>" + "<p a=" * 2000 + ">one</p></article>") == "one"
+
+
+def test_html_one_article_by_weight():
+    article, teaser = f"<article><h1>Title</h1><p>{LONG}</p></article>", "<article class=teaser><p>Read on</p></article>"
+    for page in (teaser + article, article + teaser, f"<main>{article}{teaser}</main>", f"<main>{teaser}{article}</main>",
+                 f"<aside>{teaser}</aside>{article}", f"{article}<footer>{teaser}</footer>"):
+        assert HX.main_text(f"<body>{page}</body>") == f"Title\n{LONG}", page
+    assert HX.main_text(f"<main><h1>Head</h1><article><p>{LONG}</p></article></main>") == f"Head\n{LONG}"
+
+
+def test_html_long_text_outside_a_short_marked_article():
+    page = f"<body><article><p>Short.</p></article><div>{f'<p>{LONG}</p>' * 9}</div></body>"
+    assert LONG in HX.main_text(page)
+    assert HX.main_text(unmarked(f"<p>{LONG}</p>" * 2, "<p>Copyright 2020 Example Media. All rights reserved.</p>")) == f"{LONG}\n{LONG}"
+
+
 def test_regions_surge_and_dive():
     lengths = [0, 0, 50, 0, 60, 0, 0, 0, 0, 5, 0, 0, 0, 70]
     assert list(HX.regions(lengths, 40)) == [(2, 5), (13, 14)]
