@@ -6,12 +6,14 @@ Cut into ``t + 1`` segments, one segment of the shorter line of a linked pair
 occurs unchanged in the longer one.  Every distinct line puts its segments into
 an index keyed by (length, segment number, content) and probes it with those
 substrings of its own whose place fits the length difference (the multi-match
-rule, which for each length and segment leaves a few starts).  Pairs that meet
-are verified by a banded bit-parallel edit distance: the band of ``2 t + 1``
+rule, which for each length and segment leaves a few starts).  The members of an index
+list meet its head first; those linked to it need no look at each other.  Pairs that meet are
+verified by a banded bit-parallel edit distance: the band of ``2 t + 1``
 diagonals is one machine word per column.
 
-Equal lines are collapsed before the join (counts are combined per task), and
-only line hashes and segment hashes go through its shuffles.
+Equal lines are collapsed before the join (counts are combined per task), so that
+segments are cut once a distinct line, and only line hashes and segment hashes go through
+the shuffles of the join.
 """
 
 from __future__ import annotations
@@ -25,8 +27,6 @@ from tessera.session import shuffle_partitions
 #: (least length, edits allowed from it on), longest first.
 THRESHOLDS = ((40, 2), (20, 1))
 MAX_EDITS = THRESHOLDS[0][1]
-#: Hashes of candidate lines (8 bytes each) that are broadcast; more are joined by a shuffle.
-BROADCAST_LINES = 2_000_000
 #: Letters whose counts are compared before the edit distance (any choice gives the same links).
 COUNTED = "etaoinrs"
 
@@ -38,49 +38,38 @@ def allowed_edits(length: Column) -> Column:
     return out
 
 
-def _segment(length: Column, edits: int, i: int) -> tuple[Column, Column]:
-    """(1-based start, size) of segment ``i`` of ``edits + 1``; the last ones are a character longer."""
-    k = edits + 1
-    base = F.floor(length / k).cast("int")
-    longer = length - base * k
-    before = F.greatest(F.lit(0), F.lit(i - 1) - (F.lit(k) - longer))
-    return base * (i - 1) + before + 1, base + F.when(F.lit(i) > F.lit(k) - longer, 1).otherwise(0)
-
-
-def _keys(line: Column, length: Column, other: Column, edits: int, gap: int, own: bool) -> list[Column]:
-    """Keys of the segments (``own``) of a line, or of the substrings that may
-    equal a segment of a line shorter by ``gap``."""
+def _places() -> list[tuple[int, int, int, int]]:
+    """(edits, gap, segment, shift): where a line may hold a segment of a line shorter by ``gap``.
+    Gap and shift 0 are the line's own segments."""
     out = []
-    for i in range(1, edits + 2):
-        start, size = _segment(other, edits, i)
-        left = edits + 1 - i
-        shifts = [0] if own else range(max(-(i - 1), gap - left), min(i - 1, gap + left) + 1)
-        for s in shifts:
-            at = start + s
-            fits = (at >= 1) & (at + size - 1 <= length)
-            out.append(F.when(fits, F.xxhash64(other, F.lit(edits), F.lit(i), F.substring(line, at, size))))
-    return out
-
-
-def index_keys(line: Column, length: Column) -> Column:
-    edits = allowed_edits(length)
-    out = F.array().cast("array<bigint>")
-    for _, e in THRESHOLDS:
-        out = F.when(edits == e, F.array(*_keys(line, length, length, e, 0, True))).otherwise(out)
+    for _, edits in THRESHOLDS:
+        for gap in range(edits + 1):
+            for i in range(1, edits + 2):
+                left = edits + 1 - i
+                shifts = range(max(-(i - 1), gap - left), min(i - 1, gap + left) + 1)
+                out += [(edits, gap, i, s) for s in shifts]
     return out
 
 
-def probe_keys(line: Column, length: Column) -> Column:
-    parts = []
-    for gap in range(MAX_EDITS + 1):
-        other = length - gap
-        edits = allowed_edits(other)
-        keys = F.array().cast("array<bigint>")
-        for _, e in THRESHOLDS:
-            if gap <= e:
-                keys = F.when(edits == e, F.array(*_keys(line, length, other, e, gap, False))).otherwise(keys)
-        parts.append(keys)
-    return F.array_distinct(F.filter(F.concat(*parts), lambda k: k.isNotNull()))
+def line_keys(classes: DataFrame) -> DataFrame:
+    """(h1, key, own): the places where each distinct line may meet another one, as rows; ``own``
+    marks its own segments, which other lines look for."""
+    by_gap = [F.filter(F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(p, ("edits", "gap", "i", "shift"), strict=True)])
+                                 for p in _places() if p[1] == gap]),
+                       lambda p: p["edits"] == F.col("_allowed")[p["gap"]]) for gap in range(MAX_EDITS + 1)]
+    rows = classes.where(F.col("length") >= THRESHOLDS[-1][0]).withColumn(
+        "_allowed", F.array(*[allowed_edits(F.col("length") - gap) for gap in range(MAX_EDITS + 1)]))
+    rows = rows.select("h1", "line", "length", F.explode(F.concat(*by_gap)).alias("p")).select(
+        "h1", "line", "length", "p.*", (F.col("length") - F.col("p.gap")).alias("other"))
+    k = F.col("edits") + 1
+    base = F.floor(F.col("other") / k).cast("int")
+    plain = k - (F.col("other") - base * k)  # segments of the smaller size; the others are a character longer
+    at = base * (F.col("i") - 1) + F.greatest(F.lit(0), F.col("i") - 1 - plain) + 1 + F.col("shift")
+    rows = rows.select("h1", "line", "length", "other", "edits", "i", at.alias("at"),
+                       (base + F.when(F.col("i") > plain, 1).otherwise(0)).alias("size"),
+                       ((F.col("gap") == 0) & (F.col("shift") == 0)).alias("own"))
+    return rows.where((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("length"))).select(
+        "h1", F.xxhash64("other", "edits", "i", F.substring("line", F.col("at"), F.col("size"))).alias("key"), "own")
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -165,51 +154,59 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def line_classes(docs: DataFrame) -> DataFrame:
     """Distinct lines: hashes ``h1``, ``h2``, ``n`` (occurrences), ``first``
-    (smallest (doc_id, line_no)), ``own`` and ``probes`` (keys of the index).
-    The text itself is not shuffled."""
-    line, length = F.col("line"), F.col("length")
-    keyed = _lines(docs).select(*_hashes(), "doc_id", "line_no", index_keys(line, length).alias("own"),
-                                probe_keys(line, length).alias("probes"))
-    return keyed.groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"),
-        F.first("own").alias("own"), F.first("probes").alias("probes"))
+    (smallest (doc_id, line_no)), ``line`` and its ``length``."""
+    every = _lines(docs).select(*_hashes(), "doc_id", "line_no", "line")
+    out = every.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"),
+                                        F.first("line").alias("line"))
+    return out.withColumn("length", F.char_length("line"))
 
 
 def _hashes() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
 
-def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Verified pairs of distinct lines (``classes``: stored ``line_classes`` of
-    ``docs``): ``u``, ``v`` (their first occurrences)."""
-    index = classes.select("h1", F.explode("own").alias("key"))
-    probe = classes.select(F.col("h1").alias("p1"), F.explode("probes").alias("key"))
-    meet = (index.join(probe, "key").where("h1 != p1")
-            .select(F.least("h1", "p1").alias("x"), F.greatest("h1", "p1").alias("y")).distinct())
-    meet = stored(meet, "line-meet")
-    wanted = stored(meet.select(F.col("x").alias("h1")).union(meet.select("y")).distinct(), "line-wanted")
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)  # else: a shuffle join
-    found = classes.join(wanted, "h1", "left_semi").select("h1", "h2", "first")
-    texts = (_lines(docs).select("doc_id", "line_no", *_hashes(), "line", "length").join(wanted, "h1", "left_semi")
-             .join(found.withColumnsRenamed({"h1": "g1", "h2": "g2"}),
-                   (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
-                   & F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))))
-    texts = stored(texts.select("h1", "first", "line", "length").distinct(), "line-texts")
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(x, y, u, v) of the pairs of lines (hashes ``x``, ``y``) that are within their threshold."""
     one = texts.select(F.col("h1").alias("x"), F.struct("length", "line", "first").alias("one"))
     two = texts.select(F.col("h1").alias("y"), F.struct("length", "line", "first").alias("two"))
-    both = meet.join(one, "x").join(two, "y").select(F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b"))
-    pairs = both.select(F.col("b.first").alias("u"), F.col("a.first").alias("v"), F.col("a.line").alias("a"),
-                        F.col("b.line").alias("b"), F.col("b.length").alias("m"),
-                        (F.col("a.length") - F.col("b.length")).alias("gap"))
-    pairs = pairs.where((F.col("gap") <= allowed_edits(F.col("m")))
-                        & (letters_apart(F.col("a"), F.col("b")) <= 2 * allowed_edits(F.col("m"))))
-    pairs = stored(pairs.repartition(shuffle_partitions(classes.sparkSession)), "line-pairs")
+    both = pairs.join(one, "x").join(two, "y").select("x", "y", F.greatest("one", "two").alias("a"),
+                                                      F.least("one", "two").alias("b"))
+    both = both.select("x", "y", F.col("b.first").alias("u"), F.col("a.first").alias("v"), F.col("a.line").alias("a"),
+                       F.col("b.line").alias("b"), F.col("b.length").alias("m"),
+                       (F.col("a.length") - F.col("b.length")).alias("gap"))
+    both = both.where((F.col("gap") <= allowed_edits(F.col("m")))
+                      & (letters_apart(F.col("a"), F.col("b")) <= 2 * allowed_edits(F.col("m"))))
+    both = stored(both.repartition(shuffle_partitions(pairs.sparkSession)), "line-pairs")
     linked = F.lit(False)
     a, b = F.split("a", ""), F.split("b", "")
     for _, e in THRESHOLDS:
         linked = F.when(allowed_edits(F.col("m")) == e, within_edits(a, b, e)).otherwise(linked)
-    return pairs.where(linked).select("u", "v")
+    return both.where(linked).select("x", "y", "u", "v")
+
+
+def near_lines(classes: DataFrame) -> DataFrame:
+    """Links ``u``, ``v`` (first occurrences) whose components are those of all pairs of distinct
+    lines within their threshold (``classes``: a stored ``line_classes``).
+
+    A list is the lines that share a key.  Its head, one line whose own segment the key is, is
+    compared with every other member.  Members linked to the head need no look at each other;
+    any other pair of the list is compared."""
+    keys = line_keys(classes)
+    heads = keys.where("own").groupBy("key").agg(F.min("h1").alias("head"))
+    members = stored(keys.join(heads, "key").where("h1 != head").groupBy("key", "head", "h1").agg(
+        F.max("own").alias("own")), "line-members")
+    wanted = members.select("h1").union(members.select("head")).distinct()
+    texts = stored(classes.join(wanted, "h1", "left_semi").select("h1", "first", "line", "length"), "line-texts")
+    star = stored(_verified(members.select(F.col("head").alias("x"), F.col("h1").alias("y")).distinct(), texts), "line-stars")
+    tied = star.select(F.col("x").alias("head"), F.col("y").alias("h1"), F.lit(True).alias("tied"))
+    flagged = stored(members.join(tied, ["head", "h1"], "left").select(
+        "key", "h1", "own", F.coalesce("tied", F.lit(False)).alias("tied")), "line-flags")
+    own = flagged.where("own").select("key", F.col("h1").alias("x"), F.col("tied").alias("_t"))
+    other = flagged.select("key", F.col("h1").alias("y"), "tied")
+    rest = (own.where("not _t").join(other, "key")
+            .union(own.where("_t").join(other.where("not tied"), "key")).where("x != y")
+            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    return star.union(_verified(rest, texts)).select("u", "v")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +221,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives an empty result."""
     rows = spread(id_text(docs, id_col, text_col))
     classes = stored(line_classes(rows), "line-classes")
-    links = stored(near_lines(rows, classes), "line-links")
+    links = stored(near_lines(classes), "line-links")
     component = connected_components(links).withColumnsRenamed({"node": "first", "component": "keeper"})
     shared = classes.select("h1", "h2", "n", "first").join(component, "first", "left")
     lookup = shared.where("n > 1 or keeper is not null").select("h1", "h2", "n", "first", F.coalesce(

@@ -296,6 +296,32 @@ def test_line_dedup_keeps_lines_of_any_white_space(docs_of):
     assert got == {1: (8, 0, 0, []), 2: (8, 2, 0, [0, 7])}
 
 
+@pytest.mark.parametrize("n", [50, 100])
+def test_line_dedup_compares_a_group_with_its_heads(docs_of, monkeypatch, n):
+    """Lines that all differ in one place: rows compared grow with the group, not with its square."""
+    base, seen = "a line of text that is long enough to be cut into three", []
+    whole = LD._verified
+    monkeypatch.setattr(LD, "_verified", lambda pairs, texts: (seen.append(pairs.count()), whole(pairs, texts))[1])
+    docs = docs_of([(i, base[:20] + chr(0x4E00 + i) + base[21:]) for i in range(n)])
+    out = {r.doc_id: r.n_near for r in LD.line_dedup(docs).collect()}
+    assert out == {i: int(i > 0) for i in range(n)}
+    assert sum(seen) <= 3 * n
+
+
+def test_line_dedup_members_that_their_head_does_not_link(docs_of):
+    """Lists of lines that share a segment but are linked in other ways than through their head."""
+    r = random.Random(3)
+    rows = []
+    for i in range(40):
+        tail = [r.choice("uvw") for _ in range(28)]
+        for j in range(3):
+            tail[r.randrange(28)] = r.choice("xyz")
+            rows.append((3 * i + j, "a common third " + "".join(tail)))
+    got = {x.doc_id: [x.n_lines, x.n_copies, x.n_near, x.dropped] for x in LD.line_dedup(docs_of(rows)).collect()}
+    want = brute_lines(rows)
+    assert got == want and 20 < sum(w[2] for w in want.values()) < 110
+
+
 def test_line_dedup_empty(docs_of):
     assert LD.line_dedup(docs_of([])).count() == 0
 
