@@ -11,9 +11,8 @@ list meet its head first; those linked to it need no look at each other.  Pairs
 verified by a banded bit-parallel edit distance: the band of ``2 t + 1``
 diagonals is one machine word per column.
 
-Equal lines are collapsed before the join (counts are combined per task), so that
-segments are cut once a distinct line, and only line hashes and segment hashes go through
-the shuffles of the join.
+Equal lines are one line by their hash, and only line hashes and segment hashes go
+through the shuffles of the join; texts are fetched for the lines that meet others.
 """
 
 from __future__ import annotations
@@ -27,6 +26,8 @@ from tessera.session import shuffle_partitions
 #: (least length, edits allowed from it on), longest first.
 THRESHOLDS = ((40, 2), (20, 1))
 MAX_EDITS = THRESHOLDS[0][1]
+#: Hashes of lines in lists (8 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST_LINES = 2_000_000
 #: Letters whose counts are compared before the edit distance (any choice gives the same links).
 COUNTED = "etaoinrs"
 
@@ -38,38 +39,39 @@ def allowed_edits(length: Column) -> Column:
     return out
 
 
-def _places() -> list[tuple[int, int, int, int]]:
-    """(edits, gap, segment, shift): where a line may hold a segment of a line shorter by ``gap``.
-    Gap and shift 0 are the line's own segments."""
+def _places(length: int, own: bool) -> list[tuple[int, int, int, int]]:
+    """(edits, gap, segment, shift): where a line of ``length`` may hold a segment of a line shorter by
+    ``gap``; ``own``: its own segments."""
     out = []
-    for _, edits in THRESHOLDS:
-        for gap in range(edits + 1):
-            for i in range(1, edits + 2):
-                left = edits + 1 - i
-                shifts = range(max(-(i - 1), gap - left), min(i - 1, gap + left) + 1)
-                out += [(edits, gap, i, s) for s in shifts]
+    for gap in [0] if own else range(MAX_EDITS + 1):
+        edits = next((e for least, e in THRESHOLDS if length - gap >= least), 0)
+        for i in range(1, edits + 2) if gap <= edits else ():
+            left = edits + 1 - i
+            shifts = [0] if own else range(max(-(i - 1), gap - left), min(i - 1, gap + left) + 1)
+            out += [(edits, gap, i, s) for s in shifts if edits]
     return out
 
 
-def line_keys(classes: DataFrame) -> DataFrame:
-    """(h1, key, own): the places where each distinct line may meet another one, as rows; ``own``
-    marks its own segments, which other lines look for."""
-    by_gap = [F.filter(F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(p, ("edits", "gap", "i", "shift"), strict=True)])
-                                 for p in _places() if p[1] == gap]),
-                       lambda p: p["edits"] == F.col("_allowed")[p["gap"]]) for gap in range(MAX_EDITS + 1)]
-    rows = classes.where(F.col("length") >= THRESHOLDS[-1][0]).withColumn(
-        "_allowed", F.array(*[allowed_edits(F.col("length") - gap) for gap in range(MAX_EDITS + 1)]))
-    rows = rows.select("h1", "line", "length", F.explode(F.concat(*by_gap)).alias("p")).select(
-        "h1", "line", "length", "p.*", (F.col("length") - F.col("p.gap")).alias("other"))
+def line_keys(lines: DataFrame, own: bool) -> DataFrame:
+    """(h1, key): the places where each line may meet another one, as rows: its own segments, or the
+    substrings of it that may equal a segment of another line."""
+    length = F.col("length")
+    places = None  # the same for all lengths from one of these on to the next
+    for least in sorted({least + gap for least, _ in THRESHOLDS for gap in range(MAX_EDITS + 1)}, reverse=True):
+        here = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(p, ("edits", "gap", "i", "shift"), strict=True)])
+                         for p in _places(least, own)])
+        places = F.when(length >= least, here) if places is None else places.when(length >= least, here)
+    rows = lines.where(length >= THRESHOLDS[-1][0]).select(
+        "h1", "line", "length", F.explode(places).alias("p")).select(
+        "h1", "line", "length", "p.*", (length - F.col("p.gap")).alias("other"))
     k = F.col("edits") + 1
     base = F.floor(F.col("other") / k).cast("int")
     plain = k - (F.col("other") - base * k)  # segments of the smaller size; the others are a character longer
     at = base * (F.col("i") - 1) + F.greatest(F.lit(0), F.col("i") - 1 - plain) + 1 + F.col("shift")
     rows = rows.select("h1", "line", "length", "other", "edits", "i", at.alias("at"),
-                       (base + F.when(F.col("i") > plain, 1).otherwise(0)).alias("size"),
-                       ((F.col("gap") == 0) & (F.col("shift") == 0)).alias("own"))
+                       (base + F.when(F.col("i") > plain, 1).otherwise(0)).alias("size"))
     return rows.where((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("length"))).select(
-        "h1", F.xxhash64("other", "edits", "i", F.substring("line", F.col("at"), F.col("size"))).alias("key"), "own")
+        "h1", F.xxhash64("other", "edits", "i", F.substring("line", F.col("at"), F.col("size"))).alias("key"))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -153,12 +155,10 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
-    """Distinct lines: hashes ``h1``, ``h2``, ``n`` (occurrences), ``first``
-    (smallest (doc_id, line_no)), ``line`` and its ``length``."""
-    every = _lines(docs).select(*_hashes(), "doc_id", "line_no", "line")
-    out = every.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"),
-                                        F.first("line").alias("line"))
-    return out.withColumn("length", F.char_length("line"))
+    """Distinct lines: hashes ``h1``, ``h2``, ``n`` (occurrences) and ``first``
+    (smallest (doc_id, line_no)).  The text itself is not shuffled."""
+    return _lines(docs).select(*_hashes(), "doc_id", "line_no").groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"))
 
 
 def _hashes() -> list[Column]:
@@ -184,19 +184,32 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(linked).select("x", "y", "u", "v")
 
 
-def near_lines(classes: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h1, first, line, length) of the lines whose hash is wanted, from their first occurrence."""
+    if wanted.count() <= BROADCAST_LINES:
+        wanted = F.broadcast(wanted)  # else: a shuffle join
+    found = classes.join(wanted, "h1", "left_semi").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "first")
+    lines = _lines(docs).select("doc_id", "line_no", *_hashes(), "line", "length").join(wanted, "h1", "left_semi")
+    return lines.join(found, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & F.struct(
+        "doc_id", "line_no").eqNullSafe(F.col("first"))).select("h1", "first", "line", "length").distinct()
+
+
+def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links ``u``, ``v`` (first occurrences) whose components are those of all pairs of distinct
-    lines within their threshold (``classes``: a stored ``line_classes``).
+    lines within their threshold (``classes``: a stored ``line_classes`` of ``docs``).
 
     A list is the lines that share a key.  Its head, one line whose own segment the key is, is
     compared with every other member.  Members linked to the head need no look at each other;
     any other pair of the list is compared."""
-    keys = line_keys(classes)
-    heads = keys.where("own").groupBy("key").agg(F.min("h1").alias("head"))
-    members = stored(keys.join(heads, "key").where("h1 != head").groupBy("key", "head", "h1").agg(
-        F.max("own").alias("own")), "line-members")
-    wanted = members.select("h1").union(members.select("head")).distinct()
-    texts = stored(classes.join(wanted, "h1", "left_semi").select("h1", "first", "line", "length"), "line-texts")
+    lines = _lines(docs).select(F.xxhash64("line").alias("h1"), "line", "length")
+    heads = line_keys(lines, True).groupBy("key").agg(F.min("h1").alias("head"))
+    members = line_keys(lines, False).join(heads, "key").where("h1 != head").distinct()
+    members = stored(members, "line-members")  # the lists of two lines and more
+    inside = members.select("h1").union(members.select("head")).distinct()
+    texts = stored(_texts(docs, classes, stored(inside, "line-wanted")), "line-texts")
+    segments = line_keys(texts, True).distinct()
+    members = members.join(segments.withColumn("own", F.lit(True)), ["key", "h1"], "left").select(
+        "key", "head", "h1", F.coalesce("own", F.lit(False)).alias("own"))
     star = stored(_verified(members.select(F.col("head").alias("x"), F.col("h1").alias("y")).distinct(), texts), "line-stars")
     tied = star.select(F.col("x").alias("head"), F.col("y").alias("h1"), F.lit(True).alias("tied"))
     flagged = stored(members.join(tied, ["head", "h1"], "left").select(
@@ -221,7 +234,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives an empty result."""
     rows = spread(id_text(docs, id_col, text_col))
     classes = stored(line_classes(rows), "line-classes")
-    links = stored(near_lines(classes), "line-links")
+    links = stored(near_lines(rows, classes), "line-links")
     component = connected_components(links).withColumnsRenamed({"node": "first", "component": "keeper"})
     shared = classes.select("h1", "h2", "n", "first").join(component, "first", "left")
     lookup = shared.where("n > 1 or keeper is not null").select("h1", "h2", "n", "first", F.coalesce(
