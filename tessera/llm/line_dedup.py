@@ -28,8 +28,8 @@ THRESHOLDS = ((40, 2), (20, 1))
 MAX_EDITS = THRESHOLDS[0][1]
 #: Hashes of lines in lists (8 bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 2_000_000
-#: Letters whose counts are compared before the edit distance (any choice gives the same links).
-COUNTED = "etaoinrs"
+#: Characters whose counts are compared before texts are (any choice gives the same links).
+COUNTED = "etaoinrshldcumfpgwybvk0123456789"
 
 
 def allowed_edits(length: Column) -> Column:
@@ -134,15 +134,18 @@ def _within(a: Column, b: Column, edits: int) -> Column:
     return F.when(m == 0, n <= edits).otherwise(end["dist"] <= edits)
 
 
-def letters_apart(a: Column, b: Column) -> Column:
-    """Sum over some letters of how far their counts differ: an edit changes it
-    by two at most, so pairs beyond twice the threshold need no closer look."""
-    def count(text, letter):
-        return F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
-    total = F.lit(0)
-    for letter in COUNTED:
-        total = total + F.abs(count(a, letter) - count(b, letter))
-    return total
+def letter_counts(line: Column) -> Column:
+    """How often a line holds each of ``COUNTED``."""
+    return F.struct(*[(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).alias(f"c{i}")
+                      for i, c in enumerate(COUNTED)])
+
+
+def may_link(a_length: Column, a_counts: Column, b_length: Column, b_counts: Column) -> Column:
+    """Whether lengths and letter counts let two lines be within their threshold: an edit changes
+    the length by one at most, and the sum of the counts' differences by two at most."""
+    allowed = allowed_edits(F.least(a_length, b_length))
+    apart = sum((F.abs(a_counts[f"c{i}"] - b_counts[f"c{i}"]) for i in range(len(COUNTED))), F.lit(0))
+    return (F.abs(a_length - b_length) <= allowed) & (apart <= 2 * allowed)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -166,16 +169,14 @@ def _hashes() -> list[Column]:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(x, y, u, v) of the pairs of lines (hashes ``x``, ``y``) that are within their threshold."""
+    """(x, y, u, v) of the pairs of lines (hashes ``x``, ``y``; ``may_link`` holds) that are within
+    their threshold."""
     one = texts.select(F.col("h1").alias("x"), F.struct("length", "line", "first").alias("one"))
     two = texts.select(F.col("h1").alias("y"), F.struct("length", "line", "first").alias("two"))
     both = pairs.join(one, "x").join(two, "y").select("x", "y", F.greatest("one", "two").alias("a"),
                                                       F.least("one", "two").alias("b"))
     both = both.select("x", "y", F.col("b.first").alias("u"), F.col("a.first").alias("v"), F.col("a.line").alias("a"),
-                       F.col("b.line").alias("b"), F.col("b.length").alias("m"),
-                       (F.col("a.length") - F.col("b.length")).alias("gap"))
-    both = both.where((F.col("gap") <= allowed_edits(F.col("m")))
-                      & (letters_apart(F.col("a"), F.col("b")) <= 2 * allowed_edits(F.col("m"))))
+                       F.col("b.line").alias("b"), F.col("b.length").alias("m"))
     both = stored(both.repartition(shuffle_partitions(pairs.sparkSession)), "line-pairs")
     linked = F.lit(False)
     a, b = F.split("a", ""), F.split("b", "")
@@ -207,17 +208,28 @@ def near_lines(docs: DataFrame, classes: DataFrame) -> DataFrame:
     members = stored(members, "line-members")  # the lists of two lines and more
     inside = members.select("h1").union(members.select("head")).distinct()
     texts = stored(_texts(docs, classes, stored(inside, "line-wanted")), "line-texts")
+    counts = stored(texts.select("h1", "length", letter_counts(F.col("line")).alias("counts")), "line-counts")
     segments = line_keys(texts, True).distinct()
     members = members.join(segments.withColumn("own", F.lit(True)), ["key", "h1"], "left").select(
         "key", "head", "h1", F.coalesce("own", F.lit(False)).alias("own"))
-    star = stored(_verified(members.select(F.col("head").alias("x"), F.col("h1").alias("y")).distinct(), texts), "line-stars")
+
+    def counted(side: str) -> DataFrame:
+        return counts.select(F.col("h1").alias(side), F.col("length").alias(f"{side}_length"),
+                             F.col("counts").alias(f"{side}_counts"))
+
+    def likely(x: str, y: str) -> Column:
+        return may_link(F.col(f"{x}_length"), F.col(f"{x}_counts"), F.col(f"{y}_length"), F.col(f"{y}_counts"))
+
+    heads = members.select(F.col("head").alias("x"), F.col("h1").alias("y")).distinct()
+    heads = heads.join(counted("x"), "x").join(counted("y"), "y").where(likely("x", "y")).select("x", "y")
+    star = stored(_verified(heads, texts), "line-stars")
     tied = star.select(F.col("x").alias("head"), F.col("y").alias("h1"), F.lit(True).alias("tied"))
     flagged = stored(members.join(tied, ["head", "h1"], "left").select(
         "key", "h1", "own", F.coalesce("tied", F.lit(False)).alias("tied")), "line-flags")
-    own = flagged.where("own").select("key", F.col("h1").alias("x"), F.col("tied").alias("_t"))
-    other = flagged.select("key", F.col("h1").alias("y"), "tied")
-    rest = (own.where("not _t").join(other, "key")
-            .union(own.where("_t").join(other.where("not tied"), "key")).where("x != y")
+    # lengths and counts are compared where the list's pairs are made, so unlike pairs never leave it
+    own = flagged.where("own").select("key", F.col("h1").alias("x"), F.col("tied").alias("_t")).join(counted("x"), "x")
+    other = flagged.select("key", F.col("h1").alias("y"), "tied").join(counted("y"), "y")
+    rest = (own.join(other, "key").where((F.col("x") != F.col("y")) & ~(F.col("_t") & F.col("tied")) & likely("x", "y"))
             .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
     return star.union(_verified(rest, texts)).select("u", "v")
 
