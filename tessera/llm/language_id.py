@@ -10,7 +10,8 @@ scoring a text is a table look-up per byte; the language of the shortest code
 wins.
 
 Counting covers every byte of every training row, is combined per task and
-summed by Spark; the driver receives at most ``max_nodes`` tree leaves.
+summed by Spark; the driver receives at most ``max_nodes`` tree leaves, an equal
+share of them for every language whatever its part of the corpus.
 """
 
 from __future__ import annotations
@@ -24,11 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_text, spread
+from tessera.operators.ranking import rank_within_groups
 
 #: Bytes scored at once, and counted at once.
 WINDOW = 1 << 20
-#: Distinct byte values with a symbol of their own; the rest share one.
-MAX_SYMBOLS = 128
 _UNKNOWN = "und"
 
 
@@ -122,52 +122,62 @@ def _tree_bits(codes: np.ndarray, n: np.ndarray, symbols: int, share: np.ndarray
 
 
 def build_model(languages: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray,
-                max_contexts: int = 24_000) -> Model:
-    """Context trees from counts of (language, three context bytes, byte)."""
+                max_contexts: int = 40_000) -> Model:
+    """Context trees from counts of (language, three context bytes, byte).  Every
+    byte that occurs has its own symbol; contexts of three bytes are each
+    language's own most frequent ones, ``max_contexts`` over all languages."""
     total = np.bincount((code & 255).astype(np.int64), weights=n, minlength=256)
     total[0] = total.sum() + 1  # the byte before a text's start always has its own symbol
-    own = np.argsort(-total, kind="stable")[:MAX_SYMBOLS - 1]
+    own = np.argsort(-total, kind="stable")
     own = own[total[own] > 0]
     s = len(own) + 1
     symbol = np.zeros(256, np.int64)
     symbol[own] = np.arange(1, s)
     share = np.zeros(s)
-    share[0] = np.log2(256 - len(own))
+    share[0] = np.log2(max(256 - len(own), 1))
     parts = [symbol[(code >> sh) & 255] for sh in (24, 16, 8, 0)]
     number = ((parts[0] * s + parts[1]) * s + parts[2]) * s + parts[3]
     context = number // s
     contexts = [np.zeros(1, np.int64), np.arange(s), np.arange(s * s)]
-    u, inv = np.unique(context, return_inverse=True)
-    weight = np.bincount(inv, weights=n)
-    contexts[2] = np.unique(u % (s * s))
-    best = np.argsort(-weight, kind="stable")[:max_contexts]
-    contexts.append(np.sort(u[best]))
+    contexts[2] = np.unique(context % (s * s))
+    each = max(max_contexts // len(languages), 1)
+    chosen = []
+    for k in range(len(languages)):
+        u, inv = np.unique(context[lang == k], return_inverse=True)
+        chosen.append(u[np.argsort(-np.bincount(inv, weights=n[lang == k]), kind="stable")[:each]])
+    contexts.append(np.unique(np.concatenate(chosen)))
     at = np.concatenate([[0], np.cumsum([len(c) for c in contexts])])
-    every = np.arange(s ** 3)
-    state = at[1] + every % s  # order 1 always holds
-    for order in (2, 3):
-        known = contexts[order]
-        c = every % (s ** order)
-        i = np.minimum(np.searchsorted(known, c), len(known) - 1)
-        state = np.where(known[i] == c, at[order] + i, state)
+    state = np.empty(s ** 3, np.int32)
+    for first in range(s):  # by the first of three symbols, which bounds the working arrays
+        every = np.arange(first * s * s, (first + 1) * s * s)
+        here = at[1] + every % s  # order 1 always holds
+        for order in (2, 3):
+            known = contexts[order]
+            c = every % (s ** order)
+            i = np.minimum(np.searchsorted(known, c), len(known) - 1)
+            here = np.where(known[i] == c, at[order] + i, here)
+        state[every] = here
     # an order-3 or order-1 context whose order-2 parent is unknown falls back to order 1
     bits = np.stack([_tree_bits(number[lang == k], n[lang == k], s, share, contexts)
                      for k in range(len(languages))], axis=2)
-    return Model(languages, symbol, state.astype(np.int32), bits)
+    return Model(languages, symbol, state, bits)
 
 
 def fit(docs: DataFrame, held_out_mod: int = 3, held_out_rest: int = 1, max_nodes: int = 1_500_000) -> Model | None:
     """Context trees of every language of the rows with a text, an id and a
     language whose ``crc32(id as text) mod held_out_mod`` is not
-    ``held_out_rest``.  All their bytes are counted; of the distinct (language,
-    context, byte) leaves the ``max_nodes`` most frequent stay (the bound of
-    the model).  None without such rows."""
+    ``held_out_rest``.  All their bytes are counted; of each language's distinct
+    (context, byte) leaves its own most frequent ``max_nodes / languages`` stay
+    (the bound of the model), so no language crowds out another.  None without
+    such rows."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
             .where("lang is not null and text is not null and doc_id is not null")
             .where(F.crc32(F.col("doc_id").cast("string")) % held_out_mod != held_out_rest).select("lang", "text"))
     counts = (spread(rows).mapInArrow(_count, "lang string, code long, n long")
-              .groupBy("lang", "code").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "lang", "code").limit(max_nodes)).toArrow()
+              .groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    ranked = rank_within_groups(counts, ["lang"], [F.desc("n"), F.col("code")])
+    each = max(max_nodes // max(ranked.select("lang").distinct().count(), 1), 1)
+    counts = ranked.where(F.col("rank") < each).orderBy(F.desc("n"), "lang", "code").select("lang", "code", "n").toArrow()
     if not counts.num_rows:
         return None
     lang = counts.column("lang").combine_chunks().dictionary_encode()

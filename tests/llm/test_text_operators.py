@@ -232,6 +232,24 @@ def test_language_id(docs_of, clashing, monkeypatch):
     assert LI.fit(docs_of([])) is None and LI.identify(docs_of([]), model).count() == 0
 
 
+def test_language_id_hot_language_leaves_the_others_their_share(docs_of):
+    """One language with most rows and a bound far below its leaves; a rare script beside it."""
+    r = random.Random(5)
+    alphabets = {"hot": "abcdefghijklmnopqrstuvwxyz", "gr": "αβγδεζηθικλμνξο", "he": "אבגדהוזחטיכלמנס",
+                 "th": "กขคงจฉชซญฎฏฐฑฒ", "xx": "xyzxyzqj", "vv": "vwvwuo"}
+    rows, langs = [], {}
+    for i in range(900):
+        lang = "hot" if i % 9 else sorted(alphabets)[(i // 9) % len(alphabets)]
+        rows.append((i, " ".join("".join(r.choice(alphabets[lang]) for _ in range(r.randrange(3, 9))) for _ in range(12))))
+        langs[i] = lang
+    docs = docs_of(rows, langs)
+    model = LI.fit(docs, max_nodes=1200)
+    assert model.languages == sorted(alphabets)
+    rare = [x for x in LI.identify(docs, model).collect() if langs[x.doc_id] != "hot"]
+    assert len(rare) > 50 and sum(x.lang_pred == langs[x.doc_id] for x in rare) >= 0.95 * len(rare)
+
+
+
 def ppm_bits(train: bytes, text: bytes) -> float:
     """Method C with exclusion, orders 3 to 0 and then all bytes alike, computed directly."""
     seen: dict[bytes, dict[int, int]] = {}
