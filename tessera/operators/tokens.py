@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.functions.tokenizers import WORDS, Tokenizer
+from tessera.operators import blocks as BL
 from tessera.operators.lookup import salted_lookup
 from tessera.operators.ranking import global_rank
 from tessera.session import materialize
@@ -50,12 +51,21 @@ def corpus_stats(docs: DataFrame, text_col: str = "text", tokenizer: Tokenizer =
         F.countDistinct("token").cast("bigint").alias("vocab_size"))
 
 
-def vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
+def token_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counted: bool = False,
+                 tokenizer: Tokenizer = WORDS) -> BL.Blocks:
+    """The tokens of ``docs``, tokenized once and stored in blocks."""
+    return BL.pack(tokenize(docs, id_col, text_col, tokenizer=tokenizer), id_col, counted=counted)
+
+
+def vocabulary(tokens: DataFrame | BL.Blocks, token_col: str = "token") -> DataFrame:
     """(token, token_id, freq): distinct tokens in code-point order, dense ids
     from 0.  Distinct is a partial/final aggregate (hot tokens collapse
     map-side); ids come from the distributed rank."""
-    counts = (tokens.groupBy(F.col(token_col).alias("token"))
-              .agg(F.count(F.lit(1)).alias("freq")))
+    if isinstance(tokens, BL.Blocks):
+        counts = tokens.words().groupBy("token").agg(F.sum("freq").alias("freq"))
+    else:
+        counts = (tokens.groupBy(F.col(token_col).alias("token"))
+                  .agg(F.count(F.lit(1)).alias("freq")))
     return global_rank(counts, ["token"], "token_id").select("token", "token_id", "freq")
 
 
@@ -109,22 +119,50 @@ def gather(long_df: DataFrame, id_col: str, pos_col: str, value_col: str,
     return g
 
 
-def encode(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def encode(docs: DataFrame | BL.Blocks, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            unknown: str = "unk", tokens_col: str | None = None, tokenizer: Tokenizer = WORDS) -> DataFrame:
     """(id, ids ARRAY<BIGINT>), a row per id.  unknown="strict" fails the job when a token is
     missing (like the strict tokenizer); "unk" maps it to <|unk|>; "keep" gives
-    null.  ``tokens_col`` names token arrays that are already there.  A document
-    without tokens goes through as one row without a token."""
-    tokens = docs if tokens_col else tokenize(docs, id_col, text_col, tokenizer=tokenizer)
-    rows = tokens.select(id_col, F.posexplode_outer(tokens_col or "tokens").alias("pos", "token"))
-    long_ = encode_long(rows, vocab, [id_col, "pos"], "unk" if unknown == "unk" else "keep")
-    if unknown == "strict":
-        long_ = long_.withColumn("token_id", F.when(F.col("token").isNotNull(), F.coalesce(
-            F.col("token_id"),
-            F.raise_error(F.concat(F.lit("unknown token: "), F.col("token"))).cast("bigint"))))
-    here = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos").alias("p"), F.col("token_id").alias("v")))
-    return (long_.groupBy(id_col).agg(F.sort_array(F.collect_list(here)).alias("_s"))
-            .select(id_col, F.transform("_s", lambda x: x["v"]).alias("ids")))
+    null.  ``tokens_col`` names token arrays that are already there; ``docs``
+    may be their blocks.  A document without tokens has no ids.  Rows that
+    share an id are one: their ids by place, then by id; so are the ids of a
+    token that the vocabulary holds twice."""
+    if isinstance(docs, BL.Blocks):
+        blocks = docs
+    else:
+        tokens = docs if tokens_col else tokenize(docs, id_col, text_col, tokenizer=tokenizer)
+        blocks = BL.pack(tokens, id_col, tokens_col or "tokens")
+    table = vocab.groupBy("token").agg(F.sort_array(F.collect_list("token_id")).alias("_all"))
+    missing = F.lit(None).cast("bigint")
+    if unknown == "unk":
+        # one scalar read on the driver (a number, not data)
+        missing = F.lit(vocab.where(F.col("token") == T.UNKNOWN).agg(F.max("token_id")).first()[0]).cast("bigint")
+    elif unknown == "strict":
+        missing = F.raise_error(F.concat(F.lit("unknown token: "), F.col("token"))).cast("bigint")
+    first = F.when(F.col("_all").isNull(), missing).otherwise(F.get("_all", F.lit(0)))
+    value = F.struct(first.alias("id"), F.when(F.size("_all") > 1, F.col("_all")).alias("all"))
+    several = F.exists("codes", lambda c: c["all"].isNotNull())
+    answers = BL.answered(blocks, table, value).select(
+        "ids", "slots", F.transform("codes", lambda c: c["id"]).alias("one"),
+        F.when(several, F.transform("codes", lambda c: F.coalesce(c["all"], F.array(c["id"])))).alias("many"))
+    kind = blocks.table.schema["ids"].dataType.elementType.simpleString()
+    return _one_row_per_id(BL.encoded(answers, blocks.id_col, kind), blocks)
+
+
+def _one_row_per_id(encoded: DataFrame, blocks: BL.Blocks) -> DataFrame:
+    """Rows of an id that occurs more than once become one, by (place, id)."""
+    id_col = blocks.id_col
+    again = blocks.ids().groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_again"))
+    alone = encoded.select(id_col, "ids")
+    if again.isEmpty():
+        return alone
+    same = F.col(id_col).eqNullSafe(F.col("_again"))
+    rows = encoded.join(again, same, "left_semi").select(id_col, "at", F.posexplode_outer("ids").alias("pos", "token_id"))
+    place = F.coalesce(F.get("at", F.col("pos")), "pos")
+    here = F.when(F.col("pos").isNotNull(), F.struct(place.alias("p"), F.col("token_id").alias("v")))
+    merged = (rows.groupBy(id_col).agg(F.sort_array(F.collect_list(here)).alias("_s"))
+              .select(id_col, F.transform("_s", lambda x: x["v"]).alias("ids")))
+    return alone.join(again, same, "left_anti").unionByName(merged)
 
 
 def decode(encoded: DataFrame, vocab: DataFrame, id_col: str = "item_id",

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import tokens as TK
-from tessera.session import load_table, materialize
+from tessera.operators.blocks import Blocks
+from tessera.session import load_table
 
 SEED = 123
 WINDOW_LENGTH, WINDOW_STRIDE = 8, 4
@@ -35,21 +36,21 @@ def doc_vocab(spark: SparkSession, d: str) -> DataFrame:
     return TK.vocabulary(doc_tokens(spark, d))
 
 
-def doc_token_arrays(spark: SparkSession, d: str) -> DataFrame:
-    """(doc_id, tokens), tokenized once and stored: the vocabulary and the
-    encoding both read it."""
-    return materialize(TK.tokenize(docs(spark, d)))
+def doc_token_arrays(spark: SparkSession, d: str, counted: bool = False) -> Blocks:
+    """(doc_id, tokens), tokenized once and stored in blocks: the vocabulary
+    and the encoding both read them."""
+    return TK.token_blocks(docs(spark, d), counted=counted)
 
 
-def vocab_of(tokens: DataFrame) -> DataFrame:
-    return TK.vocabulary(tokens.select(F.explode("tokens").alias("token")))
+def vocab_of(tokens: Blocks) -> DataFrame:
+    return TK.vocabulary(tokens)
 
 
-def encoded_docs(spark: SparkSession, d: str, tokens: DataFrame | None = None,
+def encoded_docs(spark: SparkSession, d: str, tokens: Blocks | None = None,
                  vocab: DataFrame | None = None) -> DataFrame:
     """(doc_id, ids) with the vocabulary of all documents (every token known)."""
     tokens = tokens if tokens is not None else doc_token_arrays(spark, d)
-    return TK.encode(tokens, vocab if vocab is not None else vocab_of(tokens), unknown="keep", tokens_col="tokens")
+    return TK.encode(tokens, vocab if vocab is not None else vocab_of(tokens), unknown="keep")
 
 
 def vocab_special(spark: SparkSession, d: str) -> DataFrame:

@@ -45,7 +45,7 @@ def vocab_head(spark, d):
 @query("encode_strict")
 def encode_strict(spark, d):
     tokens = C.doc_token_arrays(spark, d)
-    enc = TK.encode(tokens, C.vocab_of(tokens), unknown="strict", tokens_col="tokens")
+    enc = TK.encode(tokens, C.vocab_of(tokens), unknown="strict")
     return enc.select("doc_id", C.ids_str())
 
 
@@ -150,7 +150,7 @@ def labelled_split(spark, d):
     lab = load_table(spark, d, "labels").join(C.docs(spark, d), "doc_id")
     split = three_way_split(lab.select("doc_id"), "doc_id", C.SEED, C.TRAIN_FRAC, C.VALIDATION_FRAC)  # keys only
     enc = TK.encode(lab.select("doc_id", "text"), C.doc_vocab(spark, d), unknown="keep")
-    return enc.join(split.select("doc_id", "split"), "doc_id")
+    return materialize(enc.join(split.select("doc_id", "split"), "doc_id"))  # read for the length, then for the rows
 
 
 @query("max_encoded_length")
