@@ -149,3 +149,43 @@ def counted_rows(blocks: Blocks, table: DataFrame, value: Column, out: str) -> D
     rows = answered(blocks, table, value).select(F.explode(docs).alias("_d")).select(
         F.col("_d.id").alias(blocks.id_col), F.explode("_d.t").alias("_t"))
     return rows.select(blocks.id_col, "_t.*")
+
+
+def class_sums(blocks: Blocks, table: DataFrame, value: Column) -> DataFrame:
+    """(id, class, _x) where ``value`` is an ARRAY<STRUCT<class BIGINT, gain DOUBLE>>
+    of a token: for every document with a known token, the sums of count times
+    gain per class, and its number of known tokens under the null class."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                ids, slots, counts = (b.column(c).slice(i, 1).flatten() for c in range(3))
+                seen = b.column(3).slice(i, 1).flatten()
+                if not len(seen):
+                    continue
+                per_doc = pc.list_value_length(slots).to_numpy(zero_copy_only=False)
+                doc = np.repeat(np.arange(len(ids), dtype=np.int64), per_doc)
+                slot = slots.flatten().to_numpy(zero_copy_only=False)
+                n = counts.flatten().to_numpy(zero_copy_only=False).astype(float)
+                known = seen.is_valid().to_numpy(zero_copy_only=False)[slot]
+                doc, slot, n = doc[known], slot[known], n[known]
+                sizes = pc.fill_null(pc.list_value_length(seen), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                starts = np.cumsum(sizes) - sizes
+                pairs = seen.flatten()
+                classes = pairs.field("class").dictionary_encode()
+                codes = classes.indices.to_numpy(zero_copy_only=False)
+                gains = pairs.field("gain").to_numpy(zero_copy_only=False)
+                times = sizes[slot]
+                at = np.repeat(starts[slot] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                width = max(len(classes.dictionary), 1)
+                keys, where = np.unique(np.repeat(doc, times) * width + codes[at], return_inverse=True)
+                sums = np.bincount(where, weights=np.repeat(n, times) * gains[at], minlength=len(keys))
+                total = np.bincount(doc, weights=n, minlength=len(ids))
+                some = np.flatnonzero(np.bincount(doc, minlength=len(ids)))
+                rows = pa.array(np.concatenate([some, keys // width]))
+                of = pa.concat_arrays([pa.nulls(len(some), pa.int64()), classes.dictionary.take(pa.array(keys % width))])
+                yield pa.RecordBatch.from_arrays([ids.take(rows), of, pa.array(np.concatenate([total[some], sums]))],
+                                                 names=["id", "class", "_x"])
+
+    kind = blocks.table.schema["ids"].dataType.elementType.simpleString()
+    rows = answered(blocks, table, value).select("ids", "slots", "counts", "codes")
+    return rows.mapInArrow(run, f"id {kind}, class bigint, _x double").withColumnRenamed("id", blocks.id_col)

@@ -97,6 +97,11 @@ def encode_long(tokens: DataFrame, vocab: DataFrame, row_cols: list[str],
     return out
 
 
+def encode_counts(blocks: BL.Blocks, vocab: DataFrame) -> DataFrame:
+    """(id, token_id, c) of the distinct tokens of each document; ``vocab`` has one row a token."""
+    return BL.counted_rows(blocks, vocab.select("token", "token_id"), F.col("token_id"), "token_id").withColumnRenamed("_c", "c")
+
+
 def unknown_tokens(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """Strict-mode report: (token, n) of tokens that have no id (left anti join
     after a map-side pre-aggregation of the stream)."""

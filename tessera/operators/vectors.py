@@ -4,6 +4,8 @@ learned projections)."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays as A
 from tessera.operators.lookup import salted_lookup
 from tessera.operators.ranking import global_rank, rank_within_groups, running_total
-from tessera.session import materialize
+from tessera.session import materialize, store
 
 
 def standardize(df: DataFrame, vec_col: str, eps: float = 1e-5, scale: float = 1.0,
@@ -123,6 +125,55 @@ def _history_parts(window: int, heads: int):
     return run
 
 
+#: Vectors of a chunk, and rows of (doc, vector row, count) that meet it at a time.
+VECTOR_CHUNK, CHUNK_PAIRS = 1 << 16, 1 << 22
+#: Weighted vectors that are in memory at once.
+HELD_VECTORS = 1 << 15
+
+
+def _chunk_sums(tok: DataFrame, vecs: DataFrame, n_vec: int, id_col: str) -> DataFrame:
+    """(id, _ts): the sum of ``_c`` times vector ``_row`` over a document's rows."""
+    chunks = max(1, -(-n_vec // VECTOR_CHUNK))
+    slices = max(1, -(-tok.count() // (chunks * CHUNK_PAIRS)))
+    kind = tok.schema[id_col].dataType.simpleString()
+
+    def chunk(row):
+        return F.floor(row / F.lit(VECTOR_CHUNK)).cast("int").alias("_chunk")
+
+    left = tok.select(F.col(id_col).alias("id"), F.col("_row").cast("long").alias("_row"), F.col("_c").cast("double").alias("_c"),
+                      chunk(F.col("_row")), F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("_slice"))
+    right = vecs.select("_row", "_v", chunk(F.col("_row")),
+                        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"))
+
+    def sums(rows: pa.Table, vectors: pa.Table) -> pa.Table:
+        docs = rows.column("id").combine_chunks().dictionary_encode()
+        codes = docs.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        at = vectors.column("_row").to_numpy()
+        places = np.argsort(at, kind="stable")
+        where = places[np.searchsorted(at, rows.column("_row").to_numpy()[order], sorter=places)]
+        weight = rows.column("_c").to_numpy()[order]
+        table = vectors.column("_v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
+        total = np.zeros((len(docs.dictionary), table.shape[1]))
+        for lo in range(0, len(codes), HELD_VECTORS):
+            part = slice(lo, lo + HELD_VECTORS)
+            first = np.flatnonzero(np.diff(codes[part], prepend=-1))
+            total[codes[part][first]] += np.add.reduceat(table[where[part]] * weight[part, None], first, axis=0)
+        ends = np.arange(len(total) + 1, dtype=np.int32) * table.shape[1]
+        return pa.table({"id": docs.dictionary, "_ts": pa.ListArray.from_arrays(pa.array(ends), pa.array(total.ravel()))})
+
+    keys = ["_chunk", "_slice"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        lambda rows, vectors: sums(rows, vectors) if rows.num_rows else pa.table(
+            {"id": rows.column("id"), "_ts": pa.array([], pa.list_(pa.float64()))}),
+        f"id {kind}, _ts array<double>").withColumnRenamed("id", id_col)
+    if chunks == 1:  # a document is in one group
+        return found
+    return found.groupBy(id_col).agg(Summarizer.sum(array_to_vector("_ts")).alias("_s")).select(
+        id_col, vector_to_array("_s").alias("_ts"))
+
+
 def pooled_token_embeddings(token_counts: DataFrame, vectors: DataFrame, id_col: str = "doc_id",
                             vec_id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Mean over a document's tokens of token vector + position vector, where
@@ -133,9 +184,9 @@ def pooled_token_embeddings(token_counts: DataFrame, vectors: DataFrame, id_col:
     Input (doc, token_id, c): occurrences of each token id in a document; the
     document's length L is their sum.
 
-    * token part: (doc, vector row, count) rows, looked up (salted on vector
-      rows used by many documents), weighted mean per document with a mutable
-      JVM buffer (``Summarizer``);
+    * token part: (doc, vector row, count) rows meet a chunk of VECTOR_CHUNK
+      vectors in groups of about CHUNK_PAIRS rows, dealt by document; a group
+      gives one sum per document, so vectors are never joined to rows;
     * position part: depends only on L.  With q = L div n and r = L mod n,
       sum over p < L of row (p mod n) = q * (sum of all rows) + prefix(r), where
       prefix(r) = sum of rows before r: one lookup per document into a table
@@ -144,15 +195,9 @@ def pooled_token_embeddings(token_counts: DataFrame, vectors: DataFrame, id_col:
                                    [vec_id_col], "_row").select("_row", "_v"))
     n_vec = vecs.count()  # scalar
     # token part
-    tok = materialize(token_counts.select(id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias("_row"),
-                                          F.col("c").alias("_c"))
-                      .groupBy(id_col, "_row").agg(F.sum("_c").alias("_c")))
-    weight = tok.groupBy("_row").agg(F.count(F.lit(1)).alias("freq"))
-    looked = salted_lookup(tok, vecs.join(weight, "_row", "left").fillna(0, ["freq"]), "_row", [id_col, "_row"],
-                           how="inner")
-    tok_mean = (looked.select(id_col, array_to_vector("_v").alias("_vv"), F.col("_c").cast("double").alias("_w"))
-                .groupBy(id_col).agg(Summarizer.mean(F.col("_vv"), F.col("_w")).alias("_m"),
-                                     F.sum("_w").alias("_tw")))
+    tok = store(token_counts.where(F.col(id_col).isNotNull()).select(
+        id_col, F.pmod(F.col("token_id"), F.lit(n_vec)).alias("_row"), F.col("c").alias("_c")))
+    tok_sums = _chunk_sums(tok, vecs, n_vec, id_col)
     # position part: per-dimension exclusive running sums over vector rows
     dims = A.rows_of(vecs, ["_row"], "_v", "_d", "_x")
     pref = running_total(dims, ["_d"], ["_row"], "_x", "_p")
@@ -167,7 +212,6 @@ def pooled_token_embeddings(token_counts: DataFrame, vectors: DataFrame, id_col:
     prefix = prefix.join(r_weight, "_r", "left").fillna(0, ["freq"])
     pos = salted_lookup(docs, prefix, "_r", [id_col], how="inner")
     pos_sum = F.zip_with(F.col("_pv"), F.lit(total), lambda p, t: p + F.col("_q").cast("double") * t)
-    both = pos.select(id_col, "_len", pos_sum.alias("_ps")).join(tok_mean, id_col)
-    tok_sum = A.scale(vector_to_array("_m"), F.col("_tw"))
-    mean = F.zip_with(tok_sum, F.col("_ps"), lambda a, b: (a + b) / F.col("_len").cast("double"))
+    both = pos.select(id_col, "_len", pos_sum.alias("_ps")).join(tok_sums, id_col)
+    mean = F.zip_with(F.col("_ts"), F.col("_ps"), lambda a, b: (a + b) / F.col("_len").cast("double"))
     return both.select(id_col, mean.alias("vec"))

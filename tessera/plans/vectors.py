@@ -11,10 +11,9 @@ from tessera.operators.conversations import until_exit
 from tessera.operators.ranking import rank_within_groups, running_total
 from tessera.operators.sampling import shuffle_key, three_way_split
 from tessera.operators import tokens as TK
-from tessera.operators.tokens import encode_long
 from tessera.plans import common as C
 from tessera.plans.registry import query
-from tessera.session import load_table, materialize
+from tessera.session import load_table
 
 SOFT_WINDOW, CONTEXT_WINDOW, HEADS = 16, 1024, 4
 
@@ -172,10 +171,8 @@ def soft_context(spark, d):
 def embed_tokens(spark, d):
     # one tokenizing pass: occurrences per (doc, token), from which both the
     # vocabulary and the encoded counts come
-    pairs = materialize(TK.word_tokens(C.docs(spark, d)).groupBy("doc_id", "token")
-                        .agg(F.count(F.lit(1)).alias("c")))
-    vocab = TK.vocabulary(pairs)
-    ids = encode_long(pairs, vocab, ["doc_id", "token"]).select("doc_id", "token_id", "c")
+    pairs = C.doc_token_arrays(spark, d, counted=True)
+    ids = TK.encode_counts(pairs, C.vocab_of(pairs))
     return _vec_rows(V.pooled_token_embeddings(ids, load_table(spark, d, "embeddings")), "doc_id")
 
 

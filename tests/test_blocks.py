@@ -37,3 +37,19 @@ def test_counted_rows_are_the_known_tokens_of_each_document(spark):
     known = spark.createDataFrame([("b", 7.0), ("x", 8.0)], "token STRING, g DOUBLE")
     got = sorted((r.doc_id, r.g, r._c) for r in BL.counted_rows(blocks, known, F.col("g"), "g").collect())
     assert got == [(1, 7.0, 2), (4, 7.0, 1), (5, 8.0, 7)]
+
+
+def test_pooled_embeddings_by_chunks_and_slices(spark, monkeypatch):
+    from tessera.operators import vectors as V
+    monkeypatch.setattr(V, "VECTOR_CHUNK", 3)
+    monkeypatch.setattr(V, "CHUNK_PAIRS", 10)
+    monkeypatch.setattr(V, "HELD_VECTORS", 4)
+    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(8)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    rows = [(d, t, 1 + (d + t) % 3) for d in range(9) for t in range(0, 20, 1 + d)]
+    got = {r.doc_id: r.vec for r in V.pooled_token_embeddings(
+        spark.createDataFrame(rows, "doc_id BIGINT, token_id BIGINT, c BIGINT"), vecs).collect()}
+    assert len(got) == 9
+    for d, vec in got.items():
+        n = sum(c for x, _, c in rows if x == d)
+        total = sum(c * (t % 8) for x, t, c in rows if x == d) + sum(p % 8 for p in range(n))
+        assert vec == pytest.approx([total / n, 2.0])
