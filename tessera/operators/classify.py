@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.tokenizers import WORDS, Tokenizer
+from tessera.operators import blocks as BL
 from tessera.operators.lookup import salted_lookup
-from tessera.session import materialize
+from tessera.session import materialize, store
 
 #: Classes of one row of the class blocks that documents are scored against.
 CLASS_BLOCK = 1024
@@ -50,7 +51,7 @@ def train_naive_bayes(labelled_tokens: DataFrame, labelled_docs: DataFrame, clas
     """``labelled_tokens`` (doc_id, token, class_col), ``labelled_docs``
     (doc_id, class_col).  log p(t|c) = ln((n_ct + a) / (N_c + a|V|)).  Any
     number of classes; two scalars (documents, vocabulary size) reach the driver."""
-    counts = materialize(labelled_tokens.groupBy(F.col(class_col).cast("bigint").alias("class"), "token").agg(
+    counts = store(labelled_tokens.groupBy(F.col(class_col).cast("bigint").alias("class"), "token").agg(
         F.count(F.lit(1)).alias("n")))
     v = counts.agg(F.countDistinct("token")).first()[0] or 0
     docs = labelled_docs.groupBy(F.col(class_col).cast("bigint").alias("class")).agg(F.count(F.lit(1)).alias("_d"))
@@ -62,28 +63,34 @@ def train_naive_bayes(labelled_tokens: DataFrame, labelled_docs: DataFrame, clas
         F.when(denom > 0, F.log(F.lit(alpha) / denom)).otherwise(F.lit(float("-inf"))).alias("log_unseen"),
         F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")))
     per_class = classes.select("class", "log_unseen", "n_tokens", F.col("n_tokens").alias("freq"))
-    pairs = salted_lookup(counts, per_class, "class", ["token"], how="inner")
+    pairs = salted_lookup(counts, per_class, "class", ["token"], how="inner", unique=True)
     log_p = F.log((F.col("n") + F.lit(alpha)) / (F.col("n_tokens") + F.lit(alpha * v)))
     return NaiveBayes(classes, pairs.select("class", "token", log_p.alias("log_p"),
                                             (log_p - F.col("log_unseen")).alias("gain"), "n"))
 
 
-def classify_naive_bayes(model: NaiveBayes, tokens: DataFrame, docs: DataFrame,
+def classify_naive_bayes(model: NaiveBayes, tokens: DataFrame | BL.Blocks, docs: DataFrame,
                          id_col: str = "doc_id") -> DataFrame:
     """(id, predicted): argmax_c prior_c + sum_t count(t) log p(t|c); tokens
     outside the training vocabulary are ignored; ties -> lowest class.
+    ``tokens``: token rows (id, token), or counted blocks of the documents,
+    whose distinct tokens alone meet the model.
 
     A class that saw none of a document's T known tokens scores
     prior + T * log_unseen; one that saw some gains on top of it.  So the best
     of all classes on the first formula, one answer per distinct T, against the
     classes observed for the document gives the argmax without a row for every
     (document, class)."""
-    counted = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("_c"))
-    looked = salted_lookup(counted, model.token_table(), "token", [id_col, "token"], how="inner")
-    # a null class stands for the document itself: its number of known tokens
-    own = F.array(F.struct(F.lit(None).cast("bigint").alias("class"), F.lit(1.0).alias("gain")))
-    sums = (looked.select(id_col, "_c", F.explode_outer(F.concat(own, "seen")).alias("_s"))
-            .groupBy(id_col, F.col("_s.class").alias("class")).agg(F.sum(F.col("_c") * F.col("_s.gain")).alias("_x")))
+    if isinstance(tokens, BL.Blocks):
+        found = BL.class_sums(tokens, model.token_table().drop("freq"), F.col("seen"))
+        sums = found.groupBy(id_col, "class").agg(F.sum("_x").alias("_x"))
+    else:
+        counted = tokens.groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("_c"))
+        looked = salted_lookup(counted, model.token_table(), "token", [id_col, "token"], how="inner", unique=True)
+        # a null class stands for the document itself: its number of known tokens
+        own = F.array(F.struct(F.lit(None).cast("bigint").alias("class"), F.lit(1.0).alias("gain")))
+        sums = (looked.select(id_col, "_c", F.explode_outer(F.concat(own, "seen")).alias("_s"))
+                .groupBy(id_col, F.col("_s.class").alias("class")).agg(F.sum(F.col("_c") * F.col("_s.gain")).alias("_x")))
     sums = materialize(sums)
     known = (docs.select(id_col).join(sums.where(F.col("class").isNull()).select(id_col, F.col("_x").alias("_t")),
                                       id_col, "left").fillna(0.0, ["_t"]))

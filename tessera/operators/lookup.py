@@ -20,21 +20,24 @@ from pyspark.sql import functions as F
 from tessera.session import shuffle_partitions
 
 
-def hot_key_hashes(table: DataFrame, keys: list[str], weight: str, heavy: int) -> list[int]:
+def hot_key_hashes(table: DataFrame, keys: list[str], weight: str, heavy: int, unique: bool = False) -> list[int]:
     """64-bit hashes of the ``heavy`` most frequent distinct keys: at most
-    ``heavy`` numbers (a proven bound), read once on the driver."""
-    top = (table.groupBy(*keys).agg(F.max(weight).alias(weight)).orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
+    ``heavy`` numbers (a proven bound), read once on the driver.  ``unique``:
+    the table has one row a key, so it is not grouped (shuffled whole) for them."""
+    kinds = table if unique else table.groupBy(*keys).agg(F.max(weight).alias(weight))
+    top = (kinds.orderBy(F.desc(weight), *[F.asc(k) for k in keys]).limit(heavy)
                 .select(F.xxhash64(*keys).alias("h")))
     return [r["h"] for r in top.collect()]
 
 
 def salted_lookup(stream: DataFrame, table: DataFrame, key: str | list[str], salt_cols: list[str],
                   weight: str = "freq", how: str = "left", heavy: int = 256,
-                  buckets: int | None = None, hot: list[int] | None = None) -> DataFrame:
+                  buckets: int | None = None, hot: list[int] | None = None, unique: bool = False) -> DataFrame:
     """``stream ⋈ table`` on ``key`` (left or inner) with hot keys salted.
 
     ``salt_cols`` identify a stream row (e.g. doc_id, pos); ``weight`` is the
-    key frequency column of ``table`` (dropped from the result).  Both sides
+    key frequency column of ``table`` (dropped from the result); ``unique`` says
+    that the table has one row a key.  Both sides
     decide "hot" with the same predicate on the key hash (a hash collision only
     salts one more key, which is still correct), so the dictionary appears
     once in the plan."""
@@ -44,7 +47,7 @@ def salted_lookup(stream: DataFrame, table: DataFrame, key: str | list[str], sal
     s = buckets or 2 * shuffle_partitions(spark)
     keys = [key] if isinstance(key, str) else list(key)
     if hot is None:
-        hot = hot_key_hashes(table, keys, weight, heavy)
+        hot = hot_key_hashes(table, keys, weight, heavy, unique)
     if not hot or s <= 1:
         return stream.join(table.drop(weight), keys, how)
     is_hot = F.xxhash64(*keys).isin(hot)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tessera.functions.tokenizers import CHARACTERS, SPACED, WORDS
 from tessera.operators import classify as CL
 from tessera.operators import tokens as TK
-from tessera.session import materialize
+from tessera.session import store
 
 TOKENIZERS = {t.name: t for t in (WORDS, SPACED, CHARACTERS)}
 _KEY = "_text_key"
@@ -55,12 +55,12 @@ class TextClassifier(Estimator, _TextParams, MLWritable, MLReadable):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> TextClassifierModel:
-        rows = materialize(dataset.where(F.col(self.getLabelCol()).isNotNull()).select(
+        rows = store(dataset.where(F.col(self.getLabelCol()).isNotNull()).select(
             self._tokenizer().tokens(self._texts(dataset)).alias("tokens"),
             F.col(self.getLabelCol()).cast("bigint").alias("class")))
         tokens = rows.select("class", F.explode_outer("tokens").alias("token")).where("token is not null")
         fitted = CL.train_naive_bayes(tokens, rows.select("class"), "class", self.getOrDefault("smoothing"))
-        fitted.pairs = materialize(fitted.pairs)
+        fitted.pairs = store(fitted.pairs)
         return self._copyValues(TextClassifierModel(fitted))
 
     def write(self) -> MLWriter:
@@ -81,9 +81,9 @@ class TextClassifierModel(Model, _TextParams, MLWritable, MLReadable):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         keyed = dataset.withColumn(_KEY, F.sha2(self._texts(dataset), 256))
-        texts = materialize(dataset.select(self._texts(dataset).alias("text")).groupBy(
+        texts = store(dataset.select(self._texts(dataset).alias("text")).groupBy(
             F.sha2("text", 256).alias(_KEY)).agg(F.min("text").alias("text")))
-        tokens = TK.word_tokens(texts, _KEY, tokenizer=self._tokenizer())
+        tokens = TK.token_blocks(texts, _KEY, counted=True, tokenizer=self._tokenizer())
         out = CL.classify_naive_bayes(self.fitted, tokens, texts, _KEY).select(
             _KEY, F.col("predicted").cast("double").alias(self.getPredictionCol()))
         return keyed.join(out, _KEY, "left").drop(_KEY)

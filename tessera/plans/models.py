@@ -16,7 +16,7 @@ from tessera.operators import training as TR
 from tessera.operators.sampling import char_split, three_way_split
 from tessera.plans import common as C
 from tessera.plans.registry import query
-from tessera.session import load_table, materialize, scratch_path
+from tessera.session import load_table, materialize, scratch_path, store
 
 GEN_STEPS, GEN_TOP_K, GEN_TEMPERATURE = 5, 25, 1.4
 
@@ -46,7 +46,7 @@ def nb_train(spark, d):
 def nb_classify(spark, d):
     model = nb_model(spark, d)
     docs = C.docs(spark, d)
-    return CL.classify_naive_bayes(model, TK.word_tokens(docs), docs)
+    return CL.classify_naive_bayes(model, TK.token_blocks(docs, counted=True), docs)
 
 
 # ---------------------------------------------------------------- logistic head (rows-only)
@@ -71,7 +71,7 @@ def model_roundtrip(spark, d):
     path = scratch_path(spark, "naive-bayes")
     nb_model(spark, d).save(path)
     docs = C.docs(spark, d)
-    return CL.classify_naive_bayes(CL.NaiveBayes.load(spark, path), TK.word_tokens(docs), docs)
+    return CL.classify_naive_bayes(CL.NaiveBayes.load(spark, path), TK.token_blocks(docs, counted=True), docs)
 
 
 @query("nb_pipeline_spaced")
@@ -117,7 +117,7 @@ def lm_parts(spark, d):
     """Training / held-out token arrays from the 90/10 character split,
     tokenized in one pass and materialised (several jobs read them)."""
     sp = char_split(C.docs(spark, d), "text", 0.9)
-    both = materialize(sp.select("doc_id", T.word_tokens("train_text").alias("train"),
+    both = store(sp.select("doc_id", T.word_tokens("train_text").alias("train"),
                                  T.word_tokens("val_text").alias("held")))
     return (both.select("doc_id", F.col("train").alias("tokens")),
             both.select("doc_id", F.col("held").alias("tokens")))
@@ -126,7 +126,7 @@ def lm_parts(spark, d):
 def lm_counts(spark, d, parts=None):
     train, held = parts or lm_parts(spark, d)
     # read by several lookups and aggregates: materialise once
-    return materialize(NG.bigram_counts(NG.bigrams(train, "doc_id"))), train
+    return store(NG.bigram_counts(NG.bigrams(train, "doc_id"))), train
 
 
 @query("ngram_counts")
@@ -178,7 +178,7 @@ def lm_loss_order5(spark, d):
 
 def _generation_inputs(spark, d):
     counts, train = lm_counts(spark, d)
-    fallback = train.select(F.explode("tokens").alias("t")).agg(F.min("t")).first()[0]  # id 0
+    fallback = train.agg(F.min(F.array_min("tokens"))).first()[0]  # id 0
     prompts = TK.tokenize(C.benchmark(spark, d), "item_id")
     return counts, prompts, fallback
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tessera.operators.classify import NaiveBayes, class_name, classify_naive_bayes, with_tokens
 from tessera.operators.conversations import exit_predicate
-from tessera.operators.tokens import word_tokens
+from tessera.operators.tokens import token_blocks
 from tessera.session import materialize
 
 CONVERSATION_SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
@@ -47,7 +47,7 @@ def score_batches(stream: DataFrame, model: NaiveBayes, sink: str, checkpoint: s
     so every message is scored exactly once."""
     def one(batch: DataFrame, number: int) -> None:
         rows = materialize(batch.withColumn("_id", F.monotonically_increasing_id()))  # fixed before it is read twice
-        scored = classify_naive_bayes(model, word_tokens(rows, "_id"), rows, "_id")
+        scored = classify_naive_bayes(model, token_blocks(rows, "_id", counted=True), rows, "_id")
         out = rows.join(scored, "_id").select("conv_id", "turn", "text", "predicted", class_name().alias("verdict"))
         out.write.mode("overwrite").parquet(f"{sink}/batch-{number}")
 
