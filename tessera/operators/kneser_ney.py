@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays as A
 from tessera.operators.lookup import salted_lookup
-from tessera.session import materialize
+from tessera.session import store
 
 DISCOUNT = 0.75
 
@@ -55,25 +55,25 @@ def fit(token_arrays: DataFrame, id_col: str, order: int, tokens_col: str = "tok
         discount: float = DISCOUNT) -> tuple[DataFrame, int]:
     """(model, vocabulary size): the model has ``level``, ``ctx``, ``w``, ``value``, ``freq``."""
     vocab_size = token_arrays.select(F.explode(tokens_col).alias("t")).distinct().count() + 1  # + <|unk|>
-    counts = {order: materialize(grams(token_arrays, id_col, order, tokens_col).groupBy("ctx", "w").agg(
+    counts = {order: store(grams(token_arrays, id_col, order, tokens_col).groupBy("ctx", "w").agg(
         F.count(F.lit(1)).alias("n")))}
     for k in range(order - 1, 0, -1):
-        counts[k] = materialize(counts[k + 1].groupBy(shorter(F.col("ctx"), k).alias("ctx"), "w").agg(
+        counts[k] = store(counts[k + 1].groupBy(shorter(F.col("ctx"), k).alias("ctx"), "w").agg(
             F.count(F.lit(1)).alias("n")))
     levels, below = [], None
     for k in range(1, order + 1):
         per = counts[k].groupBy("ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-        per = materialize(per.select("ctx", "total", (F.lit(discount) * F.col("kinds") / F.col("total")).alias("b")))
-        seen = salted_lookup(counts[k], per.withColumn("freq", F.col("total")), "ctx", ["w"], how="inner")
+        per = store(per.select("ctx", "total", (F.lit(discount) * F.col("kinds") / F.col("total")).alias("b")))
+        seen = salted_lookup(counts[k], per.withColumn("freq", F.col("total")), "ctx", ["w"], how="inner", unique=True)
         if below is None:
             lower = F.lit(1.0 / vocab_size)
         else:
             seen = seen.withColumn("_lc", shorter(F.col("ctx"), k - 1))
             keyed = below.select(F.col("ctx").alias("_lc"), "w", F.col("value").alias("_p"), "freq")
-            seen = salted_lookup(seen, keyed, ["_lc", "w"], ["ctx"], how="inner")
+            seen = salted_lookup(seen, keyed, ["_lc", "w"], ["ctx"], how="inner", unique=True)
             lower = F.col("_p")
         p = F.greatest(F.col("n") - F.lit(discount), F.lit(0.0)) / F.col("total") + F.col("b") * lower
-        below = materialize(seen.select("ctx", "w", p.alias("value"), F.col("n").alias("freq")))
+        below = store(seen.select("ctx", "w", p.alias("value"), F.col("n").alias("freq")))
         levels += [below.select(F.lit(k).alias("level"), "ctx", "w", "value", "freq"),
                    per.select(F.lit(k).alias("level"), "ctx", F.lit("").alias("w"), F.col("b").alias("value"),
                               F.col("total").alias("freq"))]
@@ -88,7 +88,7 @@ def nll_per_target(targets: DataFrame, model: DataFrame, vocab_size: int, id_col
     keys = F.array(*[F.struct(F.lit(order - i).alias("level"), c.alias("ctx"), w.alias("w"))
                      for i, c in enumerate(contexts) for w in (F.col("w"), F.lit(""))])
     asked = targets.select(id_col, "pos", F.explode(keys).alias("_k")).select(id_col, "pos", "_k.*")
-    found = salted_lookup(asked, model, ["level", "ctx", "w"], [id_col, "pos"])
+    found = salted_lookup(asked, model, ["level", "ctx", "w"], [id_col, "pos"], unique=True)
 
     def at(level: int, token: bool) -> Column:
         return F.max(F.when((F.col("level") == level) & ((F.col("w") != "") if token else (F.col("w") == "")), F.col("value")))

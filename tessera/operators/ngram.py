@@ -20,7 +20,7 @@ from tessera.functions import arrays as A
 from tessera.functions import text as T
 from tessera.operators.lookup import hot_key_hashes, salted_lookup
 from tessera.operators.ranking import rank_within_groups
-from tessera.session import materialize
+from tessera.session import materialize, store
 
 
 def bigrams(token_arrays: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
@@ -50,9 +50,9 @@ def nll_per_target(eval_pairs: DataFrame, counts: DataFrame, vocab_size: int, id
     """-ln P(next | context) for every held-out pair.  Unknown tokens behave as
     <|unk|>: a pair or context never seen in training has count 0."""
     pair_tab = counts.select("context", "next", "n", F.col("n").alias("freq"))
-    ctx_tab = context_totals(counts).withColumn("freq", F.col("n_ctx"))
-    x = salted_lookup(eval_pairs, pair_tab, ["context", "next"], [id_col, "pos"], how="left")
-    x = salted_lookup(x, ctx_tab, "context", [id_col, "pos"], how="left")
+    ctx_tab = store(context_totals(counts)).withColumn("freq", F.col("n_ctx"))
+    x = salted_lookup(eval_pairs, pair_tab, ["context", "next"], [id_col, "pos"], how="left", unique=True)
+    x = salted_lookup(x, ctx_tab, "context", [id_col, "pos"], how="left", unique=True)
     p = (F.coalesce(F.col("n"), F.lit(0)) + F.lit(k)) / (F.coalesce(F.col("n_ctx"), F.lit(0)) + F.lit(k * vocab_size))
     return x.select(id_col, "pos", (-F.log(p)).alias("nll"))
 
@@ -86,7 +86,7 @@ def generate_greedy(prompts: DataFrame, counts: DataFrame, fallback: str, steps:
     prompt token, up to (without) ``stop_token``.  Each step is one salted
     lookup of (id, last token)."""
     table = materialize(greedy_table(counts))
-    hot = hot_key_hashes(table, ["context"], "freq", 256)
+    hot = hot_key_hashes(table, ["context"], "freq", 256, unique=True)
     state = prompts.select(id_col, F.try_element_at(F.col(tokens_col), F.lit(-1)).alias("context"),
                            F.array().cast("array<string>").alias("new_tokens"))
     for _ in range(steps):
@@ -163,6 +163,19 @@ def draw(state: DataFrame, levels: DataFrame, ranked: DataFrame, fallback: str,
                       F.coalesce(F.col("next"), F.lit(fallback)).alias("drawn"))
 
 
+#: Hashes of contexts that reach the driver to thin out a table before a join.
+FEW_CONTEXTS = 4096
+
+
+def _of_contexts(counts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """The rows of ``counts`` whose context is among the (distinct) ``contexts``.
+    Where these are few, rows of other hashes do not enter the join's shuffle."""
+    hashes = [r["h"] for r in contexts.select(F.xxhash64("context").alias("h")).limit(FEW_CONTEXTS + 1).collect()]
+    if len(hashes) <= FEW_CONTEXTS:
+        counts = counts.where(F.xxhash64("context").isin(hashes) if hashes else F.lit(False))
+    return counts.join(contexts, "context", "left_semi")
+
+
 def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps: int, top_k: int,
                      temperature: float, seed: int, id_col: str = "item_id",
                      tokens_col: str = "tokens", stop_token: str | None = None) -> DataFrame:
@@ -173,14 +186,16 @@ def generate_sampled(prompts: DataFrame, counts: DataFrame, fallback: str, steps
         raise ValueError("temperature must not be negative")
     if temperature == 0:
         return generate_greedy(prompts, counts, fallback, steps, id_col, tokens_col, stop_token)
-    # reused by every step: materialise once in the reliable checkpoint folder
-    levels = materialize(sampling_levels(counts, top_k, temperature))
-    ranked = materialize(ranked_continuations(counts))
-    hot_levels = hot_key_hashes(levels, ["context"], "freq", 256)
-    hot_ranked = hot_key_hashes(ranked, ["context", "n", "j"], "freq", 256)
     state = prompts.select(id_col, F.try_element_at(F.col(tokens_col), F.lit(-1)).alias("context"),
                            F.array().cast("array<string>").alias("new_tokens"), F.lit(False).alias("done"))
     for step in range(steps):
+        state = materialize(state)
+        # levels and ranks are per context: made for those that this step draws from
+        own = materialize(_of_contexts(counts, state.where(~F.col("done")).select("context").distinct()))
+        levels = materialize(sampling_levels(own, top_k, temperature))
+        ranked = materialize(ranked_continuations(own))
+        hot_levels = hot_key_hashes(levels, ["context"], "freq", 256)
+        hot_ranked = hot_key_hashes(ranked, ["context", "n", "j"], "freq", 256, unique=True)
         d = draw(state, levels, ranked, fallback, seed, step, id_col, hot_levels, hot_ranked)
         stop = F.col("done") | (F.lit(stop_token).isNotNull() & (F.col("drawn") == F.lit(stop_token)))
         state = d.select(id_col,
