@@ -28,7 +28,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import batches_of, id_text, released, spread, stored
@@ -143,6 +143,17 @@ def keys(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "word string, n long, size int, last int, key string, pivot boolean")
 
 
+def _ends_allow_one_edit() -> Column:
+    """Words one edit apart have the same last letter, or the edit is there and
+    all before it is the same; and so at the front.  Most of the words that
+    share a pivot fail this before their edit distance is worked out."""
+    rest = F.least(F.length("word"), F.length("near")) - 1
+    return (((F.substring("word", -1, 1) == F.substring("near", -1, 1))
+             | (F.substring("word", F.lit(1), rest) == F.substring("near", F.lit(1), rest)))
+            & ((F.substring("word", 1, 1) == F.substring("near", 1, 1))
+               | (F.right("word", rest) == F.right("near", rest))))
+
+
 def near_pairs(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
     """(word, n, near, near_n): every ordered pair of words one edit apart."""
     index = stored(keys(words, ranks).withColumn("h", F.xxhash64("key")).drop("key"), "prefixes")
@@ -151,7 +162,7 @@ def near_pairs(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame
     lists = index.select(F.col("word").alias("near"), F.col("n").alias("near_n"), "last", "h", "size")
     met = probes.join(lists, ["h", "size"]).where(
         (F.col("ends") <= F.col("last")) & (F.col("word") != F.col("near"))
-        & (F.levenshtein("word", "near", EDITS) == EDITS))
+        & _ends_allow_one_edit() & (F.levenshtein("word", "near", EDITS) == EDITS))
     one = met.select(F.when(F.col("word") < F.col("near"), F.struct("word", "n", "near", "near_n")).otherwise(
         F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"),
                  F.col("n").alias("near_n"))).alias("p")).select("p.*").distinct()
