@@ -53,3 +53,41 @@ def test_pooled_embeddings_by_chunks_and_slices(spark, monkeypatch):
         n = sum(c for x, _, c in rows if x == d)
         total = sum(c * (t % 8) for x, t, c in rows if x == d) + sum(p % 8 for p in range(n))
         assert vec == pytest.approx([total / n, 2.0])
+
+
+def test_classes_are_summed_inside_a_block(spark):
+    docs, _ = _tables(spark)
+    blocks = BL.pack(docs.where("doc_id is not null").coalesce(1), counted=True)
+    seen = spark.createDataFrame([("b", [(1, 0.5), (0, 2.0)]), ("a", [(1, 0.25)])],
+                                 "token STRING, seen ARRAY<STRUCT<class: BIGINT, gain: DOUBLE>>")
+    rows = [(r.doc_id, r["class"], r._x) for r in BL.class_sums(blocks, seen, F.col("seen")).collect()]
+    assert sorted(rows, key=repr) == sorted([
+        (1, None, 3.0), (1, 0, 4.0), (1, 1, 1.25),  # b twice, a once; a document of known tokens only
+        (4, None, 1.0), (4, 1, 0.25), (4, None, 2.0), (4, 0, 2.0), (4, 1, 0.75)], key=repr)
+
+
+def test_naive_bayes_by_blocks_equals_token_rows(spark):
+    from tessera.operators import classify as CL
+    rows = [(i, f"w{i % 5} w{i % 3} the" + " the" * (i % 4), i % 3) for i in range(60)] + [(90, "zzz", 0), (91, "", 1)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, class BIGINT")
+    model = CL.train_naive_bayes(TK.word_tokens(docs).join(docs.select("doc_id", "class"), "doc_id"), docs, "class")
+    found = [dict(CL.classify_naive_bayes(model, tokens, docs).collect())
+             for tokens in (TK.word_tokens(docs), TK.token_blocks(docs, counted=True))]
+    assert found[0] == found[1] and len(found[0]) == 62
+
+
+def test_sampling_ranks_only_the_contexts_it_draws_from(spark, monkeypatch):
+    from tessera.operators import ngram as NG
+    counts = spark.createDataFrame([(f"c{i}", f"c{i + 1}", 2) for i in range(50)], "context STRING, next STRING, n BIGINT")
+    prompts = spark.createDataFrame([(0, ["c3"]), (1, ["c7"]), (2, []), (3, ["none"])], "item_id BIGINT, tokens ARRAY<STRING>")
+    seen, plain = [], NG.ranked_continuations
+    monkeypatch.setattr(NG, "ranked_continuations", lambda c: (seen.append(c.count()), plain(c))[1])
+    got = dict(NG.generate_sampled(prompts, counts, "c0", 2, 25, 1.4, 1).collect())
+    assert got == {0: ["c4", "c5"], 1: ["c8", "c9"], 2: ["c0", "c1"], 3: ["c0", "c1"]}
+    assert seen == [2, 3]
+
+
+def test_hot_keys_of_a_unique_table_need_no_shuffle(spark):
+    from tessera.operators.lookup import hot_key_hashes
+    table = spark.createDataFrame([(f"k{i}", i % 7) for i in range(40)], "key STRING, freq BIGINT")
+    assert hot_key_hashes(table, ["key"], "freq", 9, unique=True) == hot_key_hashes(table, ["key"], "freq", 9)
