@@ -5,14 +5,15 @@
 2. ``groupBy(piece)``: each distinct piece is encoded once, so the Python side
    sees distinct pieces only (Arrow batches, the merge loop runs in tiktoken's
    native code).
-3. Join the piece ids back (salted on hot pieces) and gather per document in
-   (segment, piece, sub-token) order.
+3. Documents stand in blocks as places in the block's dictionary of pieces: the
+   piece ids return to a block as one array, not to every occurrence of a piece.
 
 The rank table is user-supplied; ``build_ranks`` derives one from a corpus by
 a rule: all 256 single bytes, then every byte prefix (length >= 2) of the most
 frequent pieces, ordered by (length, bytes), so each chosen piece is reachable
-by left-to-right merges.  Decoding joins ids to their bytes (a table of proven
-size: the rank table) and concatenates hex, then ``unhex`` + UTF-8 decode.
+by left-to-right merges.  Decoding looks ids up in the broadcast rank table (a
+table of proven size) and concatenates their bytes, then UTF-8 decode.  Rows that
+share an id are one text in both directions and are gathered by a shuffle.
 """
 
 from __future__ import annotations
@@ -20,11 +21,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.operators import blocks as BL
 from tessera.operators.lookup import salted_lookup
+from tessera.session import store
 
 # Fixed value: the public GPT-2 pre-token pattern (Unicode classes).
 PRETOKEN_PATTERN = (r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -46,9 +51,23 @@ def pretokens(text: F.Column) -> F.Column:
     return F.regexp_extract_all(text, F.lit(PRETOKEN_PATTERN), 0)
 
 
-def piece_counts(docs: DataFrame, text_col: str = "text", special: str = "allow") -> DataFrame:
-    """(piece, freq) over a corpus: partial/final aggregation of the pre-token
-    pieces.  Building a rank table and counting ids both start from it."""
+def piece_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 special: str = "allow") -> BL.Blocks:
+    """The pieces of ``docs`` in text order (``special`` as in ``piece_rows``),
+    split once and stored in blocks."""
+    def pieces(seg: F.Column, number: F.Column) -> F.Column:
+        mark = F.when(number > 0, F.array(F.lit(T.END_OF_TEXT))).otherwise(F.array().cast("array<string>"))
+        return F.concat(mark, pretokens(seg))
+
+    parts = F.flatten(F.transform(_segments(text_col, special), pieces))
+    return BL.pack(docs.select(id_col, parts.alias("tokens")), id_col)
+
+
+def piece_counts(docs: DataFrame | BL.Blocks, text_col: str = "text", special: str = "allow") -> DataFrame:
+    """(piece, freq) over a corpus (or its ``piece_blocks``): partial/final aggregation of
+    the pre-token pieces.  Building a rank table and counting ids both start from it."""
+    if isinstance(docs, BL.Blocks):
+        return docs.words().groupBy(F.col("token").alias("piece")).agg(F.sum("freq").alias("freq"))
     rows = piece_rows(docs.select(F.lit(0).alias("_rid"), text_col), "_rid", text_col, special)
     return rows.groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
 
@@ -102,21 +121,23 @@ def _piece_encoder(model: BpeModel):
     return encode_pieces
 
 
-def piece_rows(docs: DataFrame, id_col: str, text_col: str, special: str = "allow") -> DataFrame:
-    """(id, seg, pos, piece).  special = "allow": the end-of-text string is one
-    piece of its own (text split on it first); "text": it is ordinary text;
-    "error": a text containing it fails the job."""
+def _segments(text_col: str, special: str) -> F.Column:
     text = F.col(text_col)
     if special == "error":
         text = F.when(F.instr(text, T.END_OF_TEXT) > 0,
                       F.raise_error(F.lit("text holds a special token; allow it or treat it as text"))
                       .cast("string")).otherwise(text)
     if special == "allow":
-        segs = F.split(text, F.lit(r"\Q" + T.END_OF_TEXT + r"\E"), -1)
-    else:
-        segs = F.array(text)
+        return F.split(text, F.lit(r"\Q" + T.END_OF_TEXT + r"\E"), -1)
+    return F.array(text)
+
+
+def piece_rows(docs: DataFrame, id_col: str, text_col: str, special: str = "allow") -> DataFrame:
+    """(id, seg, pos, piece).  special = "allow": the end-of-text string is one
+    piece of its own (text split on it first); "text": it is ordinary text;
+    "error": a text containing it fails the job."""
     # outer generators + filters on their outputs (see tokens.word_tokens)
-    seg_rows = (docs.select(id_col, F.posexplode_outer(segs).alias("seg", "s"))
+    seg_rows = (docs.select(id_col, F.posexplode_outer(_segments(text_col, special)).alias("seg", "s"))
                 .where(F.col("seg").isNotNull()))
     body = (seg_rows.select(id_col, "seg", F.posexplode_outer(pretokens(F.col("s"))).alias("pos", "piece"))
             .where(F.col("pos").isNotNull()))
@@ -134,18 +155,35 @@ def encode_distinct(pieces: DataFrame, model: BpeModel, counted: DataFrame | Non
 
 
 def encode(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: str = "text",
-           special: str = "allow", counts: DataFrame | None = None) -> DataFrame:
-    """(id, ids ARRAY<INT>) in text order.  ``counts`` = precomputed
-    ``piece_counts`` of the same documents and mode (saves a regex pass)."""
-    rows = piece_rows(docs, id_col, text_col, special)
-    coded = encode_distinct(rows, model, counts)
-    looked = salted_lookup(rows, coded, "piece", [id_col, "seg", "pos"], how="left")
+           special: str = "allow", counts: DataFrame | None = None, blocks: BL.Blocks | None = None) -> DataFrame:
+    """(id, ids ARRAY<INT>) in text order, a row per row of ``docs``.  ``counts`` = precomputed
+    ``piece_counts``, ``blocks`` = precomputed ``piece_blocks`` of the same documents and mode
+    (each saves a regex pass).  Rows that share an id all have their ids by place
+    (segment, piece); a null id has none."""
+    blocks = blocks or piece_blocks(docs, id_col, text_col, special)
+    coded = encode_distinct(None, model, counts if counts is not None else piece_counts(blocks))
+    table = coded.select(F.col("piece").alias("token"), F.col("ids").cast("array<bigint>").alias("ids"))
+    kind = blocks.table.schema["ids"].dataType.elementType.simpleString()
+    answers = BL.answered(blocks, table, F.col("ids")).select(
+        "ids", "slots", F.lit(None).cast("array<bigint>").alias("one"), F.col("codes").alias("many"))
+    empty = F.array().cast("array<int>")
+    alone = BL.encoded(answers, id_col, kind).select(id_col, F.when(F.col(id_col).isNull(), empty).otherwise(
+        F.col("ids").cast("array<int>")).alias("ids"))
+    again = _repeated(blocks.ids(), id_col)
+    if again.isEmpty():
+        return alone
+    docs = docs.join(again, id_col, "left_semi")
+    looked = salted_lookup(piece_rows(docs, id_col, text_col, special), coded, "piece", [id_col, "seg", "pos"], how="left")
     flat = looked.select(id_col, "seg", "pos", F.posexplode("ids").alias("sub", "token_id"))
     g = (flat.groupBy(id_col)
          .agg(F.sort_array(F.collect_list(F.struct("seg", "pos", "sub", "token_id"))).alias("_s"))
          .select(id_col, F.transform("_s", lambda x: x["token_id"]).alias("ids")))
-    return (docs.select(id_col).join(g, id_col, "left")
-            .withColumn("ids", F.coalesce(F.col("ids"), F.array().cast("array<int>"))))
+    shared = docs.select(id_col).join(g, id_col, "left").withColumn("ids", F.coalesce(F.col("ids"), empty))
+    return alone.join(again, id_col, "left_anti").unionByName(shared)
+
+
+def _repeated(ids: DataFrame, id_col: str) -> DataFrame:
+    return ids.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
 
 
 def token_counts(docs: DataFrame | None, model: BpeModel, text_col: str = "text",
@@ -159,15 +197,47 @@ def token_counts(docs: DataFrame | None, model: BpeModel, text_col: str = "text"
 
 
 def decode(encoded: DataFrame, model: BpeModel, id_col: str = "doc_id") -> DataFrame:
-    """(id, text): ids -> bytes via the (bounded, broadcast) rank table,
-    ordered hex concatenation, unhex, UTF-8 decode."""
+    """(id, text), a row per row of ``encoded``: ids -> bytes via the (bounded, broadcast)
+    rank table, ordered concatenation, UTF-8 decode.  Ids that the table lacks stand for
+    nothing; rows that share an id all have their text by place; a null id has the empty one."""
+    rows = store(encoded.select(id_col, F.col("ids").cast("array<int>").alias("ids")))
+    alone = _joined_bytes(rows, model, id_col).select(id_col, F.when(F.col(id_col).isNull(), "").otherwise(
+        F.decode(F.col("_b"), "UTF-8")).alias("text"))
+    again = _repeated(rows, id_col)
+    if again.isEmpty():
+        return alone
     special_hex = T.END_OF_TEXT.encode().hex().upper()
     table = model.table.unionByName(
         encoded.sparkSession.createDataFrame([(model.special_id, special_hex)], "token_id INT, hex STRING"))
-    flat = encoded.select(id_col, F.posexplode("ids").alias("pos", "token_id"))
+    rows = rows.join(again, id_col, "left_semi")
+    flat = rows.select(id_col, F.posexplode("ids").alias("pos", "token_id"))
     looked = flat.join(F.broadcast(table), "token_id", "left")
     g = (looked.groupBy(id_col)
          .agg(F.sort_array(F.collect_list(F.struct("pos", "hex"))).alias("_s"))
          .select(id_col, F.array_join(F.transform("_s", lambda x: x["hex"]), "").alias("_h")))
-    out = encoded.select(id_col).join(g, id_col, "left")
-    return out.select(id_col, F.coalesce(F.decode(F.unhex(F.col("_h")), "UTF-8"), F.lit("")).alias("text"))
+    shared = rows.select(id_col).join(g, id_col, "left").select(
+        id_col, F.coalesce(F.decode(F.unhex(F.col("_h")), "UTF-8"), F.lit("")).alias("text"))
+    return alone.join(again, id_col, "left_anti").unionByName(shared)
+
+
+def _joined_bytes(rows: DataFrame, model: BpeModel, id_col: str) -> DataFrame:
+    """(id, _b): the bytes of each row's ids, in order."""
+    bc, special_id = model.broadcast, model.special_id
+
+    def run(batches):
+        of = {**{i: b for b, i in bc.value}, special_id: T.END_OF_TEXT.encode()}
+        table = pa.array([of.get(i, b"") for i in range(max(of) + 1)], pa.binary())
+        for b in batches:
+            lists = b.column(1)
+            for lo in range(0, b.num_rows, 1024):  # a bounded number of texts at once
+                part = lists.slice(lo, 1024)
+                ids = part.flatten()
+                known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(table)))
+                found = pc.fill_null(table.take(pc.if_else(known, ids, None)), b"")
+                sizes = pc.fill_null(pc.list_value_length(part), 0)
+                offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())])
+                text = pc.binary_join(pa.ListArray.from_arrays(offsets, found), pa.scalar(b"", pa.binary()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, 1024), text], names=[id_col, "_b"])
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, _b binary")

@@ -21,6 +21,8 @@ def bpe_token_counts(spark, d):
 
 @query("bpe_decode")
 def bpe_decode(spark, d):
-    counts = materialize(B.piece_counts(C.docs(spark, d)))
+    # one pass of the pre-token split feeds the counts, the rank table and the encoding
+    blocks = B.piece_blocks(C.docs(spark, d))
+    counts = materialize(B.piece_counts(blocks))
     model = B.build_ranks(spark, counts=counts)
-    return B.decode(B.encode(C.docs(spark, d), model, counts=counts), model)
+    return B.decode(B.encode(C.docs(spark, d), model, counts=counts, blocks=blocks), model)

@@ -152,3 +152,26 @@ def test_bpe_counts_equal_brute_force(spark):
     want = Counter(i for t in texts for i in lib.encode(t, allowed_special={"<|endoftext|>"}))
     got = {r.token_id: r.n for r in B.token_counts(df, model).collect()}
     assert got == dict(want)
+
+
+def test_bpe_by_blocks_keeps_every_text(spark):
+    texts = ["a b a b", "", None, f"x{B.T.END_OF_TEXT}{B.T.END_OF_TEXT} y z", "café \U0001f600\n\tend ", "a b"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "no id")], "doc_id long, text string").repartition(3)
+    blocks = B.piece_blocks(docs)
+    assert ({tuple(r) for r in B.piece_counts(blocks).collect()}
+            == {tuple(r) for r in B.piece_counts(docs).collect()})
+    model = B.build_ranks(spark, docs, pieces=8)
+    enc = B.encode(docs, model, blocks=blocks)
+    back = B.decode(enc, model)
+    assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.text for r in back.collect()} == {**{i: t or "" for i, t in enumerate(texts)}, None: ""}
+
+
+def test_bpe_rows_that_share_an_id_and_unknown_ids(spark):
+    docs = spark.createDataFrame([(1, "b b"), (1, "b b"), (2, "a")], "doc_id long, text string")
+    model = B.build_ranks(spark, docs, pieces=0)
+    enc = sorted((r.doc_id, r.ids) for r in B.encode(docs, model).collect())
+    assert enc == [(1, [98, 98, 32, 32, 98, 98])] * 2 + [(2, [97])]
+    ids = spark.createDataFrame([(1, [97, None, 10_000, -1, 98]), (2, None), (3, [98]), (3, [97, 97])],
+                                "doc_id long, ids array<int>")
+    assert sorted(tuple(r) for r in B.decode(ids, model).collect()) == [(1, "ab"), (2, ""), (3, "aba"), (3, "aba")]
