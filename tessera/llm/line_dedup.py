@@ -61,17 +61,22 @@ def line_keys(lines: DataFrame, own: bool) -> DataFrame:
         here = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(p, ("edits", "gap", "i", "shift"), strict=True)])
                          for p in _places(least, own)])
         places = F.when(length >= least, here) if places is None else places.when(length >= least, here)
-    rows = lines.where(length >= THRESHOLDS[-1][0]).select(
-        "h1", "line", "length", F.explode(places).alias("p")).select(
-        "h1", "line", "length", "p.*", (length - F.col("p.gap")).alias("other"))
+    # a line of one byte a character is cut by bytes: no walk through its characters for every place
+    plain_line = F.when(F.octet_length("line") == length, F.col("line").cast("binary"))
+    rows = lines.where(length >= THRESHOLDS[-1][0]).select("h1", "line", "length", plain_line.alias("bytes")).select(
+        "h1", "line", "bytes", "length", F.explode(places).alias("p")).select(
+        "h1", "line", "bytes", "length", "p.*", (length - F.col("p.gap")).alias("other"))
     k = F.col("edits") + 1
     base = F.floor(F.col("other") / k).cast("int")
     plain = k - (F.col("other") - base * k)  # segments of the smaller size; the others are a character longer
     at = base * (F.col("i") - 1) + F.greatest(F.lit(0), F.col("i") - 1 - plain) + 1 + F.col("shift")
-    rows = rows.select("h1", "line", "length", "other", "edits", "i", at.alias("at"),
+    rows = rows.select("h1", "line", "bytes", "length", "other", "edits", "i", at.alias("at"),
                        (base + F.when(F.col("i") > plain, 1).otherwise(0)).alias("size"))
+    def key(cut: str) -> Column:  # the same for equal characters, whichever way they are cut
+        return F.xxhash64("other", "edits", "i", F.substring(cut, F.col("at"), F.col("size")))
+
     return rows.where((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("length"))).select(
-        "h1", F.xxhash64("other", "edits", "i", F.substring("line", F.col("at"), F.col("size"))).alias("key"))
+        "h1", F.when(F.col("bytes").isNotNull(), key("bytes")).otherwise(key("line")).alias("key"))
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:

@@ -342,3 +342,18 @@ def test_banded_bit_parallel_distance(spark):
         near = df.where(F.length("a") - F.length("b") <= e).select(
             LD.within_edits(F.split("a", ""), F.split("b", ""), e).alias("got"), (F.col("d") <= e).alias("want"))
         assert near.where("got != want").count() == 0 and near.where("want").count() > 50
+
+
+def test_line_keys_cut_by_bytes_or_by_characters(spark):
+    """An accent makes a line longer in bytes: it is cut by characters, the others by bytes, and
+    what both hold is the same key."""
+    plain = "the quick brown fox jumps over the lazy dog again"
+    lines = spark.createDataFrame([(1, plain), (2, plain[:-1] + "é")], "h1 long, line string").withColumn(
+        "length", F.char_length("line"))
+    own = LD.line_keys(lines, True)
+    assert "as binary" in own._jdf.queryExecution().optimizedPlan().toString()
+    keys = {h: {r.key for r in own.where(F.col("h1") == h).collect()} for h in (1, 2)}
+    assert len(keys[1]) == len(keys[2]) == 3 and len(keys[1] & keys[2]) == 2
+    segments = [(49, 2, 1, plain[:16]), (49, 2, 2, plain[16:32]), (49, 2, 3, plain[32:])]
+    expected = spark.createDataFrame(segments, "o int, e int, i int, s string").select(F.xxhash64("o", "e", "i", "s").alias("k"))
+    assert keys[1] == {r.k for r in expected.collect()}
