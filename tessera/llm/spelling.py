@@ -13,7 +13,9 @@ Position limits: the one edit is wholly behind a surviving pivot, which then
 has the same place and the same letters before it, or wholly before it, and
 then place and letters count from the end.  A pivot is therefore looked up
 together with what is before it, and with what is behind it, for words of at
-most one code point more or less.  What is found is verified by the edit distance.
+most one code point more or less.  What is found is verified by the edit distance,
+after a look at the parities of its letters' numbers (one word of bits): one edit
+changes two of them at most.
 
 The result is the same whatever the order of rows and partitions.  Null texts
 have no words; a null doc_id counts as the empty text; repeated rows count
@@ -120,13 +122,22 @@ def pivots_of(prefix: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return list(best[1])
 
 
+def parities(word: str) -> int:
+    """Bit k: whether the word holds the letters of slot k an odd number of times."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << ord(c) % 63  # a-z have a slot each; the sign bit is not used
+    return bits
+
+
 _KEYS = pa.schema([("word", pa.string()), ("n", pa.int64()), ("size", pa.int32()), ("last", pa.int32()),
-                   ("key", pa.string()), ("pivot", pa.bool_())])
+                   ("odd", pa.int64()), ("key", pa.string()), ("pivot", pa.bool_())])
 
 
 def keys(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
-    """(word, n, size, last, key, pivot): a word's prefix bigrams, each with the
-    letters before it and with the letters behind it; ``pivot`` marks pivots."""
+    """(word, n, size, last, odd, key, pivot): a word's prefix bigrams, each with the
+    letters before it and with the letters behind it; ``odd``: the word's
+    parities; ``pivot`` marks pivots."""
     @released
     def run(batches):
         def rows():
@@ -134,23 +145,26 @@ def keys(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
                 for word, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     prefix = prefix_of(word, ranks)
                     pivots = pivots_of(prefix)
+                    odd = parities(word)
                     for g in prefix:
                         p = g[1]
                         for key in ("<" + word[:p + 2], ">" + word[p:]):
-                            yield word, n, len(word), prefix[-1][0], key, g in pivots
+                            yield word, n, len(word), prefix[-1][0], odd, key, g in pivots
         return batches_of(rows(), _KEYS)
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, size int, last int, key string, pivot boolean")
+    return words.select("word", "n").mapInArrow(
+        run, "word string, n long, size int, last int, odd long, key string, pivot boolean")
 
 
 def near_pairs(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
     """(word, n, near, near_n): every ordered pair of words one edit apart."""
     index = stored(keys(words, ranks).withColumn("h", F.xxhash64("key")).drop("key"), "prefixes")
-    probes = index.where("pivot").select("word", "n", "h", F.col("last").alias("ends"),
+    probes = index.where("pivot").select("word", "n", "h", F.col("last").alias("ends"), F.col("odd").alias("odds"),
                                          F.explode(F.array(*[F.col("size") + d for d in (-1, 0, 1)])).alias("size"))
-    lists = index.select(F.col("word").alias("near"), F.col("n").alias("near_n"), "last", "h", "size")
+    lists = index.select(F.col("word").alias("near"), F.col("n").alias("near_n"), "last", "odd", "h", "size")
     met = probes.join(lists, ["h", "size"]).where(
-        (F.col("ends") <= F.col("last")) & (F.col("word") != F.col("near"))
+        (F.bit_count(F.col("odds").bitwiseXOR(F.col("odd"))) <= 2 * EDITS)
+        & (F.col("ends") <= F.col("last")) & (F.col("word") != F.col("near"))
         & (F.levenshtein("word", "near", EDITS) == EDITS))
     one = met.select(F.when(F.col("word") < F.col("near"), F.struct("word", "n", "near", "near_n")).otherwise(
         F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"),

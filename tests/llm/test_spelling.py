@@ -115,3 +115,23 @@ def test_roots_follow_long_ways(spark):
     rows = [(f"w{i:02d}", f"w{i + 1:02d}") for i in range(62)] + [("x", "w61")]
     got = {r.word: r.root for r in SV.roots(spark.createDataFrame(rows, "word string, form string")).collect()}
     assert got == {w: "w62" for w, _ in rows}
+
+
+def test_one_edit_changes_two_parities_at_most():
+    r = random.Random(3)
+    letters = "abcxyz" + "Àéÿß"
+    for _ in range(2000):
+        a = "".join(r.choices(letters, k=r.randrange(1, 9)))
+        i = r.randrange(len(a) + 1)
+        for b in (a[:i] + r.choice(letters) + a[i:], a[:i] + a[i + 1:], a[:i] + r.choice(letters) + a[i + 1:]):
+            assert (SV.parities(a) ^ SV.parities(b)).bit_count() <= 2 * SV.EDITS
+    assert SV.parities("ÿ" * 3) < 1 << 63
+
+
+def test_letters_are_looked_at_before_the_edit_distance(spark):
+    words = spark.createDataFrame([("hello", 9), ("hallo", 4), ("helloé", 3), ("helmet", 5)], "word string, n long")
+    pairs = SV.near_pairs(words, SV.bigram_ranks(words))
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("bit_count") < plan.index("levenshtein")
+    got = {(r.word, r.near) for r in pairs.collect()}
+    assert got == {("hello", "hallo"), ("hallo", "hello"), ("hello", "helloé"), ("helloé", "hello")}
