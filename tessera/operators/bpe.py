@@ -12,8 +12,8 @@ The rank table is user-supplied; ``build_ranks`` derives one from a corpus by
 a rule: all 256 single bytes, then every byte prefix (length >= 2) of the most
 frequent pieces, ordered by (length, bytes), so each chosen piece is reachable
 by left-to-right merges.  Decoding looks ids up in the broadcast rank table (a
-table of proven size) and concatenates their bytes, then UTF-8 decode.  Rows that
-share an id are one text in both directions and are gathered by a shuffle.
+table of proven size) and concatenates their bytes, then UTF-8 decode.  Every row
+is a text of its own, also where ids repeat or are null.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import blocks as BL
-from tessera.operators.lookup import salted_lookup
-from tessera.session import store
 
 # Fixed value: the public GPT-2 pre-token pattern (Unicode classes).
 PRETOKEN_PATTERN = (r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -158,32 +156,14 @@ def encode(docs: DataFrame, model: BpeModel, id_col: str = "doc_id", text_col: s
            special: str = "allow", counts: DataFrame | None = None, blocks: BL.Blocks | None = None) -> DataFrame:
     """(id, ids ARRAY<INT>) in text order, a row per row of ``docs``.  ``counts`` = precomputed
     ``piece_counts``, ``blocks`` = precomputed ``piece_blocks`` of the same documents and mode
-    (each saves a regex pass).  Rows that share an id all have their ids by place
-    (segment, piece); a null id has none."""
+    (each saves a regex pass)."""
     blocks = blocks or piece_blocks(docs, id_col, text_col, special)
     coded = encode_distinct(None, model, counts if counts is not None else piece_counts(blocks))
     table = coded.select(F.col("piece").alias("token"), F.col("ids").cast("array<bigint>").alias("ids"))
     kind = blocks.table.schema["ids"].dataType.elementType.simpleString()
     answers = BL.answered(blocks, table, F.col("ids")).select(
         "ids", "slots", F.lit(None).cast("array<bigint>").alias("one"), F.col("codes").alias("many"))
-    empty = F.array().cast("array<int>")
-    alone = BL.encoded(answers, id_col, kind).select(id_col, F.when(F.col(id_col).isNull(), empty).otherwise(
-        F.col("ids").cast("array<int>")).alias("ids"))
-    again = _repeated(blocks.ids(), id_col)
-    if again.isEmpty():
-        return alone
-    docs = docs.join(again, id_col, "left_semi")
-    looked = salted_lookup(piece_rows(docs, id_col, text_col, special), coded, "piece", [id_col, "seg", "pos"], how="left")
-    flat = looked.select(id_col, "seg", "pos", F.posexplode("ids").alias("sub", "token_id"))
-    g = (flat.groupBy(id_col)
-         .agg(F.sort_array(F.collect_list(F.struct("seg", "pos", "sub", "token_id"))).alias("_s"))
-         .select(id_col, F.transform("_s", lambda x: x["token_id"]).alias("ids")))
-    shared = docs.select(id_col).join(g, id_col, "left").withColumn("ids", F.coalesce(F.col("ids"), empty))
-    return alone.join(again, id_col, "left_anti").unionByName(shared)
-
-
-def _repeated(ids: DataFrame, id_col: str) -> DataFrame:
-    return ids.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    return BL.encoded(answers, id_col, kind).select(id_col, F.col("ids").cast("array<int>").alias("ids"))
 
 
 def token_counts(docs: DataFrame | None, model: BpeModel, text_col: str = "text",
@@ -198,26 +178,9 @@ def token_counts(docs: DataFrame | None, model: BpeModel, text_col: str = "text"
 
 def decode(encoded: DataFrame, model: BpeModel, id_col: str = "doc_id") -> DataFrame:
     """(id, text), a row per row of ``encoded``: ids -> bytes via the (bounded, broadcast)
-    rank table, ordered concatenation, UTF-8 decode.  Ids that the table lacks stand for
-    nothing; rows that share an id all have their text by place; a null id has the empty one."""
-    rows = store(encoded.select(id_col, F.col("ids").cast("array<int>").alias("ids")))
-    alone = _joined_bytes(rows, model, id_col).select(id_col, F.when(F.col(id_col).isNull(), "").otherwise(
-        F.decode(F.col("_b"), "UTF-8")).alias("text"))
-    again = _repeated(rows, id_col)
-    if again.isEmpty():
-        return alone
-    special_hex = T.END_OF_TEXT.encode().hex().upper()
-    table = model.table.unionByName(
-        encoded.sparkSession.createDataFrame([(model.special_id, special_hex)], "token_id INT, hex STRING"))
-    rows = rows.join(again, id_col, "left_semi")
-    flat = rows.select(id_col, F.posexplode("ids").alias("pos", "token_id"))
-    looked = flat.join(F.broadcast(table), "token_id", "left")
-    g = (looked.groupBy(id_col)
-         .agg(F.sort_array(F.collect_list(F.struct("pos", "hex"))).alias("_s"))
-         .select(id_col, F.array_join(F.transform("_s", lambda x: x["hex"]), "").alias("_h")))
-    shared = rows.select(id_col).join(g, id_col, "left").select(
-        id_col, F.coalesce(F.decode(F.unhex(F.col("_h")), "UTF-8"), F.lit("")).alias("text"))
-    return alone.join(again, id_col, "left_anti").unionByName(shared)
+    rank table, ordered concatenation, UTF-8 decode.  Ids that the table lacks stand for nothing."""
+    rows = encoded.select(id_col, F.col("ids").cast("array<int>").alias("ids"))
+    return _joined_bytes(rows, model, id_col).select(id_col, F.decode(F.col("_b"), "UTF-8").alias("text"))
 
 
 def _joined_bytes(rows: DataFrame, model: BpeModel, id_col: str) -> DataFrame:
