@@ -34,7 +34,7 @@ def src_text(spark, d):
     path = scratch_path(spark, "text-files")
     FS.write_text_per_key(C.docs(spark, d), "doc_id", "text", path)
     back = FS.read_text_files(spark, path)
-    return back.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+    return back.select(FS.key_of_path("path", "doc_id").cast("bigint").alias("doc_id"),
                        FS.strip_written_newline("text").alias("text"))
 
 

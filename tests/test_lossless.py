@@ -1,5 +1,7 @@
 """Nothing is lost: edge cases of sources, vectors and streams."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +48,60 @@ def test_label_tsv_keeps_edges(spark):
     assert back == sorted(want)
 
 
+def _text_files(spark, rows, path):
+    FS.write_text_per_key(spark.createDataFrame(rows, "k STRING, text STRING"), "k", "text", path)
+    back = FS.read_text_files(spark, path).select(FS.key_of_path("path", "k").alias("k"),
+                                                  FS.strip_written_newline("text").alias("text"))
+    return _key((r.k, r.text) for r in back.collect())
+
+
+def test_text_files_keep_every_key_and_text(spark):
+    texts = TEXTS + ["\r\n", "\n\n", "é\u2028"]
+    keys = ["1", "007", "a b/c", "%41", "+%2B", ".x", "_y", "é=ü", "8.txt", "x:y", "?", "#"]
+    rows = [(k, texts[i % len(texts)]) for i, k in enumerate(keys)] + [(f"t{i}", t) for i, t in enumerate(texts)]
+    # rows of one key share its file; an empty key is a null one
+    rows += [("dup", "p")] * 2 + [(None, "n"), ("", "n")]
+    want = _key([(k, t or "") for k, t in rows[:-4]] + [("dup", "p\np"), (None, "n\nn")])
+    path = scratch_path(spark, "lossless + 100% é")
+    assert path.startswith("file:")
+    assert _text_files(spark, rows, path) == want
+    assert _text_files(spark, rows[:3], path) == _key((k, t or "") for k, t in rows[:3])  # replaces what was there
+    # Spark's own writer, for stores of another kind
+    assert _text_files(spark, rows, scratch_path(spark, "lossless-text").removeprefix("file:")) == want
+
+
+def test_text_files_cost_no_folder_and_no_side_file_each(spark):
+    path = scratch_path(spark, "many-texts")
+    n = 4 * FS.FOLDERS
+    df = spark.range(n).select(F.col("id").alias("k"), F.col("id").cast("string").alias("text"))
+    FS.write_text_per_key(df, "k", "text", path)
+    found = list(os.walk(path.removeprefix("file:")))
+    assert len(found) - 1 <= FS.FOLDERS
+    assert sorted(name for _, _, names in found for name in names) == sorted(f"k={i}.txt" for i in range(n))
+    back = FS.read_text_files(spark, path).select(FS.key_of_path("path", "k"), FS.strip_written_newline("text"))
+    assert sorted(map(tuple, back.collect())) == sorted((str(i), str(i)) for i in range(n))
+
+
+def test_a_text_file_of_a_stopped_attempt_is_replaced(spark):
+    path = scratch_path(spark, "stopped-texts")
+    root = path.removeprefix("file:")
+    df = spark.createDataFrame([(0, "1", b"one"), (0, "2", b"two")], "folder INT, key STRING, text BINARY").coalesce(1)
+
+    def stopped(rows):
+        def broken():
+            yield next(rows)
+            raise ValueError("lost")
+        try:
+            FS._file_writer(root, "k")(broken())
+        except ValueError:
+            pass
+    df.foreachPartition(stopped)
+    assert FS.read_text_files(spark, path).count() == 0  # half a file is never read
+    df.foreachPartition(FS._file_writer(root, "k"))
+    back = FS.read_text_files(spark, path).select(FS.key_of_path("path", "k"), "text").collect()
+    assert sorted(map(tuple, back)) == [("1", "one\n"), ("2", "two\n")]
+
+
 def test_heads_must_divide_the_vector(spark):
     df = spark.createDataFrame([([1.0] * 7,)], "v ARRAY<DOUBLE>")
     with pytest.raises(Exception, match="do not divide"):
