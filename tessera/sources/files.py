@@ -73,7 +73,7 @@ def write_text_per_key(df: DataFrame, key: str, text_col: str, path: str) -> Non
     other.  An empty key is a null one.
 
     In a ``file:`` store, which driver and executors share, the tasks make the
-    files themselves: Spark's writer takes some 20 ms of a core for each there.
+    files themselves: Spark's writer took 67 s for 10,000 there, on 8 cores.
     Elsewhere it is used (``<key>=<value>/part-*``)."""
     local = re.fullmatch(r"file:(?://(?=/))?(/(?!/).*)", path, re.DOTALL)
     if not local:
