@@ -113,12 +113,15 @@ def train_head_weights(spark, d):
 
 
 # ---------------------------------------------------------------- bigram LM
-def lm_parts(spark, d):
-    """Training / held-out token arrays from the 90/10 character split,
-    tokenized in one pass and materialised (several jobs read them)."""
+def _lm_tokens(spark, d):
+    """Training (``train``) and held-out (``held``) token arrays from the 90/10 character split."""
     sp = char_split(C.docs(spark, d), "text", 0.9)
-    both = store(sp.select("doc_id", T.word_tokens("train_text").alias("train"),
-                                 T.word_tokens("val_text").alias("held")))
+    return sp.select("doc_id", T.word_tokens("train_text").alias("train"), T.word_tokens("val_text").alias("held"))
+
+
+def lm_parts(spark, d):
+    """Both, tokenized in one pass and materialised (several jobs read them)."""
+    both = store(_lm_tokens(spark, d))
     return (both.select("doc_id", F.col("train").alias("tokens")),
             both.select("doc_id", F.col("held").alias("tokens")))
 
@@ -157,7 +160,8 @@ def lm_loss(spark, d):
 
 
 def _kneser_ney(spark, d, order: int):
-    train, held = lm_parts(spark, d)
+    both = _lm_tokens(spark, d)  # not stored: each is read once, into blocks
+    train, held = (both.select("doc_id", F.col(x).alias("tokens")) for x in ("train", "held"))
     model, vocab_size = KN.fit(train, "doc_id", order)
     nll = KN.nll_per_target(KN.grams(held, "doc_id", order), model, vocab_size, "doc_id", order)
     return NG.corpus_loss(NG.per_document_loss(nll, "doc_id")).select(

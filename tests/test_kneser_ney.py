@@ -71,3 +71,42 @@ def test_longer_contexts_help(spark):
     three = NG.corpus_loss(NG.per_document_loss(KN.nll_per_target(
         KN.grams(held, "doc_id", 3), model, size, "doc_id", 3), "doc_id")).first()
     assert three.n_targets == two.n_targets and three.perplexity < two.perplexity
+
+
+@pytest.mark.parametrize("order, bits", [(1, None), (2, None), (3, 40), (5, None)])
+def test_parts_of_few_grams_give_the_same(spark, monkeypatch, order, bits):
+    """Many parts, heavy prefixes of every length, a word of one token each too."""
+    monkeypatch.setattr(KN, "GRAMS", 40)
+    if bits:
+        monkeypatch.setattr(KN.Layout, "__post_init__", _wide(KN.Layout.__post_init__, bits))
+    docs, df = corpus(spark)
+    p, v = brute(docs, order)
+    model, size = KN.fit(df, "doc_id", order)
+    assert size == v and model.layout.parts > 5 and all(len(h) for h in model.layout.heavy)
+    held = [(0, ["w0", "w1", "new", "w2", "w1"]), (1, ["hot"] * 6), (2, ["one"]), (3, []), (4, None)] + docs[5:]
+    targets = KN.grams(spark.createDataFrame(held, "doc_id bigint, tokens array<string>"), "doc_id", order)
+    got = {(r.doc_id, r.pos): r.nll for r in KN.nll_per_target(targets, model, size, "doc_id", order).collect()}
+    want = {(i, k): -math.log(p(tuple(([""] * (order - 1) + t)[k:k + order - 1]), t[k])) for i, t in held if t for k in range(1, len(t))}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want)
+
+
+def _wide(made, bits):
+    def post(self):
+        made(self)
+        self.bits, self.per_word = bits, 63 // bits
+        self.words = -(-self.order // self.per_word)
+    return post
+
+
+def test_a_frequent_context_is_dealt_over_parts(spark, monkeypatch):
+    """A third of all grams stand behind one pair: no part holds them all, and
+    each distinct gram is in one part."""
+    monkeypatch.setattr(KN, "GRAMS", 500)
+    r = random.Random(2)
+    docs = [(i, sum((["of", "the", f"n{r.randrange(900)}"] for _ in range(40)), [])) for i in range(40)]
+    model, _ = KN.fit(spark.createDataFrame(docs, "doc_id bigint, tokens array<string>"), "doc_id", 3)
+    assert [len(h) > 0 for h in model.layout.heavy] == [True, True]
+    sizes = [r.n for r in model.parts.groupBy("part").agg((F.sum(F.length("grams")) / 8 / (model.layout.words + 1)).alias("n")).collect()]
+    distinct = {tuple((["", ""] + t)[i:i + 3]) for _, t in docs for i in range(1, len(t))}
+    behind = sum(g[:2] == ("of", "the") for g in distinct)
+    assert sum(sizes) == len(distinct) and max(sizes) < behind / 2
