@@ -14,10 +14,13 @@ from __future__ import annotations
 import os
 import re
 import shutil
-from collections.abc import Callable, Iterable
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 from urllib.parse import quote
+from zlib import crc32
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -52,12 +55,101 @@ def _lossless(io):
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
+def _local(path: str) -> str | None:
+    """The folder of a ``file:`` path."""
+    local = re.fullmatch(r"file:(?://(?=/))?(/(?!/).*)", path, re.DOTALL)
+    return local[1].rstrip("/") if local else None
+
+
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: (path, text).  Partition columns in the folder names
-    (``key=value``) are recovered as columns."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"),
-                     *[c for c in df.columns if c != "value"])
+    (``key=value``) are recovered as columns.
+
+    The folders that ``write_text_per_key`` fills in a ``file:`` store are
+    listed and read by the tasks: the driver holds a row a folder.  Of all else
+    Spark's reader has the driver list every file."""
+    root = _local(path)
+    folders = _written_folders(spark, root) if root else None
+    if folders is None:
+        df = spark.read.text(path, wholetext=True)
+        return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"),
+                         *[c for c in df.columns if c != "value"])
+    pieces = [(n, k, of) for n, files, size in folders for of in [max(-(-files // PIECE_FILES), -(-size // PIECE_BYTES))]
+              for k in range(of)]
+    rows = spark.range(0, len(pieces), 1, max(1, len(pieces))).mapInArrow(
+        _piece_reader(root, pieces), "path string, text binary, folder int")
+    return rows.select("path", F.col("text").cast("string").alias("text"), "folder")
+
+
+# A task reads so many files or bytes of a folder, about.
+PIECE_FILES, PIECE_BYTES = 4096, 32 << 20
+# A batch of files ends at so many files or bytes.
+BATCH_FILES, BATCH_BYTES = 1024, 4 << 20
+
+
+def _files(folder: str) -> Iterator[os.DirEntry]:
+    """What Spark's reader takes of a folder: no hidden names, no empty files."""
+    with os.scandir(folder) as entries:
+        for e in entries:
+            hidden = e.name.startswith(".") or e.name.endswith("._COPYING_") or (e.name.startswith("_") and "=" not in e.name)
+            if not hidden and (e.is_dir() or e.stat().st_size):
+                yield e
+
+
+def _written_folders(spark: SparkSession, root: str) -> list[tuple[int, int, int]] | None:
+    """(number, files, bytes) of the folders of ``write_text_per_key``; None if
+    ``root`` holds anything else."""
+    numbers = []
+    if not os.path.isdir(root):
+        return None
+    for e in _files(root):
+        if not e.is_dir() or not re.fullmatch("folder=(0|[1-9][0-9]{0,8})", e.name):
+            return None
+        numbers.append(int(e.name.partition("=")[2]))
+
+    def count(batches):
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                files = size = 0
+                for e in _files(f"{root}/folder={numbers[i]}"):
+                    if e.is_dir() or not re.fullmatch("[^=]+=.*[.]txt", e.name, re.DOTALL):
+                        size = None
+                        break
+                    files, size = files + 1, size + e.stat().st_size
+                yield pa.RecordBatch.from_pydict({"n": [numbers[i]], "files": [files], "bytes": [size]}, schema=counted)
+
+    counted = pa.schema([("n", pa.int64()), ("files", pa.int64()), ("bytes", pa.int64())])
+    found = spark.range(0, len(numbers), 1, max(1, len(numbers))).mapInArrow(count, "n bigint, files bigint, bytes bigint").collect()
+    return [tuple(r) for r in found] if all(r["bytes"] is not None for r in found) and any(r["files"] for r in found) else None
+
+
+def _piece_reader(root: str, pieces: list[tuple[int, int, int]]):
+    """Reads the files of a piece: those of its folder whose name has its number."""
+    schema = pa.schema([("path", pa.string()), ("text", pa.binary()), ("folder", pa.int32())])
+
+    def read(batches):
+        for b in batches:
+            for n, piece, of in (pieces[i] for i in b.column(0).to_pylist()):
+                folder, paths, texts, size = f"{root}/folder={n}", [], [], 0
+                for e in _files(folder):
+                    if crc32(e.name.encode("utf-8", "surrogateescape")) % of != piece:
+                        continue
+                    with open(e.path, "rb") as f:
+                        texts.append(f.read())
+                    paths.append(_uri(e.path))
+                    size += len(texts[-1])
+                    if len(texts) >= BATCH_FILES or size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts, pa.binary()), pa.array([n] * len(texts), pa.int32())], schema=schema)
+                        paths, texts, size = [], [], 0
+                if texts:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts, pa.binary()), pa.array([n] * len(texts), pa.int32())], schema=schema)
+    return read
+
+
+def _uri(path: str) -> str:
+    """The path as Spark writes it in ``_metadata.file_path``."""
+    return "file:" + re.sub(r"[^\w\-!.~'()*,;:$&+=/@]", lambda c: c[0] if c[0] > "\x7f" and unicodedata.category(c[0])[0] != "Z"
+                              and unicodedata.category(c[0]) != "Cc" else quote(c[0], safe=""), path)
 
 
 # The files of a written folder are dealt over so many subfolders.
@@ -75,11 +167,10 @@ def write_text_per_key(df: DataFrame, key: str, text_col: str, path: str) -> Non
     In a ``file:`` store, which driver and executors share, the tasks make the
     files themselves: Spark's writer took 67 s for 10,000 there, on 8 cores.
     Elsewhere it is used (``<key>=<value>/part-*``)."""
-    local = re.fullmatch(r"file:(?://(?=/))?(/(?!/).*)", path, re.DOTALL)
-    if not local:
+    root = _local(path)
+    if root is None:
         df.select(key, text_col).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
         return
-    root = local[1].rstrip("/")
     if os.path.isdir(root):
         shutil.rmtree(root)
     rows = df.select(F.nullif(F.col(key).cast("string"), F.lit("")).alias("key"),

@@ -82,6 +82,27 @@ def test_text_files_cost_no_folder_and_no_side_file_each(spark):
     assert sorted(map(tuple, back.collect())) == sorted((str(i), str(i)) for i in range(n))
 
 
+def test_text_files_are_listed_by_the_tasks(spark, monkeypatch):
+    """The driver holds no name of a file; rows, paths and folders are those of Spark's reader."""
+    path = scratch_path(spark, "listed + 100% é\u2003")
+    keys = ["x", "a b/c", "%41", "é=ü", "#", None, *map(str, range(300))]
+    FS.write_text_per_key(spark.createDataFrame([(k, f"{k}\u00e9") for k in keys], "`k é` STRING, text STRING"), "k é", "text", path)
+    root = path.removeprefix("file:")
+    folder = next(os.scandir(root)).path
+    for name in (".hidden", "_side", "k é=empty.txt"):  # none of them is read
+        open(f"{folder}/{name}", "w").write("" if name.startswith("k") else "x")
+    monkeypatch.setattr(FS, "PIECE_FILES", 1)  # a folder in several pieces
+    back = FS.read_text_files(spark, path)
+    assert back.inputFiles() == [] and back.columns == ["path", "text", "folder"]
+    own = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path"), "value", "folder")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, own.collect())) and back.count() == len(keys)
+    # a folder that holds anything else is left to Spark's reader
+    os.makedirs(f"{root}/folder=0", exist_ok=True)
+    open(f"{root}/folder=0/other", "w").write("x")
+    back = FS.read_text_files(spark, path)
+    assert back.inputFiles() and back.count() == len(keys) + 1
+
+
 def test_a_text_file_of_a_stopped_attempt_is_replaced(spark):
     path = scratch_path(spark, "stopped-texts")
     root = path.removeprefix("file:")
